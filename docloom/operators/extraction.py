@@ -272,13 +272,15 @@ def extract_outputs(
         schemas.dead_letter_topic(schemas.EXTRACTOR), as_of))
     version_columns = ["normalized_object_uri", "extraction_manifest_uri", "extraction_status",
                        "extraction_config", "extraction_metadata"]
+    changed_versions = last_per_key(
+        version_rows, ["tenant_id", "id"], "event_offset", version_columns)
+    changed_documents = last_per_key(
+        document_rows, ["tenant_id", "id"], "event_offset", ["status"])
     return StageResult(
-        versions=upsert(
-            versions, last_per_key(version_rows, ["tenant_id", "id"], "event_offset",
-                                   version_columns), ["tenant_id", "id"], as_of),
-        documents=upsert(
-            documents, last_per_key(document_rows, ["tenant_id", "id"], "event_offset",
-                                    ["status"]), ["tenant_id", "id"], as_of),
+        versions=upsert(versions, changed_versions, ["tenant_id", "id"], as_of),
+        documents=upsert(documents, changed_documents, ["tenant_id", "id"], as_of),
+        version_changes=changed_versions,
+        document_changes=changed_documents,
         failures=None,
         outbox=outbox,
         ledger=ledger_rows(

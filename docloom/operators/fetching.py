@@ -41,6 +41,8 @@ class StageResult(NamedTuple):
     outbox: DataFrame
     ledger: DataFrame
     quarantine: DataFrame
+    version_changes: DataFrame
+    document_changes: DataFrame
 
 
 def inspect(
@@ -247,9 +249,12 @@ def fetch_outputs(
 ) -> StageResult:
     """All writes of the stage. ``verdicts`` is read once per output: hand in a stored table."""
     settled = with_metadata(verdicts.filter("quarantine IS NULL"), max_bytes)
+    changed_versions, changed_documents = version_changes(settled), document_changes(settled)
     return StageResult(
-        versions=upsert(versions, version_changes(settled), ["tenant_id", "id"], as_of),
-        documents=upsert(documents, document_changes(settled), ["tenant_id", "id"], as_of),
+        versions=upsert(versions, changed_versions, ["tenant_id", "id"], as_of),
+        documents=upsert(documents, changed_documents, ["tenant_id", "id"], as_of),
+        version_changes=changed_versions,
+        document_changes=changed_documents,
         failures=failure_rows(settled, as_of),
         outbox=fetch_outbox(settled, as_of),
         ledger=ledger_rows(

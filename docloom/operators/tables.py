@@ -32,13 +32,13 @@ def upsert(
     base: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    as_of,
+    as_of=None,
     insert: bool = False,
 ) -> DataFrame:
     """New snapshot of ``base`` with the non-null columns of ``changes`` laid over it.
 
-    ``changes`` holds at most one row per key. ``updated_at`` moves only on changed rows. With
-    ``insert`` the keys that are new are added; they are found by an anti join on the unique key.
+    ``changes`` holds at most one row per key. ``updated_at`` moves to ``as_of`` (or to the value
+    that ``changes`` gives) on changed rows only. With ``insert`` the keys that are new are added; they are found by an anti join on the unique key.
     """
     changed = [c for c in changes.columns if c not in keys]
     renamed = changes.select(*keys, *[F.col(c).alias(f"new_{c}") for c in changed],
@@ -50,7 +50,7 @@ def upsert(
         if name in changed:
             return F.when(hit, F.coalesce(F.col(f"new_{name}"), F.col(name))) \
                 .otherwise(F.col(name)).alias(name)
-        if name == "updated_at":
+        if name == "updated_at" and as_of is not None:
             return F.when(hit, F.lit(as_of).cast("timestamp")).otherwise(F.col(name)).alias(name)
         return F.col(name)
 

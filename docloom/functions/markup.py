@@ -66,3 +66,57 @@ def figure_evidence(document: Column) -> Column:
     figures = F.filter(F.transform(list_member(document, "pictures"), evidence),
                        lambda figure: figure.isNotNull())
     return F.coalesce(figures, F.array())
+
+
+# Leading bytes to type, first match wins. Fixed values (published format signatures).
+SIGNATURES = (
+    (b"%PDF-", "application/pdf"),
+    (b"\x89PNG\r\n\x1a\n", "image/png"),
+    (b"\xff\xd8\xff", "image/jpeg"),
+    (b"GIF8", "image/gif"),
+    (b"II*\x00", "image/tiff"),
+    (b"MM\x00*", "image/tiff"),
+    (b"\x1f\x8b", "application/gzip"),
+)
+ZIP = b"PK\x03\x04"
+# Folder inside an office container to its type. Fixed values.
+OFFICE_FOLDERS = (
+    (b"word/", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
+    (b"xl/", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
+    (b"ppt/", "application/vnd.openxmlformats-officedocument.presentationml.presentation"),
+)
+
+
+def detected_type(content: str | Column) -> Column:
+    """Type by content, never by name; text without markup is plain text."""
+    data = col(content).cast("binary")
+
+    def starts(prefix: bytes) -> Column:
+        return F.substring(data, 1, len(prefix)) == F.lit(prefix)
+
+    out = F.when(starts(SIGNATURES[0][0]), F.lit(SIGNATURES[0][1]))
+    for prefix, kind in SIGNATURES[1:]:
+        out = out.when(starts(prefix), F.lit(kind))
+    for folder, kind in OFFICE_FOLDERS:
+        out = out.when(starts(ZIP) & F.contains(data, F.lit(folder)), F.lit(kind))
+    out = out.when(starts(ZIP), F.lit("application/zip"))
+    head = F.lower(F.ltrim(F.substring(data, 1, 256).cast("string")))
+    out = out.when(head.startswith("<!doctype html") | head.startswith("<html"),
+                   F.lit("text/html"))
+    mail = F.substring(data, 1, 256).cast("string").rlike(
+        r"^(From|To|Subject|Received|Return-Path|MIME-Version): ")
+    return out.when(mail, F.lit("message/rfc822")).otherwise(F.lit("text/plain"))
+
+
+# Kind of sensitive content to pattern, in the syntax Java and RE2 share.
+SENSITIVE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "phone": r"\+?[0-9][0-9 ()-]{7,}[0-9]",
+    "secret": r"(?i)(api[_-]?key|secret|password|token)[ ]*[=:]",
+}
+
+
+def sensitive_counts(text: str | Column) -> list[Column]:
+    """Number of matches per kind of sensitive content."""
+    return [F.regexp_count(col(text), F.lit(pattern)).cast("bigint").alias(kind)
+            for kind, pattern in SENSITIVE.items()]

@@ -44,8 +44,7 @@ def _prune(value):
     return value
 
 
-@F.pandas_udf("string")
-def _strip_binary(texts: pd.Series) -> pd.Series:
+def _prune_texts(texts: pd.Series) -> pd.Series:
     def one(text):
         try:
             return json.dumps(_prune(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
@@ -60,4 +59,4 @@ def strip_binary(document: str | Column) -> Column:
 
     The depth is open, so no fixed struct can express it and the work goes to Arrow batches.
     """
-    return _strip_binary(col(document))
+    return F.pandas_udf(_prune_texts, "string")(col(document))

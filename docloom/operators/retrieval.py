@@ -8,10 +8,12 @@ page and keeps the best ``k`` points per query; only those reach the shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,12 +59,8 @@ def terms(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(text), LEXICAL_BREAK), lambda t: t != "")
 
 
-@F.pandas_udf("map<string,double>")
-def _counted(batches: Iterator) -> Iterator:
-    from collections import Counter
-
-    for lists in batches:
-        yield lists.map(lambda ts: {t: float(n) for t, n in Counter(ts).items()})
+def _count_terms(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda found: {t: float(n) for t, n in Counter(found).items()})
 
 
 def term_weights(text: str | Column) -> Column:
@@ -70,7 +68,7 @@ def term_weights(text: str | Column) -> Column:
 
     Counting inside the row avoids exploding and shuffling every term of every text.
     """
-    return _counted(terms(text))
+    return F.pandas_udf(_count_terms, "map<string,double>")(terms(text))
 
 
 # Search -----------------------------------------------------------------------------------------

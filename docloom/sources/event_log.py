@@ -20,7 +20,7 @@ def encode(df: DataFrame, contract: str) -> DataFrame:
 
 
 def _typed(contract: str) -> list[Column]:
-    return [F.col(part.split()[0]).cast(part.split()[1])
+    return [F.col(part.split()[0]).cast(part.split()[1]).alias(part.split()[0])
             for part in schemas.CONTRACTS[contract].split(", ")]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from docloom.plans import content, delivery, ingest  # noqa: F401
+    from docloom.plans import content, delivery, governance, ingest, search  # noqa: F401
 
 
 def all_queries():

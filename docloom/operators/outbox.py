@@ -60,14 +60,11 @@ def resolve_contract(events: DataFrame) -> DataFrame:
             *pick("event_schema_name", "schema_artifact_id"), F.lit(None).cast("string")))
 
 
-def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Topic, key, value and headers of each claimed row, or the error that keeps it back.
-
-    The contract list is a handful of rows and is broadcast. The record key is tenant and
-    aggregate id.
-    """
+def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Resolved contract names and the error that keeps a row back, if any. The contract list is
+    a handful of rows and is broadcast."""
     known = F.broadcast(contracts.withColumn("is_known", F.lit(True)))
-    resolved = resolve_contract(claimed).join(known, ["contract_namespace", "schema_name"], "left")
+    resolved = resolve_contract(events).join(known, ["contract_namespace", "schema_name"], "left")
     error = F.when(
         F.col("schema_name").isNull(),
         F.lit("Outbox event is missing its checked-in event schema name."),
@@ -76,7 +73,12 @@ def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
         F.concat(F.lit("No checked-in schema is configured for "), F.col("contract_namespace"),
                  F.lit("/"), F.col("schema_name"), F.lit(".")),
     )
+    return resolved.withColumn("error", error).drop("is_known")
 
+
+def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Topic, key, value and headers of each claimed row, or the error that keeps it back. The
+    record key is tenant and aggregate id."""
     def header(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
 
@@ -91,14 +93,13 @@ def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
         header("event-schema-name", F.col("schema_name")),
         header("schema-version", F.get_json_object("payload", "$.schema_version")),
     )
-    return resolved.select(
+    return with_publish_error(claimed, contracts).select(
         "id", "tenant_id", "attempt_count",
         F.col("kafka_topic").alias("topic"),
         F.concat_ws(":", "tenant_id", "aggregate_id").alias("key"),
         F.col("payload").alias("value"),
         F.concat(carried, fixed).alias("headers"),
-        "contract_namespace", "schema_name",
-        error.alias("error"),
+        "contract_namespace", "schema_name", "error",
     )
 
 
@@ -161,3 +162,39 @@ def drain(
     outcomes = outcomes_of(messages, as_of)
     snapshot, _ = complete(apply_claim(outbox, claimed), outcomes, as_of, worker)
     return messages.filter("error IS NULL"), snapshot, outcomes
+
+
+def publish_due(
+    outbox: DataFrame, contracts: DataFrame, as_of, worker: str
+) -> tuple[DataFrame, DataFrame]:
+    """Everything due at ``as_of`` in one pass: (messages to send, new outbox snapshot).
+
+    The same end state as polling at that instant until nothing is due. The batch size bounds one
+    poll of a row store; here each row's outcome follows from the row itself, so nothing is
+    sorted, joined to the outbox or looped over.
+    """
+    due = F.col("status").isin("pending", "failed") & (F.col("available_at") <= _instant(as_of))
+    tried = F.col("attempt_count") + 1
+    messages = envelope(outbox.filter(due).withColumn("attempt_count", tried), contracts) \
+        .filter("error IS NULL")
+    sent, failed = due & F.col("error").isNull(), due & F.col("error").isNotNull()
+    retry = plus_seconds(_instant(as_of), backoff_seconds(tried))
+    changed = {
+        "status": F.when(sent, "published").when(failed, "failed"),
+        "attempt_count": F.when(due, tried),
+        "published_at": F.when(sent, _instant(as_of)),
+        "available_at": F.when(failed, retry),
+        "last_error": F.when(failed, F.substring("error", 1, schemas.ERROR_TEXT_MAX)),
+    }
+    cleared = ("published_at", "last_error", "locked_at", "locked_by")
+
+    def column(name: str) -> Column:
+        if name in cleared:
+            value = changed.get(name, F.lit(None).cast(outbox.schema[name].dataType))
+            return F.when(due, value).otherwise(F.col(name)).alias(name)
+        if name in changed:
+            return F.coalesce(changed[name], F.col(name)).alias(name)
+        return F.col(name)
+
+    snapshot = with_publish_error(outbox, contracts).select(*[column(c) for c in outbox.columns])
+    return messages, snapshot

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from docloom.plans import content, delivery, governance, ingest, search  # noqa: F401
+    from docloom.plans import (  # noqa: F401
+        content, delivery, governance, ingest, search, streams,
+    )
 
 
 def all_queries():

@@ -79,6 +79,22 @@ def outbox_complete(spark, sf):
         F.col("published_at").isNotNull().alias("is_published"))
 
 
+@query("outbox_publish_due", f"""
+    SELECT id, CASE WHEN NOT due THEN status WHEN error IS NULL THEN 'published'
+        ELSE 'failed' END AS status,
+      CAST(CASE WHEN due THEN attempt_count + 1 ELSE attempt_count END AS INTEGER) AS attempt_count,
+      CASE WHEN due AND error IS NOT NULL THEN strftime(TIMESTAMP '{v.AS_OF}'
+          + to_seconds(least(300, CAST(power(2, least(attempt_count + 1, 8)) AS INTEGER))),
+          '%Y-%m-%d %H:%M:%S.%f') ELSE {v.text_sql('available_at')} END AS available_at,
+      CASE WHEN due THEN COALESCE(error, '') ELSE '' END AS last_error
+    FROM (SELECT *, {DUE} AS due FROM v_resolved)""")
+def outbox_publish_due(spark, sf):
+    _, snapshot = box.publish_due(v.outbox(spark, sf), box.registry(spark), v.AS_OF, v.WORKER)
+    return snapshot.select(
+        "id", "status", "attempt_count", v.text_of("available_at").alias("available_at"),
+        F.coalesce("last_error", F.lit("")).alias("last_error"))
+
+
 @query("outbox_not_owned", f"""
     SELECT id, error IS NULL AS succeeded FROM v_resolved
     WHERE status = 'publishing' AND locked_by IS DISTINCT FROM '{v.WORKER}'""")

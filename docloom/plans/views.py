@@ -105,11 +105,12 @@ def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def objects(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored bytes: some altered after submission, some lost, some never registered."""
+    """Stored bytes: some altered after submission, some never registered, those of one language
+    lost."""
     d = F.col("seq")
-    rows = submissions(spark, sf)
+    kept = submissions(spark, sf).filter(~F.col("classification").eqNullSafe(F.lit("es")))
     key = sub.source_object_key("tenant_id", "document_id", "filename")
-    return rows.filter(d % 13 != 0).select(
+    return kept.select(
         sub.object_uri(BUCKET, key).alias("object_uri"), "tenant_id",
         F.when(d % 11 == 0, F.concat("content", F.lit("~"))).otherwise(F.col("content"))
         .alias("content"))
@@ -135,8 +136,10 @@ def submitted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """Events the fetcher handled before."""
-    return submitted(spark, sf).filter(F.col("event_offset") % 58 == 0).select(
+    """Events the fetcher handled before: those of documents labelled as poor."""
+    poor = table(spark, sf, "labels").filter("quality = 0") \
+        .select(F.col("doc_id").cast("string").alias("document_id"))
+    return submitted(spark, sf).join(poor, "document_id", "left_semi").select(
         "tenant_id", "event_id", F.lit(schemas.FETCHER).alias("consumer_name"),
         F.lit(AS_OF).cast("timestamp").alias("processed_at"), F.lit("{}").alias("result"))
 
@@ -256,7 +259,7 @@ SQL_VIEWS = {
     "v_objects": f"""
         SELECT 's3://{BUCKET}/' || {_KEY} AS object_uri, tenant_id,
           CASE WHEN seq % 11 = 0 THEN content || '~' ELSE content END AS content
-        FROM v_submissions WHERE seq % 13 <> 0""",
+        FROM v_submissions WHERE classification IS DISTINCT FROM 'es'""",
     "v_submitted": f"""
         SELECT tenant_id, document_id, {uuid_sql("'submitted'", 'seq')} AS event_id,
           CASE WHEN seq % 17 = 0 THEN 'DocumentTouched' ELSE 'DocumentSubmitted' END AS event_type,
@@ -267,7 +270,8 @@ SQL_VIEWS = {
         FROM v_prepared, (VALUES (0), (1)) AS c(copy)
         WHERE copy = 0 OR seq % 5 = 0""",
     "v_ledger": """
-        SELECT DISTINCT tenant_id, event_id FROM v_submitted WHERE event_offset % 58 = 0""",
+        SELECT DISTINCT tenant_id, event_id FROM v_submitted
+        WHERE CAST(document_id AS BIGINT) IN (SELECT doc_id FROM labels WHERE quality = 0)""",
     "v_fresh": """
         SELECT * FROM v_submitted s
         WHERE NOT EXISTS (SELECT 1 FROM v_ledger l

@@ -21,7 +21,7 @@ def canonical_json(**fields: Column) -> Column:
 def json_scalar(value: Column) -> Column:
     """JSON text of one scalar; null becomes ``null``."""
     wrapped = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
-    return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return F.regexp_extract(wrapped, "(?s)^.{5}(.*).$", 1)
 
 
 def spaced_json(pairs: list[tuple[str, Column, Column | None]]) -> Column:

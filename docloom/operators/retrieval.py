@@ -15,6 +15,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,36 +195,49 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return _top(found, k)
 
 
+def _sparse_parts(weights: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray | None]:
+    """(row offsets, terms, weights or None for all ones) of a map or list column."""
+    offsets = weights.offsets.to_numpy()
+    if pa.types.is_map(weights.type):
+        return offsets, weights.keys, weights.items.to_numpy(zero_copy_only=False)
+    return offsets, weights.values, None
+
+
 def sparse_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Lexical search: sum of weight products over shared terms; no shared term, no candidate.
 
-    ``points``: point_id, weights (map term to weight); ``queries``: query_id, weights. Each task
-    turns a block of points into a terms matrix over the page's vocabulary and multiplies it with
-    the page, so frequent terms cost arithmetic and not rows.
+    ``points``: point_id, weights; ``queries``: query_id, weights. The weights are a map from term
+    to weight, or a list of terms in which every occurrence weighs 1. Each task turns a block of
+    points into a terms matrix over the page's vocabulary and multiplies it with the page, so
+    frequent terms cost arithmetic and not rows.
     """
     def scorer(page):
-        vocabulary = {t: i for i, t in enumerate(sorted({t for r in page for t in r["weights"]}))}
-        wanted = np.zeros((len(vocabulary), len(page)))
-        for q, row in enumerate(page):
-            for term, weight in row["weights"].items():
-                wanted[vocabulary[term], q] = weight
+        bags = [Counter(r["weights"]) if isinstance(r["weights"], list) else r["weights"]
+                for r in page]
+        vocabulary = sorted({term for bag in bags for term in bag})
+        place = {term: i for i, term in enumerate(vocabulary)}
+        size = max(1, len(vocabulary))
+        wanted = np.zeros((size, len(page)))
+        for q, bag in enumerate(bags):
+            for term, weight in bag.items():
+                wanted[place[term], q] = weight
         shared = (wanted != 0).astype(np.float64)
-        width = max(1, CELLS // max(1, len(vocabulary)))
+        known = pa.array(vocabulary, pa.string())
+        width = max(1, CELLS // size)
 
         def score(batch):
-            column = batch.column("weights")
-            offsets = column.offsets.to_numpy()
-            keys = column.keys.to_pylist()
-            values = column.items.to_numpy(zero_copy_only=False)
-            places = np.fromiter((vocabulary.get(t, -1) for t in keys), np.int64, len(keys))
+            offsets, found, weights = _sparse_parts(batch.column("weights"))
+            places = pc.fill_null(pc.index_in(found, value_set=known), -1) \
+                .to_numpy(zero_copy_only=False)
             for start in range(0, batch.num_rows, width):
-                stop = min(start + width, batch.num_rows)
-                low, high = offsets[start], offsets[stop]
-                owner = np.repeat(np.arange(stop - start), np.diff(offsets[start:stop + 1]))
-                spot, weight = places[low:high], values[low:high]
-                hit = spot >= 0
-                block = np.zeros((stop - start, len(vocabulary)))
-                np.add.at(block, (owner[hit], spot[hit]), weight[hit])
+                rows = min(width, batch.num_rows - start)
+                low, high = offsets[start], offsets[start + rows]
+                owner = np.repeat(np.arange(rows), np.diff(offsets[start:start + rows + 1]))
+                hit = places[low:high] >= 0
+                cells = owner[hit] * size + places[low:high][hit]
+                block = np.bincount(
+                    cells, None if weights is None else weights[low:high][hit], rows * size,
+                ).astype(np.float64).reshape(rows, size)
                 totals = np.round(block @ wanted, SCORE_DIGITS) + 0.0
                 touched = (block != 0).astype(np.float64) @ shared
                 yield start, np.where(touched > 0, totals, np.nan)

@@ -13,6 +13,7 @@ from docloom.functions.keys import object_uri, source_object_key
 from docloom.operators.events import outbox_rows, submitted_events
 from docloom.operators.tables import conform
 from docloom.operators.uniqueness import admit_first
+from docloom.session import cut_lineage
 
 CREATED, CONFLICT, TOO_LARGE, NO_FILENAME = 201, 409, 413, 422
 SOURCE_SYSTEM = "api"
@@ -74,7 +75,7 @@ def accepted_rows(
         .join(held_ids, ["tenant_id", "source_external_id"], "left_anti") \
         .join(held_content, ["tenant_id", "content_sha256"], "left_anti") \
         .select("seq", "tenant_id", "source_external_id", "content_sha256")
-    return admit_first(candidates, UNIQUE, "seq")
+    return admit_first(cut_lineage(candidates), UNIQUE, "seq")
 
 
 def decide(
@@ -89,18 +90,21 @@ def decide(
     ).drop("refusal", "is_accepted")
 
 
-def fan_out(accepted: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows for documents, versions and the outbox."""
+def document_rows(accepted: DataFrame, as_of) -> DataFrame:
     now = F.lit(as_of).cast("timestamp")
-    documents = conform(accepted.select(
+    return conform(accepted.select(
         F.col("document_id").alias("id"), "tenant_id",
         F.lit(SOURCE_SYSTEM).alias("source_system"), "source_external_id", "title",
         "classification", F.lit("submitted").alias("status"),
         F.col("document_version_id").alias("current_version_id"),
         now.alias("created_at"), now.alias("updated_at"),
     ), schemas.TABLES["documents"])
-    empty = F.lit("{}")
-    versions = conform(accepted.select(
+
+
+def version_rows(accepted: DataFrame, as_of) -> DataFrame:
+    """Version 1 of each accepted submission."""
+    now, empty = F.lit(as_of).cast("timestamp"), F.lit("{}")
+    return conform(accepted.select(
         F.col("document_version_id").alias("id"), "tenant_id", "document_id",
         F.lit(1).alias("version_number"), "content_sha256", "source_object_uri", "mime_type",
         "byte_size", empty.alias("extraction_config"), empty.alias("extraction_metadata"),
@@ -108,11 +112,19 @@ def fan_out(accepted: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame
         empty.alias("inspection_metadata"), F.lit("pending").alias("extraction_status"),
         now.alias("created_at"), now.alias("updated_at"),
     ), schemas.TABLES["document_versions"])
+
+
+def submitted_outbox(accepted: DataFrame, as_of) -> DataFrame:
     events = submitted_events(
         accepted.withColumnRenamed("source_object_uri", "payload_uri"), as_of)
-    outbox = outbox_rows(
+    return outbox_rows(
         events, "document-submitted", "document", "document_id", schemas.DOCUMENT_SUBMITTED, as_of)
-    return documents, versions, outbox
+
+
+def fan_out(accepted: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows for documents, versions and the outbox."""
+    return (document_rows(accepted, as_of), version_rows(accepted, as_of),
+            submitted_outbox(accepted, as_of))
 
 
 def submit(
@@ -125,6 +137,7 @@ def submit(
     as_of,
     max_bytes: int = schemas.UPLOAD_LIMIT_BYTES,
 ) -> SubmitResult:
-    screened = screen(prepare(submissions, bucket), max_bytes)
+    # The narrow rows are stored once: content is read and hashed in a single pass.
+    screened = cut_lineage(screen(prepare(submissions, bucket), max_bytes))
     outcomes = decide(screened, tenants, documents, versions)
     return SubmitResult(outcomes, *fan_out(outcomes.filter(F.col("status_code") == CREATED), as_of))

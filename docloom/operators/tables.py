@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Project ``df`` to the declared columns; absent ones become typed nulls."""
+    present = set(df.columns)
     fields = [part.split(" ", 1) for part in ddl.split(", ")]
-    return df.select(*[
-        (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+    return df.selectExpr(*[
+        f"CAST({name if name in present else 'NULL'} AS {kind}) AS {name}"
         for name, kind in fields
     ])
 

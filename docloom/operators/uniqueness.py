@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,46 +21,55 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], count: str = "copies") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
 
 
-def _leaders(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The order value of the first row of every key; null keys never collide."""
-    present = rows.dropna(subset=list(keys))
-    return present.groupBy(*keys).agg(F.min(order).alias(order))
+ACCEPTED, REFUSED, OPEN = "accepted", "refused", "open"
+
+
+def _round(rows: DataFrame, unique_keys: Sequence[Sequence[str]], order: str) -> DataFrame:
+    """One round of admission: every row with its ``state``.
+
+    A row that is first on all its keys is accepted. Only the first row of a key can be accepted
+    for it in this round, so any other row is refused exactly if the first row of one of its keys
+    is accepted. First rows come from partial aggregates of the keys that two or more rows share:
+    a hot key is one row there, and the joins see a small side.
+    """
+    marked, leads = rows, []
+    for number, keys in enumerate(unique_keys):
+        lead = f"_lead{number}"
+        shared = rows.groupBy(*keys) \
+            .agg(F.min(order).alias(lead), F.count(F.lit(1)).alias("_n")) \
+            .filter("_n > 1").drop("_n")
+        marked = marked.join(shared, list(keys), "left") \
+            .withColumn(lead, F.coalesce(lead, order))
+        leads.append(lead)
+    is_first = reduce(lambda a, b: a & b, [F.col(lead) == F.col(order) for lead in leads])
+    firsts = marked.filter(is_first).select(order)
+    blocked = F.lit(False)
+    settled = marked.withColumn("_first", is_first)
+    for lead in leads:
+        hit = f"{lead}_hit"
+        settled = settled.join(
+            firsts.select(F.col(order).alias(lead), F.lit(True).alias(hit)), lead, "left")
+        blocked = blocked | F.col(hit).isNotNull()
+    state = F.when(F.col("_first"), F.lit(ACCEPTED)).when(blocked, F.lit(REFUSED)) \
+        .otherwise(F.lit(OPEN))
+    return settled.select(*rows.columns, state.alias("state"))
 
 
 def admit_first(rows: DataFrame, unique_keys: Sequence[Sequence[str]], order: str) -> DataFrame:
     """Order values of the rows that one-at-a-time insertion would accept.
 
     A row is refused only when an earlier *accepted* row holds one of its keys; a refused row
-    blocks nobody. That makes the outcome depend on chains of rows linked through different keys,
-    so it is settled in rounds. In a round every undecided row that is first on all its keys is
-    accepted, and the undecided rows sharing a key with it are refused. The first undecided row is
-    always accepted, so the rounds end; rows whose keys are all unshared leave before round one.
+    blocks nobody. The outcome therefore depends on chains of rows linked through different keys
+    and is settled in rounds over the rows still open. The earliest open row is always accepted,
+    so the rounds end; their number is half the longest chain, and only chained rows see a second.
 
-    ``rows`` carries only ``order`` (unique) and key columns, all keys non-null.
+    ``rows`` carries ``order`` (unique) and the key columns, all non-null.
     """
-    # Keys shared by two or more rows. One partial aggregate per rule, so a hot key is one row.
-    shared = [repeated_keys(rows, keys, "_copies").drop("_copies") for keys in unique_keys]
-    contested = None
-    for keys, repeated in zip(unique_keys, shared):
-        hit = rows.join(repeated, list(keys), "left_semi").select(*rows.columns)
-        contested = hit if contested is None else contested.unionByName(hit)
-    undecided = cut_lineage(contested.dropDuplicates([order]))
-    settled = rows.select(order).join(undecided.select(order), order, "left_anti")
-
-    accepted = [settled]
-    while not undecided.isEmpty():
-        heads = undecided
-        for keys in unique_keys:
-            leaders = _leaders(undecided, keys, order).select(order)
-            heads = heads.join(leaders, order, "left_semi")
-        heads = cut_lineage(heads)
-        accepted.append(heads.select(order))
-        rest = undecided.join(heads.select(order), order, "left_anti")
-        for keys in unique_keys:
-            rest = rest.join(heads.select(*keys), list(keys), "left_anti")
-        undecided = cut_lineage(rest.select(*rows.columns))
-
-    result = accepted[0]
-    for part in accepted[1:]:
-        result = result.union(part)
-    return result
+    state = cut_lineage(_round(rows, unique_keys, order))
+    accepted = state.filter(F.col("state") == ACCEPTED).select(order)
+    still_open = state.filter(F.col("state") == OPEN).drop("state")
+    while not still_open.isEmpty():
+        state = cut_lineage(_round(still_open, unique_keys, order))
+        accepted = accepted.union(state.filter(F.col("state") == ACCEPTED).select(order))
+        still_open = state.filter(F.col("state") == OPEN).drop("state")
+    return accepted

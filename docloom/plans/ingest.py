@@ -14,6 +14,7 @@ from docloom.operators.events import fresh_events, topic_for
 from docloom.operators.metrics import failure_rollup, outcome_counts
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
+from docloom.session import cut_lineage
 from docloom.sources.objects import missing_objects, orphan_objects
 
 ISO = "2024-01-16T00:00:00+00:00"
@@ -56,14 +57,17 @@ def submit_defaults_keys(spark, sf):
     WHERE CAST(p.document_id AS BIGINT) NOT IN (SELECT doc_id FROM labels)""")
 def submit_conflicts(spark, sf):
     """Labelled documents are submitted first; the rest then meet them and one another."""
-    screened, tenants = v.prepared(spark, sf), v.tenants(spark, sf)
+    screened, tenants = cut_lineage(v.prepared(spark, sf)), v.tenants(spark, sf)
     labelled = v.table(spark, sf, "labels").select(F.col("doc_id").alias("seq"))
     first = screened.join(labelled, "seq", "left_semi")
     second = screened.join(labelled, "seq", "left_anti")
-    none = sub.fan_out(screened.filter(F.lit(False)), v.AS_OF)
-    held = sub.decide(first, tenants, none[0], none[1]).filter(F.col("status_code") == sub.CREATED)
-    documents, versions, _ = sub.fan_out(held, v.AS_OF)
-    return sub.decide(second, tenants, documents, versions).select("document_id", "status_code")
+    no_documents = spark.createDataFrame([], schemas.TABLES["documents"])
+    no_versions = spark.createDataFrame([], schemas.TABLES["document_versions"])
+    held = sub.decide(first, tenants, no_documents, no_versions) \
+        .filter(F.col("status_code") == sub.CREATED)
+    return sub.decide(
+        second, tenants, sub.document_rows(held, v.AS_OF), sub.version_rows(held, v.AS_OF),
+    ).select("document_id", "status_code")
 
 
 @query("submit_fan_out", f"""

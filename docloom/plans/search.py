@@ -202,7 +202,7 @@ def point_table(spark, sf):
     from docloom.sources.objects import write_points
 
     path = scratch(spark, "points")
-    write_points(points(spark, sf), path)
+    write_points(points(spark, sf, retrieval.term_weights), path)
     stored = spark.read.schema(
         "point_id string, embedding array<float>, weights map<string,double>, "
         "acl_principals array<string>, is_active boolean, tenant_id string").parquet(path)
@@ -216,7 +216,7 @@ def point_table(spark, sf):
 # Search -----------------------------------------------------------------------------------------
 
 
-def points(spark, sf):
+def points(spark, sf, weigh=retrieval.terms):
     """Documents that have a vector, with their terms and access lists."""
     vectors = v.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), "embedding")
@@ -226,7 +226,7 @@ def points(spark, sf):
         .withColumnRenamed("document_id", "point_id")
     return texts.join(vectors, "doc_id").select(
         F.col("doc_id").cast("string").alias("point_id"), "tenant_id", "embedding",
-        retrieval.term_weights("text").alias("weights"), F.lit(True).alias("is_active"),
+        weigh("text").alias("weights"), F.lit(True).alias("is_active"),
     ).join(lists, ["tenant_id", "point_id"], "left")
 
 
@@ -243,7 +243,7 @@ def centroids(spark, sf):
 
 def term_queries(spark, sf):
     return v.table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), retrieval.term_weights("text").alias("weights"))
+        F.col("item_id").alias("query_id"), retrieval.terms("text").alias("weights"))
 
 
 def hybrid_queries(spark, sf):
@@ -322,7 +322,7 @@ def sparse_topk(spark, sf):
     pieces = chunking.text_chunks(versions_with_text(spark, sf), MAX_TOKENS, OVERLAP)
     chunk_id = derived_id("tenant_id", "document_version_id", "chunk_index", F.lit(STRATEGY))
     bodies = pieces.select(derived_id(F.lit("point"), chunk_id).alias("point_id"),
-                           retrieval.term_weights("chunk_text").alias("weights"))
+                           retrieval.terms("chunk_text").alias("weights"))
     return _out(retrieval.sparse_topk(bodies, term_queries(spark, sf), TOP))
 
 

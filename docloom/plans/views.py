@@ -15,6 +15,7 @@ from docloom.functions.columns import derived_id, sha256
 from docloom.operators import submission as sub
 from docloom.operators.tables import conform
 from docloom.plans.registry import uuid_sql
+from docloom.session import spread
 
 BUCKET = "sources"
 ARTIFACTS = "artifacts"
@@ -44,8 +45,13 @@ _TYPES = {
 }
 
 
+# Text-heavy tables and the key to spread them by.
+_HEAVY = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.schema(_TYPES[name]).parquet(f"{sf}/{name}.parquet")
+    df = spark.read.schema(_TYPES[name]).parquet(f"{sf}/{name}.parquet")
+    return spread(df, _HEAVY[name]) if name in _HEAVY else df
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -54,26 +60,18 @@ def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def submissions(spark: SparkSession, sf: str) -> DataFrame:
-    d = F.col("doc_id")
-    text = d.cast("string")
-    return table(spark, sf, "documents").select(
-        d.alias("seq"),
-        F.col("source").alias("tenant_id"),
-        text.alias("document_id"),
-        F.when(d % 31 == 0, F.lit("")).when(d % 9 == 0, F.concat("lang", F.lit("/"), text, F.lit(".pdf")))
-        .otherwise(F.concat(text, F.lit(".pdf"))).alias("filename"),
-        F.when(d % 3 == 0, F.concat(F.lit("Title "), text)).when(d % 3 == 1, F.lit(""))
-        .alias("title"),
-        F.when(d % 10 == 0, F.lit(None)).when(d % 10 == 1, F.lit(""))
-        .otherwise(F.concat(F.lit("ext-"), (d % 200).cast("string"))).alias("source_external_id"),
-        F.when(d % 7 == 0, F.lit("")).when(d % 7 == 1, F.lit(None))
-        .when(d % 7 == 2, F.lit("text/html")).otherwise(F.lit("application/pdf"))
-        .alias("mime_type"),
-        F.when(F.col("lang") != "en", F.col("lang")).alias("classification"),
-        F.col("n_chars").alias("declared_bytes"),
-        F.when(d % 19 == 0, F.col("text")).otherwise(F.concat(F.lit("%PDF-1.7\n"), F.col("text")))
-        .alias("content"),
-    )
+    return table(spark, sf, "documents").selectExpr(
+        "doc_id AS seq", "source AS tenant_id", "CAST(doc_id AS STRING) AS document_id",
+        "CASE WHEN doc_id % 31 = 0 THEN '' WHEN doc_id % 9 = 0 THEN concat(lang, '/', doc_id, '.pdf')"
+        " ELSE concat(doc_id, '.pdf') END AS filename",
+        "CASE doc_id % 3 WHEN 0 THEN concat('Title ', doc_id) WHEN 1 THEN '' END AS title",
+        "CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('ext-', doc_id % 200) END"
+        " AS source_external_id",
+        "CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'text/html'"
+        " ELSE 'application/pdf' END AS mime_type",
+        "CASE WHEN lang <> 'en' THEN lang END AS classification",
+        "n_chars AS declared_bytes",
+        "CASE WHEN doc_id % 19 = 0 THEN text ELSE concat('%PDF-1.7\\n', text) END AS content")
 
 
 def prepared(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,16 +88,14 @@ def tenants(spark: SparkSession, sf: str) -> DataFrame:
 def stored_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Version 1 of every submission that names a file (also of those later found too large)."""
     rows = prepared(spark, sf).filter("filename <> ''")
-    _, versions, _ = sub.fan_out(rows, AS_OF)
-    return versions.withColumn(
+    return sub.version_rows(rows, AS_OF).withColumn(
         "deleted_at",
         F.when(F.col("document_id").cast("bigint") % 23 == 0, F.lit(AS_OF).cast("timestamp")))
 
 
 def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     rows = prepared(spark, sf).filter("filename <> ''")
-    documents, _, _ = sub.fan_out(rows, AS_OF)
-    return documents.withColumn(
+    return sub.document_rows(rows, AS_OF).withColumn(
         "deleted_at",
         F.when(F.col("id").cast("bigint") % 23 == 0, F.lit(AS_OF).cast("timestamp")))
 
@@ -123,16 +119,15 @@ def submitted(spark: SparkSession, sf: str) -> DataFrame:
     copies = F.when(d % 5 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return rows.select(
         F.explode(copies).alias("copy"), "seq", "tenant_id", "document_id", "source_object_uri",
-    ).select(
-        "tenant_id", "document_id",
         derived_id(F.lit("submitted"), "seq").alias("event_id"),
-        F.when(d % 17 == 0, F.lit("DocumentTouched")).otherwise(F.lit("DocumentSubmitted"))
-        .alias("event_type"),
         derived_id(F.lit("chain"), "seq").alias("correlation_id"),
-        F.when(d % 37 == 0, F.concat(F.lit("https://elsewhere/"), "document_id"))
-        .otherwise(F.col("source_object_uri")).alias("payload_uri"),
-        (d * 2 + F.col("copy")).alias("event_offset"),
-    )
+    ).selectExpr(
+        "tenant_id", "document_id", "event_id",
+        "IF(seq % 17 = 0, 'DocumentTouched', 'DocumentSubmitted') AS event_type",
+        "correlation_id",
+        "IF(seq % 37 = 0, concat('https://elsewhere/', document_id), source_object_uri)"
+        " AS payload_uri",
+        "seq * 2 + copy AS event_offset")
 
 
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,11 +157,7 @@ STAGE_OF = {
 
 
 def choose(column: str, mapping: dict[str, str]):
-    items = list(mapping.items())
-    out = F.when(F.col(column) == items[0][0], F.lit(items[0][1]))
-    for key, value in items[1:]:
-        out = out.when(F.col(column) == key, F.lit(value))
-    return out
+    return F.expr(choose_sql(column, mapping))
 
 
 def choose_sql(column: str, mapping: dict[str, str]) -> str:
@@ -174,37 +165,27 @@ def choose_sql(column: str, mapping: dict[str, str]) -> str:
 
 
 def stage_events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
-        F.col("event_id").cast("string").alias("event_id"), F.col("event_id").alias("number"),
-        F.col("ts").cast("timestamp").alias("occurred_at"),
-        F.col("user_id").cast("string").alias("tenant_id"),
-        choose("event_type", STAGE_OF).alias("stage"), "event_type", "value", "props",
-        (F.col("event_id") % 10).cast("int").alias("attempt"))
+    return table(spark, sf, "events").selectExpr(
+        "CAST(event_id AS STRING) AS event_id", "event_id AS number",
+        "CAST(ts AS TIMESTAMP) AS occurred_at", "CAST(user_id AS STRING) AS tenant_id",
+        f"{choose_sql('event_type', STAGE_OF)} AS stage", "event_type", "value", "props",
+        "CAST(event_id % 10 AS INT) AS attempt")
 
 
 def outbox(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.col("number")
-    rows = stage_events(spark, sf).select(
-        F.col("event_id").alias("id"), "tenant_id", "event_id",
-        F.lit("document").alias("aggregate_type"),
-        F.concat(F.lit("doc-"), "tenant_id").alias("aggregate_id"),
-        "event_type",
-        F.concat(F.lit("log."), "stage").alias("kafka_topic"),
-        F.when(n % 3 == 0, F.lit("")).otherwise(F.lit(schemas.EVENT_NAMESPACE))
-        .alias("event_contract_namespace"),
-        choose("event_type", CONTRACT_OF).alias("event_schema_name"),
-        F.concat(F.lit('{"schema_version":"1.0.0","props":'), "props", F.lit("}"))
-        .alias("payload"),
-        F.concat(F.lit('{"event_type":"'), "event_type", F.lit('"}')).alias("headers"),
-        F.element_at(F.array(*[F.lit(s) for s in schemas.OUTBOX_STATUS]), (n % 4 + 1).cast("int"))
-        .alias("status"),
-        F.col("attempt").alias("attempt_count"),
-        F.col("occurred_at").alias("available_at"),
-        F.when(n % 4 == 1, F.col("occurred_at")).alias("locked_at"),
-        F.when(n % 8 == 1, F.lit("worker-a")).when(n % 8 == 5, F.lit("worker-b"))
-        .alias("locked_by"),
-        F.col("occurred_at").alias("created_at"),
-    )
+    rows = stage_events(spark, sf).selectExpr(
+        "event_id AS id", "tenant_id", "event_id", "'document' AS aggregate_type",
+        "concat('doc-', tenant_id) AS aggregate_id", "event_type",
+        "concat('log.', stage) AS kafka_topic",
+        f"IF(number % 3 = 0, '', '{schemas.EVENT_NAMESPACE}') AS event_contract_namespace",
+        f"{choose_sql('event_type', CONTRACT_OF)} AS event_schema_name",
+        """concat('{"schema_version":"1.0.0","props":', props, '}') AS payload""",
+        """concat('{"event_type":"', event_type, '"}') AS headers""",
+        f"element_at(array{schemas.OUTBOX_STATUS}, CAST(number % 4 + 1 AS INT)) AS status",
+        "attempt AS attempt_count", "occurred_at AS available_at",
+        "IF(number % 4 = 1, occurred_at, NULL) AS locked_at",
+        "CASE number % 8 WHEN 1 THEN 'worker-a' WHEN 5 THEN 'worker-b' END AS locked_by",
+        "occurred_at AS created_at")
     return conform(rows, schemas.TABLES["ingestion_outbox"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docloom.functions.columns import col
+from docloom.functions.columns import col, stripped
 
 # The patterns stay inside the syntax that Java and RE2 share.
 HIDDEN_BLOCKS = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>"
@@ -100,7 +100,7 @@ def detected_type(content: str | Column) -> Column:
     for folder, kind in OFFICE_FOLDERS:
         out = out.when(starts(ZIP) & F.contains(data, F.lit(folder)), F.lit(kind))
     out = out.when(starts(ZIP), F.lit("application/zip"))
-    head = F.lower(F.ltrim(F.substring(data, 1, 256).cast("string")))
+    head = F.lower(stripped(F.substring(data, 1, 256).cast("string")))
     out = out.when(head.startswith("<!doctype html") | head.startswith("<html"),
                    F.lit("text/html"))
     mail = F.substring(data, 1, 256).cast("string").rlike(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docloom import schemas
 from docloom.operators import fetching as fetch
 from docloom.operators import submission as sub
+from docloom.session import cut_lineage
 from tests.test_submission import AS_OF, DDL, row
 
 LIMIT = 40
@@ -29,6 +30,8 @@ def world(spark, rows):
             spark.createDataFrame([], schemas.TABLES["documents"]),
             spark.createDataFrame([], schemas.TABLES["document_versions"]),
             bucket="src", as_of=AS_OF)
+        made = made._replace(documents=cut_lineage(made.documents),
+                             versions=cut_lineage(made.versions))
         objects = rows("object_uri string, content string", *[
             (uri(i), stored.get(i, c)) for i, c in contents.items()
             if stored.get(i, c) is not None])
@@ -37,7 +40,7 @@ def world(spark, rows):
             return fetch.fetch_stage(
                 rows(EVENT_DDL, *events), objects, versions or made.versions, made.documents,
                 ledger or spark.createDataFrame([], schemas.TABLES["processed_events"]),
-                bucket="src", as_of=AS_OF, max_bytes=LIMIT, **kw)
+                bucket="src", as_of=AS_OF, max_bytes=LIMIT, store=cut_lineage, **kw)
 
         return made, run
 

@@ -86,6 +86,7 @@ class TableStore:
         """Added rows with the latest change per column laid over them.
 
         A change row carries ``applied_at`` and ``event_offset``; later ones win column by column.
+        At the same instant the later stage wins.
         """
         ddl = schemas.TABLES[table]
         rows = self.added(table, skip)
@@ -95,8 +96,10 @@ class TableStore:
             table, "changed", f"{ddl}, applied_at timestamp, event_offset bigint", skip)
         columns = [c for c in table_columns(table)
                    if c not in (*ROW_KEY, "created_at", "updated_at", "deleted_at")]
+        order = F.array(*[F.lit(name) for name in schemas.STAGES])
+        stage = F.array_position(order, F.col("stage"))
         latest = last_per_key(
-            changes.withColumn("_at", F.struct("applied_at", "event_offset"))
+            changes.withColumn("_at", F.struct("applied_at", stage, "event_offset"))
             .drop("updated_at").withColumnRenamed("applied_at", "updated_at"),
             ROW_KEY, "_at", columns + ["updated_at"])
         return upsert(rows, latest, ROW_KEY).select(*table_columns(table))

@@ -31,45 +31,46 @@ class Extraction(NamedTuple):
     artifacts: DataFrame
 
 
-def convert(objects: DataFrame, factory: Callable[[], Converter]) -> DataFrame:
-    """Run a per-document converter over (object_uri, content).
+FACTS = ("object_uri", "source_bytes", "source_code", "source_sha256")
 
-    The factory runs once per partition, so models load once there; batches arrive through Arrow.
-    A converter that raises gives ``conversion_failed`` for that document only.
+
+def convert(
+    objects: DataFrame, factory: Callable[[], Converter],
+    max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
+) -> DataFrame:
+    """Facts and converted form of every (object_uri, content), in one pass over the content.
+
+    Size, size code and digest are columns; only content inside the limits goes on to the
+    converter, through Arrow batches. The factory runs once per partition, so models load once
+    there. A converter that raises gives ``conversion_failed`` for that document only.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         converter = factory()
         for batch in batches:
-            rows = []
+            made = []
             for content in batch["content"]:
+                if content is None:
+                    made.append((None, None, None))
+                    continue
                 try:
-                    rows.append(converter(bytes(content)))
+                    made.append(converter(bytes(content)))
                 except Exception:
-                    rows.append((None, None, "conversion_failed"))
-            out = pd.DataFrame(rows, columns=["document", "markdown", "conversion_error"])
-            out.insert(0, "object_uri", batch["object_uri"].values)
-            yield out
-
-    narrow = objects.select("object_uri", F.col("content").cast("binary").alias("content"))
-    return narrow.mapInPandas(
-        run, "object_uri string, document string, markdown string, conversion_error string")
-
-
-def bounded(objects: DataFrame, max_bytes: int = schemas.EXTRACT_LIMIT_BYTES) -> DataFrame:
-    """Objects a converter may see: not empty, not over the limit."""
-    size = F.octet_length("content")
-    return objects.filter((size > 0) & (size <= max_bytes))
-
-
-def source_facts(objects: DataFrame, max_bytes: int) -> DataFrame:
-    """Narrow facts of every source object; content stays behind."""
-    size = F.octet_length("content").cast("bigint")
-    return objects.select(
+                    made.append((None, None, "conversion_failed"))
+            out = pd.DataFrame(made, columns=["document", "markdown", "conversion_error"],
+                               index=batch.index)
+            yield pd.concat([batch[list(FACTS)], out], axis=1)
+
+    content = F.col("content").cast("binary")
+    size = F.octet_length(content).cast("bigint")
+    bounded = objects.select(
         "object_uri", size.alias("source_bytes"),
         first_code((size > max_bytes, "source_too_large"), (size == 0, "empty_source"))
         .alias("source_code"),
-        sha256("content").alias("source_sha256"),
-    )
+        sha256(content).alias("source_sha256"), content.alias("content"),
+    ).withColumn("content", F.when(F.col("source_code").isNull(), F.col("content")))
+    return bounded.mapInPandas(
+        run, "object_uri string, source_bytes bigint, source_code string, source_sha256 string, "
+             "document string, markdown string, conversion_error string")
 
 
 def with_empty_objects(objects: DataFrame, versions: DataFrame) -> DataFrame:
@@ -144,7 +145,6 @@ def manifest_json(extractor: str, extractor_version: str):
 
 def extract_verdicts(
     events: DataFrame,
-    facts: DataFrame,
     normalized: DataFrame,
     versions: DataFrame,
     ledger: DataFrame,
@@ -155,7 +155,7 @@ def extract_verdicts(
 ) -> DataFrame:
     """One row per fresh event with ``code`` (null when extracted) and ``quarantine``.
 
-    All inputs of the joins are narrow: of ``normalized`` only counts are read.
+    All inputs of the joins are narrow: of ``normalized`` only facts and counts are read.
     """
     fresh = fresh_events(events, ledger, schemas.EXTRACTOR) \
         .withColumnRenamed("event_id", "parent_event_id") \
@@ -165,15 +165,14 @@ def extract_verdicts(
         (~(F.col("inspection_status").eqNullSafe(F.lit("valid"))
            & F.col("detected_mime_type").eqNullSafe(F.lit(mime))), "unsupported_source"),
     )
-    sources = facts.withColumnRenamed("object_uri", "payload_uri")
-    counts = normalized.select(
-        F.col("object_uri").alias("payload_uri"), F.lit(True).alias("is_converted"),
-        "conversion_error", "text_characters", "table_count", "figure_count")
+    sources = normalized.select(
+        F.col("object_uri").alias("payload_uri"), *FACTS[1:], "conversion_error",
+        "text_characters", "table_count", "figure_count")
     current = live(versions).select(
         "tenant_id", "document_id", F.col("id").alias("event_version_id"), "content_sha256",
         F.lit(True).alias("is_current"))
     joined = fresh.withColumn("gate", gate) \
-        .join(sources, "payload_uri", "left").join(counts, "payload_uri", "left") \
+        .join(sources, "payload_uri", "left") \
         .join(current, ["tenant_id", "document_id", "event_version_id", "content_sha256"], "left")
     code = F.coalesce(
         F.col("gate"),
@@ -189,8 +188,6 @@ def extract_verdicts(
         (F.col("gate").isNull() & object_key("payload_uri", bucket).isNull(),
          "invalid_source_uri"),
         (F.col("gate").isNull() & F.col("source_bytes").isNull(), "missing_object"),
-        (F.col("gate").isNull() & F.col("source_code").isNull()
-         & F.col("is_converted").isNull(), "not_converted"),
     )
 
     def uri(name: str):
@@ -222,7 +219,9 @@ def artifacts(
     ).select("tenant_id", "payload_uri", "content_sha256", "source_bytes",
              "normalized_artifact_uri", "manifest_uri") \
         .dropDuplicates(["normalized_artifact_uri"])
-    bodies = kept.join(normalized.withColumnRenamed("object_uri", "payload_uri"), "payload_uri")
+    trees = normalized.select(F.col("object_uri").alias("payload_uri"), "markdown", "tree",
+                              "figures", "text_characters", "table_count", "figure_count")
+    bodies = kept.join(trees, "payload_uri")
     pair = F.array(
         F.struct(F.col("normalized_artifact_uri").alias("object_uri"),
                  normalized_json(fmt).alias("body")),
@@ -309,17 +308,17 @@ def extract_stage(
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Extraction:
-    """Only objects that a fresh event names are converted, each once.
+    """Only objects that an event names are read, each once.
 
     ``store`` materializes the converted documents and the verdicts, both of which several
     outputs read.
     """
     wanted = events.select(F.col("payload_uri").alias("object_uri")).distinct()
     named = objects.join(wanted, "object_uri", "left_semi")
-    normalized = normalize(store(convert(bounded(named, max_bytes), factory)))
+    normalized = normalize(store(convert(named, factory, max_bytes)))
     verdicts = store(extract_verdicts(
-        events, source_facts(named, max_bytes), normalized, versions, ledger,
-        bucket=bucket, artifact_bucket=artifact_bucket, mime=mime))
+        events, normalized, versions, ledger, bucket=bucket, artifact_bucket=artifact_bucket,
+        mime=mime))
     return Extraction(
         extract_outputs(verdicts, versions, documents, as_of=as_of, extractor=extractor,
                         extractor_version=extractor_version),

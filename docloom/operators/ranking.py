@@ -1,34 +1,44 @@
 """Order-based work inside groups that may be very large.
 
-A window over a group puts the whole group into one task. Here the rows are first cut into range
-blocks of (group, order), so a group with a third of all rows spans many blocks; each block is
-worked on by itself and one row per (group, block) carries what the next block must know.
+A window over a group puts the whole group into one task. Groups of ordinary size stay that way;
+a group of more than ``HOT_ROWS`` rows is cut into blocks of the ordering column. Each block is
+worked on by itself, and one row per (group, block) carries what the next block must know.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
 BLOCK = "_block"
 
 
-def in_blocks(df: DataFrame, order_block) -> DataFrame:
-    """Tag every row with its block: a coarse, order-preserving value of the ordering column."""
-    return df.withColumn(BLOCK, order_block)
+def in_blocks(df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int) -> DataFrame:
+    """Tag every row with its block; the rows of an ordinary group share block 0.
+
+    Group sizes come from a partial aggregate and only the large groups are joined back.
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    return df.join(hot, list(keys), "left") \
+        .withColumn(BLOCK, F.when(F.col("_hot"), block).otherwise(F.lit(0)).cast("bigint")) \
+        .drop("_hot")
 
 
 def ranked_in_blocks(
-    df: DataFrame, keys: Sequence[str], order: str, name: str, width: int = 1 << 20
+    df: DataFrame, keys: Sequence[str], order: str, name: str, width: int = 1 << 20,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """1-based position of each row in its group by a numeric ``order`` without ties.
+    """1-based position of each row in its group by an integer ``order`` without ties.
 
     Equal to ``row_number()`` over the group. Rows are numbered inside blocks of ``width`` order
-    values; the start of a block is the running count of the blocks before it.
+    values, which hold at most ``width`` rows; a block starts at the running count of the blocks
+    before it.
     """
-    blocked = in_blocks(df, F.floor(F.col(order) / F.lit(width)))
+    blocked = in_blocks(df, keys, F.floor(F.col(order) / F.lit(width)), hot_rows)
     local = Window.partitionBy(*keys, BLOCK).orderBy(order)
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocked.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n")) \
@@ -41,14 +51,15 @@ def ranked_in_blocks(
 
 def previous_in_blocks(
     df: DataFrame, keys: Sequence[str], at: str, tie: str, value: str, name: str,
-    block: str = "day",
+    block_seconds: int = 60, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``lag(value)`` over the group ordered by (``at``, ``tie``), block by block.
+    """``lag(value)`` over the group ordered by (``at``, ``tie``).
 
     Inside a block it is a plain lag. The first row of a block takes the last value of the group's
-    previous block, which comes from one aggregated row per (group, block).
+    previous block.
     """
-    blocked = in_blocks(df, F.date_trunc(block, F.col(at)))
+    blocked = in_blocks(
+        df, keys, F.floor(F.unix_micros(F.col(at)) / F.lit(block_seconds * 1_000_000)), hot_rows)
     local = Window.partitionBy(*keys, BLOCK).orderBy(at, tie)
     order = Window.partitionBy(*keys).orderBy(BLOCK)
     ends = blocked.groupBy(*keys, BLOCK) \

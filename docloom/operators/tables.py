@@ -96,9 +96,8 @@ def latest_versions(versions: DataFrame) -> DataFrame:
 def number_versions(incoming: DataFrame, versions: DataFrame, order: str) -> DataFrame:
     """Give each incoming version the next number of its document.
 
-    Numbers within a document follow ``order``. The position of a row is the count of its time
-    block's predecessors plus its place inside the block, so one busy document is not sorted in a
-    single task: see ``ranked_in_blocks``.
+    Numbers within a document follow ``order``, a unique integer. One busy document is not sorted
+    in a single task: see ``ranked_in_blocks``.
     """
     from docloom.operators.ranking import ranked_in_blocks
 

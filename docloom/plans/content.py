@@ -13,6 +13,7 @@ from docloom.operators import extraction as ext
 from docloom.operators.metrics import outcome_counts, quality_by_tenant
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
+from docloom.session import cut_lineage
 from docloom.functions.markup import COMMENTS, HIDDEN_BLOCKS, SPACES, TAGS
 
 EXTRACT_LIMIT = 20_000
@@ -200,21 +201,19 @@ FETCHED_SQL = f"""
 
 
 def _converted(spark, sf):
-    objects = v.objects(spark, sf)
-    return ext.normalize(ext.convert(ext.bounded(objects, EXTRACT_LIMIT), text_converter)), objects
+    return ext.normalize(ext.convert(v.objects(spark, sf), text_converter, EXTRACT_LIMIT))
 
 
-def verdicts(spark, sf):
-    normalized, objects = _converted(spark, sf)
+def verdicts(spark, sf, normalized=None):
     empty = spark.createDataFrame([], schemas.TABLES["processed_events"])
     return ext.extract_verdicts(
-        fetched_events(spark, sf), ext.source_facts(objects, EXTRACT_LIMIT), normalized,
+        fetched_events(spark, sf), normalized or _converted(spark, sf),
         v.stored_versions(spark, sf), empty, bucket=v.BUCKET, artifact_bucket=v.ARTIFACTS)
 
 
 def extracted(spark, sf):
     return ext.extract_outputs(
-        verdicts(spark, sf), v.stored_versions(spark, sf), v.stored_documents(spark, sf),
+        cut_lineage(verdicts(spark, sf)), v.stored_versions(spark, sf), v.stored_documents(spark, sf),
         as_of=v.AS_OF, extractor=EXTRACTOR, extractor_version=EXTRACTOR_VERSION)
 
 
@@ -298,8 +297,8 @@ def extract_outbox(spark, sf):
     FROM ({FETCHED_SQL})
     WHERE quarantine IS NULL AND (code IS NULL OR code = 'unknown_document_version')""")
 def artifact_bodies(spark, sf):
-    normalized, _ = _converted(spark, sf)
-    return ext.artifacts(verdicts(spark, sf), normalized, fmt="pdf", extractor=EXTRACTOR,
+    normalized = cut_lineage(_converted(spark, sf))
+    return ext.artifacts(verdicts(spark, sf, normalized), normalized, fmt="pdf", extractor=EXTRACTOR,
                          extractor_version=EXTRACTOR_VERSION)
 
 

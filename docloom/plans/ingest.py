@@ -195,7 +195,7 @@ def settled(spark, sf):
 
 def fetched(spark, sf):
     return fetch.fetch_outputs(
-        verdicts(spark, sf), v.stored_versions(spark, sf), v.stored_documents(spark, sf),
+        cut_lineage(verdicts(spark, sf)), v.stored_versions(spark, sf), v.stored_documents(spark, sf),
         as_of=v.AS_OF, max_bytes=v.LIMIT)
 
 

@@ -82,18 +82,26 @@ class TableStore:
             return log
         return base.unionByName(log.join(base.select(*key), key, "left_anti"))
 
-    def current(self, table: str, skip: tuple[str, int] | None = None) -> DataFrame:
+    def current(self, table: str, skip: tuple[str, int] | None = None,
+                only: DataFrame | None = None) -> DataFrame:
         """Added rows with the latest change per column laid over them.
 
+        ``only`` names the rows wanted by some of their columns. It is applied before anything is
+        shuffled: a small batch of keys prunes tenants and leaves the rest of the table unread.
+
         A change row carries ``applied_at`` and ``event_offset``; later ones win column by column.
         At the same instant the later stage wins.
         """
         ddl = schemas.TABLES[table]
         rows = self.added(table, skip)
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi").select(*table_columns(table))
         if not self._exists(f"{self.root}/{table}/changed"):
             return rows
         changes = self._log(
             table, "changed", f"{ddl}, applied_at timestamp, event_offset bigint", skip)
+        if only is not None:
+            changes = changes.join(rows.select(*ROW_KEY), list(ROW_KEY), "left_semi")
         columns = [c for c in table_columns(table)
                    if c not in (*ROW_KEY, "created_at", "updated_at", "deleted_at")]
         order = F.array(*[F.lit(name) for name in schemas.STAGES])

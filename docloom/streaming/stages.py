@@ -39,6 +39,12 @@ def _seen(store: TableStore, events: DataFrame, skip: tuple[str, int]) -> DataFr
         .join(events.select(*keys).distinct(), keys, "left_semi")
 
 
+def _touched(store: TableStore, events: DataFrame, skip: tuple[str, int]) -> DataFrame:
+    """Versions of the documents this batch is about."""
+    return store.current("document_versions", skip,
+                         events.select("tenant_id", "document_id").distinct())
+
+
 def _write(store: TableStore, result: StageResult, bad: DataFrame, stage: str, batch: int,
            as_of) -> None:
     def changes(df: DataFrame, table: str) -> DataFrame:
@@ -86,7 +92,7 @@ def start_fetch(
         wanted = events.select(F.col("payload_uri").alias("object_uri")).distinct()
         result = fetch_stage(
             events, objects.join(wanted, "object_uri", "left_semi"),
-            store.current("document_versions", skip), store.current("documents", skip),
+            _touched(store, events, skip), store.base("documents"),
             _seen(store, events, skip), bucket=bucket, as_of=as_of, signature=signature,
             max_bytes=max_bytes, permitted_mime=permitted_mime, factory=factory,
             store=cut_lineage)
@@ -120,8 +126,7 @@ def start_extract(
         events = decoded.filter(F.col(BAD_RECORD).isNull())
         skip = (schemas.EXTRACTOR, batch_id)
         done = extract_stage(
-            events, objects, store.current("document_versions", skip),
-            store.current("documents", skip), _seen(store, events, skip), factory=factory,
+            events, objects, _touched(store, events, skip), store.base("documents"), _seen(store, events, skip), factory=factory,
             bucket=bucket, artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
             extractor_version=extractor_version, max_bytes=max_bytes, store=cut_lineage)
         write_artifacts(done.artifacts, artifact_path)

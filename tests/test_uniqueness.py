@@ -61,10 +61,11 @@ def test_first_per_key_is_cut_before_the_shuffle(rows):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_ranked_in_blocks_equals_row_number(rows):
+@pytest.mark.parametrize("hot_rows", [0, 60, 10_000])
+def test_ranked_in_blocks_equals_row_number(rows, hot_rows):
     rng = random.Random(7)
     data = [(rng.choice(["hot", "hot", "a", "b"]), n) for n in rng.sample(range(1000), 200)]
-    got = ranked_in_blocks(rows("g string, o bigint", *data), ["g"], "o", "place", width=16)
+    got = ranked_in_blocks(rows("g string, o bigint", *data), ["g"], "o", "place", 16, hot_rows)
     want = {}
     for g in {g for g, _ in data}:
         for i, o in enumerate(sorted(o for x, o in data if x == g), 1):
@@ -72,13 +73,14 @@ def test_ranked_in_blocks_equals_row_number(rows):
     assert {(r.g, r.o): r.place for r in got.collect()} == want
 
 
-def test_previous_in_blocks_equals_lag(spark, rows):
+@pytest.mark.parametrize("hot_rows", [0, 60, 10_000])
+def test_previous_in_blocks_equals_lag(spark, rows, hot_rows):
     rng = random.Random(9)
     data = [(rng.choice(["hot", "hot", "a"]), f"e{i:03}", rng.randrange(0, 5 * 86400, 997))
             for i in range(150)]
     df = rows("g string, e string, s bigint", *data).selectExpr(
         "g", "e", "timestamp_seconds(s) AS at")
-    got = previous_in_blocks(df, ["g"], "at", "e", "at", "before")
+    got = previous_in_blocks(df, ["g"], "at", "e", "at", "before", 3600, hot_rows)
     df.createOrReplaceTempView("lag_input")
     want = spark.sql("SELECT g, e, lag(at) OVER (PARTITION BY g ORDER BY at, e) AS before "
                      "FROM lag_input")

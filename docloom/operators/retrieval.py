@@ -55,6 +55,15 @@ def point_payload(
     )
 
 
+def point_rows(payload: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Points ready to store: payload with both vectors (point_id, embedding, weights).
+
+    The index is a projection: running the payload join and this again over the tables rebuilds
+    it. Chunks without vectors are left for a later run; ``lineage_gaps`` counts them.
+    """
+    return payload.join(vectors.select("point_id", "embedding", "weights"), "point_id")
+
+
 def terms(text: str | Column) -> Column:
     """Lower-case letter-and-digit terms of a text, repeats kept."""
     return F.filter(F.split(F.lower(text), LEXICAL_BREAK), lambda t: t != "")

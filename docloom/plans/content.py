@@ -13,7 +13,7 @@ from docloom.operators import extraction as ext
 from docloom.operators.metrics import outcome_counts, quality_by_tenant
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
-from docloom.session import cut_lineage
+from docloom.session import cut_lineage, spread
 from docloom.functions.markup import COMMENTS, HIDDEN_BLOCKS, SPACES, TAGS
 
 EXTRACT_LIMIT = 20_000
@@ -45,7 +45,7 @@ def page_tree(page):
 
 def converted_pages(spark, sf):
     """Pages through the column converter: no Python for the text itself."""
-    return page_tree(v.table(spark, sf, "pages")).select(
+    return page_tree(v.text_table(spark, sf, "pages")).select(
         "page_id", "url", F.col("page_id").cast("string").alias("object_uri"),
         "document", html_text("html").alias("markdown"),
         F.lit(None).cast("string").alias("conversion_error"),
@@ -77,7 +77,7 @@ PAGE_SQL = f"""
     SELECT page_id, '{{"page_id":' || page_id || ',"pictures":' || pictures || ',"tables":'
       || tables || '}}' AS document FROM ({PAGE_SQL})""")
 def strip_binary_query(spark, sf):
-    trees = page_tree(v.table(spark, sf, "pages"))
+    trees = page_tree(v.text_table(spark, sf, "pages"))
     return trees.select("page_id", F.to_json(F.parse_json(strip_binary("document")))
                         .alias("document"))
 
@@ -88,7 +88,7 @@ def strip_binary_query(spark, sf):
     FROM (SELECT page_id, unnest(links) AS link, generate_subscripts(links, 1) AS i
           FROM (SELECT page_id, """ + _LINKS + """ AS links FROM pages))""")
 def figure_evidence_query(spark, sf):
-    trees = page_tree(v.table(spark, sf, "pages"))
+    trees = page_tree(v.text_table(spark, sf, "pages"))
     found = trees.select("page_id", F.inline(
         figure_evidence(F.parse_json(strip_binary("document")))))
     return found.select("page_id", "figure_index", "self_ref",
@@ -201,7 +201,8 @@ FETCHED_SQL = f"""
 
 
 def _converted(spark, sf):
-    return ext.normalize(ext.convert(v.objects(spark, sf), text_converter, EXTRACT_LIMIT))
+    return ext.normalize(ext.convert(
+        spread(v.objects(spark, sf), "object_uri"), text_converter, EXTRACT_LIMIT))
 
 
 def verdicts(spark, sf, normalized=None):
@@ -338,5 +339,5 @@ def review_labels(spark, sf):
     FROM documents""")
 def text_lengths(spark, sf):
     size = F.length(stripped("text")).cast("bigint")
-    return v.table(spark, sf, "documents").select(
+    return v.text_table(spark, sf, "documents").select(
         "doc_id", size.alias("text_characters"), (size == 0).alias("empty_text"))

@@ -156,7 +156,7 @@ def type_route(spark, sf):
     f"CAST(len(regexp_extract_all(text, '{p}')) AS BIGINT) AS {k}" for k, p in SENSITIVE.items())
     + " FROM documents")
 def sensitive_flags(spark, sf):
-    return v.table(spark, sf, "documents").select("doc_id", *sensitive_counts("text"))
+    return v.text_table(spark, sf, "documents").select("doc_id", *sensitive_counts("text"))
 
 
 @query("dedup_ledger", "SELECT tenant_id, event_id, event_offset FROM v_fresh")

@@ -18,7 +18,7 @@ TOP, PREFETCH = 5, 50
 
 def versions_with_text(spark, sf):
     """Every document as version 1 of itself, whole text."""
-    return v.table(spark, sf, "documents").select(
+    return v.text_table(spark, sf, "documents").select(
         F.col("source").alias("tenant_id"), F.col("doc_id").cast("string").alias("document_id"),
         derived_id("source", "doc_id", F.lit("version"), F.lit(1)).alias("document_version_id"),
         "text")
@@ -190,25 +190,38 @@ def duplicate_effects(spark, sf):
     })
 
 
-@query("point_table", f"""
-    SELECT CAST(doc_id AS VARCHAR) AS point_id, source AS tenant_id, CAST(len(e.embedding) AS BIGINT)
-      AS dimensions, COUNT(DISTINCT term) AS terms, COUNT(*) AS term_weight
-    FROM (SELECT doc_id, source, unnest(list_filter(string_split_regex(lower(text),
-            '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS term FROM documents) t
-    JOIN embeddings e ON e.vec_id = t.doc_id GROUP BY ALL""")
-def point_table(spark, sf):
-    """Write points with both vectors, one folder per tenant, and read them back."""
+@query("index_rebuild", f"""
+    SELECT p.point_id, p.tenant_id, p.acl_principals, CAST(len(e.embedding) AS BIGINT)
+        AS dimensions, COUNT(DISTINCT term) AS terms, COUNT(*) AS term_weight
+    FROM ({PAYLOAD_SQL}) p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.document_id
+    JOIN (SELECT point_id, unnest(list_filter(string_split_regex(lower(chunk_text),
+            '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS term FROM ({CHUNKS_SQL})) t
+      ON t.point_id = p.point_id
+    GROUP BY ALL""")
+def index_rebuild(spark, sf):
+    """Rebuild the point table from the tables (a document's vector serves all its chunks), one
+    folder per tenant, and read it back."""
     from docloom.session import scratch
     from docloom.sources.objects import write_points
 
+    pieces = chunking.text_chunks(versions_with_text(spark, sf), MAX_TOKENS, OVERLAP)
+    chunk_id = derived_id("tenant_id", "document_version_id", "chunk_index", F.lit(STRATEGY))
+    weights = pieces.select(derived_id(F.lit("point"), chunk_id).alias("point_id"),
+                            retrieval.term_weights("chunk_text").alias("weights"))
+    made = payload(spark, sf)
+    dense = v.table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("document_id"), "embedding")
+    vectors = made.select("point_id", "document_id").join(dense, "document_id") \
+        .join(weights, "point_id")
     path = scratch(spark, "points")
-    write_points(points(spark, sf, retrieval.term_weights), path)
+    write_points(retrieval.point_rows(made, vectors), path)
     stored = spark.read.schema(
         "point_id string, embedding array<float>, weights map<string,double>, "
-        "acl_principals array<string>, is_active boolean, tenant_id string").parquet(path)
+        "acl_principals array<string>, tenant_id string").parquet(path)
     total = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda a, x: a + x)
     return stored.select(
-        "point_id", "tenant_id", F.size("embedding").cast("bigint").alias("dimensions"),
+        "point_id", "tenant_id", F.array_join("acl_principals", ",").alias("acl_principals"),
+        F.size("embedding").cast("bigint").alias("dimensions"),
         F.size("weights").cast("bigint").alias("terms"), total.cast("bigint").alias("term_weight")
     ).filter("terms > 0")
 
@@ -216,17 +229,17 @@ def point_table(spark, sf):
 # Search -----------------------------------------------------------------------------------------
 
 
-def points(spark, sf, weigh=retrieval.terms):
+def points(spark, sf):
     """Documents that have a vector, with their terms and access lists."""
     vectors = v.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), "embedding")
-    texts = v.table(spark, sf, "documents").select(
+    texts = v.text_table(spark, sf, "documents").select(
         "doc_id", F.col("source").alias("tenant_id"), "text")
     lists = access.acl_principals(governance.acl(spark, sf)) \
         .withColumnRenamed("document_id", "point_id")
     return texts.join(vectors, "doc_id").select(
         F.col("doc_id").cast("string").alias("point_id"), "tenant_id", "embedding",
-        weigh("text").alias("weights"), F.lit(True).alias("is_active"),
+        retrieval.terms("text").alias("weights"), F.lit(True).alias("is_active"),
     ).join(lists, ["tenant_id", "point_id"], "left")
 
 

@@ -45,13 +45,13 @@ _TYPES = {
 }
 
 
-# Text-heavy tables and the key to spread them by.
-_HEAVY = {"documents": "doc_id", "pages": "page_id"}
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.schema(_TYPES[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.schema(_TYPES[name]).parquet(f"{sf}/{name}.parquet")
-    return spread(df, _HEAVY[name]) if name in _HEAVY else df
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose texts get heavy per-row work: see ``spread``."""
+    return spread(table(spark, sf, name), {"documents": "doc_id", "pages": "page_id"}[name])
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from docloom.functions.markup import figure_evidence, list_size
 from docloom.operators.events import (
     extracted_events, extraction_rejected_events, fresh_events, ledger_rows, outbox_rows,
 )
-from docloom.operators.fetching import StageResult
+from docloom.operators.fetching import StageResult, quarantined
 from docloom.operators.tables import last_per_key, live, upsert
 
 NOT_PERFORMED = "not_performed"  # fixed value of visual_interpretation
@@ -284,9 +284,7 @@ def extract_outputs(
         outbox=outbox,
         ledger=ledger_rows(
             settled.withColumnRenamed("parent_event_id", "event_id"), schemas.EXTRACTOR, as_of),
-        quarantine=verdicts.filter("quarantine IS NOT NULL").select(
-            "tenant_id", F.col("parent_event_id").alias("event_id"), "document_id",
-            "payload_uri", F.col("quarantine").alias("reason")),
+        quarantine=quarantined(verdicts),
     )
 
 

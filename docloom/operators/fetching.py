@@ -244,6 +244,12 @@ def fetch_outbox(settled: DataFrame, as_of) -> DataFrame:
     return good.unionByName(bad)
 
 
+def quarantined(verdicts: DataFrame) -> DataFrame:
+    return verdicts.filter("quarantine IS NOT NULL").select(
+        "tenant_id", F.col("parent_event_id").alias("event_id"), "document_id", "payload_uri",
+        F.col("quarantine").alias("reason"))
+
+
 def fetch_outputs(
     verdicts: DataFrame, versions: DataFrame, documents: DataFrame, *, as_of, max_bytes: int
 ) -> StageResult:
@@ -259,9 +265,7 @@ def fetch_outputs(
         outbox=fetch_outbox(settled, as_of),
         ledger=ledger_rows(
             settled.withColumnRenamed("parent_event_id", "event_id"), schemas.FETCHER, as_of),
-        quarantine=verdicts.filter("quarantine IS NOT NULL").select(
-            "tenant_id", F.col("parent_event_id").alias("event_id"), "document_id",
-            "payload_uri", F.col("quarantine").alias("reason")),
+        quarantine=quarantined(verdicts),
     )
 
 

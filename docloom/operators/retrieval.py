@@ -26,6 +26,10 @@ SCORE_DIGITS = 9
 CELLS = 4_000_000  # cells of one lexical score block
 RRF_K = 60  # rank constant of Cormack, Clarke and Buettcher (2009)
 
+# Queries of a page to a function that scores one column of a batch: it yields (first row, score
+# matrix points x queries), NaN for no candidate.
+Scorer = Callable[[list], Callable[[pa.Array], Iterator[tuple[int, np.ndarray]]]]
+
 LEXICAL_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -86,7 +90,7 @@ def term_weights(text: str | Column) -> Column:
 
 def _pages(queries: DataFrame, columns: list[str]) -> Iterator[list]:
     """Pages of the query batch in id order, at most ``PAGE`` rows on the driver at a time."""
-    rows = queries.select("query_id", *columns).dropna()
+    rows = queries.select("query_id", *columns).dropna("all", subset=columns)
     last = None
     while True:
         rest = rows if last is None else rows.filter(F.col("query_id") > F.lit(last))
@@ -117,91 +121,84 @@ class _Best:
         self.scores, self.ids = scores[order], ids[order]
 
 
-def _search(
-    points: DataFrame, columns: list[str], page: list, k: int,
-    scorer: Callable[[list], Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]],
-) -> DataFrame:
-    """Best ``k`` per query of every task. ``scorer`` turns a batch into (row mask per query or
-    all, score matrix points x queries)."""
-    id_type = points.schema["point_id"].dataType.simpleString()
-    query_type = {int: "bigint", str: "string"}[type(page[0]["query_id"])]
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _scan(points: DataFrame, page: list, k: int, scorers: dict[str, tuple[str, Scorer]]
+          ) -> DataFrame:
+    """One pass over the points for one page: each task's best ``k`` per list and query."""
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    id_kind = _kind(points, "point_id")
+    query_kind = {int: "bigint", str: "string"}[type(page[0]["query_id"])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = scorer(page)
-        best = [_Best(k) for _ in page]
+        lists = []
+        for name, (column, make) in scorers.items():
+            asked = [row for row in page if row[column] is not None]
+            if asked:
+                lists.append((name, column, make(asked), [r["query_id"] for r in asked],
+                              [_Best(k) for _ in asked]))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = np.asarray(batch.column("point_id").to_pylist())
-            for start, matrix in score(batch):
-                part = ids[start:start + len(matrix)]
-                for q, one in enumerate(best):
-                    scores = matrix[:, q]
-                    found = ~np.isnan(scores)
-                    if found.any():
-                        one.offer(scores[found], part[found])
-        kept = [(row["query_id"], i, s) for row, one in zip(page, best) if one.ids is not None
+            for _, column, score, _, best in lists:
+                part = batch.filter(batch.column(column).is_valid())
+                if part.num_rows == 0:
+                    continue
+                ids = np.asarray(part.column("point_id").to_pylist())
+                for start, matrix in score(part.column(column)):
+                    block = ids[start:start + len(matrix)]
+                    for q, one in enumerate(best):
+                        found = ~np.isnan(matrix[:, q])
+                        if found.any():
+                            one.offer(matrix[found, q], block[found])
+        kept = [(name, query, i, s) for name, _, _, asked, best in lists
+                for query, one in zip(asked, best) if one.ids is not None
                 for i, s in zip(one.ids.tolist(), one.scores.tolist())]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "query_id": [x[0] for x in kept],
-                "point_id": [x[1] for x in kept],
-                "score": [x[2] for x in kept],
-            },
-            schema=pa.schema([
-                ("query_id", pa.int64() if query_type == "bigint" else pa.string()),
-                ("point_id", pa.int64() if id_type == "bigint" else pa.string()),
-                ("score", pa.float64()),
-            ]),
-        )
-
-    narrow = points.select("point_id", *columns).dropna()
-    return narrow.mapInArrow(
-        run, f"query_id {query_type}, point_id {id_type}, score double")
-
-
-def _top(candidates: DataFrame, k: int) -> DataFrame:
-    """Rank candidates inside each query's list and keep ``k``."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
-        .select("query_id", "point_id", "score", F.col("rank").cast("bigint").alias("rank"))
-
-
-def _all_pages(queries, columns, search_page, empty_ids) -> DataFrame:
-    parts = [search_page(page) for page in _pages(queries, columns)]
+        columns = list(zip(*kept)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.string()), pa.array(columns[1], kinds[query_kind]),
+             pa.array(columns[2], kinds[id_kind]), pa.array(columns[3], pa.float64())],
+            names=["list", "query_id", "point_id", "score"])
+
+    needed = [column for column, _ in scorers.values()]
+    return points.select("point_id", *needed).mapInArrow(
+        run, f"list string, query_id {query_kind}, point_id {id_kind}, score double")
+
+
+def _search(points: DataFrame, queries: DataFrame, k: int,
+            scorers: dict[str, tuple[str, Scorer]]) -> DataFrame:
+    """(list, query_id, point_id, score, rank): the best ``k`` per list and query."""
+    columns = [column for column, _ in scorers.values()]
+    parts = [_scan(points, page, k, scorers) for page in _pages(queries, columns)]
     if not parts:
-        spark = queries.sparkSession
-        kind = queries.schema["query_id"].dataType.simpleString()
-        return spark.createDataFrame([], f"query_id {kind}, point_id {empty_ids}, score double")
-    return reduce(DataFrame.union, parts)
+        parts = [queries.sparkSession.createDataFrame(
+            [], f"list string, query_id {_kind(queries, 'query_id')}, "
+                f"point_id {_kind(points, 'point_id')}, score double")]
+    return _top(reduce(DataFrame.union, parts), k, ["list", "query_id"])
 
 
-def dense_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Exact cosine search: (query_id, point_id, score, rank).
+def _top(candidates: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """Rank the candidates of each list and keep ``k``."""
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "point_id")
+    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
+        .select(*keys, "point_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
-    ``points``: point_id, embedding; ``queries``: query_id, embedding. A vector of length zero has
-    no direction and scores 0.
-    """
-    def scorer(page):
-        wanted = np.asarray([row["embedding"] for row in page], dtype=np.float64)
-        norms = np.linalg.norm(wanted, axis=1, keepdims=True)
-        wanted = wanted / np.where(norms == 0, 1.0, norms)
 
-        def score(batch):
-            vectors = batch.column("embedding")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            matrix = flat.reshape(batch.num_rows, -1)
-            lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-            cosine = (matrix / np.where(lengths == 0, 1.0, lengths)) @ wanted.T
-            yield 0, np.round(cosine, SCORE_DIGITS) + 0.0
+def _cosine(asked: list):
+    """Cosine of every point vector with the asked vectors. A vector of length zero has no
+    direction and scores 0."""
+    def unit(matrix: np.ndarray) -> np.ndarray:
+        lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(lengths == 0, 1.0, lengths)
+
+    wanted = unit(np.asarray([row["embedding"] for row in asked], dtype=np.float64)).T
 
-        return score
+    def score(vectors: pa.Array):
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        cosine = unit(flat.reshape(len(vectors), -1)) @ wanted
+        yield 0, np.round(cosine, SCORE_DIGITS) + 0.0
 
-    found = _all_pages(
-        queries, ["embedding"],
-        lambda page: _search(points, ["embedding"], page, k, scorer),
-        points.schema["point_id"].dataType.simpleString())
-    return _top(found, k)
+    return score
 
 
 def _sparse_parts(weights: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray | None]:
@@ -212,71 +209,77 @@ def _sparse_parts(weights: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray |
     return offsets, weights.values, None
 
 
+def _lexical(asked: list):
+    """Sum of weight products over shared terms; NaN where no term is shared.
+
+    A block of points becomes a terms matrix over the page's vocabulary and is multiplied with the
+    page, so frequent terms cost arithmetic and not rows.
+    """
+    bags = [Counter(r["weights"]) if isinstance(r["weights"], list) else r["weights"]
+            for r in asked]
+    vocabulary = sorted({term for bag in bags for term in bag})
+    place = {term: i for i, term in enumerate(vocabulary)}
+    size = max(1, len(vocabulary))
+    wanted = np.zeros((size, len(asked)))
+    for q, bag in enumerate(bags):
+        for term, weight in bag.items():
+            wanted[place[term], q] = weight
+    shared = (wanted != 0).astype(np.float64)
+    width = max(1, CELLS // size)
+
+    def score(column: pa.Array):
+        offsets, found, weights = _sparse_parts(column)
+        places = pc.fill_null(pc.index_in(found, value_set=pa.array(vocabulary, pa.string())), -1) \
+            .to_numpy(zero_copy_only=False)
+        for start in range(0, len(column), width):
+            rows = min(width, len(column) - start)
+            low, high = offsets[start], offsets[start + rows]
+            owner = np.repeat(np.arange(rows), np.diff(offsets[start:start + rows + 1]))
+            hit = places[low:high] >= 0
+            cells = owner[hit] * size + places[low:high][hit]
+            block = np.bincount(
+                cells, None if weights is None else weights[low:high][hit], rows * size,
+            ).astype(np.float64).reshape(rows, size)
+            totals = np.round(block @ wanted, SCORE_DIGITS) + 0.0
+            touched = (block != 0).astype(np.float64) @ shared
+            yield start, np.where(touched > 0, totals, np.nan)
+
+    return score
+
+
+DENSE = {"dense": ("embedding", _cosine)}
+LEXICAL = {"sparse": ("weights", _lexical)}
+
+
+def dense_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Exact cosine search: (query_id, point_id, score, rank).
+
+    ``points``: point_id, embedding; ``queries``: query_id, embedding.
+    """
+    return _search(points, queries, k, DENSE).drop("list")
+
+
 def sparse_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Lexical search: sum of weight products over shared terms; no shared term, no candidate.
+    """Lexical search: (query_id, point_id, score, rank); no shared term, no candidate.
 
     ``points``: point_id, weights; ``queries``: query_id, weights. The weights are a map from term
-    to weight, or a list of terms in which every occurrence weighs 1. Each task turns a block of
-    points into a terms matrix over the page's vocabulary and multiplies it with the page, so
-    frequent terms cost arithmetic and not rows.
+    to weight, or a list of terms in which every occurrence weighs 1.
     """
-    def scorer(page):
-        bags = [Counter(r["weights"]) if isinstance(r["weights"], list) else r["weights"]
-                for r in page]
-        vocabulary = sorted({term for bag in bags for term in bag})
-        place = {term: i for i, term in enumerate(vocabulary)}
-        size = max(1, len(vocabulary))
-        wanted = np.zeros((size, len(page)))
-        for q, bag in enumerate(bags):
-            for term, weight in bag.items():
-                wanted[place[term], q] = weight
-        shared = (wanted != 0).astype(np.float64)
-        known = pa.array(vocabulary, pa.string())
-        width = max(1, CELLS // size)
-
-        def score(batch):
-            offsets, found, weights = _sparse_parts(batch.column("weights"))
-            places = pc.fill_null(pc.index_in(found, value_set=known), -1) \
-                .to_numpy(zero_copy_only=False)
-            for start in range(0, batch.num_rows, width):
-                rows = min(width, batch.num_rows - start)
-                low, high = offsets[start], offsets[start + rows]
-                owner = np.repeat(np.arange(rows), np.diff(offsets[start:start + rows + 1]))
-                hit = places[low:high] >= 0
-                cells = owner[hit] * size + places[low:high][hit]
-                block = np.bincount(
-                    cells, None if weights is None else weights[low:high][hit], rows * size,
-                ).astype(np.float64).reshape(rows, size)
-                totals = np.round(block @ wanted, SCORE_DIGITS) + 0.0
-                touched = (block != 0).astype(np.float64) @ shared
-                yield start, np.where(touched > 0, totals, np.nan)
-
-        return score
-
-    found = _all_pages(
-        queries, ["weights"],
-        lambda page: _search(points, ["weights"], page, k, scorer),
-        points.schema["point_id"].dataType.simpleString())
-    return _top(found, k)
-
-
-def fuse(lists: list[DataFrame], k: int, rank_constant: int = RRF_K) -> DataFrame:
-    """Reciprocal-rank fusion of ranked lists. Scores of the lists are never added: they are not
-    on one scale."""
-    ranked = reduce(DataFrame.union, [x.select("query_id", "point_id", "rank") for x in lists])
+    return _search(points, queries, k, LEXICAL).drop("list")
+
+
+def fuse(ranked: DataFrame, k: int, rank_constant: int = RRF_K) -> DataFrame:
+    """Reciprocal-rank fusion of (query_id, point_id, rank) rows of several lists. Scores of the
+    lists are never added: they are not on one scale."""
     fused = ranked.groupBy("query_id", "point_id").agg(
         F.round(F.sum(F.lit(1.0) / (F.lit(rank_constant) + F.col("rank"))), SCORE_DIGITS)
         .alias("score"))
-    return _top(fused, k)
+    return _top(fused, k, ["query_id"])
 
 
 def hybrid_topk(
     points: DataFrame, queries: DataFrame, k: int, prefetch: int, rank_constant: int = RRF_K
 ) -> DataFrame:
-    """Dense and lexical candidates under the same filter, fused by rank."""
-    return fuse(
-        [
-            dense_topk(points, queries.select("query_id", "embedding"), prefetch),
-            sparse_topk(points, queries.select("query_id", "weights"), prefetch),
-        ],
-        k, rank_constant)
+    """Dense and lexical candidates under the same filter, fused by rank. Both lists come from the
+    same pass over the points."""
+    return fuse(_search(points, queries, prefetch, {**DENSE, **LEXICAL}), k, rank_constant)

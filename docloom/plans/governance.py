@@ -159,10 +159,6 @@ def acl_manage_only(spark, sf):
 # Funnels ----------------------------------------------------------------------------------------
 
 
-def _documents_after_fetch(spark, sf):
-    return ingest.fetched(spark, sf).documents
-
-
 _STATUS = """
     WITH last_one AS (
       SELECT tenant_id, document_id, code FROM v_settled WHERE document_version_id IS NOT NULL
@@ -178,7 +174,7 @@ _STATUS = """
 @query("status_funnel", f"""{_STATUS}
     SELECT tenant_id, status, COUNT(*) AS documents FROM states GROUP BY ALL""")
 def status_funnel(spark, sf):
-    return metrics.status_funnel(_documents_after_fetch(spark, sf))
+    return metrics.status_funnel(ingest.documents_after(spark, sf))
 
 
 @query("status_matrix", f"""{_STATUS}
@@ -187,7 +183,7 @@ def status_funnel(spark, sf):
       COUNT(*) FILTER (WHERE status = 'failed') AS failed FROM states GROUP BY 1""")
 def status_matrix(spark, sf):
     return metrics.status_matrix(
-        _documents_after_fetch(spark, sf), ["submitted", "fetched", "failed"])
+        ingest.documents_after(spark, sf), ["submitted", "fetched", "failed"])
 
 
 # Audits -----------------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from docloom.operators import fetching as fetch
 from docloom.operators import submission as sub
 from docloom.operators.events import fresh_events, topic_for
 from docloom.operators.metrics import failure_rollup, outcome_counts
+from docloom.operators.tables import upsert
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
 from docloom.session import cut_lineage
@@ -193,10 +194,9 @@ def settled(spark, sf):
     return fetch.with_metadata(verdicts(spark, sf).filter("quarantine IS NULL"), v.LIMIT)
 
 
-def fetched(spark, sf):
-    return fetch.fetch_outputs(
-        cut_lineage(verdicts(spark, sf)), v.stored_versions(spark, sf), v.stored_documents(spark, sf),
-        as_of=v.AS_OF, max_bytes=v.LIMIT)
+def documents_after(spark, sf):
+    return upsert(v.stored_documents(spark, sf), fetch.document_changes(settled(spark, sf)),
+                  ["tenant_id", "id"], v.AS_OF)
 
 
 @query("fetch_verdict", """
@@ -219,7 +219,7 @@ def fetch_summary(spark, sf):
     SELECT document_id, parent_event_id AS event_id, quarantine AS reason FROM v_verdicts
     WHERE quarantine IS NOT NULL""")
 def fetch_quarantine(spark, sf):
-    return fetched(spark, sf).quarantine.select("document_id", "event_id", "reason")
+    return fetch.quarantined(verdicts(spark, sf)).select("document_id", "event_id", "reason")
 
 
 _MESSAGES = "CASE code " + " ".join(
@@ -246,7 +246,9 @@ _REJECTED = f"""'{{' || CASE code WHEN 'document_too_large' THEN '{_LIMITS}, ' E
     FROM v_versions v LEFT JOIN last_one l
       ON l.tenant_id = v.tenant_id AND l.document_version_id = v.id""")
 def fetch_state_update(spark, sf):
-    return fetched(spark, sf).versions.select(
+    changed = upsert(v.stored_versions(spark, sf), fetch.version_changes(settled(spark, sf)),
+                     ["tenant_id", "id"], v.AS_OF)
+    return changed.select(
         "id", "inspection_status",
         F.coalesce("detected_mime_type", F.lit("")).alias("detected_mime_type"),
         "inspection_metadata")
@@ -262,7 +264,7 @@ def fetch_state_update(spark, sf):
     FROM v_versions v LEFT JOIN last_one l
       ON l.tenant_id = v.tenant_id AND l.document_id = v.document_id""")
 def fetch_document_status(spark, sf):
-    return fetched(spark, sf).documents.select("id", "status")
+    return documents_after(spark, sf).select("id", "status")
 
 
 @query("fetch_failures", f"""
@@ -313,7 +315,8 @@ def _head(event_id: str, event_type: str) -> str:
       || replace(bad_meta, '"', '\\"') || '","schema_version":"1.0.0"}}'
     FROM joined WHERE code IS NOT NULL""")
 def event_route_union(spark, sf):
-    return fetch.fetch_outbox(settled(spark, sf), v.AS_OF).select(
+    # Both branches read the verdicts, which are therefore stored once.
+    return fetch.fetch_outbox(cut_lineage(settled(spark, sf)), v.AS_OF).select(
         "event_id", "kafka_topic", "aggregate_id", "payload")
 
 

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Documents may be large: a batch for Python is bounded by bytes, not only by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # Recording the Python call site of every expression doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -127,7 +127,7 @@ def topic_specs(spark: SparkSession) -> DataFrame:
 
 def missing_topics(specs: DataFrame, observed: DataFrame) -> DataFrame:
     """Declared topics that are not observed. Existing ones are left as they are."""
-    return F.broadcast(specs).join(observed.select("topic").distinct(), "topic", "left_anti")
+    return specs.join(observed.select("topic").distinct(), "topic", "left_anti")
 
 
 def retain(records: DataFrame, specs: DataFrame, as_of, ts: str = "ts") -> DataFrame:

@@ -1,8 +1,8 @@
 """Tables in a shared folder: immutable base generations plus logs of changes and additions.
 
-Every write goes to its own folder, named by the writing stage and its batch. A replayed batch
-overwrites only its own folder, so each batch takes effect once; a micro-batch never rewrites a
-large table. ``current`` lays the changes over the newest base, ``compact`` stores that as the
+Every write goes to its own folder, named by the writing stage, its run and its batch. A replayed
+batch overwrites only its own folder, so each batch takes effect once; a micro-batch never rewrites
+a large table. ``current`` lays the changes over the newest base, ``compact`` stores that as the
 next base.
 """
 
@@ -21,6 +21,20 @@ ROW_KEY = ("tenant_id", "id")
 LOG_KEYS = {"processed_events": ("tenant_id", "event_id", "consumer_name")}
 
 
+@dataclass(frozen=True)
+class Batch:
+    """One micro-batch. ``run`` tells apart queries with different checkpoints, whose batch numbers
+    both start at zero."""
+
+    stage: str
+    run: str
+    number: int
+
+    @property
+    def path(self) -> str:
+        return f"stage={self.stage}/run={self.run}/batch={self.number}"
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
@@ -58,21 +72,23 @@ class TableStore:
             .parquet(f"{self.root}/{table}/base/generation={newest}") \
             .select(*table_columns(table))
 
-    def put(self, table: str, kind: str, df: DataFrame, stage: str, batch: int) -> None:
+    def put(self, table: str, kind: str, df: DataFrame, batch: Batch) -> None:
         """Write one batch of ``added`` or ``changed`` rows, replacing an earlier try of it."""
         df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .parquet(f"{self.root}/{table}/{kind}/stage={stage}/batch={batch}")
+            .parquet(f"{self.root}/{table}/{kind}/{batch.path}")
 
-    def _log(self, table: str, kind: str, columns: str, skip: tuple[str, int] | None) -> DataFrame:
+    def _log(self, table: str, kind: str, columns: str, skip: Batch | None) -> DataFrame:
         path = f"{self.root}/{table}/{kind}"
+        ddl = f"{columns}, stage string, run string, batch bigint"
         if not self._exists(path):
-            return self.spark.createDataFrame([], f"{columns}, stage string, batch bigint")
-        rows = self.spark.read.schema(f"{columns}, stage string, batch bigint").parquet(path)
+            return self.spark.createDataFrame([], ddl)
+        rows = self.spark.read.schema(ddl).parquet(path)
         if skip is not None:
-            rows = rows.filter(~((F.col("stage") == skip[0]) & (F.col("batch") == skip[1])))
+            rows = rows.filter(~((F.col("stage") == skip.stage) & (F.col("run") == skip.run)
+                                 & (F.col("batch") == skip.number)))
         return rows
 
-    def added(self, table: str, skip: tuple[str, int] | None = None) -> DataFrame:
+    def added(self, table: str, skip: Batch | None = None) -> DataFrame:
         """Base and all added rows. ``skip`` leaves out one batch: a batch must not see itself."""
         key = list(LOG_KEYS.get(table, ROW_KEY))
         base = self.base(table)
@@ -82,7 +98,7 @@ class TableStore:
             return log
         return base.unionByName(log.join(base.select(*key), key, "left_anti"))
 
-    def current(self, table: str, skip: tuple[str, int] | None = None,
+    def current(self, table: str, skip: Batch | None = None,
                 only: DataFrame | None = None) -> DataFrame:
         """Added rows with the latest change per column laid over them.
 

@@ -7,6 +7,7 @@ parent events, so running it again leaves the same rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from docloom.operators.tables import conform
 from docloom.session import cut_lineage
 from docloom.sources.event_log import BAD_RECORD, decode, stream_log, write_log
 from docloom.sources.objects import write_artifacts
-from docloom.sources.snapshots import TableStore
+from docloom.sources.snapshots import Batch, TableStore
 
 
 def _arrivals(batch: DataFrame, contract: str) -> DataFrame:
@@ -30,7 +31,7 @@ def _arrivals(batch: DataFrame, contract: str) -> DataFrame:
     return decode(ordered, contract)
 
 
-def _seen(store: TableStore, events: DataFrame, skip: tuple[str, int]) -> DataFrame:
+def _seen(store: TableStore, events: DataFrame, skip: Batch) -> DataFrame:
     """Ledger rows of this batch's events. The ledger grows for ever and the batch does not: the
     semi join lets Spark broadcast the batch's keys after measuring them, and the ledger is
     scanned where it lies."""
@@ -39,28 +40,31 @@ def _seen(store: TableStore, events: DataFrame, skip: tuple[str, int]) -> DataFr
         .join(events.select(*keys).distinct(), keys, "left_semi")
 
 
-def _touched(store: TableStore, events: DataFrame, skip: tuple[str, int]) -> DataFrame:
+def _touched(store: TableStore, events: DataFrame, skip: Batch) -> DataFrame:
     """Versions of the documents this batch is about."""
     return store.current("document_versions", skip,
                          events.select("tenant_id", "document_id").distinct())
 
 
-def _write(store: TableStore, result: StageResult, bad: DataFrame, stage: str, batch: int,
-           as_of) -> None:
+def _write(store: TableStore, result: StageResult, bad: DataFrame, batch: Batch, as_of) -> None:
     def changes(df: DataFrame, table: str) -> DataFrame:
         return conform(df, schemas.TABLES[table]) \
             .withColumn("applied_at", F.lit(as_of).cast("timestamp")) \
-            .withColumn("event_offset", F.lit(batch).cast("bigint"))
+            .withColumn("event_offset", F.lit(batch.number).cast("bigint"))
 
     store.put("document_versions", "changed",
-              changes(result.version_changes, "document_versions"), stage, batch)
-    store.put("documents", "changed", changes(result.document_changes, "documents"), stage, batch)
+              changes(result.version_changes, "document_versions"), batch)
+    store.put("documents", "changed", changes(result.document_changes, "documents"), batch)
     if result.failures is not None:
-        store.put("ingestion_failures", "added", result.failures, stage, batch)
-    store.put("ingestion_outbox", "added", result.outbox, stage, batch)
-    store.put("quarantine", "added", result.quarantine, stage, batch)
-    store.put("bad_records", "added", bad.select(BAD_RECORD), stage, batch)
-    store.put("processed_events", "added", result.ledger, stage, batch)
+        store.put("ingestion_failures", "added", result.failures, batch)
+    store.put("ingestion_outbox", "added", result.outbox, batch)
+    store.put("quarantine", "added", result.quarantine, batch)
+    store.put("bad_records", "added", bad.select(BAD_RECORD), batch)
+    store.put("processed_events", "added", result.ledger, batch)
+
+
+def _run_of(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
 
 def _start(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str,
@@ -88,16 +92,15 @@ def start_fetch(
         as_of = clock()
         decoded = cut_lineage(_arrivals(batch, "document-submitted"))
         events = decoded.filter(F.col(BAD_RECORD).isNull())
-        skip = (schemas.FETCHER, batch_id)
+        here = Batch(schemas.FETCHER, _run_of(checkpoint), batch_id)
         wanted = events.select(F.col("payload_uri").alias("object_uri")).distinct()
         result = fetch_stage(
             events, objects.join(wanted, "object_uri", "left_semi"),
-            _touched(store, events, skip), store.base("documents"),
-            _seen(store, events, skip), bucket=bucket, as_of=as_of, signature=signature,
+            _touched(store, events, here), store.base("documents"),
+            _seen(store, events, here), bucket=bucket, as_of=as_of, signature=signature,
             max_bytes=max_bytes, permitted_mime=permitted_mime, factory=factory,
             store=cut_lineage)
-        _write(store, result, decoded.filter(F.col(BAD_RECORD).isNotNull()),
-               schemas.FETCHER, batch_id, as_of)
+        _write(store, result, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)
 
     stream = stream_log(spark, log, schemas.DOCUMENT_SUBMITTED, files_per_trigger)
     return _start(stream, run, checkpoint, schemas.FETCHER)
@@ -124,14 +127,13 @@ def start_extract(
         as_of = clock()
         decoded = cut_lineage(_arrivals(batch, "document-fetched"))
         events = decoded.filter(F.col(BAD_RECORD).isNull())
-        skip = (schemas.EXTRACTOR, batch_id)
+        here = Batch(schemas.EXTRACTOR, _run_of(checkpoint), batch_id)
         done = extract_stage(
-            events, objects, _touched(store, events, skip), store.base("documents"), _seen(store, events, skip), factory=factory,
-            bucket=bucket, artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
+            events, objects, _touched(store, events, here), store.base("documents"),
+            _seen(store, events, here), factory=factory, bucket=bucket, artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
             extractor_version=extractor_version, max_bytes=max_bytes, store=cut_lineage)
         write_artifacts(done.artifacts, artifact_path)
-        _write(store, done.stage, decoded.filter(F.col(BAD_RECORD).isNotNull()),
-               schemas.EXTRACTOR, batch_id, as_of)
+        _write(store, done.stage, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)
 
     stream = stream_log(spark, log, schemas.DOCUMENT_FETCHED, files_per_trigger)
     return _start(stream, run, checkpoint, schemas.EXTRACTOR)

@@ -85,7 +85,7 @@ def test_fusion_adds_reciprocal_ranks(rows):
     ddl = "query_id bigint, point_id string, rank bigint"
     a = rows(ddl, (1, "x", 1), (1, "y", 2))
     b = rows(ddl, (1, "y", 1), (1, "z", 2))
-    got = retrieval.fuse([a, b], 2).orderBy("rank").collect()
+    got = retrieval.fuse(a.union(b), 2).orderBy("rank").collect()
     assert [r.point_id for r in got] == ["y", "x"]
     assert got[0].score == round(1 / 62 + 1 / 61, 9) and got[1].score == round(1 / 61, 9)
 
@@ -96,3 +96,14 @@ def test_terms(rows):
     assert got == [["été", "l", "été", "x2"], []]
     weights = [r[0] for r in df.select(retrieval.term_weights("s")).collect()]
     assert weights == [{"été": 2.0, "l": 1.0, "x2": 1.0}, {}]
+
+
+def test_hybrid_reads_both_lists_in_one_pass(rows):
+    p = rows("point_id string, embedding array<double>, weights array<string>",
+             ("a", [1.0, 0.0], ["x"]), ("b", [0.0, 1.0], ["y"]), ("c", None, ["x", "x"]),
+             ("d", [0.9, 0.1], None))
+    q = rows("query_id bigint, embedding array<double>, weights array<string>",
+             (1, [1.0, 0.0], ["x"]), (2, None, ["y"]))
+    got = retrieval.hybrid_topk(p, q, 4, 3)
+    assert listed(got) == {1: ["a", "c", "d", "b"], 2: ["b"]}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1

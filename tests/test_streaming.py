@@ -86,7 +86,6 @@ def test_whole_chain_and_replay(spark, pipeline):
     ledger = added(run, "processed_events").count()
     assert (before, ledger) == (4, 4)
     run.fetch(checkpoint="c1b")
-    # The new query's batch 0 replaced the first one's folder with the same rows.
     assert sorted(r.event_id for r in added(run, "ingestion_outbox").collect()) \
         == sorted(r.event_id for r in fetched_outbox.collect())
     assert added(run, "processed_events").count() == ledger

@@ -130,7 +130,8 @@ def start_extract(
         here = Batch(schemas.EXTRACTOR, _run_of(checkpoint), batch_id)
         done = extract_stage(
             events, objects, _touched(store, events, here), store.base("documents"),
-            _seen(store, events, here), factory=factory, bucket=bucket, artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
+            _seen(store, events, here), factory=factory, bucket=bucket,
+            artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
             extractor_version=extractor_version, max_bytes=max_bytes, store=cut_lineage)
         write_artifacts(done.artifacts, artifact_path)
         _write(store, done.stage, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)

@@ -198,16 +198,20 @@ def _tenant_rows(spark, sf):
 
 @query("audit_all", f"""
     WITH acl AS ({ACL_SQL}),
-    n AS (SELECT
-      (SELECT COUNT(*) FROM v_tenants) AS tenants, (SELECT COUNT(*) FROM v_versions) AS versions),
     sha AS (SELECT COUNT(*) - COUNT(DISTINCT (tenant_id, content_sha256)) AS n FROM v_versions),
     ext AS (SELECT COUNT(*) - COUNT(DISTINCT (tenant_id, source_external_id)) AS n
             FROM v_prepared WHERE filename <> '')
-    SELECT 'documents' AS "table", 'unique_tenant_id_source_system_source_external_id' AS rule,
-      CAST(n AS BIGINT) AS violations FROM ext
-    UNION ALL SELECT 'document_versions', 'unique_tenant_id_content_sha256', n FROM sha
-    UNION ALL SELECT 'document_acl', 'tenant_id_document_id_in_documents',
-      (SELECT COUNT(*) FROM acl WHERE document_id NOT IN (SELECT document_id FROM v_versions))""")
+    SELECT * FROM (
+      SELECT 'documents' AS "table", 'unique_tenant_id_source_system_source_external_id' AS rule,
+        CAST(n AS BIGINT) AS violations FROM ext
+      UNION ALL SELECT 'document_versions', 'unique_tenant_id_content_sha256', n FROM sha
+      UNION ALL SELECT 'document_acl', 'tenant_id_document_id_in_documents',
+        (SELECT COUNT(*) FROM acl WHERE document_id NOT IN (SELECT document_id FROM v_versions))
+      UNION ALL SELECT unnest(['documents', 'document_versions']), 'tenant_id_in_tenants',
+        (SELECT COUNT(*) FROM v_versions WHERE tenant_id NOT IN (SELECT id FROM v_tenants))
+      UNION ALL SELECT 'document_acl', 'tenant_id_in_tenants',
+        (SELECT COUNT(*) FROM acl WHERE tenant_id NOT IN (SELECT id FROM v_tenants)))
+    WHERE violations > 0""")
 def audit_all(spark, sf):
     """Every declared rule over the derived tables; the rules that find something."""
     found = audits.audit({

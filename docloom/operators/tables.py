@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.ranking import ranked_in_blocks
+
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Project ``df`` to the declared columns; absent ones become typed nulls."""
@@ -39,7 +41,8 @@ def upsert(
     """New snapshot of ``base`` with the non-null columns of ``changes`` laid over it.
 
     ``changes`` holds at most one row per key. ``updated_at`` moves to ``as_of`` (or to the value
-    that ``changes`` gives) on changed rows only. With ``insert`` the keys that are new are added; they are found by an anti join on the unique key.
+    that ``changes`` gives) on changed rows only. With ``insert`` the keys that are new are added;
+    they are found by an anti join on the unique key.
     """
     changed = [c for c in changes.columns if c not in keys]
     renamed = changes.select(*keys, *[F.col(c).alias(f"new_{c}") for c in changed],
@@ -99,8 +102,6 @@ def number_versions(incoming: DataFrame, versions: DataFrame, order: str) -> Dat
     Numbers within a document follow ``order``, a unique integer. One busy document is not sorted
     in a single task: see ``ranked_in_blocks``.
     """
-    from docloom.operators.ranking import ranked_in_blocks
-
     top = versions.groupBy("tenant_id", "document_id") \
         .agg(F.max("version_number").alias("_top"))
     ranked = ranked_in_blocks(incoming, ["tenant_id", "document_id"], order, "_position")

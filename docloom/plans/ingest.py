@@ -15,8 +15,10 @@ from docloom.operators.metrics import failure_rollup, outcome_counts
 from docloom.operators.tables import upsert
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
-from docloom.session import cut_lineage
-from docloom.sources.objects import missing_objects, orphan_objects
+from docloom.session import cut_lineage, scratch
+from docloom.sources.objects import (
+    land_objects, missing_objects, orphan_objects, read_landed,
+)
 
 ISO = "2024-01-16T00:00:00+00:00"
 
@@ -336,9 +338,6 @@ def retry_routing(spark, sf):
       CAST(strlen(content) AS BIGINT) AS byte_size FROM v_objects""")
 def landing_digests(spark, sf):
     """Land every object in the shared folder, read it back and digest it again."""
-    from docloom.session import scratch
-    from docloom.sources.objects import land_objects, read_landed
-
     path = scratch(spark, "objects")
     land_objects(v.objects(spark, sf).withColumn("content_type", F.lit("application/pdf")), path)
     return read_landed(spark, path).select(

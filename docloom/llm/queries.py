@@ -75,3 +75,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.quality import quality
 
     return quality(documents(spark, sf_dir))
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every document."""
+    from docloom.llm.token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    from docloom.llm.packing import pack
+
+    return pack(documents(spark, sf_dir))
+
+
+@query("op8_bpe_codec")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    from docloom.llm.bpe_codec import encode_decode
+
+    return encode_decode(documents(spark, sf_dir))

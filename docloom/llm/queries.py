@@ -99,3 +99,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.bpe_codec import encode_decode
 
     return encode_decode(documents(spark, sf_dir))
+
+
+@query("op9_pii_boosting")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, base counts, base_sha256, spans of every document."""
+    from docloom.llm import pii
+
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.words import LOWER, mix, text_slices
+from docloom.llm.words import LOWER, mix, ship, shipped, text_slices
 
 ORDER = 4
 SAMPLE_DOCS = 400  # expected sample rows of one language
@@ -207,13 +207,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     first language in alphabetical order. Map only; a text is scored in numpy in one piece.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = ship(spark, model)
     extra = "lang_pred string, score double, bits_per_byte double"
     inputs = docs.withColumn("__lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     place = inputs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shipped(shared)
         for batch in batches:
             lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             pred, score, rate = [], [], []

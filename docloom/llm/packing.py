@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm import tokens
-from docloom.llm.words import text_slices
+from docloom.llm.words import ship, shipped, text_slices
 from docloom.session import scratch
 
 VOCABULARY = "word_bpe_49k.json"
@@ -235,15 +235,16 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     path = scratch(spark, "pieces")
     pieces(docs, vocabulary, capacity).write.parquet(path)
     rows, histogram = ranked(spark.read.parquet(path), rank_rows)
-    places = spark.sparkContext.broadcast(Places.of(make_plan(histogram, capacity)))
+    shared = ship(spark, Places.of(make_plan(histogram, capacity)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = shipped(shared)
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.zeros((2, len(length)), np.int64)
             order = np.argsort(length, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else ():
-                sequence[part], offset[part] = places.value.locate(int(length[part[0]]), rank[part])
+                sequence[part], offset[part] = places.locate(int(length[part[0]]), rank[part])
             kept = batch.select(["doc_id", "piece", "start", "length", "ids_crc32"])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(sequence), pa.array(offset)],

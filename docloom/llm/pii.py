@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.words import text_slices
+from docloom.llm.words import ship, shipped, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 4000  # expected rows the ensemble is fitted on
@@ -310,20 +310,21 @@ def find(docs: DataFrame, model: Ensemble | None, redact: bool = False) -> DataF
     Null and empty texts have no spans. Repeated rows give repeated results. Map only.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = ship(spark, model)
     inputs = docs if redact else docs.select("doc_id", "text")
     place = inputs.columns.index("text")
     kept_names = inputs.columns if redact else ["doc_id"]
     made = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"] + ["redacted"] * redact
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shipped(shared)
         for batch in batches:
             rows = []
             for low, high, data, offsets in text_slices(batch.column(place)):
                 raw = data.tobytes()
                 for a, b in zip(offsets[:-1], offsets[1:]):
                     text = raw[a:b].decode()
-                    base, spans = chosen_spans(text, shared.value)
+                    base, spans = chosen_spans(text, model)
                     counts = [0, 0, 0, 0]
                     for kind, _, _ in base:
                         counts[kind] += 1

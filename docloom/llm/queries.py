@@ -108,3 +108,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir)
     return pii.find(docs, pii.train(docs))
+
+
+@query("op6_toxicity_svm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted, margin of every document."""
+    from docloom.llm import toxicity
+
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(fold(3) != 1)
+    return toxicity.score(docs, toxicity.train(docs, labels)).select(
+        "doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted", "margin")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -87,3 +90,12 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def as_long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
+
+
+def ship(spark: SparkSession, value):
+    """Broadcast ``value`` with its classes, which workers need not have installed."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(broadcast):
+    return pickle.loads(broadcast.value)

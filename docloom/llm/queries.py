@@ -119,3 +119,29 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(fold(3) != 1)
     return toxicity.score(docs, toxicity.train(docs, labels)).select(
         "doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted", "margin")
+
+
+@query("op2_threshold_topk", """
+WITH q AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+d AS (SELECT vec_id, max(v) AS v FROM q GROUP BY vec_id),
+s AS (SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM d a, d b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score of the 20 best rows for every vec_id divisible by 20."""
+    from docloom.llm.topk import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    from docloom.llm.jaccard import join
+
+    return join(documents(spark, sf_dir))

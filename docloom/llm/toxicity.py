@@ -298,8 +298,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     model = fit_words(positive, list(dict.fromkeys([*hard, *frequent])))
     judged = with_margins(sample.select("doc_id", "text", "toxic"), model).select("toxic", "margin").toPandas()
     toxic = judged["toxic"].to_numpy(bool)
-    weight = np.where(toxic, 1 / share[True], 1 / share[False])
-    slope, shift = logistic(judged["margin"].to_numpy(), toxic, weight / weight.mean())
+    # Both classes weigh the same, so the curve turns halfway between them and not at the rarer one:
+    # room for insults that are further from the plain ones than any in the sample.
+    weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1)) * len(toxic)
+    slope, shift = logistic(judged["margin"].to_numpy(), toxic, weight)
     return model._replace(slope=slope, shift=shift)
 
 

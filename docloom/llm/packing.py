@@ -31,30 +31,58 @@ KEPT_WORDS = 300_000  # words whose ids a task keeps
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
 # the vocabulary then act on each word alone. Any other text goes to the library whole.
+GROUP = 256  # parts encoded as one text
+PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value of the vocabulary
 PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ]*")
 
 
 class WordCoder:
-    """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words."""
+    """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words.
+
+    A word of a plain text is normalised and cut by the vocabulary's pattern on its own, and its
+    parts are encoded many at a time: each ends in a token that carries the end of a word.
+    """
 
     def __init__(self, tokenizer, kept_words: int = KEPT_WORDS):
         self.tokenizer, self.kept_words = tokenizer, kept_words
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.kept: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
 
-    def library(self, texts: list[str]) -> list[bytes]:
+    def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def learn_parts(self, parts: list[str]) -> None:
+        groups = [parts[i:i + GROUP] for i in range(0, len(parts), GROUP)]
+        for group, ids in zip(groups, self.library([" ".join(g) for g in groups])):
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(group):
+                raw = ids.tobytes()
+                self.parts.update(zip(group, (raw[a:b] for a, b in zip([0, *stops], stops))))
+            else:
+                self.parts.update(zip(group, (x.tobytes() for x in self.library(group))))
+
+    def learn(self, words: list[str]) -> None:
+        if len(self.words) + len(words) > self.kept_words:
+            self.parts.clear()
+        forms = self.tokenizer.normalizer.normalize_str(" ".join(words)).split(" ")
+        cut = [PART.findall(f) for f in forms]
+        self.learn_parts(list({p for own in cut for p in own} - self.parts.keys()))
+        self.words.update(zip(words, (b"".join(map(self.parts.__getitem__, own)) for own in cut)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
         words = [t.split() if ok else () for t, ok in zip(texts, plain)]
-        if len(self.kept) > self.kept_words:
-            self.kept.clear()
-        need = list({w for own in words for w in own} - self.kept.keys())
-        self.kept.update(zip(need, self.library(need)))
+        if len(self.words) > self.kept_words:
+            self.words.clear()
+        if need := list({w for own in words for w in own} - self.words.keys()):
+            self.learn(need)
         whole = iter(self.library([t for t, ok in zip(texts, plain) if not ok]))
-        return [b"".join(map(self.kept.__getitem__, own)) if ok else next(whole) for own, ok in zip(words, plain)]
+        return [b"".join(map(self.words.__getitem__, own)) if ok else next(whole).tobytes() for own, ok in zip(words, plain)]
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:

@@ -27,7 +27,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0  # id that ends a document
 RANK_ROWS = 50_000  # pieces ranked together in one task
-KEPT_WORDS = 300_000  # words whose ids a task keeps
+KEPT_WORDS = 600_000  # words whose ids a task keeps
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
 # the vocabulary then act on each word alone. Any other text goes to the library whole.
@@ -39,7 +39,7 @@ PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ]*")
 class WordCoder:
     """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words.
 
-    A word of a plain text is normalised and cut by the vocabulary's pattern on its own, and its
+    A word of a plain text is lower-cased (these letters are composed already) and cut by the vocabulary's pattern on its own, and its
     parts are encoded many at a time: each ends in a token that carries the end of a word.
     """
 
@@ -69,8 +69,14 @@ class WordCoder:
     def learn(self, words: list[str]) -> None:
         if len(self.words) + len(words) > self.kept_words:
             self.parts.clear()
-        forms = self.tokenizer.normalizer.normalize_str(" ".join(words)).split(" ")
-        cut = [PART.findall(f) for f in forms]
+        cut = []
+        for form in map(str.lower, words):
+            if form.isalpha():
+                cut.append((form,))
+            elif form[-1] in ".," and form[:-1].isalpha():
+                cut.append((form[:-1], form[-1]))
+            else:
+                cut.append(PART.findall(form))
         self.learn_parts(list({p for own in cut for p in own} - self.parts.keys()))
         self.words.update(zip(words, (b"".join(map(self.parts.__getitem__, own)) for own in cut)))
 

@@ -58,8 +58,11 @@ def set_key(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
-def linked(common: int, a: int, b: int) -> bool:
-    return 100 * common >= PERCENT * (a + b - common)
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -128,18 +131,18 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
                     pa.array([raw] * len(own), pa.binary())], names=["hub", "salt", "is_hub", "rep", "members"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hub_set = None, np.empty(0, np.uint64)
+        key, hub_sets = None, []
         for batch in batches:
             hubs, docs = [], []
             for hub, salt, is_hub, rep, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 found = np.frombuffer(raw, np.uint64)
-                if is_hub:
-                    key, hub_set = (hub, salt), found
-                elif key == (hub, salt) and 100 * min(len(found), len(hub_set)) >= PERCENT * max(len(found), len(hub_set)):
-                    common = len(np.intersect1d(found, hub_set, assume_unique=True))
-                    if linked(common, len(found), len(hub_set)):
-                        hubs.append(hub)
-                        docs.append(rep)
+                if key != (hub, salt):
+                    key, hub_sets = (hub, salt), []
+                if is_hub:  # several, where one doc_id stands over different texts
+                    hub_sets.append(found)
+                elif any(similar(found, h) for h in hub_sets):
+                    hubs.append(hub)
+                    docs.append(rep)
             yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(docs, pa.int64())], names=["hub", "doc"])
 
     return rows.mapInArrow(emit, "hub bigint, salt int, is_hub boolean, rep bigint, members binary") \
@@ -327,17 +330,13 @@ def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
 
     Null texts and texts without words have no shingles and are their own component. Rows with equal
-    sets are in one component, repeated rows too. A row with a null doc_id is never the least of its
+    sets are in one component, repeated rows too. A doc_id over different texts ties them together. A row with a null doc_id is never the least of its
     component; alone, its component_id is null. An empty table gives no rows.
     """
     info = cut_lineage(described(docs))
     reps = cut_lineage(info.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"h{i}").alias(f"h{i}") for i in range(len(SEEDS)))))
-    # One doc_id may stand over several texts: every set needs a name of its own.
     reps = reps.withColumnRenamed("doc_id", "rep")
-    twice = reps.groupBy("rep").count().filter("count > 1")
-    if twice.take(1):
-        raise ValueError("a doc_id stands over different texts; give rows ids of their own")
     agree = reps.select("rep", F.posexplode(F.array(*(f"h{i}" for i in range(len(SEEDS))))).alias("i", "h"))
     hubs = agree.groupBy("i", "h").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     near = agree.join(hubs, ["i", "h"]).filter("rep <> hub").select("hub", F.col("rep").alias("doc")).distinct()

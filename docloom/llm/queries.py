@@ -145,3 +145,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.jaccard import join
 
     return join(documents(spark, sf_dir))
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+    from docloom.llm.substrings import remove_repeated
+
+    return remove_repeated(documents(spark, sf_dir))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that the five stages of ``corpus_pipeline`` pack."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from docloom import schemas
 from docloom.functions.columns import backoff_seconds, plus_seconds, present
+from docloom.sources.event_log import avro_payload, misfit
+
+# The content type of a record by its encoding.
+CONTENT_TYPES = {"json": "application/json", "avro": "application/vnd.apache.avro.binary"}
 
 
 def _instant(as_of) -> Column:
@@ -34,9 +38,8 @@ def claim(outbox: DataFrame, as_of, batch_size: int, worker: str) -> DataFrame:
 
 
 def apply_claim(outbox: DataFrame, claimed: DataFrame) -> DataFrame:
-    """Outbox snapshot with the claimed rows replaced. The claimed side is at most one batch
-    (1,000 rows), so it is broadcast."""
-    rest = outbox.join(F.broadcast(claimed.select("id")), "id", "left_anti")
+    """Outbox snapshot with the claimed rows replaced."""
+    rest = outbox.join(claimed.select("id"), "id", "left_anti")
     return rest.unionByName(claimed)
 
 
@@ -61,10 +64,13 @@ def resolve_contract(events: DataFrame) -> DataFrame:
 
 
 def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Resolved contract names and the error that keeps a row back, if any. The contract list is
-    a handful of rows and is broadcast."""
-    known = F.broadcast(contracts.withColumn("is_known", F.lit(True)))
+    """Resolved contract names and the error that keeps a row back, if any: a contract that is
+    not named or not known, or a payload that does not fit it."""
+    known = contracts.withColumn("is_known", F.lit(True))
     resolved = resolve_contract(events).join(known, ["contract_namespace", "schema_name"], "left")
+    field = F.lit(None).cast("string")
+    for contract in schemas.CONTRACTS:
+        field = F.when(F.col("schema_name") == contract, misfit("payload", contract)).otherwise(field)
     error = F.when(
         F.col("schema_name").isNull(),
         F.lit("Outbox event is missing its checked-in event schema name."),
@@ -72,13 +78,17 @@ def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
         F.col("is_known").isNull(),
         F.concat(F.lit("No checked-in schema is configured for "), F.col("contract_namespace"),
                  F.lit("/"), F.col("schema_name"), F.lit(".")),
+    ).when(
+        field.isNotNull(),
+        F.concat(F.lit("Payload does not fit "), F.col("contract_namespace"), F.lit("/"),
+                 F.col("schema_name"), F.lit(": "), field, F.lit(".")),
     )
     return resolved.withColumn("error", error).drop("is_known")
 
 
-def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
+def envelope(claimed: DataFrame, contracts: DataFrame, encoding: str = "json") -> DataFrame:
     """Topic, key, value and headers of each claimed row, or the error that keeps it back. The
-    record key is tenant and aggregate id."""
+    record key is tenant and aggregate id; ``encoding`` is "json" or "avro" (with its module)."""
     def header(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
 
@@ -88,16 +98,18 @@ def envelope(claimed: DataFrame, contracts: DataFrame) -> DataFrame:
         F.map_entries(own),
         lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
     fixed = F.array(
-        header("content-type", F.lit("application/vnd.apache.avro.binary")),
+        header("content-type", F.lit(CONTENT_TYPES[encoding])),
         header("event-contract-namespace", F.col("contract_namespace")),
         header("event-schema-name", F.col("schema_name")),
         header("schema-version", F.get_json_object("payload", "$.schema_version")),
     )
+    value = F.col("payload") if encoding == "json" else \
+        F.when(F.col("error").isNull(), avro_payload("payload", "schema_name"))
     return with_publish_error(claimed, contracts).select(
         "id", "tenant_id", "attempt_count",
         F.col("kafka_topic").alias("topic"),
         F.concat_ws(":", "tenant_id", "aggregate_id").alias("key"),
-        F.col("payload").alias("value"),
+        value.alias("value"),
         F.concat(carried, fixed).alias("headers"),
         "contract_namespace", "schema_name", "error",
     )
@@ -153,17 +165,6 @@ def batch_report(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def drain(
-    outbox: DataFrame, contracts: DataFrame, as_of, batch_size: int, worker: str
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One poll: (messages to send, new outbox snapshot, outcomes)."""
-    claimed = claim(outbox, as_of, batch_size, worker)
-    messages = envelope(claimed, contracts)
-    outcomes = outcomes_of(messages, as_of)
-    snapshot, _ = complete(apply_claim(outbox, claimed), outcomes, as_of, worker)
-    return messages.filter("error IS NULL"), snapshot, outcomes
-
-
 def publish_due(
     outbox: DataFrame, contracts: DataFrame, as_of, worker: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -39,9 +39,10 @@ def outbox_claim_applied(spark, sf):
 
 @query("outbox_envelope", f"""
     SELECT id, kafka_topic AS topic, tenant_id || ':' || aggregate_id AS key, payload AS value,
-      'event_type=' || event_type || ';content-type=application/vnd.apache.avro.binary'
+      'event_type=' || event_type || ';content-type=application/json'
       || ';event-contract-namespace=' || contract_namespace
-      || ';event-schema-name=' || COALESCE(schema_name, '?') || ';schema-version=1.0.0' AS headers,
+      || ';event-schema-name=' || COALESCE(schema_name, '?') || ';schema-version='
+      || CASE WHEN number % 11 = 3 THEN '?' ELSE '1.0.0' END AS headers,
       COALESCE(error, '') AS error
     FROM v_resolved WHERE {DUE}""")
 def outbox_envelope(spark, sf):

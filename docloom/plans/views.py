@@ -139,14 +139,35 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(AS_OF).cast("timestamp").alias("processed_at"), F.lit("{}").alias("result"))
 
 
-# Event type of the table to contract name; two of the five are not known contracts.
-CONTRACT_OF = {
-    "click": "document-submitted",
-    "view": "document-fetched",
-    "purchase": "content-extracted",
-    "signup": "chunks-created",
-    "error": "",
-}
+# Contract name of an outbox row: all five contracts, one that nobody declared, and none. Written
+# for both engines, as the payload below.
+CONTRACT_SQL = """CASE event_type WHEN 'click' THEN 'document-submitted' WHEN 'view' THEN 'document-fetched'
+  WHEN 'purchase' THEN 'content-extracted'
+  WHEN 'signup' THEN CASE WHEN number % 2 = 0 THEN 'document-fetch-rejected' ELSE 'content-extraction-rejected' END
+  ELSE CASE WHEN number % 2 = 0 THEN 'chunks-created' ELSE '' END END"""
+
+# A payload that fits each contract but for these rows: no occurred_at, no cause (which only a
+# submitted event may lack), a null tenant, a size that is no number, no version.
+PAYLOAD_SQL = "'{' || " + " || ',' || ".join([
+    """'"event_id":"' || event_id || '","event_type":"' || event_type || '"'""",
+    """CASE WHEN number % 11 = 1 THEN '"n":1' ELSE '"occurred_at":"2024-05-01T00:00:00Z"' END""",
+    """'"correlation_id":"c-' || event_id || '"'""",
+    """CASE WHEN number % 7 = 0 THEN '"causation_id":null' ELSE '"causation_id":"e-0"' END""",
+    """CASE WHEN number % 11 = 2 THEN '"tenant_id":null' ELSE '"tenant_id":"' || tenant_id || '"' END""",
+    *(f"""'"{name}":"v"'""" for name in (
+        "document_id", "document_version_id", "payload_uri", "detected_mime_type", "content_sha256",
+        "inspection_status", "inspection_metadata", "normalized_artifact_uri", "manifest_uri",
+        "extractor_name", "extractor_version", "extraction_status", "quality_summary", "error_code")),
+    """CASE WHEN number % 5 = 2 THEN '"byte_size":"7"' ELSE '"byte_size":7' END""",
+    """CASE WHEN number % 11 = 3 THEN '"n":2' ELSE '"schema_version":"1.0.0"' END""",
+]) + " || '}'"
+
+# The first field that does not fit, in contract order.
+MISFIT_SQL = """CASE WHEN number % 11 = 1 THEN 'occurred_at'
+  WHEN number % 7 = 0 AND event_schema_name <> 'document-submitted' THEN 'causation_id'
+  WHEN number % 11 = 2 THEN 'tenant_id'
+  WHEN number % 5 = 2 AND event_schema_name = 'document-fetched' THEN 'byte_size'
+  WHEN number % 11 = 3 THEN 'schema_version' END"""
 STAGE_OF = {
     "click": "document-fetcher",
     "view": "content-extractor",
@@ -178,8 +199,7 @@ def outbox(spark: SparkSession, sf: str) -> DataFrame:
         "concat('doc-', tenant_id) AS aggregate_id", "event_type",
         "concat('log.', stage) AS kafka_topic",
         f"IF(number % 3 = 0, '', '{schemas.EVENT_NAMESPACE}') AS event_contract_namespace",
-        f"{choose_sql('event_type', CONTRACT_OF)} AS event_schema_name",
-        """concat('{"schema_version":"1.0.0","props":', props, '}') AS payload""",
+        f"{CONTRACT_SQL} AS event_schema_name", f"{PAYLOAD_SQL} AS payload",
         """concat('{"event_type":"', event_type, '"}') AS headers""",
         f"element_at(array{schemas.OUTBOX_STATUS}, CAST(number % 4 + 1 AS INT)) AS status",
         "attempt AS attempt_count", "occurred_at AS available_at",
@@ -287,8 +307,7 @@ SQL_VIEWS = {
           'log.' || stage AS kafka_topic,
           CASE WHEN number % 3 = 0 THEN '' ELSE '{schemas.EVENT_NAMESPACE}' END
             AS event_contract_namespace,
-          {choose_sql('event_type', CONTRACT_OF)} AS event_schema_name,
-          '{{"schema_version":"1.0.0","props":' || props || '}}' AS payload,
+          {CONTRACT_SQL} AS event_schema_name, {PAYLOAD_SQL} AS payload, number,
           CASE number % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'publishing' WHEN 2 THEN 'published'
                ELSE 'failed' END AS status,
           attempt AS attempt_count, occurred_at AS available_at,
@@ -304,6 +323,10 @@ SQL_VIEWS = {
                WHEN event_schema_name NOT IN ({', '.join(f"'{c}'" for c in schemas.CONTRACTS)})
                  THEN 'No checked-in schema is configured for ' || COALESCE(
                    NULLIF(event_contract_namespace, ''), '{schemas.EVENT_NAMESPACE}')
-                   || '/' || event_schema_name || '.' END AS error
+                   || '/' || event_schema_name || '.'
+               WHEN {MISFIT_SQL} IS NOT NULL
+                 THEN 'Payload does not fit ' || COALESCE(
+                   NULLIF(event_contract_namespace, ''), '{schemas.EVENT_NAMESPACE}')
+                   || '/' || event_schema_name || ': ' || {MISFIT_SQL} || '.' END AS error
         FROM v_outbox""",
 }

@@ -46,6 +46,36 @@ def decode(df: DataFrame, contract: str, value: str = "value") -> DataFrame:
     return parsed.select(*keep, *fields, bad.alias(BAD_RECORD))
 
 
+def misfit(payload: str, contract: str) -> Column:
+    """Name of the first field of a JSON payload that keeps it from its contract, or null.
+
+    Strings must be JSON strings and longs whole numbers; a field may be missing or null only where
+    the contract says so. Further members do no harm. A text that is no object misfits at once.
+    """
+    tree = F.try_parse_json(payload)
+    optional = schemas.NULLABLE_FIELDS.get(contract, ())
+    first = []
+    for part in schemas.CONTRACTS[contract].split(", "):
+        name, kind = part.split()
+        found = F.schema_of_variant(F.try_variant_get(tree, f"$.{name}", "variant"))
+        allowed = [kind.upper(), "VOID"] if name in optional else [kind.upper()]
+        fits = F.coalesce(found.isin(*allowed), F.lit(name in optional))
+        first.append(F.when(~fits, F.lit(name)))
+    whole = F.coalesce(F.schema_of_variant(tree).startswith("OBJECT"), F.lit(False))
+    return F.when(~whole, F.lit("no record")).otherwise(F.coalesce(*first))
+
+
+def avro_payload(payload: str, contract_column: str) -> Column:
+    """Avro binary of each JSON payload by the contract its row names; needs the Avro module."""
+    from pyspark.sql.avro.functions import to_avro
+
+    made = F.lit(None).cast("binary")
+    for contract, ddl in schemas.CONTRACTS.items():
+        made = F.when(F.col(contract_column) == contract,
+                      to_avro(F.from_json(payload, ddl), avro_schema(contract))).otherwise(made)
+    return made
+
+
 def avro_schema(contract: str) -> str:
     """Avro record declaration of a contract."""
     import json

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from docloom import schemas
 from docloom.operators.extraction import Converter, extract_stage
 from docloom.operators.fetching import Inspector, StageResult, fetch_stage
-from docloom.operators.outbox import drain, registry
 from docloom.operators.tables import conform
 from docloom.session import cut_lineage
 from docloom.sources.event_log import BAD_RECORD, decode, stream_log, write_log
@@ -138,30 +137,3 @@ def start_extract(
 
     stream = stream_log(spark, log, schemas.DOCUMENT_FETCHED, files_per_trigger)
     return _start(stream, run, checkpoint, schemas.EXTRACTOR)
-
-
-def drain_outbox(
-    spark: SparkSession,
-    outbox: DataFrame,
-    log: str,
-    *,
-    clock: Callable[[], object],
-    batch_size: int,
-    worker: str,
-    max_polls: int | None = None,
-) -> DataFrame:
-    """Poll until nothing is due (or ``max_polls``); returns the outbox after the last poll.
-
-    Each poll claims, sends to the log and completes. The snapshot is cut after every poll, so the
-    plan does not grow with the number of polls.
-    """
-    contracts = registry(spark)
-    polls = 0
-    while max_polls is None or polls < max_polls:
-        messages, snapshot, outcomes = drain(outbox, contracts, clock(), batch_size, worker)
-        if outcomes.isEmpty():
-            break
-        write_log(messages, log)
-        outbox = cut_lineage(snapshot)
-        polls += 1
-    return outbox

@@ -8,9 +8,10 @@ from docloom.functions.columns import backoff_seconds, iso_instant
 from docloom.operators import outbox as box
 from docloom.operators.tables import conform
 from docloom.session import cut_lineage
-from docloom.streaming.stages import drain_outbox
 
 AS_OF = "2024-05-01 12:00:00"
+RECORD = {part.split()[0]: 1 if part.endswith("bigint") else "1.0.0"
+          for ddl in schemas.CONTRACTS.values() for part in ddl.split(", ")}
 
 
 @pytest.fixture()
@@ -25,7 +26,7 @@ def outbox(rows):
             .alias("aggregate_id"), F.lit("X").alias("event_type"), F.lit("topic-a")
             .alias("kafka_topic"), F.col("ns").alias("event_contract_namespace"),
             F.col("schema_name").alias("event_schema_name"),
-            F.lit('{"schema_version":"1.0.0"}').alias("payload"),
+            F.lit(json.dumps(RECORD)).alias("payload"),
             F.lit('{"event_type":"X"}').alias("headers"), "status",
             F.col("attempts").alias("attempt_count"),
             F.col("at").cast("timestamp").alias("available_at"), "locked_by",
@@ -71,7 +72,7 @@ def test_envelope_and_contract_fallbacks(spark, outbox):
     got = {r.id: r for r in box.envelope(df, box.registry(spark)).collect()}
     assert got["a"].error is None and got["a"].key == "t:agga" and got["a"].topic == "topic-a"
     assert {h.key: bytes(h.value).decode() for h in got["a"].headers} == {
-        "event_type": "X", "content-type": "application/vnd.apache.avro.binary",
+        "event_type": "X", "content-type": "application/json",
         "event-contract-namespace": "rag.ingestion.v1", "event-schema-name": "document-fetched",
         "schema-version": "1.0.0"}
     assert "missing" in got["b"].error and "missing" in got["d"].error
@@ -115,17 +116,39 @@ def test_first_failure_waits_two_seconds(spark, outbox):
     assert not outcome.succeeded and str(outcome.retry_at) == "2024-05-01 12:00:02"
 
 
+@pytest.mark.parametrize("contract", list(schemas.CONTRACTS))
+def test_payload_must_fit_its_contract(spark, outbox, contract):
+    fields = [p.split() for p in schemas.CONTRACTS[contract].split(", ")]
+    optional = schemas.NULLABLE_FIELDS.get(contract, ())
+
+    def error(payload):
+        df = outbox(entry("a", name=contract)).withColumn("payload", F.lit(payload))
+        got = box.envelope(df, box.registry(spark)).first().error
+        return got and got.rsplit(": ", 1)[1].rstrip(".")
+
+    assert error(json.dumps(RECORD)) is None and error(json.dumps({**RECORD, "more": [1]})) is None
+    assert error("[1]") == error("{") == "no record"
+    for name, kind in fields[4:7]:
+        lacking = {k: x for k, x in RECORD.items() if k != name}
+        free = None if name in optional else name
+        assert error(json.dumps(lacking)) == free and error(json.dumps({**RECORD, name: None})) == free
+        assert error(json.dumps({**RECORD, name: "1" if kind == "bigint" else 1})) == name
+
+
 def test_polling_and_publishing_at_once_agree(spark, outbox, tmp_path):
     names = ["document-fetched", "", "no-such", "content-extracted"]
     df = cut_lineage(outbox(*[
         entry(f"{i:02}", ["pending", "failed", "published"][i % 3], attempts=i % 5,
               at=f"2024-05-01 {9 + i % 5:02}:00:00", name=names[i % 4]) for i in range(30)]))
-    polled = drain_outbox(spark, df, str(tmp_path / "log"), clock=lambda: AS_OF, batch_size=4,
-                          worker="w")
+    polled, sent = df, []
+    while (claimed := box.claim(polled, AS_OF, 4, "w")).count():
+        enveloped = box.envelope(claimed, box.registry(spark))
+        sent += [r.key for r in enveloped.filter("error IS NULL").collect()]
+        polled = cut_lineage(box.complete(
+            box.apply_claim(polled, claimed), box.outcomes_of(enveloped, AS_OF), AS_OF, "w")[0])
     messages, snapshot = box.publish_due(df, box.registry(spark), AS_OF, "w")
     assert sorted(map(str, polled.collect())) == sorted(map(str, snapshot.collect()))
-    sent = spark.read.parquet(str(tmp_path / "log"))
-    assert sorted(r.key for r in sent.collect()) == sorted(r.key for r in messages.collect())
+    assert sorted(sent) == sorted(r.key for r in messages.collect())
 
 
 def test_report_and_stuck(spark, outbox):

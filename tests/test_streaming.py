@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docloom import schemas
 from docloom.operators import audits, submission as sub
+from docloom.operators.outbox import publish_due, registry
 from docloom.session import cut_lineage
 from docloom.sources import event_log as log
 from docloom.sources.objects import land_objects, orphan_objects, read_landed, read_objects
@@ -49,8 +50,9 @@ def pipeline(spark, rows, tmp_path):
 
     class Run:
         def publish(self, outbox):
-            return stages.drain_outbox(spark, cut_lineage(outbox), f"{root}/log", clock=clock,
-                                       batch_size=100, worker="w")
+            messages, snapshot = publish_due(cut_lineage(outbox), registry(spark), clock(), "w")
+            log.write_log(messages, f"{root}/log")
+            return snapshot
 
         def fetch(self, checkpoint="c1", **kw):
             stages.start_fetch(spark, f"{root}/log", objects, store, f"{root}/{checkpoint}",

@@ -37,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     hidden, names = shielded(docs)
     kept = langid.accepted(langid.identify(hidden, model))
-    return kept.withColumnsRenamed(names).select(*docs.columns)
+    return kept.select(*hidden.columns).withColumnsRenamed(names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.when(~F.col("__null"), F.col("kept_text"))
     changed = cut.withColumn("__new", text) \
         .withColumn("text", F.when(F.col("n_removed") == 0, F.col("__new")))
-    return with_text(changed.withColumnsRenamed(names), docs.columns, "__new")
+    return with_text(changed.select(*hidden.columns, "__new").withColumnsRenamed(names), docs.columns, "__new")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +68,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     hidden, names = shielded(docs)
     found = pii.find(hidden, pii.train(hidden), redact=True)
     made = found.withColumn("__new", F.when(F.col("text").isNotNull(), F.col("redacted")))
-    return with_text(made.drop("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "redacted")
-                     .withColumnsRenamed(names), docs.columns, "__new")
+    return with_text(made.select(*hidden.columns, "__new").withColumnsRenamed(names), docs.columns, "__new")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

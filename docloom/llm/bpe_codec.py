@@ -2,9 +2,9 @@
 
 A rolling hash over the last ``WINDOW`` bytes cuts each text into chunks, so texts that share a
 passage share its inner chunks whatever stands around them. Rows are dealt by the least chunk hash
-of their text, which copies and near copies share; a task keeps the encodings of its chunks and
-encodes an unseen chunk once. The deal is a rebalance: a key with many rows is split over tasks by
-size, at the price of encoding its chunks once in each.
+of their text, which copies and near copies share; a worker keeps the encodings of its chunks over
+its tasks, within a bound, and encodes an unseen chunk once. The deal is a rebalance: a key with many
+rows is split over tasks by size, at the price of encoding its chunks once in each worker.
 
 A chunk encoded alone may differ from the whole text around its ends. Each join is repaired: from
 the last certain split of the left chunk to some way into the right one the text is encoded again,
@@ -31,7 +31,7 @@ WINDOW = 32
 MASK = np.uint64((1 << 11) - 1)  # a cut every 2,048 bytes on average
 LEAST, MOST = 512, 8192  # bytes of a chunk, but for the last of a text
 REACH = 48  # characters a repair first takes from the right chunk
-KEPT_BYTES = 32 << 20  # text whose encodings a task keeps
+KEPT_BYTES = 32 << 20  # text whose encodings a worker keeps
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -163,7 +163,7 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokens.load(vocabulary)
-        coder = Coder(tokenizer)
+        coder = tokens.per_worker(("chunks", vocabulary), lambda: Coder(tokenizer))
         for batch in batches:
             for low, high, data, offsets in text_slices(batch.column(1), tokens.SLICE_BYTES):
                 raw = data.tobytes()

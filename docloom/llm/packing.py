@@ -27,7 +27,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0  # id that ends a document
 RANK_ROWS = 50_000  # pieces ranked together in one task
-KEPT_WORDS = 600_000  # words whose ids a task keeps
+KEPT_WORDS = 600_000  # words whose ids a worker keeps
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
 # the vocabulary then act on each word alone. Any other text goes to the library whole.
@@ -98,7 +98,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     alone. Repeated rows give repeated pieces.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(tokens.load(vocabulary))
+        coder = tokens.per_worker(("words", vocabulary), lambda: WordCoder(tokens.load(vocabulary)))
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             for low, high, data, offsets in text_slices(batch.column(1), tokens.SLICE_BYTES):

@@ -3,22 +3,40 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
+from collections.abc import Callable
 
 import numpy as np
 
 SLICE_BYTES = 1 << 20  # an encoded text takes tens of times its size
 
 
+def per_worker(key: tuple, make: Callable):
+    """What ``make`` returns, made once in the life of a Python worker, which serves many tasks.
+
+    Functions travel by value, so a global of this module would be made anew in every task.
+    """
+    state = sys.modules.setdefault("_docloom_worker", types.ModuleType("_docloom_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def load(name: str):
     """The tokenizer of a vocabulary file: a path, or the name of a file of ``public_tokenizers``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import public_tokenizers
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+    def make():
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    return per_worker(("tokenizer", name), make)
 
 
 def guard(tokenizer) -> int:

@@ -15,6 +15,8 @@ there on both agree (see ``tokens.guard``).
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,6 +33,9 @@ WINDOW = 32
 MASK = np.uint64((1 << 11) - 1)  # a cut every 2,048 bytes on average
 LEAST, MOST = 512, 8192  # bytes of a chunk, but for the last of a text
 REACH = 48  # characters a repair first takes from the right chunk
+KEPT_UNITS = 400_000  # units whose ids a worker keeps
+GROUP = 256  # units encoded as one text
+UNEVEN = re.compile(r"\s\s|[^\S \n]")  # white space that is not single, or another kind
 KEPT_BYTES = 32 << 20  # text whose encodings a worker keeps
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -78,18 +83,62 @@ class Encoded(NamedTuple):
     points: np.ndarray  # characters where pieces begin
     at: np.ndarray  # their tokens
 
-    @classmethod
-    def of(cls, text: str, encoding) -> Encoded:
-        return cls(text, np.array(encoding.ids, np.uint32), *tokens.split_points(encoding))
-
 
 class Coder:
-    """Encodes texts through kept chunks."""
+    """Encodes texts through kept chunks.
+
+    Where all white space of a chunk is single spaces and line feeds, each between two other
+    characters or at an end, the byte-level pattern begins a piece at every space and around every
+    line feed. Such a chunk is encoded unit by unit (a word with the space before it, a line feed)
+    through kept units; any other chunk goes to the library whole.
+    """
 
-    def __init__(self, tokenizer, kept_bytes: int = KEPT_BYTES):
+    def __init__(self, tokenizer, kept_bytes: int = KEPT_BYTES, kept_units: int = KEPT_UNITS):
         self.tokenizer, self.margin, self.kept_bytes = tokenizer, tokens.guard(tokenizer), kept_bytes
         self.kept: dict[bytes, Encoded] = {}
         self.size = self.made = 0
+        self.kept_units = kept_units
+        self.units: dict[str, bytes] = {}
+        splitter = json.loads(tokenizer.to_str())["pre_tokenizer"] or {}
+        self.by_units = tokenizer.normalizer is None and splitter.get("type") == "ByteLevel" \
+            and splitter.get("use_regex") and not splitter.get("add_prefix_space")
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.feed = self.library("\n")
+
+    def library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, units: list[str]) -> None:
+        """Encode unseen units many at a time; a line feed between them is always a token alone."""
+        for k in range(0, len(units), GROUP):
+            group = units[k:k + GROUP]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            stops = [*np.flatnonzero(ids == self.feed[0]).tolist(), len(ids)]
+            if len(stops) == len(group) and " " not in group:
+                raw = ids.tobytes()
+                self.units.update(zip(group, (raw[4 * a:4 * b] for a, b in zip([0, *(x + 1 for x in stops)], stops))))
+            else:
+                self.units.update((u, self.library(u).tobytes()) for u in group)
+
+    def encoded(self, texts: list[str]) -> list[Encoded]:
+        plain = [self.by_units and not UNEVEN.search(t) and not any(s in t for s in self.special) for t in texts]
+        cut = [[u for u in t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u] if ok and "\0" not in t else None
+               for t, ok in zip(texts, plain)]
+        if len(self.units) > self.kept_units:
+            self.units.clear()
+        self.learn([u for u in {u for own in cut if own for u in own} if u not in self.units])
+        whole = iter(self.tokenizer.encode_batch([t for t, own in zip(texts, cut) if own is None], add_special_tokens=False))
+        out = []
+        for text, own in zip(texts, cut):
+            if own is None:
+                e = next(whole)
+                out.append(Encoded(text, np.array(e.ids, np.uint32), *tokens.split_points(e)))
+                continue
+            ids = list(map(self.units.__getitem__, own))
+            sizes = np.array([list(map(len, own)), list(map(len, ids))], np.int64).reshape(2, -1)
+            starts = np.cumsum(sizes, axis=1) - sizes
+            out.append(Encoded(text, np.frombuffer(b"".join(ids), "<u4"), starts[0], starts[1] // 4))
+        return out
 
     def encode_batch(self, texts: list[bytes]) -> list[np.ndarray]:
         parts = [chunks(t) for t in texts]
@@ -100,9 +149,7 @@ class Coder:
             need = {c: None for own in parts for c in own}
             self.size = sum(map(len, need))
         self.made += len(need)
-        strings = [c.decode() for c in need]
-        for c, s, e in zip(need, strings, self.tokenizer.encode_batch(strings, add_special_tokens=False)):
-            self.kept[c] = Encoded.of(s, e)
+        self.kept.update(zip(need, self.encoded([c.decode() for c in need])))
         return [self.joined([self.kept[c] for c in own]) for own in parts]
 
     def joined(self, parts: list[Encoded]) -> np.ndarray:
@@ -119,8 +166,7 @@ class Coder:
             head, reach = left.text[point:], REACH
             while True:
                 reach = min(reach, len(right.text))
-                again = Encoded.of(text := head + right.text[:reach],
-                                   self.tokenizer.encode(text, add_special_tokens=False))
+                again = self.encoded([text := head + right.text[:reach]])[0]
                 ours = again.points[again.points <= len(text) - self.margin] - len(head)
                 common = np.intersect1d(ours, right.points)
                 if len(common):

@@ -77,7 +77,7 @@ class WordCoder:
                 cut.append((form[:-1], form[-1]))
             else:
                 cut.append(PART.findall(form))
-        self.learn_parts(list({p for own in cut for p in own} - self.parts.keys()))
+        self.learn_parts([p for p in {p for own in cut for p in own} if p not in self.parts])
         self.words.update(zip(words, (b"".join(map(self.parts.__getitem__, own)) for own in cut)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
@@ -85,7 +85,7 @@ class WordCoder:
         words = [t.split() if ok else () for t, ok in zip(texts, plain)]
         if len(self.words) > self.kept_words:
             self.words.clear()
-        if need := list({w for own in words for w in own} - self.words.keys()):
+        if need := [w for w in {w for own in words for w in own} if w not in self.words]:
             self.learn(need)
         whole = iter(self.library([t for t, ok in zip(texts, plain) if not ok]))
         return [b"".join(map(self.words.__getitem__, own)) if ok else next(whole).tobytes() for own, ok in zip(words, plain)]

@@ -6,7 +6,8 @@ pair inside it is looked at again. The rest is an index of prefixes: two sets th
 sequence among the first ``n - ceil(0.8 n) + 1`` of each in one common order, rare ones first. The
 lists of the index are kept by size in blocks that carry their least size and the components in them,
 and a set skips the blocks whose sizes cannot link with it or whose sets its component already holds.
-What is left is compared exactly, again hub by hub.
+Pairs whose prefixes share too little for what their sizes ask go too; what is left is compared
+exactly, again hub by hub.
 
 Links are between representatives of equal sets; components need no more pairs than these.
 """
@@ -33,7 +34,7 @@ SEEDS = (0x1B873593, 0x5BD1E995, 0x2545F491)  # min-hashes that find hubs
 HUB_ROWS = 512  # sets compared with one hub in one task
 BUCKET_POSTINGS = 2_000_000
 COUNTED = np.uint64(int(0.4 * 2**64))  # frequencies are counted below this hash: prefixes reach no further
-COMMON = 32  # least frequency that moves a sequence to the end of the order
+COMMON = 8  # least frequency that moves a sequence to the end of the order
 MAX_COMMON = 1 << 20  # rows of the broadcast table of common sequences
 BLOCK = 64  # postings of a block
 SHORT = 128  # longer lists are read block by block
@@ -318,12 +319,20 @@ def open_pairs(docs: DataFrame, reps: DataFrame, roots: DataFrame, total: int) -
             roots.append(entry["root"][local])
             sizes.append(entry["n"][local].astype(np.int64))
         rep = np.concatenate(reps)
-        a, b = pairs_of_lists(np.concatenate(tokens), np.concatenate(sizes), np.concatenate(roots))
-        both = np.unique(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])], axis=1), axis=0)
-        return pa.table({"hub": pa.array(both[:, 0]), "doc": pa.array(both[:, 1])})
-
+        size = np.concatenate(sizes)
+        a, b = pairs_of_lists(np.concatenate(tokens), size, np.concatenate(roots))
+        a, b = np.where(rep[a] <= rep[b], a, b), np.where(rep[a] <= rep[b], b, a)
+        both, n = np.unique(np.stack([rep[a], rep[b], size[a], size[b]], axis=1), axis=0, return_counts=True)
+        columns = (*both.T, n.astype(np.int64))
+        return pa.table(dict(zip(("hub", "doc", "n_hub", "n_doc", "common"), map(pa.array, columns))))
+
+    # Beyond the prefix that ends first, its set has ceil(0.8 n) - 1 members left to share.
+    least = F.ceil(F.lit(PERCENT) * (F.col("n_hub") + F.col("n_doc")) / (100 + PERCENT)) \
+        - F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("n_hub", "n_doc")))
     return rows.mapInArrow(emit, "bucket int, token binary, owner binary, entries binary") \
-        .groupBy("bucket").applyInArrow(meet, "hub bigint, doc bigint").filter("hub <> doc").distinct()
+        .groupBy("bucket").applyInArrow(meet, "hub bigint, doc bigint, n_hub bigint, n_doc bigint, common bigint") \
+        .groupBy("hub", "doc", "n_hub", "n_doc").agg(F.sum("common").alias("common")) \
+        .filter((F.col("hub") != F.col("doc")) & (F.col("common") >= least)).select("hub", "doc").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,6 +37,9 @@ def spaced_json(pairs: list[tuple[str, Column, Column | None]]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
 
 
+_LONE = re.compile("[\ud800-\udfff]")  # no text holds these unescaped
+
+
 def _prune(value):
     if isinstance(value, dict):
         return {k: _prune(v) for k, v in value.items() if k.lower() not in BINARY_KEYS}
@@ -47,15 +51,18 @@ def _prune(value):
 def _prune_texts(texts: pd.Series) -> pd.Series:
     def one(text):
         try:
-            return json.dumps(_prune(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
-        except (TypeError, ValueError):
+            tree = json.loads(text, parse_constant=lambda _: None)  # JSON has no NaN or infinity
+            made = json.dumps(_prune(tree), ensure_ascii=False, separators=(",", ":"))
+        except (TypeError, ValueError, RecursionError):
             return None
+        return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", made)
 
     return texts.map(one)
 
 
 def strip_binary(document: str | Column) -> Column:
-    """Drop binary-carrying members at any depth of a JSON text; null when it is not JSON.
+    """Drop binary-carrying members at any depth of a JSON text; null when it is not JSON, or
+    nested too deep to read. NaN and infinity become null, lone surrogates stay escaped.
 
     The depth is open, so no fixed struct can express it and the work goes to Arrow batches.
     """

@@ -17,7 +17,9 @@ from docloom.functions.markup import figure_evidence, list_size
 from docloom.operators.events import (
     extracted_events, extraction_rejected_events, fresh_events, ledger_rows, outbox_rows,
 )
-from docloom.operators.fetching import StageResult, quarantined
+from docloom.operators.fetching import (
+    StageResult, one_per_object, quarantined, with_empty_objects,
+)
 from docloom.operators.tables import last_per_key, live, upsert
 
 NOT_PERFORMED = "not_performed"  # fixed value of visual_interpretation
@@ -37,12 +39,14 @@ FACTS = ("object_uri", "source_bytes", "source_code", "source_sha256")
 def convert(
     objects: DataFrame, factory: Callable[[], Converter],
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
+    failure_code: str = "conversion_failed",
 ) -> DataFrame:
     """Facts and converted form of every (object_uri, content), in one pass over the content.
 
     Size, size code and digest are columns; only content inside the limits goes on to the
     converter, through Arrow batches. The factory runs once per partition, so models load once
-    there. A converter that raises gives ``conversion_failed`` for that document only.
+    there. A converter that raises gives ``failure_code`` for that document only; a missing module
+    or memory ends the job, as a badly built worker must not condemn documents.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         converter = factory()
@@ -54,14 +58,18 @@ def convert(
                     continue
                 try:
                     made.append(converter(bytes(content)))
+                except (ImportError, MemoryError):  # the worker's fault, not the document's
+                    raise
                 except Exception:
-                    made.append((None, None, "conversion_failed"))
+                    made.append((None, None, failure_code))
             out = pd.DataFrame(made, columns=["document", "markdown", "conversion_error"],
                                index=batch.index)
             yield pd.concat([batch[list(FACTS)], out], axis=1)
 
     content = F.col("content").cast("binary")
     size = F.octet_length(content).cast("bigint")
+    if "byte_size" in objects.columns:  # content above a limit may have been left unread
+        size = F.coalesce(size, F.col("byte_size"))
     bounded = objects.select(
         "object_uri", size.alias("source_bytes"),
         first_code((size > max_bytes, "source_too_large"), (size == 0, "empty_source"))
@@ -73,16 +81,6 @@ def convert(
              "document string, markdown string, conversion_error string")
 
 
-def with_empty_objects(objects: DataFrame, versions: DataFrame) -> DataFrame:
-    """Add zero-length objects, which a binary file scan leaves out: versions of zero bytes whose
-    object was not listed."""
-    empty = versions.filter("byte_size = 0") \
-        .select(F.col("source_object_uri").alias("object_uri")).distinct() \
-        .join(objects.select("object_uri"), "object_uri", "left_anti")
-    return objects.select("object_uri", "content").unionByName(
-        empty.withColumn("content", F.lit("").cast(objects.schema["content"].dataType)))
-
-
 def normalize(converted: DataFrame) -> DataFrame:
     """Evidence and counts of each converted document.
 
@@ -165,9 +163,10 @@ def extract_verdicts(
         (~(F.col("inspection_status").eqNullSafe(F.lit("valid"))
            & F.col("detected_mime_type").eqNullSafe(F.lit(mime))), "unsupported_source"),
     )
-    sources = normalized.select(
-        F.col("object_uri").alias("payload_uri"), *FACTS[1:], "conversion_error",
-        "text_characters", "table_count", "figure_count")
+    # An object listed or landed twice is still one object.
+    sources = one_per_object(normalized.select(
+        "object_uri", *FACTS[1:], "conversion_error", "text_characters", "table_count",
+        "figure_count")).withColumnRenamed("object_uri", "payload_uri")
     current = live(versions).select(
         "tenant_id", "document_id", F.col("id").alias("event_version_id"), "content_sha256",
         F.lit(True).alias("is_current"))
@@ -222,7 +221,7 @@ def artifacts(
     trees = normalized.select(F.col("object_uri").alias("payload_uri"), "markdown", "tree",
                               "figures", "text_characters", "table_count", "figure_count")
     bodies = kept.join(trees, "payload_uri")
-    pair = F.array(
+    pair = F.array(  # bodies are keyed by content: equal ones fold when read
         F.struct(F.col("normalized_artifact_uri").alias("object_uri"),
                  normalized_json(fmt).alias("body")),
         F.struct(F.col("manifest_uri").alias("object_uri"),
@@ -312,7 +311,7 @@ def extract_stage(
     outputs read.
     """
     wanted = events.select(F.col("payload_uri").alias("object_uri")).distinct()
-    named = objects.join(wanted, "object_uri", "left_semi")
+    named = with_empty_objects(objects, versions).join(wanted, "object_uri", "left_semi")
     normalized = normalize(store(convert(named, factory, max_bytes)))
     verdicts = store(extract_verdicts(
         events, normalized, versions, ledger, bucket=bucket, artifact_bucket=artifact_bucket,

@@ -55,12 +55,15 @@ def inspect(
 ) -> DataFrame:
     """One narrow row per object; the content is not carried on.
 
-    ``objects``: object_uri, content. The digest is taken only of objects that pass signature and
+    ``objects``: object_uri, content, and byte_size where the source knows it: an object whose
+    content was left unread for its size is refused by that. The digest is taken only of objects that pass signature and
     size. ``factory`` makes a format inspector, once per partition; it returns an error code and
     a page count for content that passed.
     """
     content = F.col("content").cast("binary")
     size = F.octet_length("content").cast("bigint")
+    if "byte_size" in objects.columns:
+        size = F.coalesce(size, F.col("byte_size"))
     signed = F.substring(content, 1, len(signature)) == F.lit(signature.encode())
     checked = objects.select(
         "object_uri",
@@ -87,7 +90,14 @@ def _run_inspector(checked: DataFrame, factory: Callable[[], Inspector]) -> Data
         for batch in batches:
             codes, pages = [], []
             for code, content in zip(batch["inspection_code"], batch["content"]):
-                found, count = (code, None) if code is not None else inspector(bytes(content))
+                found, count = code, None
+                if code is None:
+                    try:
+                        found, count = inspector(bytes(content))
+                    except (ImportError, MemoryError):
+                        raise
+                    except Exception:
+                        found = "corrupt_pdf"
                 codes.append(found)
                 pages.append(count)
             yield pd.DataFrame({
@@ -98,11 +108,34 @@ def _run_inspector(checked: DataFrame, factory: Callable[[], Inspector]) -> Data
                 "page_count": pd.array(pages, dtype="Int64"),
             })
 
-    return checked.mapInPandas(
+    # Content that is refused already has no way to make.
+    passed = F.when(F.col("inspection_code").isNull(), F.col("content"))
+    return checked.withColumn("content", passed).mapInPandas(
         run, "object_uri string, byte_size bigint, inspection_code string, "
              "content_sha256 string, page_count bigint")
 
 
+def with_empty_objects(objects: DataFrame, versions: DataFrame) -> DataFrame:
+    """Add zero-length objects, which a binary file scan leaves out: versions of zero bytes whose
+    object was not listed. Versions that carry no size or no object name add none."""
+    if not {"byte_size", "source_object_uri"} <= set(versions.columns):
+        return objects
+    carried = [c for c in ("object_uri", "content", "byte_size") if c in objects.columns]
+    empty = versions.filter("byte_size = 0") \
+        .select(F.col("source_object_uri").alias("object_uri")).distinct() \
+        .join(objects.select("object_uri"), "object_uri", "left_anti") \
+        .withColumn("content", F.lit("").cast(objects.schema["content"].dataType)) \
+        .withColumn("byte_size", F.lit(0).cast("bigint"))
+    return objects.select(*carried).unionByName(empty.select(*carried))
+
+
+def one_per_object(rows: DataFrame) -> DataFrame:
+    """One of the narrow ``rows`` of each object_uri, the least, however often it was landed."""
+    rest = [c for c in rows.columns if c != "object_uri"]
+    least = rows.groupBy("object_uri").agg(F.min(F.struct(*rest)).alias("least"))
+    return least.select("object_uri", "least.*")
+
+
 def _versions_by_object(versions: DataFrame) -> DataFrame:
     """Live versions per (tenant, document, source object), with their number."""
     keys = ["tenant_id", "document_id", "source_object_uri"]
@@ -129,7 +162,7 @@ def fetch_verdicts(
         .withColumnRenamed("event_id", "parent_event_id") \
         .withColumn("is_expected",
                     F.col("event_type").eqNullSafe(F.lit("DocumentSubmitted")))
-    found = inspected.withColumnRenamed("object_uri", "payload_uri") \
+    found = one_per_object(inspected).withColumnRenamed("object_uri", "payload_uri") \
         .withColumn("has_object", F.lit(True))
     joined = fresh.join(found, "payload_uri", "left").join(
         _versions_by_object(versions), ["tenant_id", "document_id", "payload_uri"], "left")
@@ -285,7 +318,8 @@ def fetch_stage(
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StageResult:
     """``store`` materializes the verdicts once (a checkpoint or a written table)."""
-    inspected = inspect(objects, signature=signature, max_bytes=max_bytes, factory=factory)
+    inspected = inspect(with_empty_objects(objects, versions), signature=signature,
+                        max_bytes=max_bytes, factory=factory)
     verdicts = store(fetch_verdicts(
         events, inspected, versions, ledger, bucket=bucket, permitted_mime=permitted_mime))
     return fetch_outputs(verdicts, versions, documents, as_of=as_of, max_bytes=max_bytes)

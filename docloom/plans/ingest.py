@@ -210,6 +210,20 @@ def fetch_verdict(spark, sf):
         F.coalesce("quarantine", "code", F.lit("valid")).alias("outcome"))
 
 
+@query("fetch_twice_landed", """
+    SELECT document_id, event_offset, COALESCE(quarantine, code, 'valid') AS outcome
+    FROM v_verdicts""")
+def fetch_twice_landed(spark, sf):
+    """Every object landed twice: the verdicts stay those of objects landed once."""
+    objects = v.objects(spark, sf)
+    inspected = fetch.inspect(objects.unionByName(objects), max_bytes=v.LIMIT)
+    return fetch.fetch_verdicts(
+        v.submitted(spark, sf), inspected, v.stored_versions(spark, sf),
+        v.ledger(spark, sf), bucket=v.BUCKET,
+    ).select("document_id", "event_offset",
+             F.coalesce("quarantine", "code", F.lit("valid")).alias("outcome"))
+
+
 @query("fetch_summary", """
     SELECT COALESCE(quarantine, code, 'valid') AS outcome, COUNT(*) AS messages
     FROM v_verdicts GROUP BY 1""")

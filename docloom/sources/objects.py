@@ -34,12 +34,15 @@ def read_objects(
 ) -> DataFrame:
     """Files below ``path`` as objects of ``bucket``; ``root`` is the folder that stands for it.
 
-    The length limit is pushed to the scan, so larger files are listed and never read. The scan
-    leaves out empty files: see ``with_empty_objects``.
+    Files above the limit keep their row and size, and their content is null: the limit is pushed
+    to the scan that reads content, so theirs is never read. The scan leaves out empty files: see
+    ``with_empty_objects``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     if max_bytes is not None:
-        files = files.filter(F.col("length") <= max_bytes)
+        large = files.filter(F.col("length") > max_bytes) \
+            .select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
+        files = files.filter(F.col("length") <= max_bytes).unionByName(large)
     prefix = root.rstrip("/") + "/"
     key = F.regexp_replace(
         F.substring_index("path", prefix, -1), "^/+", "")

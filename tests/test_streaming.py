@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docloom import schemas
 from docloom.operators import audits, submission as sub
+from docloom.operators.fetching import inspect
 from docloom.operators.outbox import publish_due, registry
 from docloom.session import cut_lineage
 from docloom.sources import event_log as log
@@ -160,9 +161,11 @@ def test_binary_files_as_objects(spark, tmp_path):
     (folder / "empty.pdf").write_bytes(b"")
     got = read_objects(spark, str(tmp_path / "bucket"), "src", str(tmp_path / "bucket"), 20)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length,20)" in plan
-    assert [(r.object_uri, bytes(r.content)) for r in got.collect()] \
-        == [("s3://src/t/d/a b.pdf", b"%PDF-1")]
+    assert "LessThanOrEqual(length,20)" in plan and "GreaterThan(length,20)" in plan
+    assert sorted((r.object_uri, r.content and bytes(r.content), r.byte_size) for r in got.collect()) \
+        == [("s3://src/t/d/a b.pdf", b"%PDF-1", 6), ("s3://src/t/d/big.pdf", None, 50)]
+    sized = {r.object_uri[-7:]: r.inspection_code for r in inspect(got, max_bytes=20).collect()}
+    assert sized == {"a b.pdf": None, "big.pdf": "document_too_large"}
 
 
 def test_dedup_and_windows(spark, rows, tmp_path):

@@ -34,8 +34,8 @@ SEEDS = (0x1B873593, 0x5BD1E995, 0x2545F491)  # min-hashes that find hubs
 HUB_ROWS = 512  # sets compared with one hub in one task
 BUCKET_POSTINGS = 2_000_000
 COUNTED = np.uint64(int(0.4 * 2**64))  # frequencies are counted below this hash: prefixes reach no further
-COMMON = 8  # least frequency that moves a sequence to the end of the order
-MAX_COMMON = 1 << 20  # rows of the broadcast table of common sequences
+COMMON = 4  # least frequency that moves a sequence to the end of the order
+MAX_COMMON = 1 << 22  # rows of the broadcast table of common sequences
 BLOCK = 64  # postings of a block
 SHORT = 128  # longer lists are read block by block
 
@@ -209,8 +209,10 @@ def common_sequences(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndar
     while least - 1 in steps and total + steps[least - 1] <= MAX_COMMON:
         least -= 1
         total += steps[least]
-    rows = found.filter(F.col("level") >= least).toPandas().sort_values("id")
-    return rows["id"].to_numpy(np.int64), rows["level"].to_numpy(np.int64)
+    rows = found.filter(F.col("level") >= least).select("id", F.col("level").cast("tinyint").alias("level")).toPandas()
+    ids, levels = rows["id"].to_numpy(np.int64), rows["level"].to_numpy(np.int8)
+    order = np.argsort(ids)
+    return ids[order], levels[order]
 
 
 def short_ids(found: np.ndarray, buckets: int) -> np.ndarray:

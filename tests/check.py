@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL twins in DuckDB, as the driver does.
 
-Usage: python -m docloom.plans.check [sf_dir] [query ...]
+Usage: python -m tests.check [sf_dir] [query ...]
 """
 
 from __future__ import annotations

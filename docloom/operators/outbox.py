@@ -68,9 +68,11 @@ def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
     not named or not known, or a payload that does not fit it."""
     known = contracts.withColumn("is_known", F.lit(True))
     resolved = resolve_contract(events).join(known, ["contract_namespace", "schema_name"], "left")
+    # A column of its own, so that each payload is parsed once and not once a field.
+    resolved = resolved.withColumn("_tree", F.try_parse_json("payload"))
     field = F.lit(None).cast("string")
     for contract in schemas.CONTRACTS:
-        field = F.when(F.col("schema_name") == contract, misfit("payload", contract)).otherwise(field)
+        field = F.when(F.col("schema_name") == contract, misfit(F.col("_tree"), contract)).otherwise(field)
     error = F.when(
         F.col("schema_name").isNull(),
         F.lit("Outbox event is missing its checked-in event schema name."),
@@ -83,7 +85,7 @@ def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
         F.concat(F.lit("Payload does not fit "), F.col("contract_namespace"), F.lit("/"),
                  F.col("schema_name"), F.lit(": "), field, F.lit(".")),
     )
-    return resolved.withColumn("error", error).drop("is_known")
+    return resolved.withColumn("error", error).drop("is_known", "_tree")
 
 
 def envelope(claimed: DataFrame, contracts: DataFrame, encoding: str = "json") -> DataFrame:

@@ -46,13 +46,12 @@ def decode(df: DataFrame, contract: str, value: str = "value") -> DataFrame:
     return parsed.select(*keep, *fields, bad.alias(BAD_RECORD))
 
 
-def misfit(payload: str, contract: str) -> Column:
-    """Name of the first field of a JSON payload that keeps it from its contract, or null.
+def misfit(tree: Column, contract: str) -> Column:
+    """Name of the first field of a parsed JSON payload that keeps it from its contract, or null.
 
     Strings must be JSON strings and longs whole numbers; a field may be missing or null only where
-    the contract says so. Further members do no harm. A text that is no object misfits at once.
+    the contract says so. Further members do no harm. What is no object misfits at once.
     """
-    tree = F.try_parse_json(payload)
     optional = schemas.NULLABLE_FIELDS.get(contract, ())
     first = []
     for part in schemas.CONTRACTS[contract].split(", "):

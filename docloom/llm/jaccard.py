@@ -4,9 +4,9 @@ Equal sets are one set. Of the others, sets that agree in a min-hash are compare
 the hub, and a link to the hub is an answer they share: a component of such links is closed, and no
 pair inside it is looked at again. The rest is an index of prefixes: two sets that link share a word
 sequence among the first ``n - ceil(0.8 n) + 1`` of each in one common order, rare ones first. The
-lists of the index are kept by size in blocks that carry their least size and the components in them,
-and a set skips the blocks whose sizes cannot link with it or whose sets its component already holds.
-Pairs whose prefixes share too little for what their sizes ask go too; what is left is compared
+lists of the index are kept by size in blocks that carry their least size, what their sets have left
+behind the sequence's position, and the components in them. A set skips the blocks whose sizes or
+positions cannot link with it, or whose sets its component already holds; what is left is compared
 exactly, again hub by hub.
 
 Links are between representatives of equal sets; components need no more pairs than these.
@@ -229,10 +229,21 @@ def prefix(found: np.ndarray, ids: np.ndarray, levels: np.ndarray, buckets: int)
     return found[np.lexsort((found, level))[:need]]
 
 
-def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs with equal token, sizes that can link and different groups."""
+def pairs_of_lists(token: np.ndarray, size: np.ndarray, place: np.ndarray,
+                   group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the pairs with equal token, different groups, and sizes and places that can link.
+
+    ``place`` is the token's position in its set's order. If it is the first the two sets share, they
+    share no more than what follows it in either; a pair that links passes with that token.
+    """
     order = np.lexsort((size, token))
     token, size, group = token[order], size[order], group[order]
+    left = size - place[order]
+
+    def open_pair(i, j):
+        enough = (100 + PERCENT) * np.minimum(left[i], left[j]) >= PERCENT * (size[i] + size[j])
+        return enough & (group[i] != group[j])
+
     first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     bounds = np.append(first, len(token))
     length = np.diff(bounds)
@@ -247,7 +258,7 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tu
         # Sizes rise within a list: once one is too large, so are all behind it.
         fits = 100 * size[active] >= PERCENT * size[other]
         active, other = active[fits], other[fits]
-        cross = group[active] != group[other]
+        cross = open_pair(active, other)
         out_a.append(active[cross])
         out_b.append(other[cross])
         step += 1
@@ -258,14 +269,17 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tu
         heads = np.arange(low, high, BLOCK)
         least = np.minimum.reduceat(group[low:high], heads - low)
         most = np.maximum.reduceat(group[low:high], heads - low)
+        longest = np.maximum.reduceat(left[low:high], heads - low)
         for i in range(low, high - 1):
             limit = 100 * size[i] // PERCENT
             blocks = np.arange((i + 1 - low) // BLOCK, np.searchsorted(size[heads], limit, side="right"))
             blocks = blocks[(least[blocks] != group[i]) | (most[blocks] != group[i])]
+            blocks = blocks[(100 + PERCENT) * np.minimum(longest[blocks], left[i])
+                            >= PERCENT * (size[i] + np.minimum(size[heads[blocks]], size[i]))]
             if len(blocks):
                 other = (heads[blocks][:, None] + np.arange(BLOCK)).ravel()
                 other = other[(other > i) & (other < high)]
-                other = other[(size[other] <= limit) & (group[other] != group[i])]
+                other = other[(size[other] <= limit) & open_pair(i, other)]
                 out_a.append(np.full(len(other), i))
                 out_b.append(other)
     a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
@@ -273,6 +287,11 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tu
     return order[a], order[b]
 
 
+def narrow(places: np.ndarray) -> np.ndarray:
+    """The same numbers in two bytes each, where all of them fit."""
+    return places.astype("<u2" if places.max(initial=0) < 1 << 16 else "<u4")
+
+
 _ENTRY = np.dtype([("rep", "<i8"), ("root", "<i8"), ("n", "<i4")])
 
 
@@ -287,17 +306,19 @@ def open_pairs(docs: DataFrame, reps: DataFrame, roots: DataFrame, total: int) -
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, levels = shipped(common)
         for batch in batches:
-            entries, tokens, owners = [], [], []
+            entries, tokens, owners, places = [], [], [], []
             for rep, root, sid, z in zip(*(c.to_pylist() for c in batch.columns)):
                 found = set_of(z)
                 if set_key(found) == sid:
                     own = prefix(found, ids, levels, buckets)
                     tokens.append(own)
                     owners.append(np.full(len(own), len(entries), np.int32))
+                    places.append(np.arange(len(own), dtype=np.uint32))
                     entries.append((rep, root, len(found)))
             if not entries:
                 continue
             table, token, owner = np.array(entries, _ENTRY), np.concatenate(tokens), np.concatenate(owners)
+            place = np.concatenate(places)
             bucket = (token & np.uint64(buckets - 1)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -308,33 +329,27 @@ def open_pairs(docs: DataFrame, reps: DataFrame, roots: DataFrame, total: int) -
                     yield pa.RecordBatch.from_arrays([
                         pa.array([i], pa.int32()), pa.array([(token[part] >> np.uint64(32)).astype(np.uint32).tobytes()], pa.binary()),
                         pa.array([local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes()], pa.binary()),
+                        pa.array([narrow(place[part]).tobytes()], pa.binary()),
                         pa.array([table[used].tobytes()], pa.binary())],
-                        names=["bucket", "token", "owner", "entries"])
+                        names=["bucket", "token", "owner", "place", "entries"])
 
     def meet(table: pa.Table) -> pa.Table:
-        tokens, reps, roots, sizes = [], [], [], []
-        for token, owner, entries in zip(*(table[c].to_pylist() for c in ("token", "owner", "entries"))):
+        tokens, reps, roots, sizes, places = [], [], [], [], []
+        for token, owner, place, entries in zip(*(table[c].to_pylist() for c in ("token", "owner", "place", "entries"))):
             high, entry = np.frombuffer(token, np.uint32), np.frombuffer(entries, _ENTRY)
             local = np.frombuffer(owner, np.uint16 if len(entry) < 65536 else np.uint32)
             tokens.append(high)
+            places.append(np.frombuffer(place, f"<u{len(place) // len(high)}").astype(np.int64))
             reps.append(entry["rep"][local])
             roots.append(entry["root"][local])
             sizes.append(entry["n"][local].astype(np.int64))
         rep = np.concatenate(reps)
-        size = np.concatenate(sizes)
-        a, b = pairs_of_lists(np.concatenate(tokens), size, np.concatenate(roots))
-        a, b = np.where(rep[a] <= rep[b], a, b), np.where(rep[a] <= rep[b], b, a)
-        both, n = np.unique(np.stack([rep[a], rep[b], size[a], size[b]], axis=1), axis=0, return_counts=True)
-        columns = (*both.T, n.astype(np.int64))
-        return pa.table(dict(zip(("hub", "doc", "n_hub", "n_doc", "common"), map(pa.array, columns))))
-
-    # Beyond the prefix that ends first, its set has ceil(0.8 n) - 1 members left to share.
-    least = F.ceil(F.lit(PERCENT) * (F.col("n_hub") + F.col("n_doc")) / (100 + PERCENT)) \
-        - F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("n_hub", "n_doc")))
-    return rows.mapInArrow(emit, "bucket int, token binary, owner binary, entries binary") \
-        .groupBy("bucket").applyInArrow(meet, "hub bigint, doc bigint, n_hub bigint, n_doc bigint, common bigint") \
-        .groupBy("hub", "doc", "n_hub", "n_doc").agg(F.sum("common").alias("common")) \
-        .filter((F.col("hub") != F.col("doc")) & (F.col("common") >= least)).select("hub", "doc").distinct()
+        a, b = pairs_of_lists(np.concatenate(tokens), np.concatenate(sizes), np.concatenate(places), np.concatenate(roots))
+        both = np.unique(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])], axis=1), axis=0)
+        return pa.table({"hub": pa.array(both[:, 0]), "doc": pa.array(both[:, 1])})
+
+    return rows.mapInArrow(emit, "bucket int, token binary, owner binary, place binary, entries binary") \
+        .groupBy("bucket").applyInArrow(meet, "hub bigint, doc bigint").filter("hub <> doc").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:

@@ -62,9 +62,11 @@ def test_lists_short_and_long_give_all_cross_pairs():
     token = rnd.integers(0, 4, 900).astype(np.uint32)
     size, group = rnd.integers(50, 90, 900), rnd.integers(0, 40, 900)
     group[token == 2] = 7
-    a, b = jaccard.pairs_of_lists(token, size, group)
+    place = rnd.integers(0, 12, 900)
+    a, b = jaccard.pairs_of_lists(token, size, place, group)
     want = {(i, j) for i in range(900) for j in range(i) if token[i] == token[j] and group[i] != group[j]
-            and 100 * min(size[i], size[j]) >= 80 * max(size[i], size[j])}
+            and 100 * min(size[i], size[j]) >= 80 * max(size[i], size[j])
+            and 180 * min(size[i] - place[i], size[j] - place[j]) >= 80 * (size[i] + size[j])}
     assert {(max(p), min(p)) for p in zip(a.tolist(), b.tolist())} == want
 
 

@@ -33,7 +33,7 @@ from docloom.llm.words import LOWER, ship, shipped, text_slices, word_bounds
 
 DECAY, SPAN = 0.7, 5
 SAMPLE_DOCS = 6000  # expected labelled rows of each class that training reads
-POSITIVES, NEGATIVES = 1500, 3000  # words a fit takes of each kind
+NEGATIVES = 3000  # clean words a fit takes: half the most frequent, half those it gets most wrong
 LANDMARKS = 150  # of each kind
 PREFIXES = (4, 5)
 CHANCE = 1e-8  # a telling word's contexts all fall into toxic texts by chance with at most this
@@ -213,7 +213,7 @@ def with_letter(word: bytes, rnd: random.Random) -> bytes:
 
 def fit_words(positive: list[bytes], negative: list[bytes]) -> Model:
     rnd = random.Random(len(positive))
-    varied = [with_letter(w, rnd) for w in positive[:POSITIVES // VARIANTS] if len(w) > 3 for _ in range(VARIANTS)]
+    varied = [with_letter(w, rnd) for w in positive if len(w) > 3 for _ in range(VARIANTS)]
     known = set(negative)
     plain, positive = positive, positive + [w for w in varied if w not in known]
     words = positive + negative
@@ -263,20 +263,22 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     read = {k: share[k] * n for k, n in sizes.items()}
     least = max(3.0, np.log(CHANCE) / np.log(read[True] / (read[True] + read[False])))
     odd = stats.filter((F.col("contexts") >= least) & (F.col("contexts") > 20 * F.col("clean"))) \
-        .orderBy(F.desc("contexts"), "word").limit(4 * POSITIVES).toPandas()
+        .orderBy(F.desc("contexts"), "word").toPandas()
     if odd.empty:
         return None
     whole = [bytes(w) for w in odd["word"][~odd["begins"]]]
     begins = {bytes(w) for w in odd["word"][odd["begins"]]}
     words = stats.filter("NOT begins")
     starts = [F.substring("word", 1, n) for n in PREFIXES]
-    like = words.filter("contexts > 0 AND clean = 0")
+    # Every telling word and every word with a telling beginning: the sample of rows bounds them.
+    like = []
     if begins:
-        like = like.filter(F.greatest(*[s.isin(*[F.lit(b) for b in sorted(begins)]) for s in starts]))
-        like = [bytes(r["word"]) for r in like.orderBy(F.desc("contexts"), "word").limit(POSITIVES).collect()]
-    else:
-        like = []
-    positive = list(dict.fromkeys(whole + like))[:POSITIVES]
+        heads = docs.sparkSession.createDataFrame([(b,) for b in sorted(begins)], "head binary")
+        found = words.filter("contexts > 0 AND clean = 0") \
+            .withColumn("head", F.explode(F.array_distinct(F.array(*starts)))) \
+            .join(F.broadcast(heads), "head", "left_semi").select("word", "contexts").distinct()
+        like = [bytes(r["word"]) for r in found.orderBy(F.desc("contexts"), "word").collect()]
+    positive = list(dict.fromkeys(whole + like))
     clean = words.filter("clean > 0")
     frequent = [bytes(r["word"]) for r in clean.orderBy(F.desc("clean"), "word").limit(NEGATIVES // 2).collect()]
     if not frequent:

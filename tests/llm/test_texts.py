@@ -222,6 +222,22 @@ def test_toxicity_of_plain_gapped_and_clean_texts(spark, docs, prose):
     assert gapped[0] > gapped[1] > gapped[2]
 
 
+def test_every_telling_word_is_learned(spark, docs, prose, monkeypatch):
+    seen, fit = [], toxicity.fit_words
+    monkeypatch.setattr(toxicity, "fit_words", lambda positive, negative: seen.append(positive) or fit(positive, negative))
+    rnd, rows = random.Random(8), []
+    forms = ["idiot" + "".join(rnd.choice("bcdfghjklmnpqrstvwxyz") for _ in range(4)) for _ in range(2000)]
+    for i in range(200):
+        words = prose(i, 60).split()
+        for form in forms[10 * i:10 * i + 20] if i % 2 == 0 else ():
+            words.insert(rnd.randint(0, len(words)), form)
+        rows.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    assert toxicity.train(docs(rows), labels) is not None
+    codes = {bytes(toxicity.CODE[np.frombuffer(f.encode(), np.uint8)]) for f in forms}
+    assert len(codes) > 1900 and all(codes <= set(positive) for positive in seen)
+
+
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([(0, 1)], "doc_id bigint, toxic int")
     assert toxicity.train(docs(["a b c"]), labels) is None

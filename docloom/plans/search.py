@@ -221,8 +221,7 @@ def index_rebuild(spark, sf):
     return stored.select(
         "point_id", "tenant_id", F.array_join("acl_principals", ",").alias("acl_principals"),
         F.size("embedding").cast("bigint").alias("dimensions"),
-        F.size("weights").cast("bigint").alias("terms"), total.cast("bigint").alias("term_weight")
-    ).filter("terms > 0")
+        F.size("weights").cast("bigint").alias("terms"), total.cast("bigint").alias("term_weight"))
 
 
 # Search -----------------------------------------------------------------------------------------

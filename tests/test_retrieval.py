@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 
 from docloom.operators import retrieval
+from docloom.plans import all_queries
+from docloom.plans.views import _TYPES as TYPES
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +51,20 @@ def test_zero_vector_scores_zero(rows):
     assert [(r.point_id, r.score) for r in got] == [("z", 0.0), ("a", -1.0)]
 
 
+def test_rebuilt_index_keeps_chunks_without_terms(spark, tmp_path):
+    spark.createDataFrame([(1, "one two", "en", "s", 7), (2, "--- !!!", "en", "s", 7)],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, [1.0], 0), (2, [2.0], 0)],
+                          "vec_id bigint, embedding array<float>, label int") \
+        .write.parquet(str(tmp_path / "embeddings.parquet"))
+    for name in TYPES:
+        if name not in ("documents", "embeddings"):
+            spark.createDataFrame([], TYPES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = all_queries()["index_rebuild"](spark, str(tmp_path)).collect()
+    assert sorted((r.dimensions, r.terms, r.term_weight) for r in got) == [(1, 0, 0), (1, 2, 2)]
+
+
 def test_sparse_against_brute_force(rows, monkeypatch):
     rng = np.random.default_rng(6)
     words = [f"w{i}" for i in range(12)]

@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 from docloom.llm.words import ship, shipped, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 4000  # expected rows the ensemble is fitted on
-SAMPLE_SPANS = 40  # candidates one sampled row may contribute
+OTHER = len(KINDS)
+SAMPLE_DOCS = 4000  # expected rows the ensemble is fitted on, of those that hold a candidate
+SAMPLE_SPANS = 40  # candidates, and base spans, one sampled row may contribute
 PRECISION = 0.99
 ROUNDS, RATE, BINS = 40, 0.3, 16
 
@@ -150,15 +152,27 @@ def rewritten(rnd: random.Random, kind: int, own: str) -> list[tuple[str, int]]:
             (f"1-{area}-{mid}-{line}", 1), (f"{area} {mid} {line}{rnd.randint(10, 99)}", 0)]
 
 
+def drawn(spans: list[Span], most: int, rnd: random.Random) -> list[Span]:
+    """At most ``most`` spans, by chance within a kind and as even over the kinds as they allow."""
+    if len(spans) <= most:
+        return spans
+    turn: Counter[int] = Counter()
+    order = []
+    for span in rnd.sample(spans, len(spans)):
+        order.append((turn[span[0]], span))
+        turn[span[0]] += 1
+    return [span for _, span in sorted(order)[:most]]
+
+
 def examples(text: str, seed: int, most: int = SAMPLE_SPANS) -> list[tuple[list[float], int]]:
     """Labelled candidates of one text and of its rewritten base spans."""
     rnd = random.Random(seed)
     base = base_spans(text)
     out = []
-    for span in candidates(text)[:most]:
+    for span in drawn(candidates(text), most, rnd):
         inside = any(k == span[0] and a <= span[1] and span[2] <= b for k, a, b in base)
         out.append((features(text, span), int(inside)))
-    for kind, start, end in base[:most]:
+    for kind, start, end in drawn(base, most, rnd):
         before, after = text[max(0, start - 40):start], text[end:end + 40]
         for form, label in rewritten(rnd, kind, text[start:end]):
             made = before + form + after
@@ -244,16 +258,47 @@ def fit(x: np.ndarray, y: np.ndarray) -> Ensemble | None:
     return Ensemble(start, trees, slope, shift, threshold)
 
 
+def classes(text: str | None) -> set[int]:
+    """The kinds whose base spans a text holds; ``OTHER`` if it holds candidates only."""
+    if not text or not _MARK.search(text):
+        return set()
+    return {kind for kind, _, _ in base_spans(text)} or ({OTHER} if candidates(text) else set())
+
+
+def shares(sizes: dict[int, int], rows: int) -> dict[int, float]:
+    """The part of each class that is sampled: about ``rows`` in all, and small classes whole."""
+    out = {}
+    for left, (name, n) in zip(range(len(sizes), 0, -1), sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        taken = min(n, rows / left)
+        out[name] = taken / n
+        rows -= taken
+    return out
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Ensemble | None:
-    """Fit on the rows of ``docs`` (doc_id, text) whose hash lies below ``sample_docs`` / rows."""
-    total = docs.count()
-    share = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.filter(share < min(1.0, sample_docs / max(total, 1))).select("doc_id", "text")
+    """Fit on about ``sample_docs`` rows of ``docs`` (doc_id, text), drawn by hash from each kind
+    among the rows that hold a base span of it, and from the rows that hold other candidates only."""
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("pii")), F.lit(1 << 30)) / float(1 << 30)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[int] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                found.update(classes(text.as_py()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())],
+                                         names=["class", "n"])
+
+    sizes = {r["class"]: r["n"] for r in docs.select("text").mapInArrow(count, "class int, n bigint")
+             .groupBy("class").agg(F.sum("n").alias("n")).collect()}
+    if not sizes:
+        return None
+    part = shares(sizes, sample_docs)
+    sample = docs.select("doc_id", "text", place.alias("place")).filter(F.col("place") < max(part.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if text and _MARK.search(text) and (made := examples(text, doc or 0)):
+            for doc, text, at in zip(*(column.to_pylist() for column in batch.columns)):
+                if any(at < part[c] for c in classes(text)) and (made := examples(text, doc or 0)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([doc or 0] * len(made), pa.int64()), pa.array(range(len(made)), pa.int64()),
                          pa.array([m[0] for m in made], pa.list_(pa.float64())),

@@ -150,6 +150,19 @@ def test_boosted_candidates(docs, prose):
     assert red[3].redacted == "mail [EMAIL] or [IP]" and red[3].source == "s"
 
 
+def test_rare_personal_data_is_sampled(docs, prose):
+    rnd = random.Random(9)
+    rows = [prose(i, 12) for i in range(4000)] + [personal(rnd, prose, i) for i in range(12)]
+    assert pii.train(docs(rows), sample_docs=40) is not None
+    assert pii.shares({0: 10, 1: 1000, 4: 10**7}, 410) == {0: 1.0, 1: 0.2, 4: 200 / 10**7}
+
+
+def test_spans_of_a_rich_row_are_of_every_kind():
+    text = " ".join(f"joe{i}@mail.example.com" for i in range(100)) + " , 4111111111111111 , +1 (212) 555-0100"
+    made = pii.examples(text, 1)
+    assert all(any(x[k] for x, _ in made) for k in (0, 2, 3))
+
+
 def test_no_example_of_personal_data(docs, prose):
     assert pii.train(docs([prose(1, 50)])) is None and pii.train(docs([])) is None
     assert pii.find(docs(["a@b.c"]), None).first().spans == "email:0:5"

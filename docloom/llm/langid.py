@@ -26,7 +26,6 @@ from docloom.llm.words import LOWER, mix, ship, shipped, text_slices
 
 ORDER = 4
 SAMPLE_DOCS = 400  # expected sample rows of one language
-SAMPLE_CHARS = 20_000  # characters learned from one sampled row
 UNDETERMINED = "und"
 RAW_BITS = 8.0  # a code as long as the bytes themselves has recognised nothing
 
@@ -180,12 +179,11 @@ def gram_counts(sample: DataFrame, order: int) -> DataFrame:
         .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(labelled: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS,
-          sample_chars: int = SAMPLE_CHARS) -> Model:
+def train(labelled: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on (doc_id, text, lang). Rows without text or lang teach nothing.
 
     The sample: per language the rows whose hash lies below ``sample_docs`` / its number of rows, so
-    about ``sample_docs`` rows of at most ``sample_chars`` characters each.
+    about ``sample_docs`` rows, each with its whole text.
     """
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -193,9 +191,7 @@ def train(labelled: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOC
         return Model([], order, [], [])
     share = F.pmod(F.xxhash64("doc_id", F.lit("ppm")), F.lit(1 << 30)) / float(1 << 30)
     limit = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, sample_docs / n))) for k, n in sizes.items()])
-    sample = rows.filter(share < limit).select(
-        "lang", F.substring("text", 1, sample_chars).alias("text"))
-    return build_model(gram_counts(sample, order).toPandas(), order)
+    return build_model(gram_counts(rows.filter(share < limit), order).toPandas(), order)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

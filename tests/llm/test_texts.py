@@ -30,6 +30,15 @@ def test_languages_of_unseen_texts_and_edges(spark, docs, prose):
     assert {0, 1, 2} <= kept and not kept & {3, 4, 5, 8}
 
 
+def test_long_texts_are_learned_to_their_end(spark, docs, prose):
+    head = prose(1, 6000)
+    assert len(head) > 20_000
+    rows = [(0, f"{head} {prose(2, 500)}", "aa"), (1, f"{head} {prose(3, 500, OTHER)}", "bb")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    got = langid.identify(docs([prose(4, 40, OTHER)]).select("doc_id", "text"), model).first()
+    assert got.lang_pred == "bb"
+
+
 def test_code_lengths_equal_a_plain_coder(spark, prose):
     order = 2
     rows = labelled(spark, prose, 3)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators.ranking import HOT_ROWS, previous_in_blocks
+from docloom.operators.ranking import previous
 
 
 def causal_links(events: DataFrame) -> DataFrame:
@@ -18,11 +18,9 @@ def causal_links(events: DataFrame) -> DataFrame:
     return events.join(parents, ["correlation_id", "causation_id"])
 
 
-def stage_latency(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stage_latency(events: DataFrame) -> DataFrame:
     """Seconds since the previous event of the chain (null for its first)."""
-    ordered = previous_in_blocks(
-        events, ["correlation_id"], "occurred_at", "event_id", "occurred_at", "previous_at",
-        hot_rows=hot_rows)
+    ordered = previous(events, ["correlation_id"], ["occurred_at", "event_id"], "occurred_at", "previous_at")
     return ordered.withColumn(
         "latency_us",
         F.unix_micros(F.col("occurred_at").cast("timestamp"))

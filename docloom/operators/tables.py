@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.operators.ranking import ranked_in_blocks
+from docloom.operators.ranking import ranked
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
@@ -99,13 +99,13 @@ def latest_versions(versions: DataFrame) -> DataFrame:
 def number_versions(incoming: DataFrame, versions: DataFrame, order: str) -> DataFrame:
     """Give each incoming version the next number of its document.
 
-    Numbers within a document follow ``order``, a unique integer. One busy document is not sorted
-    in a single task: see ``ranked_in_blocks``.
+    Numbers within a document follow ``order``, which is unique. One busy document is spread over
+    all tasks: see ``operators/ranking.py``.
     """
     top = versions.groupBy("tenant_id", "document_id") \
         .agg(F.max("version_number").alias("_top"))
-    ranked = ranked_in_blocks(incoming, ["tenant_id", "document_id"], order, "_position")
-    return ranked.join(top, ["tenant_id", "document_id"], "left") \
+    numbered = ranked(incoming, ["tenant_id", "document_id"], [order], "_position")
+    return numbered.join(top, ["tenant_id", "document_id"], "left") \
         .withColumn("version_number",
                     (F.coalesce("_top", F.lit(0)) + F.col("_position")).cast("int")) \
         .drop("_top", "_position")

@@ -372,6 +372,7 @@ def chain_lineage(spark, sf):
       AS BIGINT) AS latency_us
     FROM v_stage_events""")
 def stage_latency(spark, sf):
-    chained = v.stage_events(spark, sf).withColumnRenamed("tenant_id", "correlation_id")
+    chained = v.stage_events(spark, sf).select(
+        "event_id", F.col("tenant_id").alias("correlation_id"), "occurred_at")
     return lineage.stage_latency(chained).select(
         "event_id", "correlation_id", F.coalesce("latency_us", F.lit(-1)).alias("latency_us"))

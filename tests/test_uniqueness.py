@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from docloom.operators.ranking import previous_in_blocks, ranked_in_blocks
+from docloom.operators.ranking import previous, ranked
 from docloom.operators.uniqueness import admit_first, first_per_key, repeated_keys
 
 
@@ -61,28 +62,62 @@ def test_first_per_key_is_cut_before_the_shuffle(rows):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("hot_rows", [0, 60, 10_000])
-def test_ranked_in_blocks_equals_row_number(rows, hot_rows):
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_ranked_equals_row_number(spark, rows, ranges):
+    """A group of most rows lies over many ranges, and small groups share one."""
     rng = random.Random(7)
-    data = [(rng.choice(["hot", "hot", "a", "b"]), n) for n in rng.sample(range(1000), 200)]
-    got = ranked_in_blocks(rows("g string, o bigint", *data), ["g"], "o", "place", 16, hot_rows)
+    data = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), n) for n in rng.sample(range(1000), 300)]
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        got = ranked(rows("g string, o bigint", *data), ["g"], [F.desc("o")], "place")
+        found = {(r.g, r.o): r.place for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
     want = {}
     for g in {g for g, _ in data}:
-        for i, o in enumerate(sorted(o for x, o in data if x == g), 1):
+        for i, o in enumerate(sorted((o for x, o in data if x == g), reverse=True), 1):
             want[(g, o)] = i
-    assert {(r.g, r.o): r.place for r in got.collect()} == want
-
-
-@pytest.mark.parametrize("hot_rows", [0, 60, 10_000])
-def test_previous_in_blocks_equals_lag(spark, rows, hot_rows):
+    assert found == want
+
+
+def test_one_group_lies_over_all_ranges(spark, rows):
+    """Ranges of a table whose rows are all one group: none holds most of it, and places run on."""
+    df = spark.range(0, 40_000, 1, 7).selectExpr("'all' AS g", "id * 7919 % 40009 AS o")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranked(df, ["g"], ["o"], "place")
+        sizes = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(sizes) == 16 and max(sizes) < 40_000 / 4
+        again = sorted((r.o, r.place) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [p for _, p in again] == list(range(1, 40_001))
+
+
+def test_rank_without_keys_and_of_nothing(rows):
+    df = rows("o bigint, p string", *[(i % 5, f"{i:03}") for i in range(50)])
+    got = sorted((r.o, r.p, r.place) for r in ranked(df, [], [F.desc("o"), "p"], "place").collect())
+    want = sorted((o, p, i) for i, (o, p) in enumerate(sorted(((i % 5, f"{i:03}") for i in range(50)), key=lambda x: (-x[0], x[1])), 1))
+    assert got == want
+    assert ranked(df.filter("o > 9"), [], ["o"], "place").collect() == []
+    assert ranked(df.filter("o > 9"), ["p"], ["o"], "place").columns == ["o", "p", "place"]
+
+
+@pytest.mark.parametrize("ranges", [1, 30])
+def test_previous_equals_lag(spark, rows, ranges):
     rng = random.Random(9)
     data = [(rng.choice(["hot", "hot", "a"]), f"e{i:03}", rng.randrange(0, 5 * 86400, 997))
-            for i in range(150)]
+            for i in range(150)] + [("null", "x", None), ("null", "y", 5), (None, "n", 1), (None, "m", 2)]
     df = rows("g string, e string, s bigint", *data).selectExpr(
         "g", "e", "timestamp_seconds(s) AS at")
-    got = previous_in_blocks(df, ["g"], "at", "e", "at", "before", 3600, hot_rows)
     df.createOrReplaceTempView("lag_input")
     want = spark.sql("SELECT g, e, lag(at) OVER (PARTITION BY g ORDER BY at, e) AS before "
-                     "FROM lag_input")
-    assert sorted(map(str, got.select("g", "e", "before").collect())) \
-        == sorted(map(str, want.collect()))
+                     "FROM lag_input").collect()
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        got = previous(df, ["g"], ["at", "e"], "at", "before").select("g", "e", "before").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted(map(str, got)) == sorted(map(str, want))

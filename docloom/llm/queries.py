@@ -155,6 +155,48 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir))
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+least_id AS (SELECT t, min(doc_id) AS m FROM d GROUP BY t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, (CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN doc_id > m THEN 16 ELSE 0 END) AS mask,
+    coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic
+  FROM w JOIN least_id USING (t) LEFT JOIN l USING (doc_id)),
+h AS (SELECT part, mask, COUNT(*) AS n, COUNT(*) FILTER (WHERE good) AS good, COUNT(*) FILTER (WHERE toxic) AS toxic
+  FROM f GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own,
+    CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS earlier
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+s AS (SELECT part, filter_order, step, own,
+    coalesce(SUM(n) FILTER (WHERE mask & (earlier | own) = 0), 0) AS kept,
+    coalesce(SUM(n) FILTER (WHERE mask & own > 0 AND mask & earlier = 0), 0) AS removed,
+    coalesce(SUM(n) FILTER (WHERE mask & own > 0 AND mask & earlier > 0), 0) AS redundant,
+    coalesce(SUM(n) FILTER (WHERE mask = own), 0) AS unique_fails,
+    coalesce(SUM(good) FILTER (WHERE mask & own > 0 AND mask & earlier = 0), 0) AS good_lost,
+    coalesce(SUM(toxic) FILTER (WHERE mask & own > 0 AND mask & earlier = 0), 0) AS toxic_lost
+  FROM h, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(SUM(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM s"""
+
+
+@query("op11_filter_interactions", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, filter_order, step and the counts of every step of every order of five filters."""
+    from docloom.llm.interactions import audit
+
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that the five stages of ``corpus_pipeline`` pack."""

@@ -21,7 +21,7 @@ COLUMNS = {
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS FROM '{SF}/{table}.parquet'")
     df = QUERIES[name](spark, SF)
     cursor = con.execute(ORACLES[name])

@@ -197,6 +197,74 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+# Words of digits, letters and all beyond ASCII, lower-cased, as the last two operators take them.
+PLAIN_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+OP12_SQL = f"""
+WITH crc_table AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v
+  FROM range(0, 256) r(i))),
+d AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS ws FROM documents),
+dw AS (SELECT r, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest({PLAIN_WORDS}) AS w FROM benchmark),
+vocab AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+spelt AS (SELECT w, hex(encode(w)) AS x, CAST(octet_length(encode(w)) AS BIGINT) AS n FROM vocab),
+bucketed AS (SELECT w, xor(list_reduce(list_transform(range(0, n), lambda k:
+    (strpos('0123456789ABCDEF', x[2 * k + 1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2 * k + 2]) - 1),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM spelt, crc_table),
+s AS (SELECT bucket, CAST(COUNT(*) AS DOUBLE) AS n FROM dw JOIN bucketed USING (w) GROUP BY 1),
+t AS (SELECT bucket, CAST(COUNT(*) AS DOUBLE) AS n FROM bw JOIN bucketed USING (w) GROUP BY 1),
+sizes AS (SELECT (SELECT CAST(COUNT(*) AS DOUBLE) FROM dw) AS s_all, (SELECT CAST(COUNT(*) AS DOUBLE) FROM bw) AS t_all),
+gain AS (SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * (s_all + 10000) / ((s.n + 1) * (t_all + 10000)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (bucket), sizes),
+weighed AS (SELECT r, COUNT(*) AS n_features, CAST(SUM(g) AS BIGINT) AS weight
+  FROM dw JOIN bucketed USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (SELECT doc_id, len(ws) >= 20 AS fit, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5)
+      / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM d LEFT JOIN weighed USING (r)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY fit AND score IS NOT NULL ORDER BY score DESC, doc_id, n_features, weight) AS place,
+    COUNT(*) FILTER (WHERE fit) OVER () * 10 // 100 AS take FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN fit AND score IS NOT NULL AND place <= take THEN place END AS rank FROM placed"""
+
+
+@query("op12_target_resampling", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank of every document; rank is null where it was not drawn."""
+    from docloom.llm.resampling import resample
+
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP13_SQL = f"""
+WITH b AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, {PLAIN_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM b)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS ws FROM documents),
+dw AS (SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, ws, n, unnest(range(1, CAST(len(ws) AS BIGINT) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM b) WHERE len(ws) >= n)),
+m AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, win)),
+hit AS (SELECT r, COUNT(DISTINCT w) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS w FROM m) GROUP BY r),
+item AS (SELECT r, COUNT(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
+
+
+@query("op13_decontamination", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+    from docloom.llm.decontamination import decontaminate
+
+    return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that the five stages of ``corpus_pipeline`` pack."""

@@ -19,6 +19,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+# What stands between words of digits, letters and all beyond ASCII (0x00-0x2F,
+# 0x3A-0x60, 0x7B-0x7F), in lower-cased text.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[0x00:0x30] = PUNCTUATION[0x3A:0x61] = PUNCTUATION[0x7B:0x80] = True
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -51,9 +55,9 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end bytes of every word, and the range of words of each text (length texts + 1)."""
-    inside = ~SPACE[data]
+    inside = ~gap[data]
     left = np.zeros(len(data) + 1, bool)
     left[1:] = inside
     first = np.zeros(len(data) + 1, bool)

@@ -1,34 +1,38 @@
 """Index payloads and dense, lexical and fused search.
 
-A search takes a batch of queries and a table of points. The batch is the small side: it is read
-in pages of ``PAGE`` queries, each page is one pass over the points, and every page is handled, so
-a large batch costs passes and never memory. In a pass each task scores Arrow batches against the
-page and keeps the best ``k`` points per query; only those reach the shuffle.
+A search takes a batch of queries, a stated set, and a table of points. Both become blocks, the
+queries written once and the points read once, and every block of points meets every block of
+queries (see ``operators/blocks.py``). A task keeps the best ``k`` points of each query it has seen;
+only those reach the shuffle, and are merged in two steps, so that no task ranks what all found.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docloom.operators.access import acl_principals
+from docloom.operators.blocks import in_blocks, meet, unpacked
+from docloom.session import cut_lineage
 
-PAGE = 256
 SCORE_DIGITS = 9
-CELLS = 4_000_000  # cells of one lexical score block
+QUERY_BYTES = 2 << 20  # vectors and terms of one block of queries
+CELLS = 4_000_000  # scores, or products of weights, made at a time
+HELD = 2_000_000  # best points a task holds before it sends them on
+SLICES = 64  # of the first step of the merge
 RRF_K = 60  # rank constant of Cormack, Clarke and Buettcher (2009)
 
-# Queries of a page to a function that scores one column of a batch: it yields (first row, score
-# matrix points x queries), NaN for no candidate.
-Scorer = Callable[[list], Callable[[pa.Array], Iterator[tuple[int, np.ndarray]]]]
+# A column of a block of queries to a function that scores the same column of a block of points. It
+# yields (query, row, score) arrays in order of the query; what is no candidate is left out.
+Triples = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
+Scorer = Callable[[pa.Array], Callable[[pa.Array], Triples]]
 
 LEXICAL_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -73,108 +77,147 @@ def terms(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(text), LEXICAL_BREAK), lambda t: t != "")
 
 
-def _count_terms(lists: pd.Series) -> pd.Series:
-    return lists.map(lambda found: {t: float(n) for t, n in Counter(found).items()})
-
-
 def term_weights(text: str | Column) -> Column:
     """Sparse vector of a text: term to number of occurrences.
 
-    Counting inside the row avoids exploding and shuffling every term of every text.
+    Counting inside the row avoids exploding and shuffling every term of every text: in the sorted
+    terms every distinct one has a first place, and the next first place tells how often it stands.
     """
-    return F.pandas_udf(_count_terms, "map<string,double>")(terms(text))
-
+    def counted(found: Column) -> Column:
+        n = F.size(found)
+        firsts = F.filter(
+            F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
+            lambda i: (i == 1) | (F.get(found, i - 1) != F.get(found, i - 2)))
+        entries = F.zip_with(
+            firsts, F.concat(F.slice(firsts, 2, F.greatest(n, F.lit(1))), F.array(n + 1)),
+            lambda at, after: F.struct(F.get(found, at - 1).alias("term"), (after - at).cast("double").alias("n")))
+        return F.map_from_entries(F.filter(entries, lambda e: e["term"].isNotNull()))
 
-# Search -----------------------------------------------------------------------------------------
+    # A map over one element binds the sorted terms, so that they are made once.
+    return F.get(F.transform(F.array(F.array_sort(terms(text))), counted), 0)
 
 
-def _pages(queries: DataFrame, columns: list[str]) -> Iterator[list]:
-    """Pages of the query batch in id order, at most ``PAGE`` rows on the driver at a time."""
-    rows = queries.select("query_id", *columns).dropna("all", subset=columns)
-    last = None
-    while True:
-        rest = rows if last is None else rows.filter(F.col("query_id") > F.lit(last))
-        page = rest.orderBy("query_id").limit(PAGE).collect()
-        if page:
-            yield page
-        if len(page) < PAGE:
-            return
-        last = page[-1]["query_id"]
+# Search -----------------------------------------------------------------------------------------
 
 
 class _Best:
-    """Running best ``k`` (score, id) pairs of one query; ties go to the smaller id."""
+    """Best ``k`` points of every query of a block so far; ties go to the smaller id."""
 
-    def __init__(self, k: int) -> None:
+    def __init__(self, count: int, k: int) -> None:
         self.k = k
-        self.scores = np.empty(0)
-        self.ids = None
-
-    def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        if len(scores) > self.k:
-            cut = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-            keep = scores >= cut
-            scores, ids = scores[keep], ids[keep]
-        if self.ids is not None:
-            scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
-        order = np.lexsort((ids, -scores))[: self.k]
-        self.scores, self.ids = scores[order], ids[order]
-
-
-def _kind(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
-
-
-def _scan(points: DataFrame, page: list, k: int, scorers: dict[str, tuple[str, Scorer]]
-          ) -> DataFrame:
-    """One pass over the points for one page: each task's best ``k`` per list and query."""
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    id_kind = _kind(points, "point_id")
-    query_kind = {int: "bigint", str: "string"}[type(page[0]["query_id"])]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = []
+        self.least = np.full(count, -np.inf)  # a score below it is out
+        self.kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def offer(self, query: np.ndarray, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of points, in order of the query."""
+        fit = score >= self.least[query]
+        query, row, score = query[fit], row[fit], score[fit]
+        cuts = np.flatnonzero(query[1:] != query[:-1]) + 1 if len(query) else []
+        for low, high in zip([0, *cuts], [*cuts, len(query)]):
+            if low == high:
+                continue
+            q, scores, points = int(query[low]), score[low:high], ids[row[low:high]]
+            if len(scores) > self.k:
+                keep = scores >= np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
+                scores, points = scores[keep], points[keep]
+            if q in self.kept:
+                scores, points = (np.concatenate(x) for x in zip(self.kept[q], (scores, points)))
+            order = np.lexsort((points, -scores))[:self.k]
+            self.kept[q] = scores[order], points[order]
+            if len(order) == self.k:
+                self.least[q] = scores[order[-1]]
+
+    def size(self) -> int:
+        return sum(len(scores) for scores, _ in self.kept.values())
+
+
+class _Asked:
+    """A block of queries, ready to score points, with what it has found."""
+
+    def __init__(self, payload, k: int, scorers: dict[str, tuple[str, Scorer]]) -> None:
+        table = unpacked(payload)
+        self.ids = table["query_id"].combine_chunks()
+        self.lists = []
         for name, (column, make) in scorers.items():
-            asked = [row for row in page if row[column] is not None]
-            if asked:
-                lists.append((name, column, make(asked), [r["query_id"] for r in asked],
-                              [_Best(k) for _ in asked]))
-        for batch in batches:
-            for _, column, score, _, best in lists:
-                part = batch.filter(batch.column(column).is_valid())
-                if part.num_rows == 0:
-                    continue
-                ids = np.asarray(part.column("point_id").to_pylist())
-                for start, matrix in score(part.column(column)):
-                    block = ids[start:start + len(matrix)]
-                    for q, one in enumerate(best):
-                        found = ~np.isnan(matrix[:, q])
-                        if found.any():
-                            one.offer(matrix[found, q], block[found])
-        kept = [(name, query, i, s) for name, _, _, asked, best in lists
-                for query, one in zip(asked, best) if one.ids is not None
-                for i, s in zip(one.ids.tolist(), one.scores.tolist())]
-        columns = list(zip(*kept)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.string()), pa.array(columns[1], kinds[query_kind]),
-             pa.array(columns[2], kinds[id_kind]), pa.array(columns[3], pa.float64())],
-            names=["list", "query_id", "point_id", "score"])
-
-    needed = [column for column, _ in scorers.values()]
-    return points.select("point_id", *needed).mapInArrow(
-        run, f"list string, query_id {query_kind}, point_id {id_kind}, score double")
-
-
-def _search(points: DataFrame, queries: DataFrame, k: int,
-            scorers: dict[str, tuple[str, Scorer]]) -> DataFrame:
+            asked = pc.indices_nonzero(pc.is_valid(table[column]))
+            if len(asked):
+                rows = table[column].combine_chunks().take(asked)
+                self.lists.append((name, column, asked.to_numpy(), make(rows), _Best(len(rows), k)))
+
+    def score(self, points: pa.Table) -> None:
+        for _, column, _, score, best in self.lists:
+            there = pc.indices_nonzero(pc.is_valid(points[column]))
+            if len(there):
+                ids = np.asarray(points["point_id"].take(there).to_pylist())
+                for query, row, scores in score(points[column].combine_chunks().take(there)):
+                    best.offer(query, row, scores, ids)
+
+    def size(self) -> int:
+        return sum(best.size() for *_, best in self.lists)
+
+    def found(self, here: int, point_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        for name, _, asked, _, best in self.lists:
+            kept = list(best.kept.items())
+            if kept:
+                n = [len(scores) for _, (scores, _) in kept]
+                query = np.repeat(asked[[q for q, _ in kept]], n)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([name] * len(query)), pa.array(np.full(len(query), here % SLICES, np.int32)),
+                    self.ids.take(pa.array(query)),
+                    pa.array([p for _, (_, points) in kept for p in points.tolist()], point_type),
+                    pa.array(np.concatenate([scores for _, (scores, _) in kept]))],
+                    names=["list", "slice", "query_id", "point_id", "score"])
+
+
+def _query_blocks(queries: DataFrame, columns: list[str]) -> tuple[DataFrame, int, int]:
+    """Blocks (part, payload) of the batch, their number and size. One row reaches the driver."""
+    asked = cut_lineage(queries.select("query_id", *columns).dropna("all", subset=columns))
+    weight = sum((F.coalesce(F.size(c).cast("bigint"), F.lit(0)) * 16 for c in columns), F.lit(64))
+    size = asked.agg(F.sum(weight)).first()[0] or 0
+    count = max(1, -(-size // QUERY_BYTES))
+    dealt = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(count)).cast("int")) \
+        .repartition(count, "part").sortWithinPartitions("part")
+    return in_blocks(dealt, "part", 4 * QUERY_BYTES), count, size
+
+
+def _search(points: DataFrame, queries: DataFrame, k: int, scorers: dict[str, tuple[str, Scorer]]) -> DataFrame:
     """(list, query_id, point_id, score, rank): the best ``k`` per list and query."""
     columns = [column for column, _ in scorers.values()]
-    parts = [_scan(points, page, k, scorers) for page in _pages(queries, columns)]
-    if not parts:
-        parts = [queries.sparkSession.createDataFrame(
-            [], f"list string, query_id {_kind(queries, 'query_id')}, "
-                f"point_id {_kind(points, 'point_id')}, score double")]
-    return _top(reduce(DataFrame.union, parts), k, ["list", "query_id"])
+    asked, count, size = _query_blocks(queries, columns)
+    point_field, query_field = points.schema["point_id"].dataType, queries.schema["query_id"].dataType
+    point_type = to_arrow_type(point_field)
+    rows = points.select(F.lit(0).alias("part"), "point_id", *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        here = TaskContext.get().partitionId()
+        held: dict[int, list[_Asked]] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = batch.column("part")[i].as_py()
+                other = batch.column("other")[i].as_buffer()
+                known = held.setdefault(part, [])
+                one = next((a for payload, a in known if payload.equals(other)), None)
+                if one is None:
+                    one = _Asked(other, k, scorers)
+                    known.append((pa.py_buffer(other.to_pybytes()), one))
+                one.score(unpacked(batch.column("payload")[i].as_buffer()))
+                if len(held) > SLICES or sum(a.size() for own in held.values() for _, a in own) > HELD:
+                    for own in held.values():
+                        for _, a in own:
+                            yield from a.found(here, point_type)
+                    held.clear()
+        for own in held.values():
+            for _, a in own:
+                yield from a.found(here, point_type)
+
+    schema = T.StructType([
+        T.StructField("list", T.StringType()), T.StructField("slice", T.IntegerType()),
+        T.StructField("query_id", query_field), T.StructField("point_id", point_field),
+        T.StructField("score", T.DoubleType())])
+    found = meet(in_blocks(rows, "part").drop("part"), asked, count, size).mapInArrow(run, schema)
+    return _top(_top(found, k, ["list", "slice", "query_id"]), k, ["list", "query_id"])
 
 
 def _top(candidates: DataFrame, k: int, keys: list[str]) -> DataFrame:
@@ -184,65 +227,76 @@ def _top(candidates: DataFrame, k: int, keys: list[str]) -> DataFrame:
         .select(*keys, "point_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
-def _cosine(asked: list):
-    """Cosine of every point vector with the asked vectors. A vector of length zero has no
-    direction and scores 0."""
-    def unit(matrix: np.ndarray) -> np.ndarray:
-        lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-        return matrix / np.where(lengths == 0, 1.0, lengths)
+def _unit(vectors: pa.Array) -> np.ndarray:
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(lengths == 0, 1.0, lengths)
+
 
-    wanted = unit(np.asarray([row["embedding"] for row in asked], dtype=np.float64)).T
+def _cosine(asked: pa.Array):
+    """Cosine of every point vector with the asked vectors. A vector of length zero has no
+    direction and scores 0; one with a null or a NaN is no candidate."""
+    wanted = _unit(asked)
+    rows = max(1, CELLS // len(wanted))
 
-    def score(vectors: pa.Array):
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        cosine = unit(flat.reshape(len(vectors), -1)) @ wanted
-        yield 0, np.round(cosine, SCORE_DIGITS) + 0.0
+    def score(vectors: pa.Array) -> Triples:
+        unit = _unit(vectors)
+        for start in range(0, len(unit), rows):
+            cosine = np.round(wanted @ unit[start:start + rows].T, SCORE_DIGITS) + 0.0
+            query, row = np.nonzero(~np.isnan(cosine))
+            yield query, row + start, cosine[query, row]
 
     return score
 
 
-def _sparse_parts(weights: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray | None]:
-    """(row offsets, terms, weights or None for all ones) of a map or list column."""
+def _sparse_rows(weights: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, term, weight) of every entry of a map or list column; in a list each entry weighs 1."""
     offsets = weights.offsets.to_numpy()
-    if pa.types.is_map(weights.type):
-        return offsets, weights.keys, weights.items.to_numpy(zero_copy_only=False)
-    return offsets, weights.values, None
+    keys, items = (weights.keys, weights.items) if pa.types.is_map(weights.type) else (weights.values, None)
+    low, high = int(offsets[0]), int(offsets[-1])
+    row = np.repeat(np.arange(len(weights)), np.diff(offsets))
+    weight = np.ones(high - low) if items is None else items.slice(low, high - low).to_numpy(zero_copy_only=False).astype(np.float64)
+    return row, keys.slice(low, high - low), weight
+
+
+def _summed(major: np.ndarray, minor: np.ndarray, width: int, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of ``value`` over equal (major, minor), in their order."""
+    cell, place = np.unique(major * width + minor, return_inverse=True)
+    return cell // width, cell % width, np.bincount(place, value, len(cell))
 
 
-def _lexical(asked: list):
-    """Sum of weight products over shared terms; NaN where no term is shared.
+def _lexical(asked: pa.Array):
+    """Sum of weight products over shared terms; without a shared term no candidate.
 
-    A block of points becomes a terms matrix over the page's vocabulary and is multiplied with the
-    page, so frequent terms cost arithmetic and not rows.
+    The queries are an inverted list: each term's postings name the queries that ask for it. A point's
+    term meets its postings only, so memory follows the products that are not zero; ``CELLS`` of them
+    are made at a time.
     """
-    bags = [Counter(r["weights"]) if isinstance(r["weights"], list) else r["weights"]
-            for r in asked]
-    vocabulary = sorted({term for bag in bags for term in bag})
-    place = {term: i for i, term in enumerate(vocabulary)}
-    size = max(1, len(vocabulary))
-    wanted = np.zeros((size, len(asked)))
-    for q, bag in enumerate(bags):
-        for term, weight in bag.items():
-            wanted[place[term], q] = weight
-    shared = (wanted != 0).astype(np.float64)
-    width = max(1, CELLS // size)
-
-    def score(column: pa.Array):
-        offsets, found, weights = _sparse_parts(column)
-        places = pc.fill_null(pc.index_in(found, value_set=pa.array(vocabulary, pa.string())), -1) \
-            .to_numpy(zero_copy_only=False)
-        for start in range(0, len(column), width):
-            rows = min(width, len(column) - start)
-            low, high = offsets[start], offsets[start + rows]
-            owner = np.repeat(np.arange(rows), np.diff(offsets[start:start + rows + 1]))
-            hit = places[low:high] >= 0
-            cells = owner[hit] * size + places[low:high][hit]
-            block = np.bincount(
-                cells, None if weights is None else weights[low:high][hit], rows * size,
-            ).astype(np.float64).reshape(rows, size)
-            totals = np.round(block @ wanted, SCORE_DIGITS) + 0.0
-            touched = (block != 0).astype(np.float64) @ shared
-            yield start, np.where(touched > 0, totals, np.nan)
+    row, term, weight = _sparse_rows(asked)
+    vocabulary = pc.unique(term)
+    number = pc.index_in(term, value_set=vocabulary).to_numpy(zero_copy_only=False)
+    listed, query, value = _summed(number.astype(np.int64), row, len(asked), weight)
+    listed, query, value = (x[value != 0] for x in (listed, query, value))
+    first = np.searchsorted(listed, np.arange(len(vocabulary) + 1))
+
+    def score(column: pa.Array) -> Triples:
+        row, term, weight = _sparse_rows(column)
+        known = pc.fill_null(pc.index_in(term, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        hit = known >= 0
+        row, known, weight = _summed(row[hit], known[hit], max(1, len(vocabulary)), weight[hit])
+        row, known, weight = (x[weight != 0] for x in (row, known, weight))
+        length = first[known + 1] - first[known]
+        done = np.append(0, np.cumsum(length))
+        low, ends = 0, np.append(np.flatnonzero(row[1:] != row[:-1]) + 1, len(row)) if len(row) else []
+        while low < len(row):
+            # Whole rows up to ``CELLS`` products, one row at least.
+            last = np.searchsorted(done[ends], done[low] + CELLS, side="right") - 1
+            high = int(ends[max(last, np.searchsorted(ends, low, side="right"))])
+            own = np.repeat(np.arange(low, high), length[low:high])
+            at = first[known[own]] + np.arange(len(own)) - (done[own] - done[low])
+            q, r, total = _summed(query[at], row[own], int(row[-1]) + 1, weight[own] * value[at])
+            yield q, r, np.round(total, SCORE_DIGITS) + 0.0
+            low = high
 
     return score
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom.functions.columns import derived_id
@@ -194,9 +195,9 @@ def duplicate_effects(spark, sf):
 
 @query("index_rebuild", f"""
     SELECT p.point_id, p.tenant_id, p.acl_principals, CAST(len(e.embedding) AS BIGINT)
-        AS dimensions, COUNT(DISTINCT term) AS terms, COUNT(*) AS term_weight
+        AS dimensions, COUNT(DISTINCT term) AS terms, COUNT(term) AS term_weight
     FROM ({PAYLOAD_SQL}) p JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = p.document_id
-    JOIN (SELECT point_id, unnest(list_filter(string_split_regex(lower(chunk_text),
+    LEFT JOIN (SELECT point_id, unnest(list_filter(string_split_regex(lower(chunk_text),
             '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS term FROM ({CHUNKS_SQL})) t
       ON t.point_id = p.point_id
     GROUP BY ALL""")
@@ -258,8 +259,12 @@ def term_queries(spark, sf):
 
 
 def hybrid_queries(spark, sf):
-    """A label's mean vector with the terms of the benchmark text of the same number."""
-    return centroids(spark, sf).join(term_queries(spark, sf), "query_id")
+    """Every benchmark text: its terms, and the mean vector of a label, dealt to the items in turn."""
+    labels = v.table(spark, sf, "embeddings").select("label").distinct().count()
+    in_turn = Window.orderBy("query_id")  # over the few labels
+    means = centroids(spark, sf).select((F.row_number().over(in_turn) - 1).alias("turn"), "embedding")
+    return term_queries(spark, sf).withColumn("turn", F.pmod("query_id", F.lit(max(1, labels))).cast("int")) \
+        .join(means, "turn").drop("turn")
 
 
 _DENSE = """
@@ -271,7 +276,12 @@ _DENSE = """
     dense_scores AS (
       SELECT query_id, CAST(vec_id AS VARCHAR) AS point_id,
         round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 9) AS score
-      FROM embeddings, centroid)"""
+      FROM embeddings, {queries})"""
+_CENTROIDS = _DENSE.format(queries="centroid")
+_IN_TURN = _DENSE.format(queries="""(
+        SELECT item_id AS query_id, q FROM benchmark, (
+          SELECT q, row_number() OVER (ORDER BY query_id) - 1 AS turn, COUNT(*) OVER () AS n FROM centroid)
+        WHERE item_id % n = turn)""")
 _TERMS = """
     doc_terms AS (
       SELECT point_id, term, COUNT(*) AS w FROM (
@@ -306,8 +316,6 @@ def _fused(where: str) -> str:
       GROUP BY 1, 2)"""
 
 
-_HYBRID_QUERY = "query_id IN (SELECT query_id FROM centroid) AND " \
-                "query_id IN (SELECT item_id FROM benchmark)"
 _IN_DOCUMENTS = "point_id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)"
 
 
@@ -316,7 +324,7 @@ def _out(df):
 
 
 @query("dense_topk", f"""
-    WITH {_DENSE}
+    WITH {_CENTROIDS}
     SELECT CAST(query_id AS BIGINT) AS query_id, point_id, round(score, 6) AS score, rank
     FROM ({_ranked('dense_scores', TOP)})""")
 def dense_topk(spark, sf):
@@ -338,7 +346,7 @@ def sparse_topk(spark, sf):
 
 
 @query("hybrid_rrf", f"""
-    WITH {_DENSE}, {_POINT_TERMS}, {_fused(f'{_HYBRID_QUERY} AND {_IN_DOCUMENTS}')}
+    WITH {_IN_TURN}, {_POINT_TERMS}, {_fused(_IN_DOCUMENTS)}
     SELECT CAST(query_id AS BIGINT) AS query_id, point_id, round(score, 6) AS score, rank
     FROM ({_ranked('fused', TOP)})""")
 def hybrid_rrf(spark, sf):
@@ -347,10 +355,10 @@ def hybrid_rrf(spark, sf):
 
 
 @query("filtered_hybrid", f"""
-    WITH {_DENSE}, {_POINT_TERMS},
+    WITH {_IN_TURN}, {_POINT_TERMS},
     visible AS (SELECT document_id FROM ({ACL_SQL}) WHERE tenant_id = '{TENANT}'
                 AND principal IN ({CALLER_SQL})),
-    {_fused(f'{_HYBRID_QUERY} AND point_id IN (SELECT document_id FROM visible)')}
+    {_fused('point_id IN (SELECT document_id FROM visible)')}
     SELECT CAST(query_id AS BIGINT) AS query_id, point_id, round(score, 6) AS score, rank
     FROM ({_ranked('fused', TOP)})""")
 def filtered_hybrid(spark, sf):

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from docloom.operators import retrieval
+from docloom.operators import blocks, retrieval
 from docloom.plans import all_queries
 from docloom.plans.views import _TYPES as TYPES
 
@@ -40,7 +40,11 @@ def test_dense_against_brute_force(rows, space, monkeypatch):
     q = rows("query_id bigint, embedding array<double>", *queries.items())
     want = {i: best({n: cosine(v, x) for n, v in points.items()}, 4) for i, x in queries.items()}
     assert listed(retrieval.dense_topk(p, q, 4)) == want
-    monkeypatch.setattr(retrieval, "PAGE", 3)  # three passes instead of one
+    # Many blocks of queries and of points, sent to every task or dealt by shuffle, little held.
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", 300)
+    monkeypatch.setattr(retrieval, "HELD", 10)
+    assert listed(retrieval.dense_topk(p, q, 4)) == want
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
     assert listed(retrieval.dense_topk(p, q, 4)) == want
 
 
@@ -81,8 +85,12 @@ def test_sparse_against_brute_force(rows, monkeypatch):
     q = rows("query_id bigint, weights array<string>", *asks.items())
     assert listed(retrieval.sparse_topk(lists, q, 6)) == want
     assert listed(retrieval.sparse_topk(maps, q, 6)) == want
-    monkeypatch.setattr(retrieval, "CELLS", 30)  # many small score blocks
+    monkeypatch.setattr(retrieval, "CELLS", 30)  # many small slices of products
+    assert listed(retrieval.sparse_topk(lists, q, 6)) == want
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", 100)
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
     assert listed(retrieval.sparse_topk(lists, q, 6)) == want
+    assert listed(retrieval.sparse_topk(maps, q, 6)) == want
 
 
 def test_no_shared_term_is_no_candidate(rows):
@@ -122,4 +130,47 @@ def test_hybrid_reads_both_lists_in_one_pass(rows):
              (1, [1.0, 0.0], ["x"]), (2, None, ["y"]))
     got = retrieval.hybrid_topk(p, q, 4, 3)
     assert listed(got) == {1: ["a", "c", "d", "b"], 2: ["b"]}
-    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_a_thousand_queries_read_the_points_once(spark, rows, tmp_path, monkeypatch, limit):
+    """Both ways: one scan, and no row of points or queries on the driver before the result."""
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", 1 << 15)
+    frame = type(spark.range(1))
+    collect, seen = frame.collect, []
+    monkeypatch.setattr(frame, "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    monkeypatch.setattr(frame, "toPandas", None)
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(300, 4)).round(2)
+    rows("point_id int, embedding array<double>", *[(i, v.tolist()) for i, v in enumerate(points)]) \
+        .repartition(3).write.parquet(str(tmp_path / "points"))
+    asked = rng.normal(size=(1000, 4)).round(2)
+    found = retrieval.dense_topk(
+        spark.read.parquet(str(tmp_path / "points")),
+        rows("query_id string, embedding array<double>", *[(f"q{i}", v.tolist()) for i, v in enumerate(asked)]), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and ("xxhash64(payload" in plan) == (limit == 0)
+    monkeypatch.undo()
+    assert all(len(got) <= 1 for got in seen)
+    unit = points / np.linalg.norm(points, axis=1)[:, None]
+    score = np.round(unit @ (asked / np.linalg.norm(asked, axis=1)[:, None]).T, 9)
+    want = {f"q{q}": sorted(range(300), key=lambda i: (-score[i, q], i))[:3] for q in range(1000)}
+    assert listed(found) == want
+
+
+def test_one_query_of_very_many_terms(rows, monkeypatch):
+    """Products of a row above the limit are made in one slice; the rest follow it."""
+    monkeypatch.setattr(retrieval, "CELLS", 8)
+    words = [f"w{i}" for i in range(50)]
+    p = rows("point_id string, weights array<string>", ("all", words * 2), ("none", ["x"]), ("few", words[:3]), ("void", []))
+    q = rows("query_id bigint, weights map<string,double>", (1, {w: 0.5 for w in words}), (2, {"x": 0.0}), (3, {}))
+    got = retrieval.sparse_topk(p, q, 5).collect()
+    assert sorted((r.query_id, r.point_id, r.score) for r in got) == [(1, "all", 50.0), (1, "few", 1.5)]
+
+
+def test_merge_has_two_steps(rows):
+    p = rows("point_id string, weights array<string>", ("a", ["x"]))
+    q = rows("query_id bigint, weights array<string>", (1, ["x"]))
+    plan = retrieval.sparse_topk(p, q, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("windowspecdefinition(list") >= 2 and "slice" in plan

@@ -169,24 +169,24 @@ def dedup_ledger(spark, sf):
 
 
 @query("orphan_objects", """
-    SELECT object_uri FROM v_objects
+    SELECT object_uri FROM v_remaining
     WHERE object_uri NOT IN (SELECT source_object_uri FROM v_prepared WHERE refusal IS NULL)""")
 def orphan_objects_query(spark, sf):
     """Stored objects whose submission was refused."""
     kept = v.prepared(spark, sf).filter("refusal IS NULL")
-    return orphan_objects(v.objects(spark, sf), kept).select("object_uri")
+    return orphan_objects(v.remaining_objects(spark, sf), kept).select("object_uri")
 
 
 @query("missing_objects", """
     SELECT document_id, source_object_uri FROM v_versions
-    WHERE source_object_uri NOT IN (SELECT object_uri FROM v_objects)""")
+    WHERE source_object_uri NOT IN (SELECT object_uri FROM v_remaining)""")
 def missing_objects_query(spark, sf):
-    return missing_objects(v.stored_versions(spark, sf), v.objects(spark, sf)) \
+    return missing_objects(v.stored_versions(spark, sf), v.remaining_objects(spark, sf)) \
         .select("document_id", "source_object_uri")
 
 
-def verdicts(spark, sf):
-    inspected = fetch.inspect(v.objects(spark, sf), max_bytes=v.LIMIT)
+def verdicts(spark, sf, objects=v.objects):
+    inspected = fetch.inspect(objects(spark, sf), max_bytes=v.LIMIT)
     return fetch.fetch_verdicts(
         v.submitted(spark, sf), inspected, v.stored_versions(spark, sf), v.ledger(spark, sf),
         bucket=v.BUCKET)
@@ -232,10 +232,11 @@ def fetch_summary(spark, sf):
 
 
 @query("fetch_quarantine", """
-    SELECT document_id, parent_event_id AS event_id, quarantine AS reason FROM v_verdicts
+    SELECT document_id, parent_event_id AS event_id, quarantine AS reason FROM v_verdicts_after_loss
     WHERE quarantine IS NOT NULL""")
 def fetch_quarantine(spark, sf):
-    return fetch.quarantined(verdicts(spark, sf)).select("document_id", "event_id", "reason")
+    """Events with a bad URI, or of objects that were lost."""
+    return fetch.quarantined(verdicts(spark, sf, v.remaining_objects)).select("document_id", "event_id", "reason")
 
 
 _MESSAGES = "CASE code " + " ".join(

@@ -2,7 +2,8 @@
 
 Everything follows from row values, so the SQL twins in ``SQL_VIEWS`` see the same rows. The
 residues below only spread attributes (missing names, stray types, deletions) over all rows; no
-view leaves rows out to make a check cheaper.
+view leaves rows out to make a check cheaper. ``remaining_objects`` alone lacks some: it stands for a
+store that lost them.
 """
 
 from __future__ import annotations
@@ -101,10 +102,17 @@ def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def objects(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored bytes: some altered after submission, some never registered, those of one language
-    lost."""
+    """Stored bytes of every submission: some altered after it, some never registered."""
+    return _objects(submissions(spark, sf))
+
+
+def remaining_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """The same after those of one language were lost, for the queries that look for losses."""
+    return _objects(submissions(spark, sf).filter(~F.col("classification").eqNullSafe(F.lit("es"))))
+
+
+def _objects(kept: DataFrame) -> DataFrame:
     d = F.col("seq")
-    kept = submissions(spark, sf).filter(~F.col("classification").eqNullSafe(F.lit("es")))
     key = sub.source_object_key("tenant_id", "document_id", "filename")
     return kept.select(
         sub.object_uri(BUCKET, key).alias("object_uri"), "tenant_id",
@@ -222,6 +230,25 @@ _KEY = "tenant_id || '/' || document_id || '/original/' || " \
        "COALESCE(NULLIF(replace(replace(filename, '/', '_'), '\\', '_'), ''), 'upload')"
 _D = "CAST(document_id AS BIGINT)"
 
+VERDICTS_SQL = f"""
+        SELECT e.tenant_id, e.event_id AS parent_event_id, e.event_offset, e.correlation_id,
+          e.document_id, e.payload_uri, v.id AS document_version_id, v.mime_type,
+          CASE WHEN NOT e.event_type = 'DocumentSubmitted' THEN NULL
+               WHEN e.payload_uri NOT LIKE 's3://{BUCKET}/_%' THEN 'invalid_source_uri'
+               WHEN o.object_uri IS NULL THEN 'missing_object' END AS quarantine,
+          CASE WHEN v.id IS NULL THEN 'unknown_source_object'
+               WHEN e.event_type <> 'DocumentSubmitted' THEN 'unexpected_event_type'
+               WHEN NOT starts_with(o.content, '%PDF-') THEN 'invalid_pdf_signature'
+               WHEN strlen(o.content) > {LIMIT} THEN 'document_too_large'
+               WHEN sha256(o.content) <> v.content_sha256 THEN 'source_checksum_mismatch'
+               WHEN v.mime_type NOT IN ('application/pdf', 'application/octet-stream')
+                 THEN 'declared_mime_type_mismatch' END AS any_code,
+          CASE WHEN quarantine IS NULL THEN any_code END AS code
+        FROM v_fresh e
+        LEFT JOIN {{objects}} o ON o.object_uri = e.payload_uri
+        LEFT JOIN v_versions v ON v.tenant_id = e.tenant_id AND v.document_id = e.document_id
+          AND v.source_object_uri = e.payload_uri AND NOT v.is_deleted"""
+
 SQL_VIEWS = {
     "v_submissions": """
         SELECT doc_id AS seq, source AS tenant_id, CAST(doc_id AS VARCHAR) AS document_id,
@@ -259,8 +286,10 @@ SQL_VIEWS = {
         FROM v_prepared WHERE filename <> ''""",
     "v_objects": f"""
         SELECT 's3://{BUCKET}/' || {_KEY} AS object_uri, tenant_id,
-          CASE WHEN seq % 11 = 0 THEN content || '~' ELSE content END AS content
-        FROM v_submissions WHERE classification IS DISTINCT FROM 'es'""",
+          CASE WHEN seq % 11 = 0 THEN content || '~' ELSE content END AS content,
+          classification IS NOT DISTINCT FROM 'es' AS lost
+        FROM v_submissions""",
+    "v_remaining": "SELECT * FROM v_objects WHERE NOT lost",
     "v_submitted": f"""
         SELECT tenant_id, document_id, {uuid_sql("'submitted'", 'seq')} AS event_id,
           CASE WHEN seq % 17 = 0 THEN 'DocumentTouched' ELSE 'DocumentSubmitted' END AS event_type,
@@ -278,24 +307,8 @@ SQL_VIEWS = {
         WHERE NOT EXISTS (SELECT 1 FROM v_ledger l
                           WHERE l.tenant_id = s.tenant_id AND l.event_id = s.event_id)
         QUALIFY row_number() OVER (PARTITION BY tenant_id, event_id ORDER BY event_offset) = 1""",
-    "v_verdicts": f"""
-        SELECT e.tenant_id, e.event_id AS parent_event_id, e.event_offset, e.correlation_id,
-          e.document_id, e.payload_uri, v.id AS document_version_id, v.mime_type,
-          CASE WHEN NOT e.event_type = 'DocumentSubmitted' THEN NULL
-               WHEN e.payload_uri NOT LIKE 's3://{BUCKET}/_%' THEN 'invalid_source_uri'
-               WHEN o.object_uri IS NULL THEN 'missing_object' END AS quarantine,
-          CASE WHEN v.id IS NULL THEN 'unknown_source_object'
-               WHEN e.event_type <> 'DocumentSubmitted' THEN 'unexpected_event_type'
-               WHEN NOT starts_with(o.content, '%PDF-') THEN 'invalid_pdf_signature'
-               WHEN strlen(o.content) > {LIMIT} THEN 'document_too_large'
-               WHEN sha256(o.content) <> v.content_sha256 THEN 'source_checksum_mismatch'
-               WHEN v.mime_type NOT IN ('application/pdf', 'application/octet-stream')
-                 THEN 'declared_mime_type_mismatch' END AS any_code,
-          CASE WHEN quarantine IS NULL THEN any_code END AS code
-        FROM v_fresh e
-        LEFT JOIN v_objects o ON o.object_uri = e.payload_uri
-        LEFT JOIN v_versions v ON v.tenant_id = e.tenant_id AND v.document_id = e.document_id
-          AND v.source_object_uri = e.payload_uri AND NOT v.is_deleted""",
+    "v_verdicts": VERDICTS_SQL.format(objects="v_objects"),
+    "v_verdicts_after_loss": VERDICTS_SQL.format(objects="v_remaining"),
     "v_settled": "SELECT * FROM v_verdicts WHERE quarantine IS NULL",
     "v_stage_events": f"""
         SELECT CAST(event_id AS VARCHAR) AS event_id, event_id AS number, ts AS occurred_at,

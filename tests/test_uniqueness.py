@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.operators.graph import components
 from docloom.operators.ranking import previous, ranked
-from docloom.operators.uniqueness import admit_first, first_per_key, repeated_keys
+from docloom.operators.uniqueness import _settled, admit_first, first_per_key, repeated_keys
 
 
 def one_at_a_time(data):
@@ -50,6 +51,34 @@ def test_hot_key(rows):
     assert admitted(rows, data) == one_at_a_time(data)
 
 
+def test_a_chain_of_ten_thousand_rows_needs_few_jobs(spark, rows):
+    data = [(i, "t", f"e{i // 2}", f"s{(i + 1) // 2}") for i in range(10_000)]
+    data += [(20_000 + i, "t", f"x{(i * 37) % 500}", f"y{(i * 53) % 700}") for i in range(3_000)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    try:
+        got = admitted(rows, data)
+        jobs = len(tracker.getJobIdsForGroup("chain"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == one_at_a_time(data)
+    assert jobs < 400, jobs
+
+
+def test_groups_of_open_rows_settle_in_their_order(rows):
+    rng = random.Random(4)
+    data = [(i, rng.choice("tu"), f"e{rng.randrange(60)}", f"s{rng.randrange(60)}") for i in range(300)]
+    got = _settled(rows(DDL, *data), KEYS, "seq").collect()
+    assert sorted(r.seq for r in got) == one_at_a_time(data)
+
+
+def test_components(rows):
+    links = [(i, i + 1) for i in range(1, 200) if i % 50] + [(7, 7), (300, 1), (3, 1), (400, 401)]
+    got = {r.node: r.root for r in components(rows("x bigint, y bigint", *links), "x", "y").collect()}
+    want = {i: (i - 1) // 50 * 50 + 1 for i in range(1, 201)} | {300: 1, 401: 400}
+    assert got == {n: r for n, r in want.items() if n != r}
+
+
 def test_first_per_key(rows):
     df = rows("k string, o bigint, v string", ("a", 2, "y"), ("a", 1, "x"), ("b", 5, "z"))
     assert {(r.k, r.v) for r in first_per_key(df, ["k"], "o").collect()} == {("a", "x"), ("b", "z")}

@@ -63,16 +63,14 @@ def resolve_contract(events: DataFrame) -> DataFrame:
             *pick("event_schema_name", "schema_artifact_id"), F.lit(None).cast("string")))
 
 
-def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
+def with_publish_error(events: DataFrame, contracts: DataFrame, tried: Column | None = None) -> DataFrame:
     """Resolved contract names and the error that keeps a row back, if any: a contract that is
-    not named or not known, or a payload that does not fit it."""
+    not named or not known, or a payload that does not fit it. Where ``tried`` is given, only the
+    payloads of its rows are read, and the others have no error."""
     known = contracts.withColumn("is_known", F.lit(True))
     resolved = resolve_contract(events).join(known, ["contract_namespace", "schema_name"], "left")
-    # A column of its own, so that each payload is parsed once and not once a field.
-    resolved = resolved.withColumn("_tree", F.try_parse_json("payload"))
-    field = F.lit(None).cast("string")
-    for contract in schemas.CONTRACTS:
-        field = F.when(F.col("schema_name") == contract, misfit(F.col("_tree"), contract)).otherwise(field)
+    due = F.lit(True) if tried is None else tried
+    field = F.when(due & F.col("is_known"), misfit("payload", "schema_name"))
     error = F.when(
         F.col("schema_name").isNull(),
         F.lit("Outbox event is missing its checked-in event schema name."),
@@ -85,7 +83,7 @@ def with_publish_error(events: DataFrame, contracts: DataFrame) -> DataFrame:
         F.concat(F.lit("Payload does not fit "), F.col("contract_namespace"), F.lit("/"),
                  F.col("schema_name"), F.lit(": "), field, F.lit(".")),
     )
-    return resolved.withColumn("error", error).drop("is_known", "_tree")
+    return resolved.withColumn("error", F.when(due, error)).drop("is_known")
 
 
 def envelope(claimed: DataFrame, contracts: DataFrame, encoding: str = "json") -> DataFrame:
@@ -199,5 +197,5 @@ def publish_due(
             return F.coalesce(changed[name], F.col(name)).alias(name)
         return F.col(name)
 
-    snapshot = with_publish_error(outbox, contracts).select(*[column(c) for c in outbox.columns])
+    snapshot = with_publish_error(outbox, contracts, due).select(*[column(c) for c in outbox.columns])
     return messages, snapshot

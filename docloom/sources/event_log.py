@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,22 +48,35 @@ def decode(df: DataFrame, contract: str, value: str = "value") -> DataFrame:
     return parsed.select(*keep, *fields, bad.alias(BAD_RECORD))
 
 
-def misfit(tree: Column, contract: str) -> Column:
-    """Name of the first field of a parsed JSON payload that keeps it from its contract, or null.
+def _contract_fields() -> Column:
+    """Contract name to its fields, as one literal: name, JSON type, whether it may lack or be null."""
+    fields = {
+        contract: [{"name": part.split()[0], "kind": part.split()[1].upper(),
+                    "optional": part.split()[0] in schemas.NULLABLE_FIELDS.get(contract, ())}
+                   for part in ddl.split(", ")]
+        for contract, ddl in schemas.CONTRACTS.items()}
+    return F.from_json(F.lit(json.dumps(fields)), "map<string,array<struct<name:string,kind:string,optional:boolean>>>")
+
+
+def misfit(payload: str | Column, contract: str | Column) -> Column:
+    """Name of the first field of a JSON payload that keeps it from the contract its row names, or null.
 
     Strings must be JSON strings and longs whole numbers; a field may be missing or null only where
-    the contract says so. Further members do no harm. What is no object misfits at once.
+    the contract says so. Further members do no harm. What is no object misfits at once; a contract
+    nobody declared asks for no field. Payload and types are bound by maps over one element: each is
+    parsed once, whatever the number of fields and contracts.
     """
-    optional = schemas.NULLABLE_FIELDS.get(contract, ())
-    first = []
-    for part in schemas.CONTRACTS[contract].split(", "):
-        name, kind = part.split()
-        found = F.schema_of_variant(F.try_variant_get(tree, f"$.{name}", "variant"))
-        allowed = [kind.upper(), "VOID"] if name in optional else [kind.upper()]
-        fits = F.coalesce(found.isin(*allowed), F.lit(name in optional))
-        first.append(F.when(~fits, F.lit(name)))
-    whole = F.coalesce(F.schema_of_variant(tree).startswith("OBJECT"), F.lit(False))
-    return F.when(~whole, F.lit("no record")).otherwise(F.coalesce(*first))
+    def lacking(types: Column) -> Column:
+        wanted = F.coalesce(F.try_element_at(_contract_fields(), F.col(contract) if isinstance(contract, str) else contract),
+                            F.array().cast("array<struct<name:string,kind:string,optional:boolean>>"))
+        broken = F.filter(wanted, lambda f: ~F.coalesce(
+            (F.try_element_at(types, f["name"]) == f["kind"]) |
+            (f["optional"] & F.coalesce(F.try_element_at(types, f["name"]) == "VOID", F.lit(True))), f["optional"]))
+        return F.when(types.isNull(), F.lit("no record")).otherwise(F.get(broken, 0)["name"])
+
+    members = F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>")
+    types = F.transform_values(members, lambda _, value: F.schema_of_variant(value))
+    return F.get(F.transform(F.array(types), lacking), 0)
 
 
 def avro_payload(payload: str, contract_column: str) -> Column:
@@ -77,8 +92,6 @@ def avro_payload(payload: str, contract_column: str) -> Column:
 
 def avro_schema(contract: str) -> str:
     """Avro record declaration of a contract."""
-    import json
-
     optional = schemas.NULLABLE_FIELDS.get(contract, ())
     fields = []
     for part in schemas.CONTRACTS[contract].split(", "):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import schemas
@@ -52,18 +52,78 @@ def reference_check(
         F.lit(f"{'_'.join(columns)}_in_{parent_name}").alias("rule"), "violations")
 
 
+def _key(columns: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits of a key, equal for equal values whatever their integer type."""
+    parts = [F.col(c).cast("string") for c in columns]
+    return F.xxhash64(F.lit("a"), *parts), F.xxhash64(F.lit("b"), *parts)
+
+
+def _entries(name: str, df: DataFrame, numbers: Mapping[tuple[str, str], int]) -> DataFrame:
+    """(rule, a, b, parent): one row for each broken row rule, key, reference and referred-to key."""
+    found = []
+
+    def entry(rule: tuple[str, str], when: Column, key: Sequence[str] = (), parent: bool = False) -> None:
+        a, b = _key(key) if key else (F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+        found.append(F.when(when, F.struct(
+            F.lit(numbers[rule]).alias("rule"), a.alias("a"), b.alias("b"), F.lit(parent).alias("parent"))))
+
+    def whole(columns: Sequence[str]) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
+
+    for check in schemas.CHECKS:
+        if check.table == name:
+            entry((name, check.rule), ~F.expr(check.valid))
+    for column in schemas.NOT_NULL[name]:
+        entry((name, f"{column}_not_null"), F.col(column).isNull())
+    for key in schemas.UNIQUE_KEYS:
+        if key.table == name:
+            entry((name, "unique_" + "_".join(key.columns)), whole(key.columns), key.columns)
+    for reference in schemas.FOREIGN_KEYS:
+        rule = (reference.table, f"{'_'.join(reference.columns)}_in_{reference.parent}")
+        if rule not in numbers:
+            continue
+        if reference.table == name:
+            entry(rule, whole(reference.columns), reference.columns)
+        if reference.parent == name:
+            entry(rule, whole(reference.parent_columns), reference.parent_columns, parent=True)
+    return df.select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+
+
+def declared_rules(tables: Iterable[str]) -> list[tuple[str, str, str]]:
+    """(table, rule, kind) of every rule whose tables are given; kind is check, unique or reference."""
+    names = list(tables)
+    out = []
+    for name in names:
+        out += [(name, c.rule, "check") for c in schemas.CHECKS if c.table == name]
+        out += [(name, f"{c}_not_null", "check") for c in schemas.NOT_NULL[name]]
+        out += [(name, "unique_" + "_".join(k.columns), "unique") for k in schemas.UNIQUE_KEYS if k.table == name]
+        out += [(name, f"{'_'.join(f.columns)}_in_{f.parent}", "reference") for f in schemas.FOREIGN_KEYS
+                if f.table == name and f.parent in names]
+    return out
+
+
 def audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every declared rule whose tables are given."""
-    parts = []
-    for name, df in tables.items():
-        predicates = {c.rule: c.valid for c in schemas.CHECKS if c.table == name}
-        parts.append(row_checks(name, df, predicates, schemas.NOT_NULL[name]))
-        parts += [key_check(name, df, k.columns) for k in schemas.UNIQUE_KEYS if k.table == name]
-        parts += [
-            reference_check(name, df, f.columns, tables[f.parent], f.parent_columns, f.parent)
-            for f in schemas.FOREIGN_KEYS if f.table == name and f.parent in tables
-        ]
-    return union_all(parts)
+    """Every declared rule whose tables are given, with its violations, zeros too.
+
+    Each table is scanned once. A row gives an entry for each rule it breaks by itself and for each of
+    its complete keys and references; entries of all rules and tables are stacked and counted in one
+    shuffle, and the counts of a rule in a second. Counting starts before the first shuffle, so a key
+    that holds a large share of the rows is one entry a task there.
+    """
+    rules = declared_rules(tables)
+    numbers = {(table, rule): i for i, (table, rule, _) in enumerate(rules)}
+    stacked = union_all(_entries(name, df, numbers) for name, df in tables.items())
+    keys = stacked.groupBy("rule", "a", "b").agg(
+        F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("known"))
+    spark = keys.sparkSession
+    named = spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rules)], "number int, table string, rule string, kind string")
+    counted = keys.join(F.broadcast(named.select(F.col("number").alias("rule"), "kind")), "rule") \
+        .groupBy(F.col("rule").alias("number")).agg(F.sum(
+            F.when(F.col("kind") == "unique", F.col("n") - 1)
+            .when((F.col("kind") == "reference") & F.col("known"), F.lit(0)).otherwise(F.col("n"))).alias("violations"))
+    return named.join(counted, "number", "left").select(
+        "table", "rule", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def chunk_violations(chunks: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from docloom.operators.access import acl_principals
 from docloom.operators.blocks import in_blocks, meet, unpacked
+from docloom.operators.tables import active, live
 from docloom.session import cut_lineage
 
 SCORE_DIGITS = 9
@@ -43,17 +44,17 @@ LEXICAL_BREAK = r"[^\p{L}\p{N}]+"
 def point_payload(
     chunks: DataFrame, versions: DataFrame, documents: DataFrame, acl: DataFrame, indexed_at
 ) -> DataFrame:
-    """The filterable payload of every chunk; no text, no paths. Chunks of documents without an
-    access list get an empty one, which matches no caller."""
-    version = versions.select(
+    """The filterable payload of every active chunk of a live document and version; no text, no paths.
+    Chunks of documents without an access list get an empty one, which matches no caller."""
+    version = live(versions).select(
         "tenant_id", F.col("id").alias("document_version_id"), "document_id", "mime_type",
         "language_code")
-    document = documents.select(
+    document = live(documents).select(
         "tenant_id", F.col("id").alias("document_id"), "source_system", "classification")
     lists = acl_principals(acl)
     enriched = version.join(document, ["tenant_id", "document_id"]) \
         .join(lists, ["tenant_id", "document_id"], "left")
-    return chunks.join(enriched, ["tenant_id", "document_version_id"]).select(
+    return active(chunks).join(enriched, ["tenant_id", "document_version_id"]).select(
         "point_id", "tenant_id", "document_id", "document_version_id",
         F.col("id").alias("chunk_id"), "source_system", "mime_type", "language_code",
         "classification",

@@ -72,13 +72,19 @@ def tenant_scope(df: DataFrame, tenant: str | None) -> DataFrame:
     return df.filter(F.col("tenant_id") == tenant)
 
 
+def session_scope(df: DataFrame, sessions: DataFrame, setting: str) -> DataFrame:
+    """Rows each session sees, with its ``setting``: those of its tenant, none where it is null."""
+    return df.join(sessions, F.col("tenant_id") == F.col(setting))
+
+
 def outside_scope(df: DataFrame, tenant: str | None) -> DataFrame:
     """Rows a write under ``tenant`` must not contain (a null tenant is outside too)."""
     return df.filter(~F.col("tenant_id").eqNullSafe(F.lit(tenant)))
 
 
 def live(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("deleted_at").isNull())
+    """Rows that were not deleted; a table without the column has none deleted."""
+    return df.filter(F.col("deleted_at").isNull()) if "deleted_at" in df.columns else df
 
 
 def active(chunks: DataFrame) -> DataFrame:

@@ -92,30 +92,36 @@ def chunk_validity(spark, sf):
 
 
 def index_tables(spark, sf):
-    """Documents and versions that the payload join needs."""
+    """Documents and versions that the payload join needs; some documents, and some versions of
+    others, are deleted."""
     d = v.table(spark, sf, "documents")
+    gone = F.lit(v.AS_OF).cast("timestamp")
     version_id = derived_id("source", "doc_id", F.lit("version"), F.lit(1))
     documents = d.select(
         F.col("doc_id").cast("string").alias("id"), F.col("source").alias("tenant_id"),
         F.lit("api").alias("source_system"),
         F.concat(F.lit("ext-"), "doc_id").alias("source_external_id"),
         F.concat(F.lit("Title "), "doc_id").alias("title"),
-        F.when(F.col("lang") == "en", "internal").otherwise("restricted").alias("classification"))
+        F.when(F.col("lang") == "en", "internal").otherwise("restricted").alias("classification"),
+        F.when(F.col("doc_id") % 23 == 0, gone).alias("deleted_at"))
     versions = d.select(
         version_id.alias("id"), F.col("source").alias("tenant_id"),
         F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("version_number"),
         F.lit("text/plain").alias("mime_type"), F.col("lang").alias("language_code"),
         F.concat(F.lit(f"s3://{v.BUCKET}/"), "doc_id").alias("source_object_uri"),
-        F.lit(None).cast("string").alias("normalized_object_uri"))
+        F.lit(None).cast("string").alias("normalized_object_uri"),
+        F.when(F.col("doc_id") % 29 == 0, gone).alias("deleted_at"))
     return documents, versions
 
 
 def payload(spark, sf):
     documents, versions = index_tables(spark, sf)
+    made = chunks(spark, sf).withColumn("is_active", F.col("chunk_index") % 7 != 6)
     return retrieval.point_payload(
-        chunks(spark, sf), versions, documents, governance.acl(spark, sf), v.AS_OF)
+        made, versions, documents, governance.acl(spark, sf), v.AS_OF)
 
 
+INDEXED_SQL = "doc_id % 23 <> 0 AND doc_id % 29 <> 0 AND chunk_index % 7 <> 6"
 PAYLOAD_SQL = f"""
     SELECT c.point_id, c.tenant_id, CAST(c.doc_id AS VARCHAR) AS document_id,
       c.document_version_id, c.id AS chunk_id, 'text/plain' AS mime_type, d.lang AS language_code,
@@ -123,7 +129,8 @@ PAYLOAD_SQL = f"""
       array_to_string(a.principals, ',') AS acl_principals, c.content_sha256, c.anchor
     FROM ({CHUNKS_SQL}) c JOIN documents d USING (doc_id)
     JOIN (SELECT document_id, list_sort(list(DISTINCT principal)) AS principals
-          FROM ({ACL_SQL}) GROUP BY 1) a ON a.document_id = CAST(c.doc_id AS VARCHAR)"""
+          FROM ({ACL_SQL}) GROUP BY 1) a ON a.document_id = CAST(c.doc_id AS VARCHAR)
+    WHERE {INDEXED_SQL}"""
 
 
 @query("point_payload", PAYLOAD_SQL)
@@ -163,9 +170,9 @@ def provenance(spark, sf):
         'document_version_id_not_null', 'section_path_not_null', 'content_sha256_not_null',
         'embedding_model_not_null', 'label_not_null']) AS rule,
       unnest([0, 0, 0, 0, 0, 0, COUNT(*) FILTER (WHERE label IS NULL)]) AS violations
-    FROM ({CHUNKS_SQL}) c LEFT JOIN embeddings ON vec_id = doc_id""")
+    FROM ({CHUNKS_SQL}) c LEFT JOIN embeddings ON vec_id = doc_id WHERE {INDEXED_SQL}""")
 def lineage_gaps(spark, sf):
-    """Nulls per lineage column of every point; the vector label is missing for some."""
+    """Nulls per lineage column of every point (of live documents and active chunks); the vector label is missing for some."""
     vectors = v.table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("document_id"), "label")
     points = payload(spark, sf).join(vectors, "document_id", "left")
@@ -373,3 +380,10 @@ def filtered_hybrid(spark, sf):
 def active_chunk_count(spark, sf):
     return tables.active(chunks(spark, sf)).groupBy("tenant_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("tokens"))
+
+
+@query("audit_all", governance.audit_sql(
+    {t: sql.replace("{chunks}", CHUNKS_SQL) for t, sql in governance.AUDITED_SQL.items()}))
+def audit_all(spark, sf):
+    """Every declared rule of all nine tables with its count, zeros too."""
+    return audits.audit(governance.audited_tables(spark, sf))

@@ -181,3 +181,27 @@ def test_metrics(rows):
         == {("ready", 2), ("failed", 1)}
     wide = metrics.status_matrix(docs, schemas.DOCUMENT_STATUS).first()
     assert (wide.ready, wide.failed, wide.deleted) == (2, 1, 0)
+
+
+def test_audit_reads_each_table_once_and_counts_in_two_shuffles(spark, rows, tmp_path):
+    rows("id string, slug string, display_name string, status string, created_at timestamp, updated_at timestamp",
+         ("t", "tt", "T", "active", None, None), ("t", "tt", None, "odd", None, None), (None, None, "N", None, None, None)) \
+        .write.parquet(str(tmp_path / "tenants"))
+    rows("id string, tenant_id string, document_id string, principal_type string, principal_id string, "
+         "permission string, created_at timestamp",
+         ("1", "t", "d", "user", "u", "read", None), ("2", "x", "d", "user", "u", "read", None),
+         ("3", None, "d", "user", "u", "write", None), ("3", "x", "d", "robot", "u", "read", None)) \
+        .write.parquet(str(tmp_path / "acl"))
+    made = audits.audit({"tenants": spark.read.parquet(str(tmp_path / "tenants")),
+                         "document_acl": spark.read.parquet(str(tmp_path / "acl"))})
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") <= 4
+    got = {(r.table, r.rule): r.violations for r in made.collect()}
+    assert {k: n for k, n in got.items() if n} == {
+        ("tenants", "status_value"): 1, ("tenants", "display_name_not_null"): 1, ("tenants", "id_not_null"): 1,
+        ("tenants", "slug_not_null"): 1, ("tenants", "status_not_null"): 1, ("tenants", "created_at_not_null"): 3,
+        ("tenants", "updated_at_not_null"): 3, ("tenants", "unique_id"): 1, ("tenants", "unique_slug"): 1,
+        ("document_acl", "principal_type_value"): 1, ("document_acl", "permission_value"): 1,
+        ("document_acl", "tenant_id_not_null"): 1, ("document_acl", "created_at_not_null"): 4,
+        ("document_acl", "unique_id"): 1, ("document_acl", "tenant_id_in_tenants"): 2}
+    assert ("document_acl", "tenant_id_document_id_in_documents") not in got and got["tenants", "slug_shape"] == 0

@@ -17,7 +17,7 @@ from docloom.plans.registry import ORACLES, query
 from docloom.session import scratch
 from docloom.sources.event_log import encode, write_log
 from docloom.sources.snapshots import TableStore
-from docloom.streaming import flows, stages
+from docloom.streaming import flows, stages, timers
 
 
 def _log(events, contract: str, topic: str, path: str) -> None:
@@ -89,6 +89,75 @@ def stream_dedup(spark, sf):
     return spark.read.schema("event_id bigint, user_id bigint").parquet(f"{root}/out")
 
 
+BATCHES = 3
+
+
+def _event_files(spark, sf, path: str):
+    """The events as a stream of ``BATCHES`` micro-batches, dealt by id, so that time starts over in
+    each and rows of the later ones come late."""
+    events = v.stage_events(spark, sf).select("event_id", "number", "event_type", "occurred_at")
+    for batch in range(BATCHES):
+        events.filter(F.col("number") % BATCHES == batch).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+# Milliseconds of each event, and of the watermark its micro-batch meets: that of the batches before.
+_MARKED = f"""
+    SELECT *, epoch_us(occurred_at) // 1000 AS at_ms, coalesce((SELECT max(epoch_us(o.occurred_at)) // 1000 FROM v_stage_events o
+      WHERE o.number % {BATCHES} < e.number % {BATCHES}) - {{lateness}}, 0) AS mark FROM v_stage_events e"""
+
+
+@query("stream_dedup_outcomes", f"""
+    WITH marked AS ({_MARKED.format(lateness="(SELECT (max(epoch_us(ts)) // 1000 - min(epoch_us(ts)) // 1000) // 2 FROM events)")})
+    SELECT event_id, unnest(CASE WHEN at_ms < mark THEN ['late'] ELSE ['accepted', 'duplicate'] END) AS outcome,
+      CASE WHEN at_ms < mark THEN 2 ELSE 1 END AS deliveries FROM marked""")
+def stream_dedup_outcomes(spark, sf):
+    """Every event is delivered twice, over several micro-batches: each delivery is accepted, a
+    duplicate or late. The watermark trails by half the time the events span."""
+    root = scratch(spark, "stream-outcomes")
+    stream = _event_files(spark, sf, f"{root}/in")
+    low, high = v.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts")) \
+        .agg(F.unix_millis(F.min("ts")), F.unix_millis(F.max("ts"))).first()
+    twice = stream.select("event_id", "occurred_at", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    judged = timers.deduplicated(twice.drop("copy"), ["event_id"], "occurred_at", f"{(high - low) // 2} milliseconds",
+                                 (high - low) // 1000 + 1)
+    flows.to_table(judged, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id string, outcome string").parquet(f"{root}/out") \
+        .groupBy("event_id", "outcome").agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
+
+
+@query("stream_window_outcomes", f"""
+    WITH marked AS ({_MARKED.format(lateness="60000")}),
+    placed AS (SELECT event_type, at_ms // 15000 * 15000 AS start_ms, at_ms // 15000 * 15000 + 15000 <= mark AS late FROM marked),
+    last AS (SELECT max(epoch_us(ts)) // 1000 - 60000 AS mark FROM events)
+    SELECT strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d %H:%M:%S.%f') AS window_start, event_type,
+      CAST(COUNT(*) FILTER (WHERE NOT late) AS BIGINT) AS messages, CAST(COUNT(*) FILTER (WHERE late) AS BIGINT) AS late
+    FROM placed, last WHERE start_ms + 15000 <= last.mark GROUP BY 1, 2""")
+def stream_window_outcomes(spark, sf):
+    """Windows that have closed, with the rows that came too late for them."""
+    root = scratch(spark, "stream-window-outcomes")
+    counted = timers.counted_windows(_event_files(spark, sf, f"{root}/in"), ["event_type"], "occurred_at")
+    flows.to_table(counted, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema("window_start timestamp, event_type string, messages bigint, late bigint") \
+        .parquet(f"{root}/out").groupBy(v.text_of("window_start").alias("window_start"), "event_type") \
+        .agg(F.sum("messages").alias("messages"), F.sum("late").alias("late"))
+
+
+@query("stream_publish_tries", """
+    SELECT id, CASE WHEN error IS NULL THEN 'published' ELSE 'failed' END AS status,
+      CAST(attempt_count + 1 AS INTEGER) AS attempt_count, coalesce(left(error, 4000), '') AS last_error
+    FROM v_resolved WHERE status IN ('pending', 'failed')""")
+def stream_publish_tries(spark, sf):
+    """The outbox as a stream with delayed retries: the first try of every row that is not held."""
+    root = scratch(spark, "stream-publish")
+    rows = v.outbox(spark, sf)
+    rows.write.parquet(f"{root}/in")
+    checked = box.with_publish_error(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), box.registry(spark))
+    flows.to_table(timers.publishing(checked, "created_at"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    first = F.min_by(F.struct("status", "attempt_count", F.coalesce("last_error", F.lit("")).alias("last_error")), "attempt_count")
+    return spark.read.schema(timers.RETRIED).parquet(f"{root}/out").groupBy("id").agg(first.alias("x")).select("id", "x.*")
+
+
 @query("stream_retry", f"""
     SELECT event_id, CASE WHEN value < 20 THEN '{schemas.CONTENT_EXTRACTED}'
       WHEN event_type <> 'error' AND event_id % 10 < 5

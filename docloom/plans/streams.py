@@ -15,7 +15,7 @@ from docloom.plans import views as v
 from docloom.plans.delivery import DUE
 from docloom.plans.registry import ORACLES, query
 from docloom.session import scratch
-from docloom.sources.event_log import encode, write_log
+from docloom.sources.event_log import encode, stream_log, write_log
 from docloom.sources.snapshots import TableStore
 from docloom.streaming import flows, stages, timers
 
@@ -50,7 +50,7 @@ def stream_fetch(spark, sf):
     store = _store(spark, sf, f"{root}/tables")
     store.put_base("processed_events", v.ledger(spark, sf))
     stages.start_fetch(
-        spark, f"{root}/log", v.objects(spark, sf), store, f"{root}/checkpoint",
+        stream_log(spark, f"{root}/log", schemas.DOCUMENT_SUBMITTED), v.objects(spark, sf), store, f"{root}/checkpoint",
         bucket=v.BUCKET, clock=_clock, max_bytes=v.LIMIT).awaitTermination()
     return store.current("documents").select("id", "status")
 
@@ -68,7 +68,7 @@ def stream_extract(spark, sf):
     _log(events, "document-fetched", schemas.DOCUMENT_FETCHED, f"{root}/log")
     store = _store(spark, sf, f"{root}/tables")
     stages.start_extract(
-        spark, f"{root}/log", v.objects(spark, sf), store, f"{root}/artifacts",
+        stream_log(spark, f"{root}/log", schemas.DOCUMENT_FETCHED), v.objects(spark, sf), store, f"{root}/artifacts",
         f"{root}/checkpoint", factory=content.text_converter, bucket=v.BUCKET,
         artifact_bucket=v.ARTIFACTS, clock=_clock, extractor=content.EXTRACTOR,
         extractor_version=content.EXTRACTOR_VERSION, max_bytes=content.EXTRACT_LIMIT,

@@ -123,6 +123,13 @@ TABLES = {
     ),
 }
 
+# What the stages store beside the tables: events no stage could settle, records of no contract.
+STORED = {
+    **TABLES,
+    "quarantine": "tenant_id string, event_id string, document_id string, payload_uri string, reason string",
+    "bad_records": "bad_record string",
+}
+
 _ENVELOPE_HEAD = (
     "event_id string, event_type string, occurred_at string, correlation_id string, "
     "causation_id string, tenant_id string, document_id string"

@@ -132,11 +132,17 @@ def write_log(messages: DataFrame, path: str) -> None:
 def stream_log(
     spark: SparkSession, path: str, topic: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream one topic of a file log from its start; progress lives in the query's checkpoint."""
+    """Stream one topic of a file log from its start; progress lives in the query's checkpoint.
+
+    ``position`` orders the records as they were written (time of the file, file, row), however a
+    batch's files are split, so a replay meets them in the same order.
+    """
     reader = spark.readStream.schema(RECORD_COLUMNS.rsplit(", ", 1)[0])
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(f"{path}/topic={topic}")
+    position = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("part"),
+                        F.col("_metadata.row_index").alias("row"))
+    return reader.parquet(f"{path}/topic={topic}").select("key", "value", "headers", position.alias("position"))
 
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -146,7 +152,9 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .option("subscribe", topic) \
         .option("startingOffsets", "earliest") \
         .option("includeHeaders", "true").load()
-    return source.select(F.col("key").cast("string"), F.col("value").cast("string"), "headers")
+    position = F.struct(F.col("timestamp").alias("at"), F.col("partition").cast("string").alias("part"),
+                        F.col("offset").alias("row"))
+    return source.select(F.col("key").cast("string"), F.col("value").cast("string"), "headers", position.alias("position"))
 
 
 def write_kafka(messages: DataFrame, servers: str) -> None:

@@ -2,8 +2,9 @@
 
 Every write goes to its own folder, named by the writing stage, its run and its batch. A replayed
 batch overwrites only its own folder, so each batch takes effect once; a micro-batch never rewrites
-a large table. ``current`` lays the changes over the newest base, ``compact`` stores that as the
-next base.
+a large table. ``current`` lays the changes over the newest base, ``compact`` folds logs into the
+next base, which lists the batches it holds: their folders are not read again. The last batch of a
+run may be replayed and must not see itself, so it is never folded.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from docloom import schemas
 from docloom.operators.tables import last_per_key, upsert
 
 ROW_KEY = ("tenant_id", "id")
-LOG_KEYS = {"processed_events": ("tenant_id", "event_id", "consumer_name")}
+_FOLDED = "stage string, run string, batch bigint"
 
 
 @dataclass(frozen=True)
@@ -57,14 +58,35 @@ class TableStore:
         ]
         return max(done, default=-1)
 
-    def put_base(self, table: str, df: DataFrame) -> None:
-        """Publish ``df`` as the next base generation, laid out by tenant."""
-        target = f"{self.root}/{table}/base/generation={self._generation(table) + 1}"
+    def _folded(self, table: str) -> dict[tuple[str, str], int]:
+        """Last batch of each (stage, run) that the newest base holds; one row per run."""
+        path = f"{self.root}/{table}/folded/generation={self._generation(table)}"
+        if not self._exists(path):
+            return {}
+        rows = self.spark.read.schema(_FOLDED).parquet(path).collect()
+        return {(r["stage"], r["run"]): r["batch"] for r in rows}
+
+    def _folders(self, table: str, kind: str) -> list[tuple[Batch, str]]:
+        """Folders of the batches that were written whole."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{kind}/stage=*/run=*/batch=*/_SUCCESS")
+        found = []
+        for status in root.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(root) or ():
+            folder = status.getPath().getParent().toString()
+            stage, run, number = (part.split("=", 1)[1] for part in folder.split("/")[-3:])
+            found.append((Batch(stage, run, int(number)), folder))
+        return found
+
+    def put_base(self, table: str, df: DataFrame, folded: dict[tuple[str, str], int] | None = None) -> None:
+        """Publish ``df`` as the next base generation, laid out by tenant, with the batches in it."""
+        generation = self._generation(table) + 1
+        self.spark.createDataFrame([(*key, n) for key, n in (folded or {}).items()], _FOLDED).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/{table}/folded/generation={generation}")
+        target = f"{self.root}/{table}/base/generation={generation}"
         df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .partitionBy("tenant_id").parquet(target)
 
     def base(self, table: str) -> DataFrame:
-        ddl = schemas.TABLES[table]
+        ddl = schemas.STORED[table]
         newest = self._generation(table)
         if newest < 0:
             return self.spark.createDataFrame([], ddl)
@@ -77,29 +99,26 @@ class TableStore:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .parquet(f"{self.root}/{table}/{kind}/{batch.path}")
 
-    def _log(self, table: str, kind: str, columns: str, skip: Batch | None) -> DataFrame:
-        path = f"{self.root}/{table}/{kind}"
+    def _log(self, table: str, kind: str, columns: str, skip: Batch | None,
+             upto: dict[tuple[str, str], int] | None = None) -> DataFrame:
+        """Rows of the batches that the base does not hold; ``upto`` bounds them from above."""
         ddl = f"{columns}, stage string, run string, batch bigint"
-        if not self._exists(path):
+        folded = self._folded(table)
+        paths = [path for batch, path in self._folders(table, kind)
+                 if batch != skip and batch.number > folded.get((batch.stage, batch.run), -1)
+                 and (upto is None or batch.number <= upto.get((batch.stage, batch.run), -1))]
+        if not paths:
             return self.spark.createDataFrame([], ddl)
-        rows = self.spark.read.schema(ddl).parquet(path)
-        if skip is not None:
-            rows = rows.filter(~((F.col("stage") == skip.stage) & (F.col("run") == skip.run)
-                                 & (F.col("batch") == skip.number)))
-        return rows
+        return self.spark.read.schema(ddl).option("basePath", f"{self.root}/{table}/{kind}").parquet(*paths)
 
-    def added(self, table: str, skip: Batch | None = None) -> DataFrame:
+    def added(self, table: str, skip: Batch | None = None,
+              upto: dict[tuple[str, str], int] | None = None) -> DataFrame:
         """Base and all added rows. ``skip`` leaves out one batch: a batch must not see itself."""
-        key = list(LOG_KEYS.get(table, ROW_KEY))
-        base = self.base(table)
-        log = self._log(table, "added", schemas.TABLES[table], skip) \
-            .select(*table_columns(table))
-        if self._generation(table) < 0:
-            return log
-        return base.unionByName(log.join(base.select(*key), key, "left_anti"))
+        log = self._log(table, "added", schemas.STORED[table], skip, upto).select(*table_columns(table))
+        return log if self._generation(table) < 0 else self.base(table).unionByName(log)
 
-    def current(self, table: str, skip: Batch | None = None,
-                only: DataFrame | None = None) -> DataFrame:
+    def current(self, table: str, skip: Batch | None = None, only: DataFrame | None = None,
+                upto: dict[tuple[str, str], int] | None = None) -> DataFrame:
         """Added rows with the latest change per column laid over them.
 
         ``only`` names the rows wanted by some of their columns. It is applied before anything is
@@ -108,14 +127,14 @@ class TableStore:
         A change row carries ``applied_at`` and ``event_offset``; later ones win column by column.
         At the same instant the later stage wins.
         """
-        ddl = schemas.TABLES[table]
-        rows = self.added(table, skip)
+        ddl = schemas.STORED[table]
+        rows = self.added(table, skip, upto)
         if only is not None:
             rows = rows.join(only, only.columns, "left_semi").select(*table_columns(table))
         if not self._exists(f"{self.root}/{table}/changed"):
             return rows
         changes = self._log(
-            table, "changed", f"{ddl}, applied_at timestamp, event_offset bigint", skip)
+            table, "changed", f"{ddl}, applied_at timestamp, event_offset bigint", skip, upto)
         if only is not None:
             changes = changes.join(rows.select(*ROW_KEY), list(ROW_KEY), "left_semi")
         columns = [c for c in table_columns(table)
@@ -129,11 +148,16 @@ class TableStore:
         return upsert(rows, latest, ROW_KEY).select(*table_columns(table))
 
     def compact(self, table: str) -> None:
-        """Store the current rows as the next base. The logs stay: changes hold absolute values
-        and added rows that the base already has are passed over, so reading them again gives the
-        same table."""
-        self.put_base(table, self.current(table))
+        """Fold the base and every batch but the last of each run into the next base."""
+        folded = self._folded(table)
+        last: dict[tuple[str, str], int] = {}
+        for kind in ("added", "changed"):
+            for batch, _ in self._folders(table, kind):
+                key = (batch.stage, batch.run)
+                last[key] = max(last.get(key, -1), batch.number)
+        upto = {**folded, **{key: max(n - 1, folded.get(key, -1)) for key, n in last.items()}}
+        self.put_base(table, self.current(table, upto=upto), {key: n for key, n in upto.items() if n >= 0})
 
 
 def table_columns(table: str) -> Sequence[str]:
-    return schemas.field_names(schemas.TABLES[table])
+    return schemas.field_names(schemas.STORED[table])

@@ -8,26 +8,26 @@ parent events, so running it again leaves the same rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom import schemas
 from docloom.operators.extraction import Converter, extract_stage
 from docloom.operators.fetching import Inspector, StageResult, fetch_stage
+from docloom.operators.outbox import publish_due, registry
 from docloom.operators.tables import conform
 from docloom.session import cut_lineage
-from docloom.sources.event_log import BAD_RECORD, decode, stream_log, write_log
+from docloom.sources.event_log import BAD_RECORD, decode
 from docloom.sources.objects import write_artifacts
 from docloom.sources.snapshots import Batch, TableStore
 
 
 def _arrivals(batch: DataFrame, contract: str) -> DataFrame:
-    """Decoded events in arrival order; records that do not fit the contract are left aside."""
-    ordered = batch.withColumn("event_offset", F.monotonically_increasing_id())
-    return decode(ordered, contract)
+    """Decoded events with their place in the source; records that do not fit the contract are left aside."""
+    return decode(batch.withColumnRenamed("position", "event_offset"), contract)
 
 
 def _seen(store: TableStore, events: DataFrame, skip: Batch) -> DataFrame:
@@ -47,7 +47,7 @@ def _touched(store: TableStore, events: DataFrame, skip: Batch) -> DataFrame:
 
 def _write(store: TableStore, result: StageResult, bad: DataFrame, batch: Batch, as_of) -> None:
     def changes(df: DataFrame, table: str) -> DataFrame:
-        return conform(df, schemas.TABLES[table]) \
+        return conform(df, schemas.STORED[table]) \
             .withColumn("applied_at", F.lit(as_of).cast("timestamp")) \
             .withColumn("event_offset", F.lit(batch.number).cast("bigint"))
 
@@ -66,15 +66,17 @@ def _run_of(checkpoint: str) -> str:
     return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
 
+DRAIN = {"availableNow": True}  # all that is there, then stop; {"processingTime": "5 seconds"} runs on
+
+
 def _start(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str,
-           name: str) -> StreamingQuery:
+           name: str, trigger: Mapping) -> StreamingQuery:
     return stream.writeStream.queryName(name).foreachBatch(run) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_fetch(
-    spark: SparkSession,
-    log: str,
+    source: DataFrame,
     objects: DataFrame,
     store: TableStore,
     checkpoint: str,
@@ -85,8 +87,9 @@ def start_fetch(
     signature: str = schemas.PDF_SIGNATURE,
     permitted_mime: tuple[str, ...] = schemas.PERMITTED_MIME,
     factory: Callable[[], Inspector] | None = None,
-    files_per_trigger: int | None = None,
+    trigger: Mapping = DRAIN,
 ) -> StreamingQuery:
+    """Fetch what ``source`` delivers: a stream of ``event_log.stream_log`` or ``stream_kafka``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         as_of = clock()
         decoded = cut_lineage(_arrivals(batch, "document-submitted"))
@@ -101,13 +104,11 @@ def start_fetch(
             store=cut_lineage)
         _write(store, result, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)
 
-    stream = stream_log(spark, log, schemas.DOCUMENT_SUBMITTED, files_per_trigger)
-    return _start(stream, run, checkpoint, schemas.FETCHER)
+    return _start(source, run, checkpoint, schemas.FETCHER, trigger)
 
 
 def start_extract(
-    spark: SparkSession,
-    log: str,
+    source: DataFrame,
     objects: DataFrame,
     store: TableStore,
     artifact_path: str,
@@ -120,8 +121,9 @@ def start_extract(
     extractor: str,
     extractor_version: str,
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
-    files_per_trigger: int | None = None,
+    trigger: Mapping = DRAIN,
 ) -> StreamingQuery:
+    """Extract what ``source`` delivers, with the artifacts stored below ``artifact_path``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         as_of = clock()
         decoded = cut_lineage(_arrivals(batch, "document-fetched"))
@@ -135,5 +137,28 @@ def start_extract(
         write_artifacts(done.artifacts, artifact_path)
         _write(store, done.stage, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)
 
-    stream = stream_log(spark, log, schemas.DOCUMENT_FETCHED, files_per_trigger)
-    return _start(stream, run, checkpoint, schemas.EXTRACTOR)
+    return _start(source, run, checkpoint, schemas.EXTRACTOR, trigger)
+
+
+PUBLISHER = "publisher"
+
+
+def publish_stored(
+    store: TableStore, send: Callable[[DataFrame], None], run: str, number: int, *, as_of, worker: str,
+) -> None:
+    """Send every outbox row of the store that is due at ``as_of`` and store its new state.
+
+    ``send`` writes (topic, key, value, headers) to a log or a broker. It comes first: a poll that is
+    cut off sends again when it is run again under its number, and the stages take an event once.
+    The error text of an earlier try stays with a row that was published later.
+    """
+    here = Batch(PUBLISHER, run, number)
+    outbox = cut_lineage(store.current("ingestion_outbox", here))
+    messages, snapshot = publish_due(outbox, registry(store.spark), as_of, worker)
+    send(messages)
+    tried = snapshot.join(outbox.select("id", F.col("attempt_count").alias("_before")), "id") \
+        .filter("attempt_count > _before").drop("_before")
+    store.put("ingestion_outbox", "changed", tried
+              .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
+              .withColumn("applied_at", F.lit(as_of).cast("timestamp"))
+              .withColumn("event_offset", F.lit(number).cast("bigint")), here)

@@ -55,13 +55,14 @@ def pipeline(spark, rows, tmp_path):
             log.write_log(messages, f"{root}/log")
             return snapshot
 
-        def fetch(self, checkpoint="c1", **kw):
-            stages.start_fetch(spark, f"{root}/log", objects, store, f"{root}/{checkpoint}",
+        def fetch(self, checkpoint="c1", files_per_trigger=None, **kw):
+            source = log.stream_log(spark, f"{root}/log", schemas.DOCUMENT_SUBMITTED, files_per_trigger)
+            stages.start_fetch(source, objects, store, f"{root}/{checkpoint}",
                                bucket="src", clock=clock, **kw).awaitTermination()
 
         def extract(self, checkpoint="c2"):
             stages.start_extract(
-                spark, f"{root}/log", objects, store, f"{root}/artifacts", f"{root}/{checkpoint}",
+                log.stream_log(spark, f"{root}/log", schemas.DOCUMENT_FETCHED), objects, store, f"{root}/artifacts", f"{root}/{checkpoint}",
                 factory=converter, bucket="src", artifact_bucket="art", clock=clock,
                 extractor="fake", extractor_version="1").awaitTermination()
 
@@ -182,3 +183,60 @@ def test_dedup_and_windows(spark, rows, tmp_path):
     got = {(str(r.window_start)[-8:], r.label): r.messages
            for r in spark.read.parquet(str(tmp_path / "o2")).collect()}
     assert got == {("00:00:00", "a"): 3, ("00:00:15", "b"): 1}  # the last window is still open
+
+
+def test_compaction_reads_no_folded_folder_again(spark, pipeline):
+    """Two batches of a run are written; the first is folded, the last one may still be replayed."""
+    run = pipeline
+    run.publish(run.made.outbox)
+    run.fetch()
+    run.publish(run.made.outbox)
+    run.fetch()
+    tables = ("processed_events", "document_versions", "ingestion_outbox")
+    before = {t: sorted(map(str, run.store.current(t).collect())) for t in tables}
+    for t in tables:
+        run.store.compact(t)
+        files = run.store.current(t).inputFiles()
+        assert not [f for f in files if "/batch=0/" in f], files
+        assert sorted(map(str, run.store.current(t).collect())) == before[t]
+        run.store.compact(t)
+        assert sorted(map(str, run.store.current(t).collect())) == before[t]
+    run.publish(run.made.outbox)
+    run.fetch()
+    assert added(run, "processed_events").count() == 4
+
+
+def test_stages_publish_from_the_store(spark, pipeline):
+    """Outbox rows the fetch stage stored are sent once, and the extract stage reads them."""
+    run = pipeline
+    run.publish(run.made.outbox)
+    run.fetch()
+    sent = []
+
+    def send(messages):
+        sent.append(messages.count())
+        log.write_log(messages, f"{run.root}/log")
+
+    for number in (0, 1):
+        stages.publish_stored(run.store, send, "r", number, as_of=clock(), worker="w")
+    assert sent == [4, 0]
+    assert {r.status for r in run.store.current("ingestion_outbox").collect()} == {"published"}
+    run.extract()
+    assert {r.id: r.status for r in run.store.current("documents").collect()} == {
+        "d1": "extracted", "d2": "failed", "d3": "failed", "d4": "failed"}
+    assert run.store.added("quarantine").collect() == [] and run.store.added("bad_records").collect() == []
+
+
+def test_first_copy_is_the_same_however_files_are_split(spark, rows, tmp_path):
+    """Two copies of an event: the one written first wins, in any order of the files of a batch."""
+    path, out = str(tmp_path / "log"), []
+    for n in range(2):
+        log.write_log(rows("topic string, key string, value string", *[("t", f"{n}{i}", f"v{n}") for i in range(50)])
+                      .coalesce(1).withColumn("headers", F.array().cast("array<struct<key:string,value:binary>>")), path)
+    for split in (1 << 28, 900):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        log.stream_log(spark, path, "t").writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / f"c{split}")) \
+            .foreachBatch(lambda df, _: out.append([r.key for r in df.orderBy("position").collect()])) \
+            .start().awaitTermination()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert out[0] == out[1] == [f"{n}{i}" for n in range(2) for i in range(50)]

@@ -17,7 +17,7 @@ from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
 from docloom.session import cut_lineage, scratch
 from docloom.sources.objects import (
-    land_objects, missing_objects, orphan_objects, read_landed,
+    land_objects, missing_objects, orphan_objects, read_landed, read_objects,
 )
 
 ISO = "2024-01-16T00:00:00+00:00"
@@ -136,6 +136,38 @@ def html_inspect(spark, sf):
         F.coalesce("content_sha256", F.lit("")).alias("content_sha256"))
 
 
+def line_inspector():
+    """Pages as form feeds or lines; content with a pipe raises, content with a hash sign is locked."""
+    def inspect(content: bytes):
+        if b"|" in content:
+            raise ValueError("not readable")
+        return ("encrypted_pdf", None) if b"#" in content else (None, content.count(b"\n"))
+
+    return inspect
+
+
+@query("object_inspection", f"""
+    SELECT object_uri, CAST(strlen(content) AS BIGINT) AS byte_size, COALESCE(code, 'valid') AS outcome,
+      CASE WHEN code IS NULL THEN CAST(len(string_split(content, chr(10))) - 1 AS BIGINT) ELSE -1 END AS page_count
+    FROM (SELECT *, CASE WHEN NOT starts_with(content, '%PDF-') THEN 'invalid_pdf_signature'
+        WHEN strlen(content) > {v.LIMIT} THEN 'document_too_large' WHEN contains(content, '|') THEN 'corrupt_pdf'
+        WHEN contains(content, '#') THEN 'encrypted_pdf' END AS code FROM v_objects)""")
+def object_inspection(spark, sf):
+    """Every stored object through a plugged-in inspector, which raises on some."""
+    return fetch.inspect(v.objects(spark, sf), max_bytes=v.LIMIT, factory=line_inspector).select(
+        "object_uri", "byte_size", F.coalesce("inspection_code", F.lit("valid")).alias("outcome"),
+        F.coalesce("page_count", F.lit(-1).cast("bigint")).alias("page_count"))
+
+
+@query("object_files")
+def object_files(spark, sf):
+    """The table files themselves as stored objects: scanned as binary files, those above a megabyte
+    unread, the rest digested and tested for the signature of their format."""
+    files = read_objects(spark, sf, v.BUCKET, sf, 1 << 20)
+    return fetch.inspect(files, signature="PAR1", max_bytes=1 << 20).select(
+        "object_uri", "byte_size", F.coalesce("inspection_code", F.lit("valid")).alias("outcome"), "content_sha256")
+
+
 @query("type_route", """
     SELECT origin, id, CASE WHEN starts_with(content, '%PDF-') THEN 'application/pdf'
         WHEN starts_with(lower(ltrim(content)), '<!doctype html')

@@ -240,3 +240,23 @@ def test_first_copy_is_the_same_however_files_are_split(spark, rows, tmp_path):
             .start().awaitTermination()
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert out[0] == out[1] == [f"{n}{i}" for n in range(2) for i in range(50)]
+
+
+def test_object_files_query_reads_the_folder(spark, tmp_path):
+    """A table file, an empty one, one above the limit and one of another format."""
+    import hashlib
+
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    (tmp_path / "empty.bin").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(b"plain")
+    (tmp_path / "large.bin").write_bytes(b"PAR1" + b"x" * (1 << 20))
+    from docloom.plans import all_queries
+
+    got = {r.object_uri.split("/")[-1]: r for r in all_queries()["object_files"](spark, str(tmp_path)).collect()}
+    for path in tmp_path.rglob("*"):
+        if path.is_file() and not path.name.startswith((".", "_")) and path.stat().st_size:
+            row, content = got.pop(path.name), path.read_bytes()
+            want = "document_too_large" if len(content) > 1 << 20 else "valid" if content.startswith(b"PAR1") else "invalid_pdf_signature"
+            assert (row.byte_size, row.outcome) == (len(content), want)
+            assert row.content_sha256 == (hashlib.sha256(content).hexdigest() if want == "valid" else None)
+    assert not got

@@ -4,12 +4,14 @@ Equal sets are one set. Of the others, sets that agree in a min-hash are compare
 the hub, and a link to the hub is an answer they share: a component of such links is closed, and no
 pair inside it is looked at again. The rest is an index of prefixes: two sets that link share a word
 sequence among the first ``n - ceil(0.8 n) + 1`` of each in one common order, rare ones first. The
-lists of the index are kept by size in blocks that carry their least size and the components in them,
-and a set skips the blocks whose sizes cannot link with it or whose sets its component already holds.
-Pairs whose prefixes share too little for what their sizes ask go too; what is left is compared
-exactly, again hub by hub.
-
-Links are between representatives of equal sets; components need no more pairs than these.
+lists of the index are kept by size in blocks that carry their greatest place in a prefix and the
+components in them, and a set skips the blocks whose sizes or places rule a link out, or whose sets
+its component already holds. Pairs whose prefixes share too little for what their sizes ask go too,
+then pairs whose signatures differ in more bits than linked sets can; what is left is compared
+exactly, hub by hub.
+
+Links are between representatives of equal sets; components need no more pairs than these. Texts are
+read twice: to count sequences, and to write each set's key, prefix and signature once.
 """
 
 from __future__ import annotations
@@ -26,14 +28,17 @@ from pyspark.sql import functions as F
 from docloom.llm.words import (
     LOWER, as_long, gram_hashes, mix, ship, shipped, text_slices, word_bounds, word_hashes,
 )
+from docloom.operators.graph import components
 from docloom.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 80  # least similarity
 SEEDS = (0x1B873593, 0x5BD1E995, 0x2545F491)  # min-hashes that find hubs
 HUB_ROWS = 512  # sets compared with one hub in one task
-BUCKET_POSTINGS = 2_000_000
-COUNTED = np.uint64(int(0.4 * 2**64))  # frequencies are counted below this hash: prefixes reach no further
+BUCKET_POSTINGS = 4_000_000  # of prefixes, in one bucket of the index
+PAIRS_HELD = 4_000_000  # pairs of a bucket before those met more than once are counted together
+BROADCAST_ROWS = 1_000_000  # narrow rows, counted first, up to which a side goes to every task
+COUNTED = np.uint64(int(0.4 * 2**64))  # frequencies are counted below this hash: prefixes seldom reach further
 COMMON = 4  # least frequency that moves a sequence to the end of the order
 MAX_COMMON = 1 << 22  # rows of the broadcast table of common sequences
 BLOCK = 64  # postings of a block
@@ -66,24 +71,65 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= PERCENT * (len(a) + len(b) - common)
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, sid, n, h0, h1, h2): key and size of each row's set and its min-hashes."""
+def signature(found: np.ndarray) -> bytes:
+    """Parity of the members that fall on each of 2 n to 4 n bits. Sets that differ in d members
+    differ in d bits at most, and in nearly as many when d is small."""
+    width = max(64, 1 << int(2 * len(found) - 1).bit_length()) if len(found) else 64
+    place = (mix(found ^ np.uint64(0x7A3D9E15)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
+    """False only where signatures prove that two sets do not link. A wide one folds to a narrow one."""
+    if 100 * min(n_a, n_b) < PERCENT * max(n_a, n_b):
+        return False
+    x, y, width, narrow = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a), 8 * len(b)
+    if width < narrow:
+        x, y, width, narrow = y, x, narrow, width
+    while width > narrow:
+        width //= 2
+        x = (x >> width) ^ (x & ((1 << width) - 1))
+    shared = -(-PERCENT * (n_a + n_b) // (100 + PERCENT))  # what linked sets have in common at least
+    return (x ^ y).bit_count() <= n_a + n_b - 2 * shared
+
+
+def described(docs: DataFrame, common, buckets: int) -> DataFrame:
+    """(doc_id, sid, n, h0, h1, h2, prefix, signature): all that the join needs of each row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, levels = shipped(common)
         for batch in batches:
-            sid, n, least = [], [], []
-            for _, _, data, offsets in text_slices(batch.column(1)):
-                for found in shingle_sets(data, offsets):
-                    sid.append(set_key(found))
-                    n.append(len(found))
-                    least.append([int(mix(found ^ np.uint64(s)).min()) for s in SEEDS] if len(found) else [0] * len(SEEDS))
-            columns = np.array(least, np.uint64).reshape(-1, len(SEEDS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sid, pa.binary()), pa.array(n, pa.int64()),
-                 *(as_long(columns[:, i]) for i in range(len(SEEDS)))],
-                names=["doc_id", "sid", "n", *(f"h{i}" for i in range(len(SEEDS)))])
+            for low, high, data, offsets in text_slices(batch.column(1)):
+                sets = shingle_sets(data, offsets)
+                columns = np.array([[int(mix(found ^ np.uint64(s)).min()) for s in SEEDS] if len(found) else [0] * len(SEEDS)
+                                    for found in sets], np.uint64).reshape(-1, len(SEEDS))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[low:high], pa.array([set_key(x) for x in sets], pa.binary()),
+                     pa.array([len(x) for x in sets], pa.int64()), *(as_long(columns[:, i]) for i in range(len(SEEDS))),
+                     pa.array([prefix(x, ids, levels, buckets).tobytes() for x in sets], pa.binary()),
+                     pa.array([signature(x) for x in sets], pa.binary())],
+                    names=["doc_id", "sid", "n", *(f"h{i}" for i in range(len(SEEDS))), "prefix", "signature"])
 
     hashes = ", ".join(f"h{i} bigint" for i in range(len(SEEDS)))
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, sid binary, n bigint, {hashes}")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id bigint, sid binary, n bigint, {hashes}, prefix binary, signature binary")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, hinted for broadcast if its rows, which are narrow, were counted as few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The (hub, doc) of ``pairs`` that signatures do not rule out."""
+    marks = reps.select("rep", "n", "signature")
+    sides = pairs.join(marks.toDF("hub", "n_a", "a"), "hub").join(marks.toDF("doc", "n_b", "b"), "doc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [may_link(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("a", "n_a", "b", "n_b")))]
+            yield batch.select(["hub", "doc"]).filter(pa.array(found, pa.bool_()))
+
+    return sides.select("hub", "doc", "a", "n_a", "b", "n_b").mapInArrow(run, "hub bigint, doc bigint")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -115,9 +161,15 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     ).unionByName(salts.select(
         "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("is_hub"),
         F.col("hub").alias("rep")))
-    wanted = sides.groupBy("rep").agg(F.collect_list(F.struct("hub", "salt", "is_hub")).alias("sides")) \
+    dealt = cut_lineage(sides)
+    wanted = dealt.groupBy("rep").agg(F.collect_list(F.struct("hub", "salt", "is_hub")).alias("sides")) \
         .join(reps.select("rep", "sid"), "rep")
-    rows = packed(docs).join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "sid", "z", "sides")
+    if dealt.count() <= BROADCAST_ROWS:  # then texts stay where they are, and most are not packed at all
+        named = F.broadcast(dealt.select("rep").distinct())
+        chosen = docs.select("doc_id", "text").join(named, F.col("doc_id") == F.col("rep"), "left_semi")
+    else:
+        chosen = docs
+    rows = packed(chosen).join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "sid", "z", "sides")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,32 +203,6 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
         .mapInArrow(compare, "hub bigint, doc bigint").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node each node of ``edges`` (hub, doc) reaches.
-
-    Alternating stars: every node is pointed at the least of its neighbours, first from the greater
-    ones and then from the smaller, until nothing changes; the rounds grow with the logarithm of
-    the longest path, and each one's links are written to the shared folder.
-    """
-    links = cut_lineage(edges.filter("hub <> doc").select(
-        F.greatest("hub", "doc").alias("a"), F.least("hub", "doc").alias("b")).distinct())
-    before = None
-    while True:
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionByName(both.filter("b < a").join(least, "a").filter("b = m").select("a", "b")).distinct()
-        down = large.filter("a > b")
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        links = cut_lineage(
-            down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-
-
 def common_sequences(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids (see ``short_ids``), in order, and levels of the sequences found in at least ``COMMON``
     rows, or in more where that gives over ``MAX_COMMON`` of them. Counted over all rows."""
@@ -229,27 +255,28 @@ def prefix(found: np.ndarray, ids: np.ndarray, levels: np.ndarray, buckets: int)
     return found[np.lexsort((found, level))[:need]]
 
 
-def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs with equal token, sizes that can link and different groups."""
-    order = np.lexsort((size, token))
-    token, size, group = token[order], size[order], group[order]
+def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs with equal token and different groups whose sizes and places can link.
+
+    ``place`` is the token's in each set's common order: no more than the tokens up to it and those
+    behind it can be shared. The lists come sorted by token, each by size.
+    """
+    def links(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        most = np.minimum(place[a], place[b]) + 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
+        return (group[a] != group[b]) & ((100 + PERCENT) * most >= PERCENT * (size[a] + size[b]))
+
     first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     bounds = np.append(first, len(token))
     length = np.diff(bounds)
-    out_a, out_b = [], []
     stop = np.repeat(bounds[1:], length)
-    short = np.repeat((length > 1) & (length <= SHORT), length)
-    active = np.flatnonzero(short)
+    active = np.flatnonzero(np.repeat((length > 1) & (length <= SHORT), length))
     step = 1
     while len(active):
         active = active[active + step < stop[active]]
-        other = active + step
         # Sizes rise within a list: once one is too large, so are all behind it.
-        fits = 100 * size[active] >= PERCENT * size[other]
-        active, other = active[fits], other[fits]
-        cross = group[active] != group[other]
-        out_a.append(active[cross])
-        out_b.append(other[cross])
+        active = active[100 * size[active] >= PERCENT * size[active + step]]
+        found = active[links(active, active + step)]
+        yield found, found + step
         step += 1
     for k in np.flatnonzero(length > SHORT).tolist():
         low, high = int(bounds[k]), int(bounds[k + 1])
@@ -258,46 +285,43 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray) -> tu
         heads = np.arange(low, high, BLOCK)
         least = np.minimum.reduceat(group[low:high], heads - low)
         most = np.maximum.reduceat(group[low:high], heads - low)
+        near, far = np.minimum.reduceat(place[low:high], heads - low), np.maximum.reduceat(place[low:high], heads - low)
+        large = np.maximum.reduceat(size[low:high], heads - low)
         for i in range(low, high - 1):
             limit = 100 * size[i] // PERCENT
             blocks = np.arange((i + 1 - low) // BLOCK, np.searchsorted(size[heads], limit, side="right"))
-            blocks = blocks[(least[blocks] != group[i]) | (most[blocks] != group[i])]
+            # A block is skipped if it is all of this component, or no place in it leaves enough.
+            bound = np.minimum(place[i], far[blocks]) + np.minimum(size[i] - place[i], large[blocks] - near[blocks])
+            blocks = blocks[((least[blocks] != group[i]) | (most[blocks] != group[i]))
+                            & ((100 + PERCENT) * bound >= PERCENT * (size[i] + size[heads[blocks]]))]
             if len(blocks):
                 other = (heads[blocks][:, None] + np.arange(BLOCK)).ravel()
                 other = other[(other > i) & (other < high)]
-                other = other[(size[other] <= limit) & (group[other] != group[i])]
-                out_a.append(np.full(len(other), i))
-                out_b.append(other)
-    a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
-    b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-    return order[a], order[b]
+                other = other[size[other] <= limit]
+                other = other[links(np.full(len(other), i), other)]
+                yield np.full(len(other), i), other
 
 
 _ENTRY = np.dtype([("rep", "<i8"), ("root", "<i8"), ("n", "<i4")])
 
 
-def open_pairs(docs: DataFrame, reps: DataFrame, roots: DataFrame, total: int) -> DataFrame:
+def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
     """(hub, doc): pairs of representatives of different components that the index cannot rule out."""
-    buckets = 1 << max(3, int(np.ceil(np.log2(max(1.0, 0.4 * total / BUCKET_POSTINGS)))))
-    common = ship(docs.sparkSession, common_sequences(docs, buckets))
-    known = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("rep", "sid", F.coalesce("root", "rep").alias("root"))
-    rows = packed(docs).join(known, F.col("doc_id") == F.col("rep")).select("rep", "root", "sid", "z")
+    rows = reps.select("rep", "n", "prefix").join(small(roots.withColumnRenamed("node", "rep")), "rep", "left") \
+        .select("rep", F.coalesce("root", "rep").alias("root"), "n", "prefix")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, levels = shipped(common)
         for batch in batches:
-            entries, tokens, owners = [], [], []
-            for rep, root, sid, z in zip(*(c.to_pylist() for c in batch.columns)):
-                found = set_of(z)
-                if set_key(found) == sid:
-                    own = prefix(found, ids, levels, buckets)
-                    tokens.append(own)
-                    owners.append(np.full(len(own), len(entries), np.int32))
-                    entries.append((rep, root, len(found)))
-            if not entries:
+            if not batch.num_rows:
                 continue
-            table, token, owner = np.array(entries, _ENTRY), np.concatenate(tokens), np.concatenate(owners)
+            table = np.empty(batch.num_rows, _ENTRY)
+            for name in _ENTRY.names:
+                table[name] = batch.column(name).to_numpy()
+            raw = batch.column("prefix").to_pylist()
+            lengths = np.array([len(p) // 8 for p in raw])
+            token = np.frombuffer(b"".join(raw), np.uint64)
+            owner = np.repeat(np.arange(len(raw)), lengths)
+            place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             bucket = (token & np.uint64(buckets - 1)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -307,32 +331,71 @@ def open_pairs(docs: DataFrame, reps: DataFrame, roots: DataFrame, total: int) -
                     used, local = np.unique(owner[part], return_inverse=True)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([i], pa.int32()), pa.array([(token[part] >> np.uint64(32)).astype(np.uint32).tobytes()], pa.binary()),
-                        pa.array([local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes()], pa.binary()),
+                        pa.array([local.astype(np.uint32).tobytes()], pa.binary()),
+                        pa.array([place[part].astype(np.uint32).tobytes()], pa.binary()),
                         pa.array([table[used].tobytes()], pa.binary())],
-                        names=["bucket", "token", "owner", "entries"])
-
-    def meet(table: pa.Table) -> pa.Table:
-        tokens, reps, roots, sizes = [], [], [], []
-        for token, owner, entries in zip(*(table[c].to_pylist() for c in ("token", "owner", "entries"))):
-            high, entry = np.frombuffer(token, np.uint32), np.frombuffer(entries, _ENTRY)
-            local = np.frombuffer(owner, np.uint16 if len(entry) < 65536 else np.uint32)
-            tokens.append(high)
-            reps.append(entry["rep"][local])
-            roots.append(entry["root"][local])
-            sizes.append(entry["n"][local].astype(np.int64))
-        rep = np.concatenate(reps)
-        size = np.concatenate(sizes)
-        a, b = pairs_of_lists(np.concatenate(tokens), size, np.concatenate(roots))
-        a, b = np.where(rep[a] <= rep[b], a, b), np.where(rep[a] <= rep[b], b, a)
-        both, n = np.unique(np.stack([rep[a], rep[b], size[a], size[b]], axis=1), axis=0, return_counts=True)
-        columns = (*both.T, n.astype(np.int64))
-        return pa.table(dict(zip(("hub", "doc", "n_hub", "n_doc", "common"), map(pa.array, columns))))
+                        names=["bucket", "token", "owner", "place", "entries"])
+
+    def met(held: list[dict]) -> Iterator[pa.RecordBatch]:
+        """The pairs of one bucket, counted; those of a very full bucket in several parts."""
+        entries = [np.frombuffer(r["entries"], _ENTRY) for r in held]
+        shift = np.cumsum([0, *(len(e) for e in entries)])
+        owner = np.concatenate([np.frombuffer(r["owner"], np.uint32) + s for r, s in zip(held, shift.tolist())])
+        table = np.concatenate(entries)
+        by_size = np.argsort(table["n"], kind="stable")
+        rank = np.empty(len(table), np.uint64)
+        rank[by_size] = np.arange(len(table), dtype=np.uint64)
+        table = table[by_size]
+        key = np.concatenate([np.frombuffer(r["token"], np.uint32) for r in held]).astype(np.uint64) << np.uint64(32) | rank[owner]
+        order = np.argsort(key)
+        key, place = key[order], np.concatenate([np.frombuffer(r["place"], np.uint32) for r in held])[order].astype(np.int64)
+        at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        pairs, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        fresh, size = [], 0
+
+        def counted() -> tuple[np.ndarray, np.ndarray]:
+            both, where = np.unique(np.concatenate([pairs, *fresh]), return_inverse=True)
+            return both, np.bincount(where, np.concatenate([n, np.ones(size, np.int64)]), len(both)).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            a, b = table[pairs >> 32], table[pairs & 0xFFFFFFFF]
+            swap = a["rep"] > b["rep"]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a["rep"]), pa.array(b["rep"]), pa.array(a["n"]), pa.array(b["n"]), pa.array(n)],
+                names=["hub", "doc", "n_hub", "n_doc", "common"])
+
+        for a, b in pairs_of_lists(key >> np.uint64(32), table["n"][at].astype(np.int64), table["root"][at], place):
+            fresh.append(at[a] << 32 | at[b])
+            size += len(a)
+            if size > PAIRS_HELD:
+                pairs, n = counted()
+                fresh, size = [], 0
+                if len(pairs) > PAIRS_HELD:
+                    yield out()
+                    pairs, n = pairs[:0], n[:0]
+        pairs, n = counted()
+        if len(pairs):
+            yield out()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    if held:
+                        yield from met(held)
+                    bucket, held = row["bucket"], []
+                held.append(row)
+        if held:
+            yield from met(held)
 
     # Beyond the prefix that ends first, its set has ceil(0.8 n) - 1 members left to share.
     least = F.ceil(F.lit(PERCENT) * (F.col("n_hub") + F.col("n_doc")) / (100 + PERCENT)) \
         - F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("n_hub", "n_doc")))
-    return rows.mapInArrow(emit, "bucket int, token binary, owner binary, entries binary") \
-        .groupBy("bucket").applyInArrow(meet, "hub bigint, doc bigint, n_hub bigint, n_doc bigint, common bigint") \
+    return rows.mapInArrow(emit, "bucket int, token binary, owner binary, place binary, entries binary") \
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket") \
+        .mapInArrow(meet, "hub bigint, doc bigint, n_hub int, n_doc int, common bigint") \
         .groupBy("hub", "doc", "n_hub", "n_doc").agg(F.sum("common").alias("common")) \
         .filter((F.col("hub") != F.col("doc")) & (F.col("common") >= least)).select("hub", "doc").distinct()
 
@@ -344,20 +407,24 @@ def join(docs: DataFrame) -> DataFrame:
     sets are in one component, repeated rows too. A doc_id over different texts ties them together. A row with a null doc_id is never the least of its
     component; alone, its component_id is null. An empty table gives no rows.
     """
-    info = cut_lineage(described(docs))
-    reps = cut_lineage(info.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"h{i}").alias(f"h{i}") for i in range(len(SEEDS)))))
-    reps = reps.withColumnRenamed("doc_id", "rep")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A word and its space take about eight bytes; a fifth of the sequences is in prefixes.
+    buckets = 1 << max(3, int(np.ceil(np.log2(max(1.0, size / 8 / 5 / BUCKET_POSTINGS)))))
+    common = ship(docs.sparkSession, common_sequences(docs, buckets))
+    info = cut_lineage(described(docs, common, buckets).withColumn("row", F.monotonically_increasing_id()))
+    least = info.filter("n > 0 AND doc_id IS NOT NULL").groupBy("sid") \
+        .agg(F.min(F.struct("doc_id", "row")).alias("x")).select("sid", F.col("x.doc_id").alias("rep"), F.col("x.row").alias("row"))
+    chosen = cut_lineage(least)
+    reps = info.drop("doc_id", "sid").join(small(chosen), "row")
     agree = reps.select("rep", F.posexplode(F.array(*(f"h{i}" for i in range(len(SEEDS))))).alias("i", "h"))
     hubs = agree.groupBy("i", "h").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     near = agree.join(hubs, ["i", "h"]).filter("rep <> hub").select("hub", F.col("rep").alias("doc")).distinct()
-    links = cut_lineage(verified(docs, reps, cut_lineage(near)))
-    roots = components(links)
-    total = reps.agg(F.sum("n")).first()[0] or 0
-    rest = cut_lineage(open_pairs(docs, reps, roots, total))
+    links = cut_lineage(verified(docs, reps, cut_lineage(plausible(near, reps))))
+    roots = components(links, "hub", "doc")
+    rest = cut_lineage(plausible(open_pairs(reps, roots, buckets), reps))
     more = cut_lineage(verified(docs, reps, rest))
-    roots = components(links.unionByName(more)) if more.take(1) else roots
-    named = reps.select("sid", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
+    roots = components(links.unionByName(more), "hub", "doc") if more.take(1) else roots
+    named = chosen.select("sid", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("sid", F.coalesce("root", "rep").alias("component_id"))
     return info.select("doc_id", "sid", "n").join(named, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

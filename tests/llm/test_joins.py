@@ -58,14 +58,54 @@ def test_components_equal_brute_force(docs, monkeypatch, short):
 
 
 def test_lists_short_and_long_give_all_cross_pairs():
+    """Pairs of one list whose sizes and places can link, whether a list is short or read by blocks."""
     rnd = np.random.default_rng(1)
-    token = rnd.integers(0, 4, 900).astype(np.uint32)
-    size, group = rnd.integers(50, 90, 900), rnd.integers(0, 40, 900)
+    token = np.sort(rnd.integers(0, 4, 900))
+    size, group, place = rnd.integers(50, 90, 900), rnd.integers(0, 40, 900), rnd.integers(0, 18, 900)
+    order = np.lexsort((size, token))
+    size, group, place = size[order], group[order], place[order]
     group[token == 2] = 7
-    a, b = jaccard.pairs_of_lists(token, size, group)
-    want = {(i, j) for i in range(900) for j in range(i) if token[i] == token[j] and group[i] != group[j]
-            and 100 * min(size[i], size[j]) >= 80 * max(size[i], size[j])}
-    assert {(max(p), min(p)) for p in zip(a.tolist(), b.tolist())} == want
+    got = [(a, b) for x, y in jaccard.pairs_of_lists(token, size, group, place) for a, b in zip(x.tolist(), y.tolist())]
+
+    def can_link(i, j):
+        most = min(place[i], place[j]) + 1 + min(size[i] - place[i] - 1, size[j] - place[j] - 1)
+        return 100 * size[i] >= 80 * size[j] and 180 * most >= 80 * (size[i] + size[j])
+
+    want = {(i, j) for j in range(900) for i in range(j) if token[i] == token[j] and group[i] != group[j] and can_link(i, j)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_signatures_rule_out_no_link():
+    rnd = np.random.default_rng(5)
+    ruled_out = 0
+    for n in (1, 3, 60, 500, 3000):
+        for share in (0.99, 0.9, 0.85, 0.6, 0.2):
+            base = np.unique(rnd.integers(0, 1 << 62, n).astype(np.uint64))
+            kept = base[rnd.random(len(base)) < share]
+            other = np.unique(np.concatenate([kept, rnd.integers(0, 1 << 62, int(n * (1 - share) * rnd.random())).astype(np.uint64)]))
+            may = jaccard.may_link(jaccard.signature(base), len(base), jaccard.signature(other), len(other))
+            assert may or not (len(other) and jaccard.similar(base, other))
+            ruled_out += not may
+    assert ruled_out >= 8
+
+
+def test_one_sequence_in_half_of_all_sets(docs):
+    """A passage that half of the texts share, most of them in their prefix too."""
+    rnd = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(rnd.choice("abcdefgh") + str(rnd.randrange(50)) for _ in range(rnd.choice((2, 6, 14)))) for _ in range(150)]
+    texts += [" ".join(f"u{rnd.randrange(900)}" for _ in range(50)) for _ in range(150)]
+    rows = list(enumerate(texts))
+    assert sorted(tuple(r) for r in jaccard.join(docs(rows)).collect()) == sorted(brute_components(rows))
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_many_small_parts_give_the_same(docs, monkeypatch, few):
+    """Pairs sent on in parts, sides joined by shuffle."""
+    monkeypatch.setattr(jaccard, "PAIRS_HELD", 3)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", few)
+    rows = list(enumerate(near_copies(9)))
+    assert sorted(tuple(r) for r in jaccard.join(docs(rows)).collect()) == sorted(brute_components(rows))
 
 
 def test_links_the_hubs_miss_come_from_the_index(docs, monkeypatch):
@@ -86,7 +126,7 @@ def test_repeated_and_missing_ids_and_empty_table(docs, prose):
 
 def test_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "hub bigint, doc bigint")
-    got = {r.node: r.root for r in jaccard.components(edges).collect()}
+    got = {r.node: r.root for r in jaccard.components(edges, "hub", "doc").collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 

@@ -41,19 +41,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near copies. Of rows that repeat a
-    doc_id one stays, of rows without doc_id all."""
-    found = jaccard.join(docs).filter("doc_id <> component_id") \
-        .select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("__id"), "left_anti")
-    if not docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").take(1):
-        return kept
-    return kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) \
-        .unionByName(kept.filter("doc_id IS NULL"))
+    """The document with the least doc_id of each group of near copies; of rows with that doc_id in
+    the group, the one whose text has the least digest. A doc_id over different texts stays with each
+    that is in no other group. Rows without doc_id come last, and exact copies of them are one group
+    too. An empty table stays empty."""
+    keyed = docs.filter("doc_id IS NULL").take(1) or docs.groupBy("doc_id").count().filter("count > 1").take(1)
+    if not keyed:
+        found = jaccard.join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id"))
+        return docs.join(found, F.col("doc_id") == F.col("__id"), "left_anti")
+    # Where doc_id is no key, rows get one, written with them so that it stays theirs.
+    path = scratch(spark, "keyed")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    groups = jaccard.join(rows.select(F.col("__row").alias("doc_id"), "text")) \
+        .select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"), "n_shingles")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2("text", 256), "__row")
+    # Texts without words are no near copies, yet exact copies without doc_id, or with one, are one.
+    named = rows.join(groups, "__row").select("__row", order.alias("o"), F.when(F.col("n_shingles") > 0, F.struct(
+        F.lit(None).cast("bigint").alias("d"), F.col("__group").alias("g"), F.lit(None).cast("string").alias("t"))).otherwise(
+        F.struct(F.col("doc_id").alias("d"), F.lit(None).cast("bigint").alias("g"), F.sha2("text", 256).alias("t"))).alias("k"))
+    kept = named.groupBy("k").agg(F.min("o").alias("o")).select(F.col("o.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").drop("__row")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the words of passages that repeat. A text may become empty."""
+    """All documents, without the words of passages that repeat. A text may become empty; a null one
+    stays null. Every row is judged as it is, whatever its doc_id; an empty table stays empty."""
     hidden, names = shielded(docs)
     cut = substrings.remove_repeated(hidden.withColumn("__null", F.col("text").isNull()),
                                      carried=(*[c for c in hidden.columns if c != "text"], "__null"), keep_text=True)
@@ -64,7 +77,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the name of its kind in place of each span of personal data."""
+    """All documents, with the name of its kind in place of each span of personal data. Null texts stay
+    null; rows without doc_id and repeated rows are read like any other; an empty table stays empty."""
     hidden, names = shielded(docs)
     found = pii.find(hidden, pii.train(hidden), redact=True)
     made = found.withColumn("__new", F.when(F.col("text").isNotNull(), F.col("redacted")))
@@ -72,7 +86,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and its place in it."""
+    """Every piece of every document with its sequence and its place in it: see ``packing.pack`` for
+    null texts, missing ids, ties and empty tables."""
     return packing.pack(docs)
 
 

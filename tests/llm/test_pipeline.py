@@ -48,4 +48,14 @@ def test_empty_documents(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     names = sorted(queries.QUERIES)
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == [] and "pipeline" in names
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == [] and "pipeline" in names
+
+
+def test_near_duplicates_where_ids_repeat_or_lack(spark, prose):
+    """A doc_id over a copied text and one of its own, copies without doc_id, and no words at all."""
+    a, b, c, d = (prose(i, 80) for i in range(4))
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (None, c), (None, c), (3, c + " end"), (None, d), (4, ""), (4, ""), (5, ""), (None, "")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id bigint, text string, lang string").repartition(3)
+    got = sorted(((r.doc_id or 0, r.text) for r in pipe.near_duplicates(spark, docs, "").collect()))
+    assert got == sorted([(1, a), (2, b), (3, c + " end"), (0, d), (4, ""), (5, ""), (0, "")])
+    assert pipe.near_duplicates(spark, docs, "").columns == docs.columns

@@ -23,6 +23,7 @@ from docloom.operators.fetching import (
 from docloom.operators.tables import last_per_key, live, upsert
 
 NOT_PERFORMED = "not_performed"  # fixed value of visual_interpretation
+FAILURE_CODE = "conversion_failed"
 
 # Bytes to (document tree as JSON text, text, error code).
 Converter = Callable[[bytes], tuple[str | None, str | None, str | None]]
@@ -39,7 +40,7 @@ FACTS = ("object_uri", "source_bytes", "source_code", "source_sha256")
 def convert(
     objects: DataFrame, factory: Callable[[], Converter],
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
-    failure_code: str = "conversion_failed",
+    failure_code: str = FAILURE_CODE,
 ) -> DataFrame:
     """Facts and converted form of every (object_uri, content), in one pass over the content.
 
@@ -303,16 +304,20 @@ def extract_stage(
     fmt: str = "pdf",
     mime: str = "application/pdf",
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
+    failure_code: str = FAILURE_CODE,
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
+    store_bodies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Extraction:
     """Only objects that an event names are read, each once.
 
-    ``store`` materializes the converted documents and the verdicts, both of which several
-    outputs read.
+    ``store`` materializes the verdicts and ``store_bodies`` the converted documents, both of which
+    several outputs read. With objects in a table bucketed by URI, and converted documents stored as
+    one (``sources.objects.bucketed``), content and bodies stay where they were read: the events'
+    URIs and the verdicts come to them.
     """
     wanted = events.select(F.col("payload_uri").alias("object_uri")).distinct()
-    named = with_empty_objects(objects, versions).join(wanted, "object_uri", "left_semi")
-    normalized = normalize(store(convert(named, factory, max_bytes)))
+    named = with_empty_objects(objects, versions, wanted)
+    normalized = (store_bodies or store)(normalize(convert(named, factory, max_bytes, failure_code)).drop("document"))
     verdicts = store(extract_verdicts(
         events, normalized, versions, ledger, bucket=bucket, artifact_bucket=artifact_bucket,
         mime=mime))

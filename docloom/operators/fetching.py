@@ -115,18 +115,31 @@ def _run_inspector(checked: DataFrame, factory: Callable[[], Inspector]) -> Data
              "content_sha256 string, page_count bigint")
 
 
-def with_empty_objects(objects: DataFrame, versions: DataFrame) -> DataFrame:
-    """Add zero-length objects, which a binary file scan leaves out: versions of zero bytes whose
-    object was not listed. Versions that carry no size or no object name add none."""
+def empty_objects(objects: DataFrame, versions: DataFrame) -> DataFrame | None:
+    """Zero-length objects, which a binary file scan leaves out: versions of zero bytes whose object
+    was not listed. Versions that carry no size or no object name give none."""
     if not {"byte_size", "source_object_uri"} <= set(versions.columns):
-        return objects
-    carried = [c for c in ("object_uri", "content", "byte_size") if c in objects.columns]
-    empty = versions.filter("byte_size = 0") \
+        return None
+    return versions.filter("byte_size = 0") \
         .select(F.col("source_object_uri").alias("object_uri")).distinct() \
         .join(objects.select("object_uri"), "object_uri", "left_anti") \
         .withColumn("content", F.lit("").cast(objects.schema["content"].dataType)) \
         .withColumn("byte_size", F.lit(0).cast("bigint"))
-    return objects.select(*carried).unionByName(empty.select(*carried))
+
+
+def with_empty_objects(objects: DataFrame, versions: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``objects`` and the empty ones; of both only those ``wanted`` (object_uri) names, if given.
+
+    The wanted URIs meet the objects where these lie: in a table bucketed by URI no content moves.
+    """
+    def named(df: DataFrame) -> DataFrame:
+        return df if wanted is None else df.join(wanted, "object_uri", "left_semi")
+
+    empty = empty_objects(objects, versions)
+    if empty is None:
+        return named(objects)
+    carried = [c for c in ("object_uri", "content", "byte_size") if c in objects.columns]
+    return named(objects.select(*carried)).unionByName(named(empty.select(*carried)))
 
 
 def one_per_object(rows: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from docloom.operators import extraction as ext
 from docloom.operators.metrics import outcome_counts, quality_by_tenant
 from docloom.plans import views as v
 from docloom.plans.registry import query, uuid_sql
-from docloom.session import cut_lineage, spread
+from docloom.session import cut_lineage, scratch, spread
+from docloom.sources.objects import bucketed, land_bucketed, read_artifacts, write_artifacts
 from docloom.functions.markup import COMMENTS, HIDDEN_BLOCKS, SPACES, TAGS
 
 EXTRACT_LIMIT = 20_000
@@ -278,7 +279,7 @@ def extract_outbox(spark, sf):
         F.coalesce(member("error_code"), member("extraction_status")).alias("outcome"))
 
 
-@query("artifact_bodies", f"""
+ARTIFACTS_SQL = f"""
     SELECT tenant_id, 's3://{v.ARTIFACTS}/' || tenant_id || '/' || event_version || '/extracted/'
         || event_sha || '/manifest.json' AS object_uri,
       '{{"extraction_status":"' || status || '","extractor":"{EXTRACTOR}","extractor_version":"1",'
@@ -296,13 +297,34 @@ def extract_outbox(spark, sf):
       || to_json(CASE WHEN length(body) >= {SHORT_TEXT} THEN body ELSE ' ' || chr(10) END)
       || ',"schema_version":"1.0.0","visual_interpretation":"not_performed"}}'
     FROM ({FETCHED_SQL})
-    WHERE quarantine IS NULL AND (code IS NULL OR code = 'unknown_document_version')""")
+    WHERE quarantine IS NULL AND (code IS NULL OR code = 'unknown_document_version')"""
+
+
+@query("artifact_bodies", ARTIFACTS_SQL)
 def artifact_bodies(spark, sf):
     normalized = cut_lineage(_converted(spark, sf))
     return ext.artifacts(verdicts(spark, sf, normalized), normalized, fmt="pdf", extractor=EXTRACTOR,
                          extractor_version=EXTRACTOR_VERSION)
 
 
+@query("artifact_store", f"SELECT tenant_id, object_uri, sha256(body) AS body_sha256 FROM ({ARTIFACTS_SQL})")
+def artifact_store(spark, sf):
+    """The extract stage over objects landed in buckets: converted documents are stored beside them,
+    and the artifacts are written and read back."""
+    root = scratch(spark, "extract")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    landed = land_bucketed(
+        v.objects(spark, sf).withColumn("content_type", F.lit("application/pdf")), f"{root}/objects", buckets)
+    empty = spark.createDataFrame([], schemas.TABLES["processed_events"])
+    made = ext.extract_stage(
+        fetched_events(spark, sf), landed, v.stored_versions(spark, sf), v.stored_documents(spark, sf), empty,
+        factory=text_converter, bucket=v.BUCKET, artifact_bucket=v.ARTIFACTS, as_of=v.AS_OF, extractor=EXTRACTOR,
+        extractor_version=EXTRACTOR_VERSION, max_bytes=EXTRACT_LIMIT, store=cut_lineage,
+        store_bodies=lambda df: bucketed(df, f"{root}/bodies", "object_uri", buckets, dealt=True))
+    write_artifacts(made.artifacts, f"{root}/artifacts")
+    return read_artifacts(spark, f"{root}/artifacts").select("tenant_id", "object_uri", sha256("body").alias("body_sha256"))
+
+
 @query("quality_by_tenant", f"""
     SELECT tenant_id, COUNT(*) AS documents, CAST(SUM(strlen(content)) AS BIGINT) AS source_bytes,
       CAST(SUM(characters) AS BIGINT) AS text_characters,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,37 @@ OBJECT_COLUMNS = (
 )
 
 
+def bucketed(df: DataFrame, path: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """Store ``df`` at ``path`` in buckets by hash of ``key`` and return it as a table that knows so.
+
+    A join on ``key`` then moves the other side only. Rows are dealt once, into one file a bucket;
+    with ``dealt`` they lie by bucket already, as what is computed from a bucketed table does.
+    ``buckets`` should be no fewer than the session's shuffle partitions.
+    """
+    rows = df if dealt else df.repartition(buckets, key)
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key) \
+        .option("path", path).saveAsTable(_table_name(path))
+    return df.sparkSession.table(_table_name(path))
+
+
+def open_bucketed(spark: SparkSession, path: str, ddl: str, key: str, buckets: int) -> DataFrame:
+    """The same table in a session that did not write it."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(path)} ({ddl}) USING parquet "
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(_table_name(path))
+
+
+def _table_name(path: str) -> str:
+    return "docloom_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
+def land_bucketed(objects: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Objects with digests as a table bucketed by URI: one file a bucket, however many tenants."""
+    return bucketed(objects.select(
+        "object_uri", F.col("content").cast("binary").alias("content"), "content_type",
+        sha256("content").alias("content_sha256"), "tenant_id"), path, "object_uri", buckets)
+
+
 def land_objects(objects: DataFrame, path: str) -> None:
     """Append (tenant_id, object_uri, content, content_type) with digests, one folder per tenant.
 
@@ -63,19 +96,25 @@ def missing_objects(versions: DataFrame, objects: DataFrame) -> DataFrame:
     return versions.join(stored, "source_object_uri", "left_anti")
 
 
-def write_artifacts(artifacts: DataFrame, path: str) -> None:
-    """(tenant_id, object_uri, body) rows, appended by content-addressed key.
+def write_artifacts(artifacts: DataFrame, path: str, batch: str = "batch=0") -> None:
+    """(tenant_id, object_uri, body) rows of one batch; a batch run again replaces its own folder.
 
-    A key always carries the same body, so a retry adds equal rows; ``read_artifacts`` returns
-    each key once.
+    A key is content-addressed and always carries the same body, so another batch may repeat it.
     """
     artifacts.select("object_uri", "body", "tenant_id") \
-        .write.mode("append").partitionBy("tenant_id").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{batch}")
 
 
 def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("object_uri string, body string, tenant_id string") \
-        .parquet(path).dropDuplicates(["tenant_id", "object_uri"])
+    """Every key once. Keys are counted first; only rows of repeated ones are dealt and folded."""
+    rows = spark.read.option("recursiveFileLookup", "true") \
+        .schema("object_uri string, body string, tenant_id string").parquet(path)
+    repeated = rows.groupBy("tenant_id", "object_uri").count().filter("count > 1").drop("count")
+    if not repeated.take(1):
+        return rows
+    again = rows.join(repeated, ["tenant_id", "object_uri"], "left_semi")
+    return rows.join(repeated, ["tenant_id", "object_uri"], "left_anti") \
+        .unionByName(again.dropDuplicates(["tenant_id", "object_uri"]))
 
 
 def write_points(points: DataFrame, path: str) -> None:

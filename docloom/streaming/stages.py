@@ -134,7 +134,7 @@ def start_extract(
             _seen(store, events, here), factory=factory, bucket=bucket,
             artifact_bucket=artifact_bucket, as_of=as_of, extractor=extractor,
             extractor_version=extractor_version, max_bytes=max_bytes, store=cut_lineage)
-        write_artifacts(done.artifacts, artifact_path)
+        write_artifacts(done.artifacts, artifact_path, here.path)
         _write(store, done.stage, decoded.filter(F.col(BAD_RECORD).isNotNull()), here, as_of)
 
     return _start(source, run, checkpoint, schemas.EXTRACTOR, trigger)

@@ -9,7 +9,8 @@ from docloom.functions.json_text import canonical_json, spaced_json, strip_binar
 from docloom.functions.markup import detected_type, figure_evidence, html_text
 from docloom.operators import extraction as ext
 from docloom.session import cut_lineage
-from docloom.sources.objects import read_artifacts, write_artifacts
+from docloom.session import cut_lineage
+from docloom.sources.objects import bucketed, land_bucketed, open_bucketed, read_artifacts, write_artifacts
 
 AS_OF = "2024-05-01 12:00:00"
 LIMIT = 60
@@ -137,6 +138,51 @@ def test_artifacts_are_canonical_and_left_by_unknown_versions(spark, run, tmp_pa
     for _ in range(2):  # a retry writes the same keys
         write_artifacts(result.artifacts, str(tmp_path / "artifacts"))
     assert read_artifacts(spark, str(tmp_path / "artifacts")).count() == 4
+    write_artifacts(result.artifacts, str(tmp_path / "artifacts"), "batch=1")  # another batch does so too
+    assert {r.object_uri: r.body for r in read_artifacts(spark, str(tmp_path / "artifacts")).collect()} == bodies
+    assert read_artifacts(spark, str(tmp_path / "artifacts")).count() == 4
+
+
+def test_content_and_bodies_stay_in_their_buckets(spark, rows, tmp_path):
+    """No exchange of the stage carries content, text or tree, with broadcasts off."""
+    objects = land_bucketed(rows("object_uri string, content string, content_type string, tenant_id string",
+                                 *[(f"s3://src/t/d{i}", f"text {i}", "x", "t") for i in range(40)]), str(tmp_path / "o"), 4)
+    again = open_bucketed(spark, str(tmp_path / "o"), "object_uri string, content binary, content_type string, "
+                          "content_sha256 string, tenant_id string", "object_uri", 4)
+    events = rows("event_id string, event_type string, correlation_id string, tenant_id string, document_id string, "
+                  "document_version_id string, payload_uri string, detected_mime_type string, content_sha256 string, "
+                  "inspection_status string, event_offset bigint",
+                  *[(f"e{i}", "DocumentFetched", "c", "t", f"d{i}", f"v{i}", f"s3://src/t/d{i}", "application/pdf",
+                     sha(f"text {i}"), "valid", i) for i in range(0, 40, 2)])
+    versions = rows(schemas.TABLES["document_versions"]).unionByName(rows(
+        "id string, tenant_id string, document_id string, content_sha256 string, source_object_uri string, byte_size bigint",
+        *[(f"v{i}", "t", f"d{i}", sha(f"text {i}"), f"s3://src/t/d{i}", 5) for i in range(40)]), allowMissingColumns=True)
+    documents = rows(schemas.TABLES["documents"])
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return bucketed(df, str(tmp_path / "bodies"), "object_uri", 4, dealt=True)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = ext.extract_stage(
+            events, again, versions, documents, rows(schemas.TABLES["processed_events"]), factory=lambda: lambda c: ("{}", c.decode(), None),
+            bucket="src", artifact_bucket="art", as_of="2024-01-01 00:00:00", extractor="x", extractor_version="1",
+            store=cut_lineage, store_bodies=seen)
+        plans.append(made.artifacts._jdf.queryExecution().executedPlan().toString())
+        got = {r.object_uri: r.body for r in made.artifacts.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == 40 and objects.count() == 40
+    assert json.loads(got[f"s3://art/t/v2/extracted/{sha('text 2')}/normalized.json"])["markdown"] == "text 2"
+    for plan in plans:
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                below = lines[i + 1]
+                assert not any(f"{c}#" in below for c in ("content", "markdown", "tree", "document")), below
+        assert "Bucketed: true" in plan
 
 
 def test_quarantine_and_ledger(run, rows):

@@ -35,8 +35,8 @@ SHINGLE = 5
 PERCENT = 80  # least similarity
 SEEDS = (0x1B873593, 0x5BD1E995, 0x2545F491)  # min-hashes that find hubs
 HUB_ROWS = 512  # sets compared with one hub in one task
-BUCKET_POSTINGS = 4_000_000  # of prefixes, in one bucket of the index
-PAIRS_HELD = 4_000_000  # pairs of a bucket before those met more than once are counted together
+BUCKET_POSTINGS = 2_000_000  # of prefixes, in one bucket of the index
+PAIRS_HELD = 1_000_000  # pairs of a bucket before those met more than once are counted together
 BROADCAST_ROWS = 1_000_000  # narrow rows, counted first, up to which a side goes to every task
 COUNTED = np.uint64(int(0.4 * 2**64))  # frequencies are counted below this hash: prefixes seldom reach further
 COMMON = 4  # least frequency that moves a sequence to the end of the order
@@ -262,19 +262,20 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place
     behind it can be shared. The lists come sorted by token, each by size.
     """
     def links(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        most = np.minimum(place[a], place[b]) + 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
-        return (group[a] != group[b]) & ((100 + PERCENT) * most >= PERCENT * (size[a] + size[b]))
+        n, m = size[a].astype(np.int64), size[b].astype(np.int64)
+        most = np.minimum(place[a], place[b]) + np.minimum(n - place[a], m - place[b])
+        return (group[a] != group[b]) & ((100 + PERCENT) * most >= PERCENT * (n + m))
 
     first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     bounds = np.append(first, len(token))
     length = np.diff(bounds)
-    stop = np.repeat(bounds[1:], length)
+    stop = np.repeat(bounds[1:].astype(np.int32), length)
     active = np.flatnonzero(np.repeat((length > 1) & (length <= SHORT), length))
     step = 1
     while len(active):
         active = active[active + step < stop[active]]
         # Sizes rise within a list: once one is too large, so are all behind it.
-        active = active[100 * size[active] >= PERCENT * size[active + step]]
+        active = active[100 * size[active].astype(np.int64) >= PERCENT * size[active + step].astype(np.int64)]
         found = active[links(active, active + step)]
         yield found, found + step
         step += 1
@@ -288,12 +289,12 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place
         near, far = np.minimum.reduceat(place[low:high], heads - low), np.maximum.reduceat(place[low:high], heads - low)
         large = np.maximum.reduceat(size[low:high], heads - low)
         for i in range(low, high - 1):
-            limit = 100 * size[i] // PERCENT
+            limit = 100 * int(size[i]) // PERCENT
             blocks = np.arange((i + 1 - low) // BLOCK, np.searchsorted(size[heads], limit, side="right"))
             # A block is skipped if it is all of this component, or no place in it leaves enough.
             bound = np.minimum(place[i], far[blocks]) + np.minimum(size[i] - place[i], large[blocks] - near[blocks])
             blocks = blocks[((least[blocks] != group[i]) | (most[blocks] != group[i]))
-                            & ((100 + PERCENT) * bound >= PERCENT * (size[i] + size[heads[blocks]]))]
+                            & ((100 + PERCENT) * bound.astype(np.int64) >= PERCENT * (int(size[i]) + size[heads[blocks]].astype(np.int64)))]
             if len(blocks):
                 other = (heads[blocks][:, None] + np.arange(BLOCK)).ravel()
                 other = other[(other > i) & (other < high)]
@@ -332,24 +333,28 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([i], pa.int32()), pa.array([(token[part] >> np.uint64(32)).astype(np.uint32).tobytes()], pa.binary()),
                         pa.array([local.astype(np.uint32).tobytes()], pa.binary()),
-                        pa.array([place[part].astype(np.uint32).tobytes()], pa.binary()),
+                        pa.array([place[part].astype(np.int32).tobytes()], pa.binary()),
                         pa.array([table[used].tobytes()], pa.binary())],
                         names=["bucket", "token", "owner", "place", "entries"])
 
     def met(held: list[dict]) -> Iterator[pa.RecordBatch]:
         """The pairs of one bucket, counted; those of a very full bucket in several parts."""
         entries = [np.frombuffer(r["entries"], _ENTRY) for r in held]
-        shift = np.cumsum([0, *(len(e) for e in entries)])
-        owner = np.concatenate([np.frombuffer(r["owner"], np.uint32) + s for r, s in zip(held, shift.tolist())])
         table = np.concatenate(entries)
         by_size = np.argsort(table["n"], kind="stable")
         rank = np.empty(len(table), np.uint64)
         rank[by_size] = np.arange(len(table), dtype=np.uint64)
         table = table[by_size]
-        key = np.concatenate([np.frombuffer(r["token"], np.uint32) for r in held]).astype(np.uint64) << np.uint64(32) | rank[owner]
+        shift = np.cumsum([0, *(len(e) for e in entries)]).tolist()
+        key = np.concatenate([np.frombuffer(r["token"], np.uint32).astype(np.uint64) << np.uint64(32)
+                              | rank[s:][np.frombuffer(r["owner"], np.uint32)] for r, s in zip(held, shift)])
         order = np.argsort(key)
-        key, place = key[order], np.concatenate([np.frombuffer(r["place"], np.uint32) for r in held])[order].astype(np.int64)
-        at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        place = np.concatenate([np.frombuffer(r["place"], np.int32) for r in held])[order]
+        held.clear()
+        key = key[order]
+        at, token = (key & np.uint64(0xFFFFFFFF)).astype(np.int32), (key >> np.uint64(32)).astype(np.uint32)
+        del key, order, rank, entries
+        group = np.unique(table["root"], return_inverse=True)[1].astype(np.int32)[at]
         pairs, n = np.empty(0, np.int64), np.empty(0, np.int64)
         fresh, size = [], 0
 
@@ -365,8 +370,8 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(a["rep"]), pa.array(b["rep"]), pa.array(a["n"]), pa.array(b["n"]), pa.array(n)],
                 names=["hub", "doc", "n_hub", "n_doc", "common"])
 
-        for a, b in pairs_of_lists(key >> np.uint64(32), table["n"][at].astype(np.int64), table["root"][at], place):
-            fresh.append(at[a] << 32 | at[b])
+        for a, b in pairs_of_lists(token, table["n"][at], group, place):
+            fresh.append(at[a].astype(np.int64) << 32 | at[b])
             size += len(a)
             if size > PAIRS_HELD:
                 pairs, n = counted()
@@ -381,7 +386,8 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 if row["bucket"] != bucket:
                     if held:
                         yield from met(held)

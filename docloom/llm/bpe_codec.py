@@ -154,7 +154,8 @@ class Coder:
 
     def joined(self, parts: list[Encoded]) -> np.ndarray:
         left, first, out = parts[0], 0, []  # ``first``: token of ``left`` at its last splice
-        for right in parts[1:]:
+        rest = iter(parts[1:])
+        for right in rest:
             sure = np.flatnonzero((left.points <= len(left.text) - self.margin) & (left.at >= first))
             if len(sure):
                 point, token = int(left.points[sure[-1]]), int(left.at[sure[-1]])
@@ -164,6 +165,10 @@ class Coder:
                 point, token = len(left.text), first
             out.append(left.ids[first:token])
             head, reach = left.text[point:], REACH
+            # A stretch without splits grows by its own length, so it is encoded a few times only.
+            grown = 2 * len(head)
+            while len(head) + len(right.text) < grown and len(head) > len(right.text) and (after := next(rest, None)):
+                head, right = head + right.text, after
             while True:
                 reach = min(reach, len(right.text))
                 again = self.encoded([text := head + right.text[:reach]])[0]
@@ -204,8 +209,9 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs`` (doc_id, text), and with
     ``keep_ids`` also ids (array<int>) and decoded.
 
-    A null text reads as empty and has no ids. Repeated rows give repeated results. Special strings
-    inside a text become their ids, as the library does by default.
+    A null text reads as empty and has no ids. Repeated rows give repeated results, an empty table none.
+    Special strings inside a text become their ids, as the library does by default. A very long text is
+    encoded by chunks; a stretch without splits, however long, in time linear in its length.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokens.load(vocabulary)

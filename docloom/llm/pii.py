@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -319,18 +321,27 @@ def chosen_spans(text: str, model: Ensemble | None) -> tuple[list[Span], list[Sp
     base = base_spans(text)
     if model is None:
         return base, base
-    taken = [(a, b) for _, a, b in base]
-    free = [s for s in candidates(text) if not any(a < s[2] and s[1] < b for a, b in taken)] if taken else candidates(text)
+    # Spans in order of their starts, and how far those up to each reach: one search per candidate.
+    ordered = sorted((a, b) for _, a, b in base)
+    starts, reach = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+
+    def overlaps(span: Span) -> bool:
+        before = bisect_left(starts, span[2])
+        return before > 0 and reach[before - 1] > span[1]
+
+    free = [s for s in candidates(text) if not overlaps(s)]
     if not free:
         return base, base
     p = model.probability(np.array([features(text, s) for s in free]))
-    added: list[Span] = []
+    added: list[tuple[int, int, int]] = []  # (start, end, kind), none over another
     for i in np.argsort(-p, kind="stable"):
         if p[i] < model.threshold:
             break
-        if not any(a < free[i][2] and free[i][1] < b for _, a, b in added):
-            added.append(free[i])
-    return base, sorted(base + added)
+        kind, start, end = free[i]
+        at = bisect_left(added, (end,))
+        if at == 0 or added[at - 1][1] <= start:
+            insort(added, (start, end, kind))
+    return base, sorted(base + [(k, a, b) for a, b, k in added])
 
 
 def written(spans: list[Span]) -> str:

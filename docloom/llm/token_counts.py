@@ -26,17 +26,19 @@ LIMIT = 1024
 
 
 def count_spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Number of tokens of ``text``, which is longer than ``chunk``."""
-    margin = tokens.guard(tokenizer)
-    step = chunk - overlap
-    spans = [(s, min(s + chunk, len(text))) for s in range(0, max(len(text) - overlap, 1), step)]
-    encoded = tokenizer.encode_batch([text[a:b] for a, b in spans], add_special_tokens=False)
-    (start, end), left = spans[0], encoded[0]
+    """Number of tokens of ``text``, which is longer than ``chunk``; two chunks are held at a time."""
+    def encoded(a: int, b: int):
+        return tokenizer.encode(text[a:b], add_special_tokens=False)
+
+    margin, step = tokens.guard(tokenizer), chunk - overlap
+    start, end, ahead = 0, min(chunk, len(text)), step
+    left = encoded(start, end)
     points, at = tokens.split_points(left)
     first = 0  # token of the left chunk at its splice
     total = 0
-    for (begin, stop), right in zip(spans[1:], encoded[1:]):
-        width = overlap
+    while end < len(text):
+        begin, stop, width = end - overlap, min(end + ahead, len(text)), overlap
+        right, ahead = encoded(begin, stop), step
         while True:
             theirs, their_at = tokens.split_points(right)
             certain = points[(points + start >= begin) & (points + start <= end - margin) & (at >= first)] + start
@@ -51,11 +53,12 @@ def count_spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERL
             if begin <= start + (points[np.searchsorted(at, first)] if len(points) else 0):
                 # Nothing certain is left to overlap with: both chunks become one, from the splice.
                 begin = start + int(points[np.searchsorted(at, first)]) if len(points) else start
-                first = 0
-                right = tokenizer.encode(text[begin:stop], add_special_tokens=False)
+                # A stretch without splits grows by its own length, so it is encoded a few times only.
+                first, ahead = 0, max(step, stop - begin)
+                right = encoded(begin, stop)
                 theirs, their_at = tokens.split_points(right)
                 break
-            right = tokenizer.encode(text[begin:stop], add_special_tokens=False)
+            right = encoded(begin, stop)
         start, end, left, points, at = begin, stop, right, theirs, their_at
     return total + len(left.ids) - first
 
@@ -64,7 +67,8 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
                  chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs`` (doc_id, text).
 
-    Null and empty texts have no bytes and no tokens. Repeated rows are counted each. Map only.
+    Null and empty texts have no bytes and no tokens. Repeated rows are counted each; an empty table gives
+    no rows. A very long text is counted chunk by chunk, in time linear in its length. Map only.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokens.load(vocabulary)

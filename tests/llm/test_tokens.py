@@ -160,3 +160,19 @@ def test_packed_pieces(spark, docs, prose, rank_rows):
         own = own.sort_values("offset")
         assert own.length.sum() <= 2048 and own.offset.tolist() == [0, *own.length.cumsum()[:-1]]
     assert rows.sequence_id.nunique() == -(-rows.length.sum() // 2048)
+
+
+@pytest.mark.parametrize("kind", ["letters", "spaces", "mixed"])
+def test_long_stretches_without_splits(library, prose, kind):
+    """Time grows with the length, and ids stay the library's."""
+    import time
+
+    rnd = random.Random(6)
+    letters = "".join(rnd.choices("acgt", k=300_000))
+    text = {"letters": letters, "spaces": " " * 90_000 + "a" + " " * 30_000,
+            "mixed": f"{prose(3, 9_000)} {letters[:90_000]} {prose(4, 9_000)}{letters[:50_000]}\n\n{prose(5, 900)}"}[kind]
+    want = ids_of(library, text)
+    start = time.time()
+    assert token_counts.count_spliced(library, text) == len(want)
+    assert bpe_codec.Coder(library).encode_batch([text.encode()])[0].tolist() == want
+    assert time.time() - start < 60

@@ -37,8 +37,16 @@ def sha256(value: str | Column) -> Column:
 
 
 def derived_id(*parts: str | Column) -> Column:
-    """UUID-shaped id that depends only on its parts, so a replayed batch makes the same ids."""
-    digest = F.sha2(F.concat_ws("|", *[col(p).cast("string") for p in parts]), 256)
+    """UUID-shaped id that depends only on its parts, so a replayed batch makes the same ids.
+
+    Bars and backslashes inside a part are escaped and a null part has a mark of its own, so different
+    parts never join to the same text.
+    """
+    def marked(part: str | Column) -> Column:
+        text = F.replace(col(part).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\0"))
+
+    digest = F.sha2(F.concat_ws("|", *[marked(p) for p in parts]), 256)
     # One use of the digest: ids are built from ids, and a repeated operand would multiply.
     return F.regexp_replace(
         digest, "^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")

@@ -48,6 +48,9 @@ def expand(sql: str, views: dict[str, str]) -> str:
 
 def uuid_sql(*parts: str) -> str:
     """SQL twin of ``derived_id``."""
-    digest = f"sha256(concat_ws('|', {', '.join(f'CAST({p} AS VARCHAR)' for p in parts)}))"
+    def marked(part: str) -> str:
+        return f"coalesce(replace(replace(CAST({part} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\0')"
+
+    digest = f"sha256(concat_ws('|', {', '.join(map(marked, parts))}))"
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return "(" + " || '-' || ".join(f"substr({digest}, {a}, {n})" for a, n in cuts) + ")"

@@ -21,10 +21,11 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(all_queries()) == set(all_oracles()) <= set(entry.oracle_sql())
+    # SQL over the tables cannot see the files they lie in: test_streaming.py has that query's test.
+    assert set(all_queries()) - {"object_files"} == set(all_oracles()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(all_queries()))
+@pytest.mark.parametrize("name", list(all_oracles()))
 def test_query(spark, duck, name):
     df = all_queries()[name](spark, SF)
     cursor = duck.execute(all_oracles()[name])

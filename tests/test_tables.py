@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom import schemas
+from docloom.functions.columns import derived_id
 from docloom.functions.keys import guessed_mime, object_key
 from docloom.operators import access, audits, chunking, lineage, metrics, tables
 
@@ -205,3 +206,8 @@ def test_audit_reads_each_table_once_and_counts_in_two_shuffles(spark, rows, tmp
         ("document_acl", "tenant_id_not_null"): 1, ("document_acl", "created_at_not_null"): 4,
         ("document_acl", "unique_id"): 1, ("document_acl", "tenant_id_in_tenants"): 2}
     assert ("document_acl", "tenant_id_document_id_in_documents") not in got and got["tenants", "slug_shape"] == 0
+
+
+def test_ids_of_different_parts_differ(rows):
+    df = rows("a string, b string", ("x|y", "z"), ("x", "y|z"), ("x\\", "|y"), ("x", None), (None, "x"), ("x", ""), ("x", "\\0"))
+    assert df.select(derived_id("a", "b")).distinct().count() == 7

@@ -12,6 +12,13 @@ from docloom.llm.queries import fold
 from docloom.session import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows carry whole texts through Python: two thousand at a time, some megabytes, and not ten."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shielded(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -32,6 +39,7 @@ def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that ``lang`` teaches; null and letterless texts go. Where no row
     teaches one, only these go."""
+    small_batches(spark)
     model = langid.train(docs.filter(fold(4) != 2))
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
@@ -45,6 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the group, the one whose text has the least digest. A doc_id over different texts stays with each
     that is in no other group. Rows without doc_id come last, and exact copies of them are one group
     too. An empty table stays empty."""
+    small_batches(spark)
     keyed = docs.filter("doc_id IS NULL").take(1) or docs.groupBy("doc_id").count().filter("count > 1").take(1)
     if not keyed:
         found = jaccard.join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id"))
@@ -67,6 +76,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that repeat. A text may become empty; a null one
     stays null. Every row is judged as it is, whatever its doc_id; an empty table stays empty."""
+    small_batches(spark)
     hidden, names = shielded(docs)
     cut = substrings.remove_repeated(hidden.withColumn("__null", F.col("text").isNull()),
                                      carried=(*[c for c in hidden.columns if c != "text"], "__null"), keep_text=True)
@@ -79,6 +89,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the name of its kind in place of each span of personal data. Null texts stay
     null; rows without doc_id and repeated rows are read like any other; an empty table stays empty."""
+    small_batches(spark)
     hidden, names = shielded(docs)
     found = pii.find(hidden, pii.train(hidden), redact=True)
     made = found.withColumn("__new", F.when(F.col("text").isNotNull(), F.col("redacted")))
@@ -88,6 +99,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place in it: see ``packing.pack`` for
     null texts, missing ids, ties and empty tables."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

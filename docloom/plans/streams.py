@@ -97,7 +97,7 @@ def _event_files(spark, sf, path: str):
     each and rows of the later ones come late."""
     events = v.stage_events(spark, sf).select("event_id", "number", "event_type", "occurred_at")
     for batch in range(BATCHES):
-        events.filter(F.col("number") % BATCHES == batch).coalesce(1).write.mode("append").parquet(path)
+        events.filter(F.col("number") % BATCHES == batch).repartition(1).write.mode("append").parquet(path)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 

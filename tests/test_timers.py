@@ -104,3 +104,16 @@ def test_retries_wait_for_their_time_and_end_as_polling_does(spark, rows, tmp_pa
     want = {r.id: (r.status, r.attempt_count, r.last_error) for r in snapshot.collect() if r.id != "held"}
     last = spark.read.parquet(out).groupBy("id").agg(F.max_by(F.struct("status", "attempt_count", "last_error"), "attempt_count").alias("x"))
     assert {r.id: tuple(r.x) for r in last.collect()} == want
+
+
+def test_state_entries_do_not_grow_with_the_keys(spark, rows, tmp_path, monkeypatch):
+    """Two hundred keys in eight buckets: an entry and a timer a bucket, in Spark's counts an entry and two rows."""
+    monkeypatch.setattr(timers, "BUCKETS", 8, raising=False)
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    put(rows, source, "id bigint, s bigint", *((i % 200 or None, 1000 + i // 200) for i in range(400)))
+    stream = spark.readStream.schema("id bigint, ts timestamp").parquet(source)
+    query = flows.to_table(timers.deduplicated(stream, ["id"], "ts", "10 seconds", 100), out, checkpoint)
+    query.awaitTermination()
+    assert query.recentProgress[0]["stateOperators"][0]["numRowsTotal"] <= 3 * 8
+    counts = {(r.id, r.outcome): r["count"] for r in spark.read.parquet(out).groupBy("id", "outcome").count().collect()}
+    assert counts == {(i or None, kind): 1 for i in range(200) for kind in ("accepted", "duplicate")}

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,11 @@ from docloom.operators.fetching import (
     StageResult, one_per_object, quarantined, with_empty_objects,
 )
 from docloom.operators.tables import last_per_key, live, upsert
+from docloom.session import bounded_batches
 
 NOT_PERFORMED = "not_performed"  # fixed value of visual_interpretation
 FAILURE_CODE = "conversion_failed"
+PIECE_BYTES = 4 << 20  # content a converter's task holds at a time, beside its texts; one document at least
 
 # Bytes to (document tree as JSON text, text, error code).
 Converter = Callable[[bytes], tuple[str | None, str | None, str | None]]
@@ -37,6 +41,17 @@ class Extraction(NamedTuple):
 FACTS = ("object_uri", "source_bytes", "source_code", "source_sha256")
 
 
+def _pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with up to ``PIECE_BYTES`` in a column, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + PIECE_BYTES, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def convert(
     objects: DataFrame, factory: Callable[[], Converter],
     max_bytes: int = schemas.EXTRACT_LIMIT_BYTES,
@@ -45,27 +60,27 @@ def convert(
     """Facts and converted form of every (object_uri, content), in one pass over the content.
 
     Size, size code and digest are columns; only content inside the limits goes on to the
-    converter, through Arrow batches. The factory runs once per partition, so models load once
-    there. A converter that raises gives ``failure_code`` for that document only; a missing module
+    converter, through Arrow batches that it takes and gives back in pieces of ``PIECE_BYTES``. The
+    factory runs once per partition, so models load once there. A converter that raises gives ``failure_code`` for that document only; a missing module
     or memory ends the job, as a badly built worker must not condemn documents.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         converter = factory()
-        for batch in batches:
+        for piece in (p for batch in batches for p in _pieces(batch, "content")):
             made = []
-            for content in batch["content"]:
-                if content is None:
+            for content in piece.column("content"):
+                if not content.is_valid:
                     made.append((None, None, None))
                     continue
                 try:
-                    made.append(converter(bytes(content)))
+                    made.append(converter(content.as_py()))
                 except (ImportError, MemoryError):  # the worker's fault, not the document's
                     raise
                 except Exception:
                     made.append((None, None, failure_code))
-            out = pd.DataFrame(made, columns=["document", "markdown", "conversion_error"],
-                               index=batch.index)
-            yield pd.concat([batch[list(FACTS)], out], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(name) for name in FACTS), *(pa.array(x, pa.string(), from_pandas=True) for x in zip(*made))],
+                names=[*FACTS, "document", "markdown", "conversion_error"])
 
     content = F.col("content").cast("binary")
     size = F.octet_length(content).cast("bigint")
@@ -77,7 +92,8 @@ def convert(
         .alias("source_code"),
         sha256(content).alias("source_sha256"), content.alias("content"),
     ).withColumn("content", F.when(F.col("source_code").isNull(), F.col("content")))
-    return bounded.mapInPandas(
+    bounded_batches(objects.sparkSession, 2 * PIECE_BYTES)
+    return bounded.mapInArrow(
         run, "object_uri string, source_bytes bigint, source_code string, source_sha256 string, "
              "document string, markdown string, conversion_error string")
 

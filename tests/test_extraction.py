@@ -254,3 +254,25 @@ def test_detected_type(rows, content, kind):
 def test_html_text(rows):
     html = "<html><style>p{}</style><script>var a='<p>';</script><!-- x --><p>One\n <b>two</b></p>"
     assert rows("h string", (html,)).select(html_text("h")).first()[0] == "One two"
+
+
+def test_a_converter_holds_a_bounded_piece_of_a_batch(spark, rows):
+    """Spark's batches are bounded by bytes, and a batch is converted piece by piece."""
+    import pyarrow as pa
+
+    from docloom.session import BATCH_BYTES
+
+    sizes = [3, None, 0, ext.PIECE_BYTES - 3, 1, 2 * ext.PIECE_BYTES, None, 5]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(8)), "content": [None if n is None else bytes(n) for n in sizes]})
+    assert [p.column("i").to_pylist() for p in ext._pieces(batch, "content")] == [[0, 1, 2, 3], [4], [5], [6, 7]]
+
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, str(64 << 20))
+        big = "x" * (1 << 20)
+        made = ext.convert(rows("object_uri string, content string", *((str(i), big if i % 2 else None) for i in range(20))),
+                           lambda: lambda content: (None, str(len(content)), None))
+        assert int(spark.conf.get(BATCH_BYTES)) <= 2 * ext.PIECE_BYTES
+        assert {r.object_uri: r.markdown for r in made.collect()} == {str(i): str(1 << 20) if i % 2 else None for i in range(20)}
+    finally:
+        spark.conf.set(BATCH_BYTES, before)

@@ -174,3 +174,17 @@ def test_merge_has_two_steps(rows):
     q = rows("query_id bigint, weights array<string>", (1, ["x"]))
     plan = retrieval.sparse_topk(p, q, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("windowspecdefinition(list") >= 2 and "slice" in plan
+
+
+def test_points_come_in_batches_of_bounded_bytes(spark, rows):
+    from docloom.session import BATCH_BYTES
+
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, str(64 << 20))
+        points = rows("point_id string, weights array<string>", ("p", ["a"]))
+        found = retrieval.sparse_topk(points, rows("query_id int, weights array<string>", (1, ["a"])), 1)
+        assert int(spark.conf.get(BATCH_BYTES)) <= 8 << 20
+        assert [r.point_id for r in found.collect()] == ["p"]
+    finally:
+        spark.conf.set(BATCH_BYTES, before)

@@ -29,7 +29,7 @@ from docloom.llm.words import (
     LOWER, as_long, gram_hashes, mix, ship, shipped, text_slices, word_bounds, word_hashes,
 )
 from docloom.operators.graph import components
-from docloom.session import cut_lineage
+from docloom.session import bounded_batches, cut_lineage
 
 SHINGLE = 5
 PERCENT = 80  # least similarity
@@ -43,6 +43,10 @@ COMMON = 4  # least frequency that moves a sequence to the end of the order
 MAX_COMMON = 1 << 22  # rows of the broadcast table of common sequences
 BLOCK = 64  # postings of a block
 SHORT = 128  # longer lists are read block by block
+STEP_POSTINGS = 1 << 17  # of short lists, and pairs, looked at together
+MARK = 512  # bits of the signature that goes with a set into every bucket
+BATCH_BYTES = 4 << 20  # of an Arrow batch for Python
+SENT_BYTES = 8 << 20  # of text whose sequences a task sends at once
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -74,7 +78,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def signature(found: np.ndarray) -> bytes:
     """Parity of the members that fall on each of 2 n to 4 n bits. Sets that differ in d members
     differ in d bits at most, and in nearly as many when d is small."""
-    width = max(64, 1 << int(2 * len(found) - 1).bit_length()) if len(found) else 64
+    width = max(MARK, 1 << int(2 * len(found) - 1).bit_length()) if len(found) else MARK
     place = (mix(found ^ np.uint64(0x7A3D9E15)) & np.uint64(width - 1)).astype(np.int64)
     return np.packbits(np.bincount(place, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -93,6 +97,21 @@ def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
     return (x ^ y).bit_count() <= n_a + n_b - 2 * shared
 
 
+def folded(signatures: list[bytes]) -> np.ndarray:
+    """The signatures, each of at least ``MARK`` bits, folded to ``MARK``, as rows of words."""
+    out = np.empty((len(signatures), MARK // 64), np.uint64)
+    for i, raw in enumerate(signatures):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(raw, np.uint64).reshape(-1, MARK // 64), axis=0)
+    return out
+
+
+def unruled(n: np.ndarray, mark: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of positions ``a`` and ``b`` their folded signatures do not rule out, as in ``may_link``."""
+    both = n[a].astype(np.int64) + n[b]
+    shared = -(-PERCENT * both // (100 + PERCENT))
+    return np.bitwise_count(mark[a] ^ mark[b]).sum(axis=1, dtype=np.int64) <= both - 2 * shared
+
+
 def described(docs: DataFrame, common, buckets: int) -> DataFrame:
     """(doc_id, sid, n, h0, h1, h2, prefix, signature): all that the join needs of each row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,10 +197,12 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
                 if set_key(found) != sid:
                     continue  # another text under the same doc_id
                 raw = found.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([s["hub"] for s in own], pa.int64()), pa.array([s["salt"] for s in own], pa.int32()),
-                    pa.array([s["is_hub"] for s in own], pa.bool_()), pa.array([rep] * len(own), pa.int64()),
-                    pa.array([raw] * len(own), pa.binary())], names=["hub", "salt", "is_hub", "rep", "members"])
+                step = max(1, BATCH_BYTES // max(1, len(raw)))
+                for part in (own[k:k + step] for k in range(0, len(own), step)):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([s["hub"] for s in part], pa.int64()), pa.array([s["salt"] for s in part], pa.int32()),
+                        pa.array([s["is_hub"] for s in part], pa.bool_()), pa.array([rep] * len(part), pa.int64()),
+                        pa.array([raw] * len(part), pa.binary())], names=["hub", "salt", "is_hub", "rep", "members"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, hub_sets = None, []
@@ -206,26 +227,36 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
 def common_sequences(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids (see ``short_ids``), in order, and levels of the sequences found in at least ``COMMON``
     rows, or in more where that gives over ``MAX_COMMON`` of them. Counted over all rows."""
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(held) if held else np.empty(0, np.uint64)
+        bucket = (every & np.uint64(buckets - 1)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        high = (every[order] >> np.uint64(32)).astype(np.uint32)
+        some = [i for i in range(buckets) if bounds[i] < bounds[i + 1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([np.sort(high[bounds[i]:bounds[i + 1]]).tobytes() for i in some], pa.binary())],
+            names=["bucket", "high"])
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0), 8 << 20):
-                sets = shingle_sets(data, offsets)
-                every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-                every = every[every < COUNTED]
-                bucket = (every & np.uint64(buckets - 1)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                high = (every[order] >> np.uint64(32)).astype(np.uint32)
-                some = [i for i in range(buckets) if bounds[i] < bounds[i + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([np.sort(high[bounds[i]:bounds[i + 1]]).tobytes() for i in some], pa.binary())],
-                    names=["bucket", "high"])
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                held += [found[found < COUNTED] for found in shingle_sets(data, offsets)]
+                size += len(data)
+                if size >= SENT_BYTES:
+                    yield dealt(held)
+                    held, size = [], 0
+        yield dealt(held)
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        high, n = np.unique(np.frombuffer(b"".join(table["high"].to_pylist()), np.uint32), return_counts=True)
-        kept = n >= COMMON
-        return pa.table({"id": pa.array((high[kept].astype(np.int64) << 24) | bucket), "n": pa.array(n[kept].astype(np.int64))})
+        high = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["high"]])
+        high.sort()
+        runs = max(0, len(high) - COMMON + 1)
+        kept = np.unique(high[:runs][high[COMMON - 1:] == high[:runs]])
+        n = np.searchsorted(high, kept, side="right") - np.searchsorted(high, kept)
+        return pa.table({"id": pa.array((kept.astype(np.int64) << 24) | bucket), "n": pa.array(n.astype(np.int64))})
 
     found = cut_lineage(docs.select("text").mapInArrow(emit, "bucket int, high binary")
                         .groupBy("bucket").applyInArrow(count, "id bigint, n bigint")
@@ -270,15 +301,16 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place
     bounds = np.append(first, len(token))
     length = np.diff(bounds)
     stop = np.repeat(bounds[1:].astype(np.int32), length)
-    active = np.flatnonzero(np.repeat((length > 1) & (length <= SHORT), length))
-    step = 1
-    while len(active):
-        active = active[active + step < stop[active]]
-        # Sizes rise within a list: once one is too large, so are all behind it.
-        active = active[100 * size[active].astype(np.int64) >= PERCENT * size[active + step].astype(np.int64)]
-        found = active[links(active, active + step)]
-        yield found, found + step
-        step += 1
+    short = np.flatnonzero(np.repeat((length > 1) & (length <= SHORT), length))
+    for k in range(0, len(short), STEP_POSTINGS):
+        active, step = short[k:k + STEP_POSTINGS], 1
+        while len(active):
+            active = active[active + step < stop[active]]
+            # Sizes rise within a list: once one is too large, so are all behind it.
+            active = active[100 * size[active].astype(np.int64) >= PERCENT * size[active + step].astype(np.int64)]
+            found = active[links(active, active + step)]
+            yield found, found + step
+            step += 1
     for k in np.flatnonzero(length > SHORT).tolist():
         low, high = int(bounds[k]), int(bounds[k + 1])
         if (group[low:high] == group[low]).all():
@@ -303,21 +335,26 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place
                 yield np.full(len(other), i), other
 
 
-_ENTRY = np.dtype([("rep", "<i8"), ("root", "<i8"), ("n", "<i4")])
+_ENTRY = np.dtype([("rep", "<i8"), ("root", "<i8"), ("n", "<i4"), ("mark", "<u8", (MARK // 64,))])
 
 
 def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
-    """(hub, doc): pairs of representatives of different components that the index cannot rule out."""
-    rows = reps.select("rep", "n", "prefix").join(small(roots.withColumnRenamed("node", "rep")), "rep", "left") \
-        .select("rep", F.coalesce("root", "rep").alias("root"), "n", "prefix")
+    """(hub, doc): pairs of representatives of different components that the index cannot rule out.
+
+    A set's signature goes with it, so that most pairs end in the bucket where they meet: those that
+    go on are few, though the pairs that meet grow with the square of a family of near copies.
+    """
+    rows = reps.select("rep", "n", "prefix", "signature").join(small(roots.withColumnRenamed("node", "rep")), "rep", "left") \
+        .select("rep", F.coalesce("root", "rep").alias("root"), "n", "prefix", "signature")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = np.empty(batch.num_rows, _ENTRY)
-            for name in _ENTRY.names:
+            for name in ("rep", "root", "n"):
                 table[name] = batch.column(name).to_numpy()
+            table["mark"] = folded(batch.column("signature").to_pylist())
             raw = batch.column("prefix").to_pylist()
             lengths = np.array([len(p) // 8 for p in raw])
             token = np.frombuffer(b"".join(raw), np.uint64)
@@ -344,8 +381,11 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
         by_size = np.argsort(table["n"], kind="stable")
         rank = np.empty(len(table), np.uint64)
         rank[by_size] = np.arange(len(table), dtype=np.uint64)
-        table = table[by_size]
         shift = np.cumsum([0, *(len(e) for e in entries)]).tolist()
+        del entries
+        for r in held:
+            r.pop("entries")
+        table = table[by_size]
         key = np.concatenate([np.frombuffer(r["token"], np.uint32).astype(np.uint64) << np.uint64(32)
                               | rank[s:][np.frombuffer(r["owner"], np.uint32)] for r, s in zip(held, shift)])
         order = np.argsort(key)
@@ -353,7 +393,7 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
         held.clear()
         key = key[order]
         at, token = (key & np.uint64(0xFFFFFFFF)).astype(np.int32), (key >> np.uint64(32)).astype(np.uint32)
-        del key, order, rank, entries
+        del key, order, rank
         group = np.unique(table["root"], return_inverse=True)[1].astype(np.int32)[at]
         pairs, n = np.empty(0, np.int64), np.empty(0, np.int64)
         fresh, size = [], 0
@@ -371,8 +411,12 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
                 names=["hub", "doc", "n_hub", "n_doc", "common"])
 
         for a, b in pairs_of_lists(token, table["n"][at], group, place):
-            fresh.append(at[a].astype(np.int64) << 32 | at[b])
-            size += len(a)
+            a, b = at[a], at[b]
+            kept = unruled(table["n"], table["mark"], a, b)
+            if not kept.any():
+                continue
+            fresh.append(a[kept].astype(np.int64) << 32 | b[kept])
+            size += len(fresh[-1])
             if size > PAIRS_HELD:
                 pairs, n = counted()
                 fresh, size = [], 0
@@ -413,6 +457,7 @@ def join(docs: DataFrame) -> DataFrame:
     sets are in one component, repeated rows too. A doc_id over different texts ties them together. A row with a null doc_id is never the least of its
     component; alone, its component_id is null. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word and its space take about eight bytes; a fifth of the sequences is in prefixes.
     buckets = 1 << max(3, int(np.ceil(np.log2(max(1.0, size / 8 / 5 / BUCKET_POSTINGS)))))

@@ -89,6 +89,36 @@ def test_signatures_rule_out_no_link():
     assert ruled_out >= 8
 
 
+def test_folded_signatures_rule_out_no_link_and_most_of_a_family():
+    """Pairs of a family that do not link end in the bucket where they meet."""
+    rnd = np.random.default_rng(11)
+    base = np.unique(rnd.integers(0, 1 << 62, 400).astype(np.uint64))
+    for share, fewest, most in ((0.97, 1.0, 1.0), (0.8, 0.0, 0.05)):
+        sets = [np.unique(np.concatenate([base[rnd.random(len(base)) < share],
+                                          rnd.integers(0, 1 << 62, int(400 * (1 - share))).astype(np.uint64)])) for _ in range(40)]
+        sets += [np.arange(0, dtype=np.uint64), base[:3]]
+        n, mark = np.array([len(x) for x in sets], np.int32), jaccard.folded([jaccard.signature(x) for x in sets])
+        a, b = np.triu_indices(len(sets), 1)
+        kept = jaccard.unruled(n, mark, a, b)
+        assert all(k or not jaccard.similar(sets[i], sets[j]) for i, j, k in zip(a, b, kept) if n[i] and n[j])
+        family = (a < 40) & (b < 40)
+        assert fewest <= kept[family].mean() <= most
+
+
+def test_pairs_of_a_family_that_do_not_link_end_in_their_bucket(docs):
+    """One family of near copies, few of which link: the index's exchange of pairs stays small."""
+    rnd = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for k in rnd.sample(range(300), 13):
+            own[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(own)))
+    rows.append((99, rows[7][1] + " end"))
+    assert sorted(tuple(r) for r in jaccard.join(docs(rows)).collect()) == sorted(brute_components(rows))
+
+
 def test_one_sequence_in_half_of_all_sets(docs):
     """A passage that half of the texts share, most of them in their prefix too."""
     rnd = random.Random(3)

@@ -335,6 +335,12 @@ def pairs_of_lists(token: np.ndarray, size: np.ndarray, group: np.ndarray, place
                 yield np.full(len(other), i), other
 
 
+def least_common(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """How many members the prefixes of linked sets of these sizes share at least: beyond the prefix
+    that ends first, its set has ceil(0.8 n) - 1 members left to share."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT)) + PERCENT * -np.maximum(n, m) // 100 + 1
+
+
 _ENTRY = np.dtype([("rep", "<i8"), ("root", "<i8"), ("n", "<i4"), ("mark", "<u8", (MARK // 64,))])
 
 
@@ -396,19 +402,24 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
         del key, order, rank
         group = np.unique(table["root"], return_inverse=True)[1].astype(np.int32)[at]
         pairs, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        fresh, size = [], 0
+        fresh, size, whole = [], 0, True
 
         def counted() -> tuple[np.ndarray, np.ndarray]:
             both, where = np.unique(np.concatenate([pairs, *fresh]), return_inverse=True)
             return both, np.bincount(where, np.concatenate([n, np.ones(size, np.int64)]), len(both)).astype(np.int64)
 
-        def out() -> pa.RecordBatch:
-            a, b = table[pairs >> 32], table[pairs & 0xFFFFFFFF]
-            swap = a["rep"] > b["rep"]
+        def out(whole: bool) -> pa.RecordBatch:
+            """With the bucket's whole counts, only pairs that reach their share; ``above`` is what exceeds the others'."""
+            a, b = pairs >> 32, pairs & 0xFFFFFFFF
+            share = -(-least_common(table["n"][a].astype(np.int64), table["n"][b].astype(np.int64)) // buckets)
+            share = np.maximum(share, 1)
+            kept = n >= (share if whole else 1)
+            a, b, above = a[kept], b[kept], n[kept] - (share[kept] - 1 if whole else 0)
+            swap = table["rep"][a] > table["rep"][b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
             return pa.RecordBatch.from_arrays(
-                [pa.array(a["rep"]), pa.array(b["rep"]), pa.array(a["n"]), pa.array(b["n"]), pa.array(n)],
-                names=["hub", "doc", "n_hub", "n_doc", "common"])
+                [pa.array(table["rep"][a]), pa.array(table["rep"][b]), pa.array(table["n"][a]), pa.array(table["n"][b]), pa.array(above)],
+                names=["hub", "doc", "n_hub", "n_doc", "above"])
 
         for a, b in pairs_of_lists(token, table["n"][at], group, place):
             a, b = at[a], at[b]
@@ -421,11 +432,12 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
                 pairs, n = counted()
                 fresh, size = [], 0
                 if len(pairs) > PAIRS_HELD:
-                    yield out()
+                    whole = False
+                    yield out(whole)
                     pairs, n = pairs[:0], n[:0]
         pairs, n = counted()
         if len(pairs):
-            yield out()
+            yield out(whole)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -440,14 +452,16 @@ def open_pairs(reps: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from met(held)
 
-    # Beyond the prefix that ends first, its set has ceil(0.8 n) - 1 members left to share.
+    # Of the least number in common, one bucket holds its share: others' parts are below theirs, and a
+    # pair goes on only from buckets where it reaches it.
     least = F.ceil(F.lit(PERCENT) * (F.col("n_hub") + F.col("n_doc")) / (100 + PERCENT)) \
         - F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("n_hub", "n_doc")))
+    below = buckets * (F.greatest(F.ceil(least / buckets), F.lit(1)) - 1)
     return rows.mapInArrow(emit, "bucket int, token binary, owner binary, place binary, entries binary") \
         .repartition(buckets, "bucket").sortWithinPartitions("bucket") \
-        .mapInArrow(meet, "hub bigint, doc bigint, n_hub int, n_doc int, common bigint") \
-        .groupBy("hub", "doc", "n_hub", "n_doc").agg(F.sum("common").alias("common")) \
-        .filter((F.col("hub") != F.col("doc")) & (F.col("common") >= least)).select("hub", "doc").distinct()
+        .mapInArrow(meet, "hub bigint, doc bigint, n_hub int, n_doc int, above bigint") \
+        .groupBy("hub", "doc", "n_hub", "n_doc").agg(F.sum("above").alias("above")) \
+        .filter((F.col("hub") != F.col("doc")) & (F.col("above") + below >= least)).select("hub", "doc").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:

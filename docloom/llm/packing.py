@@ -10,7 +10,8 @@ rank within their length, in a map over all pieces. Only the histogram and the p
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +28,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0  # id that ends a document
 RANK_ROWS = 50_000  # pieces ranked together in one task
-KEPT_WORDS = 600_000  # words whose ids a worker keeps
+KEPT_WORDS = 100_000  # words and parts whose ids a worker keeps, and as many again that it kept before
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
 # the vocabulary then act on each word alone. Any other text goes to the library whole.
@@ -39,15 +40,17 @@ PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ]*")
 class WordCoder:
     """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words.
 
-    A word of a plain text is lower-cased (these letters are composed already) and cut by the vocabulary's pattern on its own, and its
-    parts are encoded many at a time: each ends in a token that carries the end of a word.
+    A plain text is lower-cased (its letters are composed already) and split by white space. A word
+    that is not letters alone is cut by the vocabulary's pattern into parts, words of their own. Unseen
+    words of letters and unseen parts are encoded many at a time: each ends in a token that carries
+    the end of a word.
     """
 
     def __init__(self, tokenizer, kept_words: int = KEPT_WORDS):
         self.tokenizer, self.kept_words = tokenizer, kept_words
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was kept before; a word met again moves over
         self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -56,36 +59,42 @@ class WordCoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
+    def unknown(self, words: Iterable[str]) -> set[str]:
+        need = set(filterfalse(self.words.__contains__, words))
+        fresh = need.difference(self.older)
+        again = need.difference(fresh)
+        self.words.update(zip(again, map(self.older.__getitem__, again)))
+        return fresh
+
     def learn_parts(self, parts: list[str]) -> None:
-        groups = [parts[i:i + GROUP] for i in range(0, len(parts), GROUP)]
-        for group, ids in zip(groups, self.library([" ".join(g) for g in groups])):
+        for k in range(0, len(parts), GROUP):
+            group = parts[k:k + GROUP]
+            ids = self.library([" ".join(group)])[0]
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(group):
                 raw = ids.tobytes()
-                self.parts.update(zip(group, (raw[a:b] for a, b in zip([0, *stops], stops))))
-            else:
-                self.parts.update(zip(group, (x.tobytes() for x in self.library(group))))
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > self.kept_words:
-            self.parts.clear()
-        cut = []
-        for form in map(str.lower, words):
-            if form.isalpha():
-                cut.append((form,))
-            elif form[-1] in ".," and form[:-1].isalpha():
-                cut.append((form[:-1], form[-1]))
+                self.words.update(zip(group, map(raw.__getitem__, map(slice, [0, *stops], stops))))
             else:
-                cut.append(PART.findall(form))
-        self.learn_parts([p for p in {p for own in cut for p in own} if p not in self.parts])
-        self.words.update(zip(words, (b"".join(map(self.parts.__getitem__, own)) for own in cut)))
+                self.words.update(zip(group, (x.tobytes() for x in self.library(group))))
+
+    def learn(self, need: set[str]) -> None:
+        parts = set(filter(str.isalpha, need))
+        closed, other = [], []  # letters with a stop or comma behind them, and all else
+        for word in need - parts:
+            (closed if word[-1] in ".," and word[:-1].isalpha() else other).append(word)
+        cut = [PART.findall(word) for word in other]
+        parts.update([word[:-1] for word in closed], ".,", *cut)
+        self.learn_parts(list(self.unknown(parts)))
+        words = self.words
+        words.update([(word, words[word[:-1]] + words[word[-1]]) for word in closed])
+        words.update([(word, b"".join([words[p] for p in own])) for word, own in zip(other, cut)])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
-        words = [t.split() if ok else () for t, ok in zip(texts, plain)]
+        words = [t.lower().split() if ok else () for t, ok in zip(texts, plain)]
         if len(self.words) > self.kept_words:
-            self.words.clear()
-        if need := [w for w in {w for own in words for w in own} if w not in self.words]:
+            self.words, self.older = {}, self.words
+        if need := self.unknown(chain.from_iterable(words)):
             self.learn(need)
         whole = iter(self.library([t for t, ok in zip(texts, plain) if not ok]))
         return [b"".join(map(self.words.__getitem__, own)) if ok else next(whole).tobytes() for own, ok in zip(words, plain)]

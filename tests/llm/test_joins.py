@@ -105,8 +105,10 @@ def test_folded_signatures_rule_out_no_link_and_most_of_a_family():
         assert fewest <= kept[family].mean() <= most
 
 
-def test_pairs_of_a_family_that_do_not_link_end_in_their_bucket(docs):
-    """One family of near copies, few of which link: the index's exchange of pairs stays small."""
+@pytest.mark.parametrize("held", [50, 1_000_000])
+def test_family_of_which_few_link(docs, monkeypatch, held):
+    """Pairs leave a bucket only with their share; those counted in parts leave it as they are."""
+    monkeypatch.setattr(jaccard, "PAIRS_HELD", held)
     rnd = random.Random(4)
     base = [f"w{i}" for i in range(300)]
     rows = []
@@ -119,6 +121,17 @@ def test_pairs_of_a_family_that_do_not_link_end_in_their_bucket(docs):
     assert sorted(tuple(r) for r in jaccard.join(docs(rows)).collect()) == sorted(brute_components(rows))
 
 
+def test_linked_prefixes_share_the_least_common():
+    rnd = np.random.default_rng(8)
+    none = np.empty(0, np.int64), np.empty(0, np.int8)
+    for _ in range(300):
+        a = np.unique(rnd.integers(0, 1 << 62, rnd.integers(2, 200)).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rnd.random(len(a)) < 0.93], rnd.integers(0, 1 << 62, rnd.integers(0, 9)).astype(np.uint64)]))
+        if len(b) and jaccard.similar(a, b):
+            common = np.intersect1d(jaccard.prefix(a, *none, 8), jaccard.prefix(b, *none, 8))
+            assert len(common) >= jaccard.least_common(np.array([len(a)]), np.array([len(b)]))[0]
+
+
 def test_one_sequence_in_half_of_all_sets(docs):
     """A passage that half of the texts share, most of them in their prefix too."""
     rnd = random.Random(3)

@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain, filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -36,23 +37,32 @@ REACH = 48  # characters a repair first takes from the right chunk
 KEPT_UNITS = 400_000  # units whose ids a worker keeps
 GROUP = 256  # units encoded as one text
 UNEVEN = re.compile(r"\s\s|[^\S \n]")  # white space that is not single, or another kind
+CLOSED = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]")
+EDGE_UNITS = 48  # units at each end of a chunk whose places are kept
 KEPT_BYTES = 32 << 20  # text whose encodings a worker keeps
+TABLE = 1 << 16  # powers a worker keeps for the rolling hash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def powers(base: np.uint64, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
 def rolling(data: np.ndarray) -> np.ndarray:
     """Hash of the ``WINDOW`` bytes that end with each byte; shorter at the front."""
-    power = np.full(len(data) + 1, _BASE, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
+    size = len(data) + 1
+    if size > TABLE:
+        power, back = powers(_BASE, size), powers(_UNDO, size)
+    else:
+        power, back = (x[:size] for x in tokens.per_worker(
+            ("powers", TABLE), lambda: (powers(_BASE, TABLE), powers(_UNDO, TABLE))))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
     first = np.maximum(np.arange(1, len(data) + 1) - WINDOW, 0)
-    back = np.full(len(data) + 1, _UNDO, np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
     return mix((total[1:] - total[first]) * back[first])
 
 
@@ -77,10 +87,56 @@ def chunks(text: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
+def units(text: str) -> list[str]:
+    """Words with the space before them, and line feeds, of a text without uneven white space."""
+    out = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    if not out[-1]:
+        out.pop()
+    if out and not out[0]:
+        del out[0]
+    return out
+
+
+def starts(parts: list, end: int | None = None) -> list[int]:
+    """Where each part begins, if the first is at 0 or the last stops at ``end``."""
+    stops = list(accumulate(map(len, parts), initial=0))
+    shift = 0 if end is None else end - stops[-1]
+    return [x + shift for x in stops[:-1]]
+
+
+def token_bytes(tokenizer) -> list[bytes] | None:
+    """Bytes of each token of a byte-level vocabulary by id; None for another kind of decoder.
+
+    The alphabet stands printable Latin characters for their own bytes, and those from U+0100 on, in
+    order, for the rest. A token with any other character stands for itself, as in the library.
+    """
+    if (json.loads(tokenizer.to_str())["decoder"] or {}).get("type") != "ByteLevel":
+        return None
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    alphabet = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in own)}
+    ids = tokenizer.get_vocab(with_added_tokens=True)
+    out = [b""] * (max(ids.values(), default=-1) + 1)
+    for token, i in ids.items():
+        out[i] = bytes(map(alphabet.__getitem__, token)) if alphabet.keys() >= set(token) else token.encode()
+    return out
+
+
+class Decoder:
+    """Decodes ids: by the bytes of their tokens, or else by the library."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.table = tokenizer, token_bytes(tokenizer)
+
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        if self.table is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [b"".join(map(self.table.__getitem__, own)).decode("utf-8", "replace") for own in ids]
+
+
 class Encoded(NamedTuple):
     text: str
     ids: np.ndarray
-    points: np.ndarray  # characters where pieces begin
+    points: np.ndarray  # characters where pieces begin; of a long text of units, those near its ends
     at: np.ndarray  # their tokens
 
 
@@ -108,10 +164,19 @@ class Coder:
     def library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, units: list[str]) -> None:
-        """Encode unseen units many at a time; a line feed between them is always a token alone."""
-        for k in range(0, len(units), GROUP):
-            group = units[k:k + GROUP]
+    def learn(self, need: set[str]) -> None:
+        """Encode unseen units. Plain letters with a stop or comma behind them are two pieces, and
+        only those of the two that are unseen are encoded."""
+        closed = list(filter(CLOSED.fullmatch, need))
+        parts = need.difference(closed)
+        parts.update([u[:-1] for u in closed], ".,")
+        self.learn_alone(list(filterfalse(self.units.__contains__, parts)))
+        self.units.update([(u, self.units[u[:-1]] + self.units[u[-1]]) for u in closed])
+
+    def learn_alone(self, need: list[str]) -> None:
+        """Encode units many at a time; a line feed between them is always a token alone."""
+        for k in range(0, len(need), GROUP):
+            group = need[k:k + GROUP]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(group)], add_special_tokens=False)[0].ids, "<u4")
             stops = [*np.flatnonzero(ids == self.feed[0]).tolist(), len(ids)]
             if len(stops) == len(group) and " " not in group:
@@ -122,11 +187,11 @@ class Coder:
 
     def encoded(self, texts: list[str]) -> list[Encoded]:
         plain = [self.by_units and not UNEVEN.search(t) and not any(s in t for s in self.special) for t in texts]
-        cut = [[u for u in t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u] if ok and "\0" not in t else None
-               for t, ok in zip(texts, plain)]
+        cut = [units(t) if ok and "\0" not in t else None for t, ok in zip(texts, plain)]
         if len(self.units) > self.kept_units:
             self.units.clear()
-        self.learn([u for u in {u for own in cut if own for u in own} if u not in self.units])
+        if need := set(filterfalse(self.units.__contains__, chain.from_iterable(filter(None, cut)))):
+            self.learn(need)
         whole = iter(self.tokenizer.encode_batch([t for t, own in zip(texts, cut) if own is None], add_special_tokens=False))
         out = []
         for text, own in zip(texts, cut):
@@ -135,9 +200,14 @@ class Coder:
                 out.append(Encoded(text, np.array(e.ids, np.uint32), *tokens.split_points(e)))
                 continue
             ids = list(map(self.units.__getitem__, own))
-            sizes = np.array([list(map(len, own)), list(map(len, ids))], np.int64).reshape(2, -1)
-            starts = np.cumsum(sizes, axis=1) - sizes
-            out.append(Encoded(text, np.frombuffer(b"".join(ids), "<u4"), starts[0], starts[1] // 4))
+            raw = b"".join(ids)
+            if len(own) <= 2 * EDGE_UNITS:
+                points, at = starts(own), starts(ids)
+            else:  # joins only ask for the pieces near the ends
+                head, tail = slice(None, EDGE_UNITS), slice(-EDGE_UNITS, None)
+                points = starts(own[head]) + starts(own[tail], len(text))
+                at = starts(ids[head]) + starts(ids[tail], len(raw))
+            out.append(Encoded(text, np.frombuffer(raw, "<u4"), np.array(points, np.int64), np.array(at, np.int64) // 4))
         return out
 
     def encode_batch(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -216,11 +286,12 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokens.load(vocabulary)
         coder = tokens.per_worker(("chunks", vocabulary), lambda: Coder(tokenizer))
+        decoder = tokens.per_worker(("decoder", vocabulary), lambda: Decoder(tokenizer))
         for batch in batches:
             for low, high, data, offsets in text_slices(batch.column(1), tokens.SLICE_BYTES):
                 raw = data.tobytes()
                 ids = coder.encode_batch([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
-                decoded = tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+                decoded = decoder.decode_batch([x.tolist() for x in ids])
                 columns = [
                     batch.column(0)[low:high], pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids]),

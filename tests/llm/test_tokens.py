@@ -90,6 +90,35 @@ def test_word_coder_equals_the_library():
             assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_coder_keeps_words_that_return_and_no_more_than_two_lots():
+    library, rnd = tokens.load(packing.VOCABULARY), random.Random(4)
+    coder = packing.WordCoder(library, kept_words=50)
+    for _ in range(40):
+        words = ["often", "again,", "It's", *("".join(rnd.choice("aeioubc.,'") for _ in range(6)) for _ in range(20))]
+        assert np.frombuffer(coder.encode_batch([" ".join(words)])[0], "<u4").tolist() == ids_of(library, " ".join(words))
+        assert {"often", "again,", "it's"} <= coder.words.keys()
+        assert len(coder.words) + len(coder.older) < 2 * (50 + 200)
+
+
+def test_token_bytes_decode_like_the_library(library):
+    decoder, rnd = bpe_codec.Decoder(library), random.Random(5)
+    size = library.get_vocab_size()
+    ids = [[i] for i in range(0, size, 97)] + [[rnd.randrange(size) for _ in range(30)] for _ in range(300)] + [[]]
+    ids += [ids_of(library, t) for t in ("<|endoftext|> é", "日本😀", "\x00\x7f\xad\xa0")]
+    assert decoder.decode_batch(ids) == library.decode_batch(ids, skip_special_tokens=False)
+    words = tokens.load(packing.VOCABULARY)
+    assert bpe_codec.token_bytes(words) is None
+    assert bpe_codec.Decoder(words).decode_batch([ids_of(words, "some words")]) == [words.decode(ids_of(words, "some words"))]
+
+
+def test_places_near_the_ends_of_a_long_chunk_suffice(library):
+    coder, rnd = bpe_codec.Coder(library), random.Random(6)
+    texts = [" ".join(rnd.choice(["it.", "a", "Bär,", "x1.", "ab", "\u0394.", "end,"]) for _ in range(n)) for n in (10, 90, 700, 4000)]
+    for text, ids in zip(texts, coder.encode_batch([t.encode() for t in texts])):
+        assert ids.tolist() == ids_of(library, text)
+    assert all(len(e.points) <= 2 * bpe_codec.EDGE_UNITS for e in coder.kept.values())
+
+
 def best_fit_decreasing(lengths, capacity):
     rooms = []
     for w in sorted(lengths, reverse=True):

@@ -27,6 +27,7 @@ from docloom.llm.words import LOWER, mix, ship, shipped, text_slices
 ORDER = 4
 SAMPLE_DOCS = 400  # expected sample rows of one language
 UNDETERMINED = "und"
+SLICE_BYTES = 1 << 18  # of text coded at once: a byte takes over a hundred on the way
 RAW_BITS = 8.0  # a code as long as the bytes themselves has recognised nothing
 
 _FOLD = LOWER.copy()
@@ -161,7 +162,7 @@ def gram_counts(sample: DataFrame, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = batch.column(0).to_pylist()
-            for low, high, data, offsets in text_slices(batch.column(1)):
+            for low, high, data, offsets in text_slices(batch.column(1), 4 * SLICE_BYTES):
                 padded, at, ranges = folded(data, offsets, order)
                 names, codes = np.unique(np.array(lang[low:high], object).astype(str), return_inverse=True)
                 owner = np.repeat(codes, np.diff(ranges))
@@ -213,7 +214,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             pred, score, rate = [], [], []
-            for low, high, data, offsets in text_slices(batch.column(place)):
+            for low, high, data, offsets in text_slices(batch.column(place), SLICE_BYTES):
                 padded, at, ranges = folded(data, offsets, model.order)
                 if model.languages and len(at):
                     total = np.zeros((len(at) + 1, len(model.languages)))

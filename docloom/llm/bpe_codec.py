@@ -107,13 +107,11 @@ def starts(parts: list, end: int | None = None) -> list[int]:
 def token_bytes(tokenizer) -> list[bytes] | None:
     """Bytes of each token of a byte-level vocabulary by id; None for another kind of decoder.
 
-    The alphabet stands printable Latin characters for their own bytes, and those from U+0100 on, in
-    order, for the rest. A token with any other character stands for itself, as in the library.
+    A token with a character that stands for no byte stands for itself, as in the library.
     """
     if (json.loads(tokenizer.to_str())["decoder"] or {}).get("type") != "ByteLevel":
         return None
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    alphabet = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in own)}
+    alphabet = {c: b for b, c in enumerate(tokens.byte_letters())}
     ids = tokenizer.get_vocab(with_added_tokens=True)
     out = [b""] * (max(ids.values(), default=-1) + 1)
     for token, i in ids.items():

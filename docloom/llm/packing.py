@@ -10,94 +10,229 @@ rank within their length, in a map over all pieces. Only the histogram and the p
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
-from itertools import chain, filterfalse
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm import tokens
-from docloom.llm.words import ship, shipped, text_slices
+from docloom.llm.words import SPACE, ship, shipped, text_slices
 from docloom.session import scratch
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END = 0  # id that ends a document
 RANK_ROWS = 50_000  # pieces ranked together in one task
-KEPT_WORDS = 100_000  # words and parts whose ids a worker keeps, and as many again that it kept before
+KEPT_WORDS = 100_000  # words whose ids a worker keeps, and as many again that it kept before
+KEPT_PARTS = 300_000  # likewise, parts of words
+SLICE_BYTES = 4 << 20  # text whose distinct words are looked up together
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
-# the vocabulary then act on each word alone. Any other text goes to the library whole.
+# the vocabulary then act on each word alone, and lower-casing keeps them single and of two bytes at
+# most. Any other text goes to the library whole.
 GROUP = 256  # parts encoded as one text
-PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value of the vocabulary
-PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ]*")
+PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ--İȺȾ]*", regex.V1)
+BREAK = "\x1c"  # stands between plain texts, and in none
+SEPARATOR = pa.scalar(" ", pa.large_string())
+GAP = SPACE.copy()
+GAP[ord(BREAK)] = True
+# Fixed values of the vocabulary's pattern, by code point: a part is a run of letters, one digit, or
+# a run of other characters.
+LETTER, DIGIT, OTHER = 1, 2, 3
+KIND = np.array([0 if c < 256 and GAP[c] else LETTER if regex.match(r"\p{L}", chr(c)) else
+                 DIGIT if regex.match(r"\p{N}", chr(c)) else OTHER for c in range(0x800)], np.uint8)
+
+
+def all_plain(text: str) -> bool:
+    """Whether ``PLAIN`` matches ``text``."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    if (data - np.uint8(0x1C) < 4).any() or (data >= 0xCA).any():
+        return False
+    lead = np.flatnonzero(data >= 0xC2)
+    kind, rest = data[lead], data[lead + 1]
+    return not ((kind == 0xC2) & (rest <= 0xA0) | (kind == 0xC9) & (rest > 0x8F) | (kind == 0xC4) & (rest == 0xB0)
+                | (kind == 0xC8) & ((rest == 0xBA) | (rest == 0xBE))).any()
+
+
+def part_starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes of lower-cased plain text begin a part, as the vocabulary's pattern
+    ``'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+`` finds them, and which are in one.
+    """
+    kind = KIND[data]
+    whole = np.ones(len(data), bool)  # first byte of a character
+    lead = np.flatnonzero(data >= 0xC2)
+    kind[lead] = kind[lead + 1] = KIND[(data[lead] & 0x1F).astype(np.int64) << 6 | data[lead + 1] & 0x3F]
+    whole[lead + 1] = False
+    inside = kind > 0
+    first = inside & whole
+    first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    # A quote that begins a part takes the letters of a contraction; what is left of these is a part.
+    after = np.append(kind, np.zeros(3, np.uint8)), np.append(data, np.zeros(3, np.uint8))
+    quote = np.flatnonzero(first & (data == ord("'")))
+    quote = quote[after[0][quote + 1] == LETTER]
+    one, two = after[1][quote + 1], after[1][quote + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    first[quote[short | long] + 1] = False
+    left = np.concatenate([quote[short] + 2, quote[long] + 3])
+    first[left[after[0][left] == LETTER]] = True
+    return first, inside
+
+
+def distinct(data: np.ndarray, first: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each word of a UTF-8 text among its distinct ones, and these. ``first`` marks the
+    bytes that begin a word, ``inside`` those in one.
+    """
+    kept = data[inside]
+    starts = np.append(np.flatnonzero(first[inside]), len(kept))
+    found = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(kept)]) \
+        .dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
+def runs(ids: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` between ``bounds`` that ``which`` numbers, one after the other, and their bounds."""
+    size = np.diff(bounds)[which]
+    stops = np.append(0, np.cumsum(size))
+    return ids[np.repeat(bounds[which] - stops[:-1], size) + np.arange(stops[-1])], stops
+
+
+class Lot(NamedTuple):
+    """Distinct words with their ids, those of each one between two bounds."""
+    words: pa.Array
+    ids: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def empty(cls) -> Lot:
+        return cls(pa.array([], pa.large_string()), np.empty(0, "<u4"), np.zeros(1, np.int64))
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each of ``words`` is in this lot, or -1."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+
+    def taken(self, places: np.ndarray) -> Lot:
+        return Lot(self.words.take(pa.array(places)), *runs(self.ids, self.bounds, places))
+
+    def __add__(self, other: Lot) -> Lot:
+        return Lot(pa.concat_arrays([self.words, other.words]), np.concatenate([self.ids, other.ids]),
+                   np.concatenate([self.bounds, self.bounds[-1] + other.bounds[1:]]))
+
+    def as_dict(self) -> dict[str, bytes]:
+        return {w: self.ids[a:b].tobytes() for w, a, b in zip(self.words.to_pylist(), self.bounds, self.bounds[1:])}
+
+
+class Kept:
+    """The lot in use and the one before it; a word met again moves over."""
+
+    def __init__(self, limit: int, learn: Callable[[pa.Array], Lot]):
+        self.limit, self.learn = limit, learn
+        self.lot, self.older = Lot.empty(), Lot.empty()
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each of ``words``, all distinct, is in ``lot``; unseen ones are learned."""
+        if len(self.lot.words) > self.limit:
+            self.lot, self.older = Lot.empty(), self.lot
+        out = self.lot.places(words)
+        if len(need := np.flatnonzero(out < 0)):
+            before = self.older.places(words.take(pa.array(need)))
+            again, fresh = need[before >= 0], need[before < 0]
+            out[np.concatenate([again, fresh])] = len(self.lot.words) + np.arange(len(need))
+            self.lot += self.older.taken(before[before >= 0])
+            if len(fresh):
+                self.lot += self.learn(words.take(pa.array(fresh)))
+        return out
+
+    def spelled(self, codes: np.ndarray, words: pa.Array, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs between ``bounds`` of ``codes``, numbers of ``words``, and the bounds of these."""
+        places = self.places(words)
+        ids, stops = runs(self.lot.ids, self.lot.bounds, places[codes])
+        return ids, stops[bounds]
 
 
 class WordCoder:
     """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words.
 
-    A plain text is lower-cased (its letters are composed already) and split by white space. A word
-    that is not letters alone is cut by the vocabulary's pattern into parts, words of their own. Unseen
-    words of letters and unseen parts are encoded many at a time: each ends in a token that carries
-    the end of a word.
+    A plain text is lower-cased (its letters are composed already) and split by white space. Each
+    distinct word of a batch is looked up once. Unseen words are cut by the vocabulary's pattern into
+    parts, and unseen parts are encoded many at a time: each ends in a token that carries the end of
+    a word. Normalized and cut as they are, parts need the library's model alone.
     """
 
-    def __init__(self, tokenizer, kept_words: int = KEPT_WORDS):
-        self.tokenizer, self.kept_words = tokenizer, kept_words
+    def __init__(self, tokenizer, kept_words: int = KEPT_WORDS, kept_parts: int = KEPT_PARTS):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.tokenizer = tokenizer
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # what was kept before; a word met again moves over
+        self.kept, self.parts = Kept(kept_words, self.learn), Kept(kept_parts, self.learn_parts)
         self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.bare = Tokenizer(tokenizer.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        self.spelling = {b: c for b, c in enumerate(tokens.byte_letters()) if b != ord(" ")}
+
+    @property
+    def words(self) -> dict[str, bytes]:
+        return self.kept.lot.as_dict()
+
+    @property
+    def older(self) -> dict[str, bytes]:
+        return self.kept.older.as_dict()
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def unknown(self, words: Iterable[str]) -> set[str]:
-        need = set(filterfalse(self.words.__contains__, words))
-        fresh = need.difference(self.older)
-        again = need.difference(fresh)
-        self.words.update(zip(again, map(self.older.__getitem__, again)))
-        return fresh
-
-    def learn_parts(self, parts: list[str]) -> None:
-        for k in range(0, len(parts), GROUP):
-            group = parts[k:k + GROUP]
-            ids = self.library([" ".join(group)])[0]
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == len(group):
-                raw = ids.tobytes()
-                self.words.update(zip(group, map(raw.__getitem__, map(slice, [0, *stops], stops))))
-            else:
-                self.words.update(zip(group, (x.tobytes() for x in self.library(group))))
-
-    def learn(self, need: set[str]) -> None:
-        parts = set(filter(str.isalpha, need))
-        closed, other = [], []  # letters with a stop or comma behind them, and all else
-        for word in need - parts:
-            (closed if word[-1] in ".," and word[:-1].isalpha() else other).append(word)
-        cut = [PART.findall(word) for word in other]
-        parts.update([word[:-1] for word in closed], ".,", *cut)
-        self.learn_parts(list(self.unknown(parts)))
-        words = self.words
-        words.update([(word, words[word[:-1]] + words[word[-1]]) for word in closed])
-        words.update([(word, b"".join([words[p] for p in own])) for word, own in zip(other, cut)])
+    def bare_ids(self, parts: str) -> np.ndarray:
+        """Ids of parts with a space between them, as the byte-level vocabulary spells them."""
+        if not (parts.isascii() and parts.isprintable()):
+            parts = parts.encode().decode("latin-1").translate(self.spelling)
+        return np.array(self.bare.encode_batch_fast([parts], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn_parts(self, parts: pa.Array) -> Lot:
+        groups = pa.LargeListArray.from_arrays([*range(0, len(parts), GROUP), len(parts)], parts)
+        ids, sizes = [], []
+        for text in pc.binary_join(groups, SEPARATOR).to_pylist():
+            own = [self.bare_ids(text)]
+            stops = np.flatnonzero(self.ends[own[0]]) + 1
+            if len(stops) != text.count(" ") + 1:
+                own = list(map(self.bare_ids, text.split(" ")))
+                stops = np.cumsum(list(map(len, own)))
+            ids += own
+            sizes.append(np.diff(stops, prepend=0))
+        return Lot(parts, np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(sizes))))
+
+    def learn(self, words: pa.Array) -> Lot:
+        text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), SEPARATOR)[0].as_py()
+        data = np.frombuffer(text.encode(), np.uint8)
+        first, inside = part_starts(data)
+        ends = np.searchsorted(np.flatnonzero(first), np.append(np.flatnonzero(data == ord(" ")), len(data)))
+        return Lot(words, *self.parts.spelled(*distinct(data, first, inside), np.append(0, ends)))
+
+    def plain_texts(self, texts: list[str]) -> Iterator[bytes]:
+        data = np.frombuffer(BREAK.join(texts).lower().encode(), np.uint8)
+        inside = ~GAP[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        ends = np.searchsorted(np.flatnonzero(first), np.append(np.flatnonzero(data == ord(BREAK)), len(data)))
+        ids, bounds = self.kept.spelled(*distinct(data, first, inside), np.append(0, ends))
+        raw, at = ids.tobytes(), (4 * bounds).tolist()
+        return map(raw.__getitem__, map(slice, at, at[1:]))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        plain = [PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
-        words = [t.lower().split() if ok else () for t, ok in zip(texts, plain)]
-        if len(self.words) > self.kept_words:
-            self.words, self.older = {}, self.words
-        if need := self.unknown(chain.from_iterable(words)):
-            self.learn(need)
+        joined = " ".join(texts)
+        sure, special = all_plain(joined), any(s in joined for s in self.special)
+        plain = [(sure or PLAIN.fullmatch(t) is not None) and not (special and any(s in t for s in self.special)) for t in texts]
+        known = self.plain_texts([t for t, ok in zip(texts, plain) if ok])
         whole = iter(self.library([t for t, ok in zip(texts, plain) if not ok]))
-        return [b"".join(map(self.words.__getitem__, own)) if ok else next(whole).tobytes() for own, ok in zip(words, plain)]
+        return [next(known) if ok else next(whole).tobytes() for ok in plain]
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
@@ -110,7 +245,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
         coder = tokens.per_worker(("words", vocabulary), lambda: WordCoder(tokens.load(vocabulary)))
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column(1), tokens.SLICE_BYTES):
+            for low, high, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 raw = data.tobytes()
                 ids = coder.encode_batch([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
                 row, piece, length, crc = [], [], [], []

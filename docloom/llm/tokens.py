@@ -39,6 +39,17 @@ def load(name: str):
     return per_worker(("tokenizer", name), make)
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable Latin characters stand for their own bytes, and those from U+0100 on, in order, for the
+    rest.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in own)}
+    return [out[b] for b in range(256)]
+
+
 def guard(tokenizer) -> int:
     """Characters before a cut within which the cut may change how the text is split.
 

@@ -100,6 +100,25 @@ def test_word_coder_keeps_words_that_return_and_no_more_than_two_lots():
         assert len(coder.words) + len(coder.older) < 2 * (50 + 200)
 
 
+def test_word_coder_looks_up_distinct_words_and_cuts_parts_like_the_library():
+    library, rnd = tokens.load(packing.VOCABULARY), random.Random(7)
+    coder = packing.WordCoder(library, kept_words=200, kept_parts=100)
+    whole = []
+    coder.library = lambda texts, own=coder.library: whole.extend(texts) or own(texts)
+    signs = [*"aestrvmld''\"!.,12\u00b2\u00bd\u00d7\u00c9\u00df\u0101\x00\x7f \n\t", "'s", "'re", "'ve", "'ll", "'t", "'d", "'"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(50))) for _ in range(3000)] + ["", " ", "'", "'llama's''re"]
+    for k in range(0, len(texts), 100):
+        for text, raw in zip(texts[k:k + 100], coder.encode_batch(texts[k:k + 100])):
+            assert np.frombuffer(raw, "<u4").tolist() == ids_of(library, text)
+    assert not whole  # parts need the model alone
+    odd = ["\u0130a b", "a\u023a", "a\x1cb", "a\u2003b", "\u65e5", "a <|endoftext|>"]
+    assert coder.encode_batch(["a", *odd, "b"])[1:-1] == [np.array(ids_of(library, t), "<u4").tobytes() for t in odd]
+    assert whole == odd
+    for c in map(chr, range(0x1C, 0x300)):
+        ok = packing.PLAIN.fullmatch(c) is not None
+        assert packing.all_plain(c) == ok and (not ok or len(c.lower()) == 1 and len(c.lower().encode()) <= 2)
+
+
 def test_token_bytes_decode_like_the_library(library):
     decoder, rnd = bpe_codec.Decoder(library), random.Random(5)
     size = library.get_vocab_size()

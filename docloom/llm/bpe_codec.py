@@ -18,7 +18,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain, filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm import tokens
+from docloom.llm.lots import Kept, Lot, distinct, joined_words
 from docloom.llm.words import mix, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,12 +34,14 @@ WINDOW = 32
 MASK = np.uint64((1 << 11) - 1)  # a cut every 2,048 bytes on average
 LEAST, MOST = 512, 8192  # bytes of a chunk, but for the last of a text
 REACH = 48  # characters a repair first takes from the right chunk
-KEPT_UNITS = 400_000  # units whose ids a worker keeps
+KEPT_UNITS = 400_000  # units whose ids a worker keeps, and as many again that it kept before
 GROUP = 256  # units encoded as one text
 UNEVEN = re.compile(r"\s\s|[^\S \n]")  # white space that is not single, or another kind
 CLOSED = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]")
 EDGE_UNITS = 48  # units at each end of a chunk whose places are kept
+BREAK = "\0"  # stands between texts of units, and in none
 KEPT_BYTES = 32 << 20  # text whose encodings a worker keeps
+SLICE_BYTES = 2 << 20  # text whose distinct units are looked up together
 TABLE = 1 << 16  # powers a worker keeps for the rolling hash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -87,23 +89,6 @@ def chunks(text: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
-def units(text: str) -> list[str]:
-    """Words with the space before them, and line feeds, of a text without uneven white space."""
-    out = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-    if not out[-1]:
-        out.pop()
-    if out and not out[0]:
-        del out[0]
-    return out
-
-
-def starts(parts: list, end: int | None = None) -> list[int]:
-    """Where each part begins, if the first is at 0 or the last stops at ``end``."""
-    stops = list(accumulate(map(len, parts), initial=0))
-    shift = 0 if end is None else end - stops[-1]
-    return [x + shift for x in stops[:-1]]
-
-
 def token_bytes(tokenizer) -> list[bytes] | None:
     """Bytes of each token of a byte-level vocabulary by id; None for another kind of decoder.
 
@@ -144,15 +129,15 @@ class Coder:
     Where all white space of a chunk is single spaces and line feeds, each between two other
     characters or at an end, the byte-level pattern begins a piece at every space and around every
     line feed. Such a chunk is encoded unit by unit (a word with the space before it, a line feed)
-    through kept units; any other chunk goes to the library whole.
+    through kept units, each distinct one of a batch looked up once; any other chunk goes to the
+    library whole, and so does the short text of a repair.
     """
 
     def __init__(self, tokenizer, kept_bytes: int = KEPT_BYTES, kept_units: int = KEPT_UNITS):
         self.tokenizer, self.margin, self.kept_bytes = tokenizer, tokens.guard(tokenizer), kept_bytes
         self.kept: dict[bytes, Encoded] = {}
         self.size = self.made = 0
-        self.kept_units = kept_units
-        self.units: dict[str, bytes] = {}
+        self.units, self.parts = Kept(kept_units, self.learn), Kept(kept_units, self.learn_parts)
         splitter = json.loads(tokenizer.to_str())["pre_tokenizer"] or {}
         self.by_units = tokenizer.normalizer is None and splitter.get("type") == "ByteLevel" \
             and splitter.get("use_regex") and not splitter.get("add_prefix_space")
@@ -162,51 +147,60 @@ class Coder:
     def library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, need: set[str]) -> None:
-        """Encode unseen units. Plain letters with a stop or comma behind them are two pieces, and
-        only those of the two that are unseen are encoded."""
-        closed = list(filter(CLOSED.fullmatch, need))
-        parts = need.difference(closed)
-        parts.update([u[:-1] for u in closed], ".,")
-        self.learn_alone(list(filterfalse(self.units.__contains__, parts)))
-        self.units.update([(u, self.units[u[:-1]] + self.units[u[-1]]) for u in closed])
-
-    def learn_alone(self, need: list[str]) -> None:
-        """Encode units many at a time; a line feed between them is always a token alone."""
+    def learn(self, units: pa.Array) -> Lot:
+        """Ids of unseen units. Plain letters with a stop or comma behind them are two pieces, and only
+        those of the two that are unseen are encoded."""
+        own = joined_words(units, BREAK).split(BREAK)
+        closed = [CLOSED.fullmatch(u) is not None for u in own]
+        text = BREAK.join([u[:-1] + BREAK + u[-1] if two else u for u, two in zip(own, closed)])
+        data = np.frombuffer(text.encode(), np.uint8)
+        inside = data != ord(BREAK)
+        first = inside & np.append(True, ~inside[:-1])
+        return Lot(units, *self.parts.spelled(*distinct(data, first, inside), np.append(0, np.cumsum(1 + np.array(closed)))))
+
+    def learn_parts(self, parts: pa.Array) -> Lot:
+        """Encode parts many at a time; a line feed between them is always a token alone."""
+        need, ids, sizes = joined_words(parts, BREAK).split(BREAK), [], []
         for k in range(0, len(need), GROUP):
             group = need[k:k + GROUP]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(group)], add_special_tokens=False)[0].ids, "<u4")
-            stops = [*np.flatnonzero(ids == self.feed[0]).tolist(), len(ids)]
-            if len(stops) == len(group) and " " not in group:
-                raw = ids.tobytes()
-                self.units.update(zip(group, (raw[4 * a:4 * b] for a, b in zip([0, *(x + 1 for x in stops)], stops))))
+            found = np.array(self.tokenizer.encode_batch_fast(["\n".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            feed = found == self.feed[0]
+            if feed.sum() == len(group) - 1 and " " not in group:
+                ids.append(found[~feed])
+                sizes.append(np.diff(np.flatnonzero(np.concatenate([[True], feed, [True]]))) - 1)
             else:
-                self.units.update((u, self.library(u).tobytes()) for u in group)
+                alone = list(map(self.library, group))
+                ids += alone
+                sizes.append(np.array(list(map(len, alone))))
+        return Lot(parts, np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(sizes))))
+
+    def by_library(self, texts: list[str]) -> list[Encoded]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [Encoded(t, np.array(e.ids, np.uint32), *tokens.split_points(e)) for t, e in zip(texts, found)]
+
+    def of_units(self, texts: list[str]) -> Iterator[Encoded]:
+        data = np.frombuffer(BREAK.join(texts).encode(), np.uint8)
+        inside, feed = data != ord(BREAK), data == ord("\n")
+        first = inside & (feed | (data == ord(" ")))
+        first |= inside & np.append(True, (feed | ~inside)[:-1])[:len(data)]
+        starts, breaks = np.flatnonzero(first), np.flatnonzero(~inside)
+        codes, words = distinct(data, first, inside)
+        ids, at = self.units.spelled(codes, words, np.arange(len(codes) + 1))
+        places = np.cumsum(data & 0xC0 != 0x80)[starts] - 1
+        bounds = [0, *np.searchsorted(starts, breaks).tolist(), len(starts)]
+        begin = 0  # of the text, in characters
+        for text, a, b in zip(texts, bounds, bounds[1:]):
+            # Joins only ask for the pieces near the ends.
+            near = slice(a, b) if b - a <= 2 * EDGE_UNITS else np.r_[a:a + EDGE_UNITS, b - EDGE_UNITS:b]
+            yield Encoded(text, ids[at[a]:at[b]].copy(), places[near] - begin, at[near] - at[a])
+            begin += len(text) + 1
 
     def encoded(self, texts: list[str]) -> list[Encoded]:
-        plain = [self.by_units and not UNEVEN.search(t) and not any(s in t for s in self.special) for t in texts]
-        cut = [units(t) if ok and "\0" not in t else None for t, ok in zip(texts, plain)]
-        if len(self.units) > self.kept_units:
-            self.units.clear()
-        if need := set(filterfalse(self.units.__contains__, chain.from_iterable(filter(None, cut)))):
-            self.learn(need)
-        whole = iter(self.tokenizer.encode_batch([t for t, own in zip(texts, cut) if own is None], add_special_tokens=False))
-        out = []
-        for text, own in zip(texts, cut):
-            if own is None:
-                e = next(whole)
-                out.append(Encoded(text, np.array(e.ids, np.uint32), *tokens.split_points(e)))
-                continue
-            ids = list(map(self.units.__getitem__, own))
-            raw = b"".join(ids)
-            if len(own) <= 2 * EDGE_UNITS:
-                points, at = starts(own), starts(ids)
-            else:  # joins only ask for the pieces near the ends
-                head, tail = slice(None, EDGE_UNITS), slice(-EDGE_UNITS, None)
-                points = starts(own[head]) + starts(own[tail], len(text))
-                at = starts(ids[head]) + starts(ids[tail], len(raw))
-            out.append(Encoded(text, np.frombuffer(raw, "<u4"), np.array(points, np.int64), np.array(at, np.int64) // 4))
-        return out
+        plain = [self.by_units and not UNEVEN.search(t) and BREAK not in t and not any(s in t for s in self.special)
+                 for t in texts]
+        known = self.of_units([t for t, ok in zip(texts, plain) if ok])
+        whole = iter(self.by_library([t for t, ok in zip(texts, plain) if not ok]))
+        return [next(known if ok else whole) for ok in plain]
 
     def encode_batch(self, texts: list[bytes]) -> list[np.ndarray]:
         parts = [chunks(t) for t in texts]
@@ -239,7 +233,7 @@ class Coder:
                 head, right = head + right.text, after
             while True:
                 reach = min(reach, len(right.text))
-                again = self.encoded([text := head + right.text[:reach]])[0]
+                again = self.by_library([text := head + right.text[:reach]])[0]
                 ours = again.points[again.points <= len(text) - self.margin] - len(head)
                 common = np.intersect1d(ours, right.points)
                 if len(common):
@@ -286,7 +280,7 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool
         coder = tokens.per_worker(("chunks", vocabulary), lambda: Coder(tokenizer))
         decoder = tokens.per_worker(("decoder", vocabulary), lambda: Decoder(tokenizer))
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column(1), tokens.SLICE_BYTES):
+            for low, high, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 raw = data.tobytes()
                 ids = coder.encode_batch([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
                 decoded = decoder.decode_batch([x.tolist() for x in ids])

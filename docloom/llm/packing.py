@@ -10,17 +10,17 @@ rank within their length, in a map over all pieces. Only the histogram and the p
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm import tokens
+from docloom.llm.lots import Kept, Lot, distinct, joined_words
 from docloom.llm.words import SPACE, ship, shipped, text_slices
 from docloom.session import scratch
 
@@ -29,8 +29,8 @@ CAPACITY = 2048
 END = 0  # id that ends a document
 RANK_ROWS = 50_000  # pieces ranked together in one task
 KEPT_WORDS = 100_000  # words whose ids a worker keeps, and as many again that it kept before
-KEPT_PARTS = 300_000  # likewise, parts of words
-SLICE_BYTES = 4 << 20  # text whose distinct words are looked up together
+KEPT_PARTS = 150_000  # likewise, parts of words
+SLICE_BYTES = 2 << 20  # text whose distinct words are looked up together
 
 # Text of these characters is split by white space first: lower-casing, composing and the pattern of
 # the vocabulary then act on each word alone, and lower-casing keeps them single and of two bytes at
@@ -38,7 +38,6 @@ SLICE_BYTES = 4 << 20  # text whose distinct words are looked up together
 GROUP = 256  # parts encoded as one text
 PLAIN = regex.compile(r"[\x00-\x1b\x20-\x7f\xa1-ɏ--İȺȾ]*", regex.V1)
 BREAK = "\x1c"  # stands between plain texts, and in none
-SEPARATOR = pa.scalar(" ", pa.large_string())
 GAP = SPACE.copy()
 GAP[ord(BREAK)] = True
 # Fixed values of the vocabulary's pattern, by code point: a part is a run of letters, one digit, or
@@ -84,77 +83,6 @@ def part_starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, inside
 
 
-def distinct(data: np.ndarray, first: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """The number of each word of a UTF-8 text among its distinct ones, and these. ``first`` marks the
-    bytes that begin a word, ``inside`` those in one.
-    """
-    kept = data[inside]
-    starts = np.append(np.flatnonzero(first[inside]), len(kept))
-    found = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(kept)]) \
-        .dictionary_encode()
-    return found.indices.to_numpy(), found.dictionary
-
-
-def runs(ids: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of ``ids`` between ``bounds`` that ``which`` numbers, one after the other, and their bounds."""
-    size = np.diff(bounds)[which]
-    stops = np.append(0, np.cumsum(size))
-    return ids[np.repeat(bounds[which] - stops[:-1], size) + np.arange(stops[-1])], stops
-
-
-class Lot(NamedTuple):
-    """Distinct words with their ids, those of each one between two bounds."""
-    words: pa.Array
-    ids: np.ndarray
-    bounds: np.ndarray
-
-    @classmethod
-    def empty(cls) -> Lot:
-        return cls(pa.array([], pa.large_string()), np.empty(0, "<u4"), np.zeros(1, np.int64))
-
-    def places(self, words: pa.Array) -> np.ndarray:
-        """Where each of ``words`` is in this lot, or -1."""
-        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
-
-    def taken(self, places: np.ndarray) -> Lot:
-        return Lot(self.words.take(pa.array(places)), *runs(self.ids, self.bounds, places))
-
-    def __add__(self, other: Lot) -> Lot:
-        return Lot(pa.concat_arrays([self.words, other.words]), np.concatenate([self.ids, other.ids]),
-                   np.concatenate([self.bounds, self.bounds[-1] + other.bounds[1:]]))
-
-    def as_dict(self) -> dict[str, bytes]:
-        return {w: self.ids[a:b].tobytes() for w, a, b in zip(self.words.to_pylist(), self.bounds, self.bounds[1:])}
-
-
-class Kept:
-    """The lot in use and the one before it; a word met again moves over."""
-
-    def __init__(self, limit: int, learn: Callable[[pa.Array], Lot]):
-        self.limit, self.learn = limit, learn
-        self.lot, self.older = Lot.empty(), Lot.empty()
-
-    def places(self, words: pa.Array) -> np.ndarray:
-        """Where each of ``words``, all distinct, is in ``lot``; unseen ones are learned."""
-        if len(self.lot.words) > self.limit:
-            self.lot, self.older = Lot.empty(), self.lot
-        out = self.lot.places(words)
-        if len(need := np.flatnonzero(out < 0)):
-            before = self.older.places(words.take(pa.array(need)))
-            again, fresh = need[before >= 0], need[before < 0]
-            out[np.concatenate([again, fresh])] = len(self.lot.words) + np.arange(len(need))
-            self.lot += self.older.taken(before[before >= 0])
-            if len(fresh):
-                self.lot += self.learn(words.take(pa.array(fresh)))
-        return out
-
-    def spelled(self, codes: np.ndarray, words: pa.Array, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the runs between ``bounds`` of ``codes``, numbers of ``words``, and the bounds of these."""
-        places = self.places(words)
-        ids, stops = runs(self.lot.ids, self.lot.bounds, places[codes])
-        return ids, stops[bounds]
-
-
 class WordCoder:
     """Ids of texts, as bytes of little-endian 32-bit numbers, through kept words.
 
@@ -197,9 +125,9 @@ class WordCoder:
         return np.array(self.bare.encode_batch_fast([parts], add_special_tokens=False)[0].ids, "<u4")
 
     def learn_parts(self, parts: pa.Array) -> Lot:
-        groups = pa.LargeListArray.from_arrays([*range(0, len(parts), GROUP), len(parts)], parts)
         ids, sizes = [], []
-        for text in pc.binary_join(groups, SEPARATOR).to_pylist():
+        for k in range(0, len(parts), GROUP):
+            text = joined_words(parts[k:k + GROUP], " ")
             own = [self.bare_ids(text)]
             stops = np.flatnonzero(self.ends[own[0]]) + 1
             if len(stops) != text.count(" ") + 1:
@@ -210,8 +138,7 @@ class WordCoder:
         return Lot(parts, np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(sizes))))
 
     def learn(self, words: pa.Array) -> Lot:
-        text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), SEPARATOR)[0].as_py()
-        data = np.frombuffer(text.encode(), np.uint8)
+        data = np.frombuffer(joined_words(words, " ").encode(), np.uint8)
         first, inside = part_starts(data)
         ends = np.searchsorted(np.flatnonzero(first), np.append(np.flatnonzero(data == ord(" ")), len(data)))
         return Lot(words, *self.parts.spelled(*distinct(data, first, inside), np.append(0, ends)))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from itertools import chain
 import zlib
 
 import numpy as np
@@ -130,6 +131,26 @@ def test_token_bytes_decode_like_the_library(library):
     assert bpe_codec.Decoder(words).decode_batch([ids_of(words, "some words")]) == [words.decode(ids_of(words, "some words"))]
 
 
+def test_units_that_return_are_encoded_once(library):
+    coder, rnd = bpe_codec.Coder(library, kept_units=40), random.Random(8)
+    encoded = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **rest):
+            encoded.extend(chain.from_iterable(t.split("\n") for t in texts))
+            return library.encode_batch_fast(texts, **rest)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    coder.tokenizer = Library()
+    for _ in range(30):
+        text = " ".join(["often", "B\u00e4r,", *("".join(rnd.choice("aeioubc\u0394.,") for _ in range(6)) for _ in range(20))]) + " often"
+        assert coder.encode_batch([text.encode()])[0].tolist() == ids_of(library, text)
+    assert encoded.count(" often") == encoded.count(" B\u00e4r") == 1
+    assert len(coder.units.lot.words) + len(coder.units.older.words) < 2 * (40 + 25)
+
+
 def test_places_near_the_ends_of_a_long_chunk_suffice(library):
     coder, rnd = bpe_codec.Coder(library), random.Random(6)
     texts = [" ".join(rnd.choice(["it.", "a", "Bär,", "x1.", "ab", "\u0394.", "end,"]) for _ in range(n)) for n in (10, 90, 700, 4000)]
